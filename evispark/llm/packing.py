@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from evispark.llm import shared
 from evispark.llm.textkit import runs, text_bytes
-from evispark.llm.vocabulary import UnitStore, spread
+from evispark.llm.vocabulary import UnitStore, kept, spread
 
 MARK = "<|endoftext|>"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -162,7 +162,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end
     shared.tune(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store = UnitStore(word_units(tokenizer_path))
+        store = kept(("words", tokenizer_path), lambda: UnitStore(word_units(tokenizer_path)))
         for batch in batches:
             doc = batch.column(0).to_numpy(zero_copy_only=False)
             null = batch.column(0).is_null()

@@ -62,3 +62,15 @@ class UnitStore:
 
 def spread(pool: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return pool[gather(start, length)]
+
+
+_kept: dict[tuple, object] = {}
+
+
+def kept(key: tuple, make: Callable[[], object]) -> object:
+    """What make() gives, once for each Python worker: later tasks of the worker find it again. One object per kind of key."""
+    if key not in _kept:
+        for old in [k for k in _kept if k[0] == key[0]]:
+            del _kept[old]
+        _kept[key] = make()
+    return _kept[key]
