@@ -9,13 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from evispark.llm import embeddings, packing, piece_codec, quality, substring, suffixes, topk, toxicity
+from evispark.llm import embeddings, jaccard, packing, piece_codec, quality, substring, suffixes, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked(table(spark, sf_dir, "documents"))
+
+
 def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), 0.93)
 
@@ -49,7 +53,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_embedding_near_dedup, op3_quality_classifier, op4_exact_top_k, op6_substring_dedup, op7_sentencepiece, op8_suffix_array_dedup, op9_best_fit_packing, op10_toxicity)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_embedding_near_dedup, op3_quality_classifier, op4_exact_top_k, op6_substring_dedup, op7_sentencepiece, op8_suffix_array_dedup, op9_best_fit_packing, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
