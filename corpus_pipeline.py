@@ -1,12 +1,71 @@
-"""Corpus pipeline: toxicity, quality, near-duplicates, repeated passages, packing; each stage reads what the one before kept."""
+"""Corpus pipeline: toxicity, quality, near-duplicates, repeated passages, packing; each stage reads what the one before kept.
+
+SQL can't express the stages (trained models, exact tokenizers), so each is tested against a brute-force version.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from evispark.llm import jaccard, packing, quality, shared, suffixes, toxicity
 
-STAGES: list = []
 ORACLE_SQL = None
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def _kept(docs: DataFrame, good: DataFrame) -> DataFrame:
+    """Rows of docs whose id is among the good ones; ids may be null."""
+    good = good.select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(good, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier rejects (score 0.3 or more) go."""
+    return _kept(docs, toxicity.toxicity_scores(docs, _labels(spark, sf_dir)).where("predicted = 0"))
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects (score under 0.3) go."""
+    return _kept(docs, quality.quality_scores(docs, _labels(spark, sf_dir)).where("predicted = 1"))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near-duplicates stays, the one with the smallest id."""
+    return _kept(docs, jaccard.linked(docs).where("doc_id <=> component_id"))
+
+
+def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that stand in an earlier document go; documents stay, also where no word is left."""
+    cut = suffixes.remove_later_copies(docs).where("n_removed > 0").select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")).distinct()
+    out = docs.join(cut, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    text = F.coalesce("_text", "text")
+    return out.select("doc_id", text.alias("text"), "lang", "source", F.when(F.col("_text").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long")).alias("n_chars"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, in token sequences of 2048."""
+    return packing.best_fit(docs, public_tokenizers.path("word_bpe_49k.json"), 2048)
+
+
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("quality classifier", quality_stage),
+    ("n-gram Jaccard join", near_duplicate_stage),
+    ("suffix-array dedup", repeated_passage_stage),
+    ("best-fit packing", packing_stage),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over the documents table, each one's rows written as Parquet and read again by the next."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for n, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if n < len(STAGES) - 1:
+            docs = shared.written(docs, f"stage{n}")
+    return docs

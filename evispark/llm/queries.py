@@ -9,7 +9,47 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from evispark.llm import embeddings, jaccard, packing, piece_codec, quality, substring, suffixes, topk, toxicity
+from evispark.llm import embeddings, jaccard, licenses, packing, piece_codec, quality, substring, suffixes, topk, toxicity
+
+
+TOP_K_SQL = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings WHERE embedding IS NOT NULL),
+p AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
+FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM p
+QUALIFY rank <= 5"""
+
+NEAR_SQL = """WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL AND label IS NOT NULL),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+WHERE list_inner_product(a.e, b.e) >= 0.93 * sqrt(list_inner_product(a.e, a.e)) * sqrt(list_inner_product(b.e, b.e))),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS m FROM reach GROUP BY a), n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, least(e.vec_id, coalesce(m, e.vec_id)) AS component_id, least(e.vec_id, coalesce(m, e.vec_id)) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN least ON least.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id"""
+
+WORDS_SQL = "list_filter(regexp_split_to_array({text}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+
+JACCARD_SQL = f"""WITH RECURSIVE w AS (SELECT doc_id, {WORDS_SQL.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+n AS (SELECT doc_id, len(s) AS n FROM s), t AS (SELECT doc_id, unnest(s) AS t FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM t a JOIN t b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, least(n.doc_id, coalesce(m, n.doc_id)) AS component_id FROM n LEFT JOIN least ON least.a = n.doc_id"""
+
+_COVERED = """w AS (SELECT doc_id, {words} AS w FROM documents),
+p AS (SELECT doc_id, unnest(range(1, len(w) - {width} + 2)) AS i, w FROM w WHERE len(w) >= {width}),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + {width} - 1], ' ') AS g FROM p),
+r AS ({repeated}),
+x AS (SELECT DISTINCT doc_id, i + unnest(range({width})) AS i FROM r),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w),
+k AS (SELECT doc_id, count(*) AS n, count(x.i) AS gone, string_agg(word, ' ' ORDER BY words.i) FILTER (x.i IS NULL) AS kept FROM words LEFT JOIN x USING (doc_id, i) GROUP BY doc_id)"""
+
+SUBSTRING_SQL = f"""WITH {_COVERED.format(words=WORDS_SQL.format(text="coalesce(text, '')"), width=35, repeated="SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY g) > 1")}
+SELECT doc_id, coalesce(n, 0) AS n_words, coalesce(gone, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM documents LEFT JOIN k USING (doc_id)"""
+
+SUFFIX_SQL = f"""WITH {_COVERED.format(words=WORDS_SQL.format(text="coalesce(text, '')"), width=50, repeated="SELECT doc_id, i FROM g QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1")}
+SELECT doc_id, coalesce(n, 0) AS n_words, coalesce(gone, 0) AS n_removed, coalesce(kept, '') AS text FROM documents LEFT JOIN k USING (doc_id)"""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +72,10 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_table(spark))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeat_digests(table(spark, sf_dir, "documents"), 35)
 
@@ -41,7 +85,10 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.remove_later_copies(table(spark, sf_dir, "documents"), 50)
+    """With the words of the remaining texts joined by one space."""
+    left = suffixes.remove_later_copies(table(spark, sf_dir, "documents"), 50)
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return left.withColumn("text", F.array_join(words, " "))
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,8 +100,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_embedding_near_dedup, op3_quality_classifier, op4_exact_top_k, op6_substring_dedup, op7_sentencepiece, op8_suffix_array_dedup, op9_best_fit_packing, op10_toxicity)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_embedding_near_dedup, op3_quality_classifier, op4_exact_top_k, op5_license_scan, op6_substring_dedup, op7_sentencepiece, op8_suffix_array_dedup, op9_best_fit_packing, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_exact_top_k": TOP_K_SQL, "op5_license_scan": licenses.scan_sql(), "op1_ngram_jaccard_join": JACCARD_SQL, "op2_embedding_near_dedup": NEAR_SQL, "op6_substring_dedup": SUBSTRING_SQL, "op8_suffix_array_dedup": SUFFIX_SQL}
