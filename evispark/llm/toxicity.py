@@ -136,8 +136,11 @@ def count_grams(words: DataFrame, order: int = ORDER) -> DataFrame:
                     context, suffix = _key(sums, e - k, e), _key(sums, e - k + (k > 0), e + 1)
                     yield pa.RecordBatch.from_arrays([pa.array(signed(key[one])), pa.array(signed(context)), pa.array(signed(suffix)), pa.array(np.full(len(one), k, np.int32)), pa.array(types.astype(np.int64)), *map(pa.array, c)], names=["key", "context", "suffix", "size", "types", "toxic", "ordinary", "used"])
 
-    made = words.mapInArrow(rows, "key long, context long, suffix long, size int, types long, toxic long, ordinary long, used long")
+    spark = words.sparkSession
+    # each task sends an n-gram once, so few large tasks send less than many small ones
+    made = words.coalesce(2 * spark.sparkContext.defaultParallelism).mapInArrow(rows, "key long, context long, suffix long, size int, types long, toxic long, ordinary long, used long")
     one = made.groupBy("key", "context", "suffix", "size").agg(*(F.sum(c).alias(c) for c in ("types", "toxic", "ordinary", "used")))
+    one = shared.written(one, "grams")
     of_context = one.groupBy("context").agg(F.sum("types").alias("total"), F.count("*").alias("kinds"), F.sum("used").alias("used"))
     return one.where("used > 0").drop("used").join(of_context.where("used > 0").drop("used"), "context")
 
