@@ -20,7 +20,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 BYTE_VALUES = np.random.default_rng(20240607).integers(1, 2**63, size=256, dtype=np.uint64) * U(2) + U(1)
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F)
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 

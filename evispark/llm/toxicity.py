@@ -28,6 +28,8 @@ THRESHOLD = 0.3
 #: Labelled documents of a class that the class counts take at most (those with the smallest digest of their id); the
 #: shared counts take all documents.
 MOST_LABELLED = 20_000
+#: One labelled document in so many calibrates scores and stays out of the class counts.
+CALIBRATION_PART = 4
 TRIM = ".,!?;:*#&%$\"'()|"
 #: Signs before and after a word; no text has these surrogates.
 FIRST, LAST = 0xD800, 0xD801
@@ -249,8 +251,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 4, held: in
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     shared.tune(docs.sparkSession)
     known = one_label(labels, "doc_id", label).where(fold(folds) != held)
-    scored = shared.written(statistic(docs, fit(docs, known)), "toxicity")
-    calibrate = Calibrator(-20.0, 60.0).fit(scored.join(known, "doc_id"), "raw", "label")
+    # a model knows the words of the documents it was fitted on: calibration takes documents of its own
+    apart = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(CALIBRATION_PART)) == 0
+    scored = shared.written(statistic(docs, fit(docs, known.where(~apart))), "toxicity")
+    calibrate = Calibrator(-20.0, 60.0).fit(scored.join(known.where(apart), "doc_id"), "raw", "label")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
