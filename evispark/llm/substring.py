@@ -24,16 +24,19 @@ WIDTH = 35
 def repeated_runs(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(k, low, windows): runs of windows whose words also start elsewhere, of (k, doc_id, text) rows."""
     every = shared.written(spans(docs, width), "spans")
-    seeds = every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # what is joined is written first: Spark can split a join's hot keys only where both sides are dealt out for it
+    seeds = shared.written(every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "seeds")
     joined = shared.written(every.join(seeds, "anchor", "left_semi"), "joined")
     kinds = joined.groupBy("anchor", "span").agg(F.count("*").alias("n"), F.min(F.struct("k", "low", "windows")).alias("one"))
     kinds = shared.written(kinds.select("anchor", "span", "n", "one.k", "one.low", "one.windows"), "kinds")
     # anchors with different spans of which one or more stands alone: their spans must be looked into
     mixed = kinds.groupBy("anchor").agg(F.count("*").alias("spans"), F.min("n").alias("least")).where("spans > 1 and least = 1").select("anchor")
+    mixed = shared.written(mixed, "mixed")
     chosen = kinds.join(mixed, "anchor", "left_semi")
     looked = windows_of(docs, chosen, width).join(chosen.select("anchor", "span", "n"), ["anchor", "span"])
     looked = shared.written(looked, "windows")
     again = looked.groupBy("anchor", "window").agg(F.sum("n").alias("total")).where("total > 1").select("anchor", "window")
+    again = shared.written(again, "again")
     partly = looked.where("n = 1").join(again, ["anchor", "window"], "left_semi").select("k", F.col("start").alias("low"), F.lit(1).cast("short").alias("windows"))
     whole = joined.join(kinds.where("n > 1").select("anchor", "span"), ["anchor", "span"], "left_semi").select("k", "low", "windows")
     return whole.union(partly)

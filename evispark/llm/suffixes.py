@@ -79,12 +79,14 @@ def later_copies(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     kinds = shared.written(kinds.select("anchor", "span", "n", "one.*"), "kinds")
     copies = kept.join(kinds.where("n > 1").select("anchor", "span", *(F.col(c).alias(f"first_{c}") for c in at)), ["anchor", "span"])
     copies = copies.where(~(F.col("doc_id").eqNullSafe(F.col("first_doc_id")) & (F.col("k") == F.col("first_k")) & (F.col("low") == F.col("first_low")))).select("k", "low", "windows")
-    mixed = kinds.groupBy("anchor").count().where("count > 1").select("anchor")
+    # what is joined is written first: Spark can split a join's hot keys only where both sides are dealt out for it
+    mixed = shared.written(kinds.groupBy("anchor").count().where("count > 1").select("anchor"), "mixed")
     chosen = kinds.join(mixed, "anchor", "left_semi")
     looked = shared.written(windows_of(docs, chosen, width).join(own, "k"), "windows")
     met = neighbours(ranged(looked.select("anchor", "window", "doc_id", "k", "start"), "anchor", "window", "doc_id", "k", "start"), "window", "anchor").where("shared")
     met = shared.written(met.drop("shared", "copy"), "met")
     first = met.groupBy("anchor", "window").agg(F.min(F.struct("doc_id", "k", "start")).alias("one"), F.count("*").alias("n")).where("n > 1")
+    first = shared.written(first, "first")
     partly = met.join(first, ["anchor", "window"]).where(~F.struct("doc_id", "k", "start").eqNullSafe(F.col("one")))
     return copies.union(partly.select("k", F.col("start").alias("low"), F.lit(1).cast("short").alias("windows")))
 
