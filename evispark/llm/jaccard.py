@@ -5,9 +5,10 @@
 2. Each document first meets one hub of its blocks, the document whose shingles are shared most. Exact verification of
    these few pairs finds most links, and components follow.
 3. Only blocks in which components still differ go on. Every document there is a point of group counts (its shingles,
-   hashed into groups); an R-tree over a block's points bounds each overlap by summed coordinate minima, and pairs of
-   different components that it cannot rule out are verified exactly. So no link between components is lost, while pairs
-   inside a component, which can be quadratically many, are never enumerated.
+   hashed into groups); an R-tree over a block's points bounds each overlap by summed coordinate minima. First every
+   document of a smaller component meets the partner with the best bound; when what links has joined, all pairs of
+   different components that the bound cannot rule out are verified exactly. So no link between components is lost, while
+   pairs inside a component, which can be quadratically many, are never enumerated.
 """
 
 from __future__ import annotations
@@ -22,16 +23,17 @@ from pyspark.sql import functions as F
 
 from evispark.llm import shared
 from evispark.llm.components import components
-from evispark.llm.embeddings import sorted_runs
 from evispark.llm.learning import BRANCHES
 from evispark.llm.spans import keyed
-from evispark.llm.textkit import BASES, U, Words, chunks, digest, mix, prefix, signed, text_bytes
+from evispark.llm.textkit import BASES, U, Words, chunks, digest, gather, mix, prefix, signed, text_bytes
 
 WORDS = 5
 SKETCH_BITS = 20
-GROUPS = 128
+GROUPS = 512
 TILE = 2048
 LEAF = 16
+#: Blocks up to this size are one leaf: all their pairs are bounded at once.
+SMALL = 32
 #: Bits of the filter over candidate ids, which spares the shuffle the texts of most others; a full one lets all pass.
 FILTER_BITS = 24
 
@@ -161,36 +163,117 @@ def group_counts(h: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(text * GROUPS + (mix(h) & U(GROUPS - 1)).astype(np.int64), minlength=n * GROUPS).reshape(n, GROUPS)
 
 
-def open_pairs(blocks: DataFrame, threshold: Fraction) -> DataFrame:
-    """(a, b) of different components that a block's R-tree cannot rule out. blocks: (token, i, j, mine, k, n, own,
-    component, counts), a tile (i, j) of a token's documents."""
+def packed(counts: np.ndarray) -> bytes:
+    """A point as bytes, one for each group where that is enough."""
+    return counts.astype(np.uint8 if counts.max(initial=0) < 1 << 8 else np.uint32).tobytes()
+
+
+def points(column: list[bytes]) -> np.ndarray:
+    if all(len(x) == GROUPS for x in column):
+        return np.frombuffer(b"".join(column), dtype=np.uint8).reshape(-1, GROUPS)
+    return np.array([np.frombuffer(x, dtype=np.uint8 if len(x) == GROUPS else np.uint32) for x in column], dtype=np.uint32).reshape(-1, GROUPS)
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """(table, start of each run of equal keys and the end), every run whole; rows come sorted by key."""
+    held: list[pa.RecordBatch] = []
+    done = False
+    batches = iter(batches)
+    while not done:
+        batch = next(batches, None)
+        done = batch is None
+        if batch is not None and batch.num_rows:
+            held.append(batch)
+            if sum(b.num_rows for b in held) < 4000:
+                continue
+        if not held:
+            continue
+        table = pa.Table.from_batches(held)
+        cut = np.zeros(table.num_rows, dtype=bool)
+        cut[0] = True
+        for c in key:
+            x = table.column(c).to_numpy()
+            cut[1:] |= x[1:] != x[:-1]
+        at = np.flatnonzero(cut)
+        if done:
+            yield table, np.append(at, table.num_rows)
+        else:
+            held = table.slice(at[-1]).to_batches()
+            if len(at) > 1:
+                yield table.slice(0, at[-1]), at
+
+
+class Block:
+    """Columns of the rows of many blocks."""
+
+    def __init__(self, table: pa.Table):
+        self.k, self.n, self.own, self.mine, self.group, self.i, self.j = (table.column(c).to_numpy() for c in ("k", "n", "own", "mine", "component", "i", "j"))
+        self.points = points(table.column("counts").to_pylist())
+
+    def fit(self, x: np.ndarray, y: np.ndarray, threshold: Fraction) -> np.ndarray:
+        """Which pairs of rows may link, by components, tiles, sizes and roles: the smaller set must meet its partner with
+        its own part."""
+        roles = np.where(self.n[y] < self.n[x], self.own[y], np.where(self.n[y] > self.n[x], self.own[x], self.own[x] | self.own[y]))
+        tiles = (self.i[x] == self.j[x]) | (self.mine[x] != self.mine[y])
+        return (self.group[x] != self.group[y]) & roles & tiles & (np.minimum(self.n[x], self.n[y]) >= needed(self.n[x].astype(np.int64), self.n[y], threshold))
+
+    def bound(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(x), dtype=np.int64)
+        for a in range(0, len(x), 8192):
+            out[a : a + 8192] = np.minimum(self.points[x[a : a + 8192]], self.points[y[a : a + 8192]]).sum(axis=1, dtype=np.int64)
+        return out
+
+    def small(self, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All pairs of rows of the same small block."""
+        size = ends - starts
+        row = gather(starts, size)
+        after = np.repeat(ends, size) - row - 1
+        return np.repeat(row, after), gather(row + 1, after)
+
+    def large(self, a: int, b: int, threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of a large block that its R-tree cannot rule out, each from the side that is not in the largest component."""
+        tree = CountTree(self.points[a:b].astype(np.int32), self.n[a:b].astype(np.int64), threshold)
+        values, number = np.unique(self.group[a:b], return_counts=True)
+        most = values[number.argmax()]
+        one, two = [], []
+        for x in np.flatnonzero(self.group[a:b] != most):
+            y = tree.search(self.points[a + x].astype(np.int32), int(self.n[a + x]))
+            y = y[(self.group[a + y] == most) | (y > x)]
+            one.append(np.full(len(y), a + x))
+            two.append(a + y)
+        return (np.concatenate(one), np.concatenate(two)) if one else (np.zeros(0, np.int64),) * 2
+
+
+def open_pairs(blocks: DataFrame, threshold: Fraction, best: bool) -> DataFrame:
+    """(a, b) of different components that a block's bound cannot rule out; with `best`, of each document's partners in a
+    block only the one with the best bound. blocks: (token, i, j, mine, k, n, own, component, counts), a tile (i, j) of a
+    token's documents."""
     key = ["token", "i", "j"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in sorted_runs(batches, key):
-            m = run.num_rows
-            group = run.column("component").to_numpy()
-            if m < 2 or (group == group[0]).all():
-                continue
-            k, n, own, mine = (run.column(c).to_numpy() for c in ("k", "n", "own", "mine"))
-            counts = np.frombuffer(b"".join(run.column("counts").to_pylist()), dtype=np.uint32).reshape(m, GROUPS).astype(np.int32)
-            tree = CountTree(counts, n, threshold)
-            values, number = np.unique(group, return_counts=True)
-            most = values[number.argmax()]  # pairs of it with others are found from the others
-            across = run.column("i")[0].as_py() != run.column("j")[0].as_py()
-            out = []
-            for x in np.flatnonzero(group != most):
-                y = tree.search(counts[x], int(n[x]))
-                y = y[(group[y] != group[x]) & ((group[y] == most) | (k[y] > k[x]))]
-                # the smaller set must meet the block with its own part
-                y = y[np.where(n[y] < n[x], own[y], np.where(n[y] > n[x], own[x], own[x] | own[y]))]
-                if across:
-                    y = y[mine[y] != mine[x]]
-                if len(y):
-                    out.append(np.stack([np.minimum(k[x], k[y]), np.maximum(k[x], k[y])]))
-            if out:
-                a, b = np.hstack(out)
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+        for table, at in whole_runs(batches, key):
+            block = Block(table)
+            starts, ends = at[:-1], at[1:]
+            little = ends - starts <= SMALL
+            pairs = [block.small(starts[little], ends[little]), *(block.large(a, b, threshold) for a, b in zip(starts[~little], ends[~little], strict=True))]
+            x, y = (np.concatenate(p) for p in zip(*pairs, strict=True))
+            keep = block.fit(x, y, threshold)
+            x, y = x[keep], y[keep]
+            bound = block.bound(x, y)
+            need = needed(block.n[x].astype(np.int64), block.n[y], threshold)
+            keep = bound >= need
+            x, y, bound, need = x[keep], y[keep], bound[keep], need[keep]
+            if best and len(x):
+                value = np.tile(bound / need, 2)
+                order = np.lexsort((-value, np.concatenate([x, y])))
+                ends_of = np.concatenate([x, y])[order]
+                first = np.ones(len(order), dtype=bool)
+                first[1:] = ends_of[1:] != ends_of[:-1]
+                chosen = np.unique(order[first] % len(x))
+                x, y = x[chosen], y[chosen]
+            a, b = block.k[x], block.k[y]
+            found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["a", "b"])
 
     return blocks.repartition(shared.partitions(blocks.sparkSession), *key).sortWithinPartitions(*key).mapInArrow(rows, "a long, b long").distinct()
 
@@ -259,8 +342,8 @@ def _counted(texts: DataFrame) -> DataFrame:
             buf, off = text_bytes(batch.column(1))
             for a, b in chunks(off):
                 of, h = shingle_sets(buf, off[a : b + 1])
-                c = group_counts(h, np.repeat(np.arange(b - a), np.diff(of)), b - a).astype(np.uint32)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([x.tobytes() for x in c], pa.binary())], names=["k", "counts"])
+                c = group_counts(h, np.repeat(np.arange(b - a), np.diff(of)), b - a)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([packed(x) for x in c], pa.binary())], names=["k", "counts"])
 
     return texts.mapInArrow(rows, "k long, counts binary")
 
@@ -291,16 +374,13 @@ def linked(docs: DataFrame, threshold: Fraction = Fraction(4, 5), id_col: str =
     stars = shared.written(stars, "stars")
     texts = shared.written(candidate_texts(own, blocks.select("k").distinct()), "texts")
     edges.append(verified(stars, texts, threshold))
-    first = components(_union(edges))
-    named = blocks.join(first.withColumnRenamed("id", "k"), "k", "left").withColumn("component", F.coalesce("component_id", "k")).drop("component_id")
-    named = shared.written(named, "named")
-    mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("c").alias("c")).where("low <> high").select("token", F.ceil(F.col("c") / TILE).cast("int").alias("tiles"))
-    tiles = named.join(mixed, "token").withColumn("mine", F.pmod(F.xxhash64("k"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    tiles = tiles.select("token", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "k", "n", "own", "component").join(_counted(texts), "k")
-    pairs = open_pairs(tiles, threshold).join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), ["a", "b"], "left_anti")
-    pairs = shared.written(pairs, "pairs")
-    more = verified(pairs, texts, threshold)
-    groups = components(_union([first.select("id", "component_id"), more]))
+    groups = components(_union(edges))
+    counted, tested = shared.written(_counted(texts), "points"), stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    for best in (True, False):
+        tiles = _mixed_tiles(blocks, groups).join(counted, "k")
+        pairs = shared.written(open_pairs(tiles, threshold, best).join(tested, ["a", "b"], "left_anti"), "pairs")
+        groups = components(_union([groups.select("id", "component_id"), verified(pairs, texts, threshold)]))
+        tested = tested.union(pairs)
     nodes = t.join(groups.withColumnRenamed("id", "k"), "k", "left").select("k", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "k").alias("root")).distinct()
     rows = own.select("k", "doc_id").join(nodes, "k")
     least = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
@@ -308,6 +388,16 @@ def linked(docs: DataFrame, threshold: Fraction = Fraction(4, 5), id_col: str =
     return rows.join(least, "root").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def _mixed_tiles(blocks: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows of blocks whose documents lie in different components, large blocks in tiles."""
+    named = blocks.join(groups.withColumnRenamed("id", "k"), "k", "left").withColumn("component", F.coalesce("component_id", "k")).drop("component_id")
+    named = shared.written(named, "named")
+    mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("c").alias("c")).where("low <> high").select("token", F.ceil(F.col("c") / TILE).cast("int").alias("tiles"))
+    mixed = shared.written(mixed, "mixed")
+    tiles = named.join(mixed, "token").withColumn("mine", F.pmod(F.xxhash64("k"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    return tiles.select("token", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "k", "n", "own", "component")
+
+
 def needed_column(a, b, threshold: Fraction):
     up, down = threshold.numerator, threshold.numerator + threshold.denominator
     return F.ceil((a + b) * up / down)
