@@ -1,18 +1,24 @@
 """License scans by canonical digests: texts and their lines are normalised as a whole and looked up by hash join.
 
-All of it is DataFrame functions: lower case, copyright lines out, equivalent spellings to one, runs of marks and white
-space to single spaces, SHA-256. The known texts are a table like any other; the built-in one has a few dozen rows.
+Canonical form: lower case, copyright lines out, runs of marks and white space to single spaces, equivalent spellings to
+one. A text is normalised by byte tables and splits, line by line; the patterns for spellings run only on texts that hold
+one of their stems. The known texts are a table like any other; the built-in one has a few dozen rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evispark.llm import shared
+
 # Patterns of the canonical form, in the order they are applied, in a syntax that Java, RE2 and Python share.
+COPYRIGHT_STARTS = ("copyright", "(c)", "©")
 COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
 MARKS = r"[\x00-/:-@\[-`{-\x7f‘’“”–—•]+"
 SPELLINGS = (
@@ -23,6 +29,8 @@ SPELLINGS = (
     (r"\bcopyright owner(s)?\b", r"copyright holder\1"),
     (r"\bnon commercial\b", r"noncommercial"),
 )
+STEMS = ("licenc", "authoris", "organis", "recognis", "realis", "utilis", "initialis", "favour", "behaviour", "colour", "honour", "acknowledgement", "copyright owner", "non commercial")
+WIDE_MARKS = "‘’“”–—•"
 
 # Known notices and licence texts by identifier.
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -83,28 +91,44 @@ KNOWN = (
 BROADCAST_ROWS = 10_000
 
 
-def canonical(text: Column) -> Column:
-    """Canonical form of a text; null stays null."""
-    out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "\n")
-    out = F.regexp_replace(out, MARKS, " ")
-    for pattern, spelling in SPELLINGS:
-        out = F.regexp_replace(out, pattern, re.sub(r"\\(\d)", r"$\1", spelling))
-    return F.trim(out)
+_TO_SPACE = bytes(b if b >= 0x80 or b == 0x0A or chr(b).isalnum() else 0x20 for b in range(256))
+_STARTS = tuple(x.encode() for x in COPYRIGHT_STARTS)
+_STEMS = tuple(x.encode() for x in STEMS)
+_WIDE = tuple(x.encode() for x in WIDE_MARKS)
+_SPELLINGS = tuple((re.compile(p.encode()), s.encode()) for p, s in SPELLINGS)
+
+
+def _spelled(text: bytes) -> bytes:
+    if any(stem in text for stem in _STEMS):
+        for pattern, spelling in _SPELLINGS:
+            text = pattern.sub(spelling, text)
+    return text
+
+
+def canonical_lines(text: str) -> list[bytes]:
+    """Every line without marks, spaces single, spellings as they are; copyright lines are empty."""
+    raw = text.lower().encode("utf-8", "surrogatepass")
+    plain = raw
+    if b"\xe2\x80" in plain:
+        for mark in _WIDE:
+            plain = plain.replace(mark, b" ")
+    lines = [b" ".join(line.split()) for line in plain.translate(_TO_SPACE).split(b"\n")]
+    if any(x in raw for x in _STARTS):
+        starts = [line.lstrip(b" \t").startswith(_STARTS) for line in raw.split(b"\n")]
+        lines = [b"" if own else line for line, own in zip(lines, starts, strict=True)]
+    return lines
 
 
-def canonical_text(text: str) -> str:
-    """The same for one text of the table of known licences."""
-    out = re.sub(MARKS, " ", re.sub(COPYRIGHT_LINE, "\n", text.lower()))
-    for pattern, spelling in SPELLINGS:
-        out = re.sub(pattern, lambda m, s=spelling: re.sub(r"\\(\d)", lambda g: m[int(g[1])] or "", s), out, flags=re.ASCII)
-    return out.strip(" ")
+def canonical(lines: list[bytes]) -> bytes:
+    """Canonical form of a whole text from its lines."""
+    return _spelled(b" ".join(filter(None, lines)))
 
 
 def known_digests(known=KNOWN) -> list[tuple[str, str]]:
     """Distinct (digest, license_id), of equal canonical texts the first."""
     out: dict[str, str] = {}
     for name, text in known:
-        out.setdefault(hashlib.sha256(canonical_text(text).encode()).hexdigest(), name)
+        out.setdefault(hashlib.sha256(canonical(canonical_lines(text))).hexdigest(), name)
     return list(out.items())
 
 
@@ -124,16 +148,29 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
     known = known.where(F.col("digest") != hashlib.sha256(b"").hexdigest())
     if known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         known = F.broadcast(known)
-    source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    digest = lambda c: F.sha2(canonical(c), 256)
-    line = F.explode(F.split(F.col("text"), "\n", -1))
-    key = F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text")
-    found = source.select(key.alias("k"), "doc_id", line.alias("line")).select("k", digest(F.col("line")).alias("digest")).join(known, "digest")
-    lines = found.groupBy("k", "license_id").agg(F.count("*").alias("n")).groupBy("k").agg(F.sum("n").alias("n"), F.array_join(F.array_sort(F.collect_list("license_id")), ",").alias("line_licenses"))
+    shared.tune(docs.sparkSession)
+    kind = dict(docs.dtypes)[id_col]
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole, each = [], []
+            for text in batch.column(2):
+                if not text.is_valid:
+                    whole.append(None), each.append([])
+                    continue
+                lines = canonical_lines(text.as_py())
+                whole.append(hashlib.sha256(canonical(lines)).hexdigest())
+                each.append([hashlib.sha256(_spelled(x)).digest() for x in lines if x])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(whole, pa.string()), pa.array(each, pa.list_(pa.binary()))], names=["k", "doc_id", "digest", "lines"])
+
+    source = docs.select(shared.row_key(id_col, text_col).alias("k"), F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    hashed = shared.written(source.mapInArrow(digests, f"k long, doc_id {kind}, digest string, lines array<binary>"), "digests")
+    line = hashed.select("k", F.explode("lines").alias("line")).join(known.select(F.unhex("digest").alias("line"), "license_id"), "line")
+    lines = line.groupBy("k", "license_id").agg(F.count("*").alias("n")).groupBy("k").agg(F.sum("n").alias("n"), F.array_join(F.array_sort(F.collect_list("license_id")), ",").alias("line_licenses"))
     # equal rows share k and were counted together
-    equal = source.select(key.alias("k")).join(lines, "k", "left_semi").groupBy("k").agg(F.count("*").alias("rows"))
+    equal = hashed.select("k").join(lines, "k", "left_semi").groupBy("k").agg(F.count("*").alias("rows"))
     lines = lines.join(equal, "k").select("k", F.expr("n div rows").alias("n_license_lines"), "line_licenses")
-    whole = source.select(key.alias("k"), "doc_id", digest(F.col("text")).alias("digest")).join(known, "digest", "left")
+    whole = hashed.select("k", "doc_id", "digest").join(known, "digest", "left")
     return whole.join(lines, "k", "left").select("doc_id", "digest", "license_id", F.coalesce("n_license_lines", F.lit(0)).alias("n_license_lines"), F.coalesce("line_licenses", F.lit("")).alias("line_licenses"))
 
 
