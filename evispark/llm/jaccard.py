@@ -34,6 +34,8 @@ TILE = 2048
 LEAF = 16
 #: Blocks up to this size are one leaf: all their pairs are bounded at once.
 SMALL = 32
+#: Pairs that a task holds at once.
+PORTION = 200_000
 #: Bits of the filter over candidate ids, which spares the shuffle the texts of most others; a full one lets all pass.
 FILTER_BITS = 24
 
@@ -143,20 +145,22 @@ class CountTree:
             top, low, high = np.maximum.reduceat(top, cut), np.minimum.reduceat(low, cut), np.maximum.reduceat(high, cut)
             self.levels.append((top, low, high))
 
-    def _open(self, q: np.ndarray, n: int, top: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """Which boxes may hold a partner: the overlap is at most the sum of coordinate minima, and at most either size."""
+    def _open(self, q: np.ndarray, n: int, top: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which boxes may hold a partner, and by what bound: the overlap is at most the sum of coordinate minima, and at
+        most either size."""
         best = np.minimum(np.minimum(top, q).sum(axis=1, dtype=np.int64), np.minimum(high, n))
-        return best >= needed(n, np.maximum(low, 0), self.threshold)
+        return best >= needed(n, low, self.threshold), best
 
-    def search(self, q: np.ndarray, n: int) -> np.ndarray:
+    def search(self, q: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(points that may link, bounds of their overlaps)."""
         at = np.arange(len(self.levels[-1][0]) if self.levels else len(self.order))
         for depth in range(len(self.levels) - 1, -1, -1):
             top, low, high = self.levels[depth]
-            at = at[self._open(q, n, top[at], low[at], high[at])]
+            at = at[self._open(q, n, top[at], low[at], high[at])[0]]
             at = (at[:, None] * LEAF + np.arange(LEAF)).ravel()
             at = at[at < (len(self.levels[depth - 1][0]) if depth else len(self.order))]
-        at = at[self._open(q, n, self.counts[at], self.sizes[at], self.sizes[at])]
-        return self.order[at]
+        fits, best = self._open(q, n, self.counts[at], self.sizes[at], self.sizes[at])
+        return self.order[at[fits]], best[fits]
 
 
 def group_counts(h: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
@@ -230,18 +234,29 @@ class Block:
         after = np.repeat(ends, size) - row - 1
         return np.repeat(row, after), gather(row + 1, after)
 
-    def large(self, a: int, b: int, threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of a large block that its R-tree cannot rule out, each from the side that is not in the largest component."""
-        tree = CountTree(self.points[a:b].astype(np.int32), self.n[a:b].astype(np.int64), threshold)
+    def large(self, a: int, b: int, threshold: Fraction, best: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of a large block that its R-tree cannot rule out, each from the side that is not in the largest component,
+        in portions; with `best` the best one of each such row."""
+        tree = CountTree(self.points[a:b], self.n[a:b].astype(np.int64), threshold)
         values, number = np.unique(self.group[a:b], return_counts=True)
         most = values[number.argmax()]
-        one, two = [], []
+        one, two, held = [], [], 0
         for x in np.flatnonzero(self.group[a:b] != most):
-            y = tree.search(self.points[a + x].astype(np.int32), int(self.n[a + x]))
-            y = y[(self.group[a + y] == most) | (y > x)]
+            y, bound = tree.search(self.points[a + x], int(self.n[a + x]))
+            other = self.fit(np.full(len(y), a + x), a + y, threshold)
+            if best:
+                y, bound = y[other], bound[other]
+                y = y[[np.argmax(bound / needed(int(self.n[a + x]), self.n[a + y].astype(np.int64), threshold))]] if len(y) else y
+            else:
+                y = y[other & ((self.group[a + y] == most) | (y > x))]
             one.append(np.full(len(y), a + x))
             two.append(a + y)
-        return (np.concatenate(one), np.concatenate(two)) if one else (np.zeros(0, np.int64),) * 2
+            held += len(y)
+            if held > PORTION:
+                yield np.concatenate(one), np.concatenate(two)
+                one, two, held = [], [], 0
+        if held:
+            yield np.concatenate(one), np.concatenate(two)
 
 
 def open_pairs(blocks: DataFrame, threshold: Fraction, best: bool) -> DataFrame:
@@ -250,30 +265,33 @@ def open_pairs(blocks: DataFrame, threshold: Fraction, best: bool) -> DataFrame:
     token's documents."""
     key = ["token", "i", "j"]
 
+    def portions(block: Block, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        starts, ends = at[:-1], at[1:]
+        little = ends - starts <= SMALL
+        x, y = block.small(starts[little], ends[little])
+        keep = block.fit(x, y, threshold)
+        x, y = x[keep], y[keep]
+        bound, need = block.bound(x, y), needed(block.n[x].astype(np.int64), block.n[y], threshold)
+        keep = bound >= need
+        x, y, value = x[keep], y[keep], (bound / np.maximum(need, 1))[keep]
+        if best and len(x):
+            both = np.concatenate([x, y])
+            order = np.lexsort((-np.tile(value, 2), both))
+            first = np.ones(len(order), dtype=bool)
+            first[1:] = both[order][1:] != both[order][:-1]
+            chosen = np.unique(order[first] % len(x))
+            x, y = x[chosen], y[chosen]
+        yield x, y
+        for a, b in zip(starts[~little], ends[~little], strict=True):
+            yield from block.large(a, b, threshold, best)
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, at in whole_runs(batches, key):
             block = Block(table)
-            starts, ends = at[:-1], at[1:]
-            little = ends - starts <= SMALL
-            pairs = [block.small(starts[little], ends[little]), *(block.large(a, b, threshold) for a, b in zip(starts[~little], ends[~little], strict=True))]
-            x, y = (np.concatenate(p) for p in zip(*pairs, strict=True))
-            keep = block.fit(x, y, threshold)
-            x, y = x[keep], y[keep]
-            bound = block.bound(x, y)
-            need = needed(block.n[x].astype(np.int64), block.n[y], threshold)
-            keep = bound >= need
-            x, y, bound, need = x[keep], y[keep], bound[keep], need[keep]
-            if best and len(x):
-                value = np.tile(bound / need, 2)
-                order = np.lexsort((-value, np.concatenate([x, y])))
-                ends_of = np.concatenate([x, y])[order]
-                first = np.ones(len(order), dtype=bool)
-                first[1:] = ends_of[1:] != ends_of[:-1]
-                chosen = np.unique(order[first] % len(x))
-                x, y = x[chosen], y[chosen]
-            a, b = block.k[x], block.k[y]
-            found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["a", "b"])
+            for x, y in portions(block, at):
+                a, b = block.k[x], block.k[y]
+                found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["a", "b"])
 
     return blocks.repartition(shared.partitions(blocks.sparkSession), *key).sortWithinPartitions(*key).mapInArrow(rows, "a long, b long").distinct()
 
@@ -376,11 +394,16 @@ def linked(docs: DataFrame, threshold: Fraction = Fraction(4, 5), id_col: str =
     edges.append(verified(stars, texts, threshold))
     groups = components(_union(edges))
     counted, tested = shared.written(_counted(texts), "points"), stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    mixed = _mixed(blocks, groups, "k", "token", "n", "own", "c")
+    # each document's most common and rarest mixed block
+    ends = mixed.groupBy("k").agg(F.max(F.struct("c", "token")).alias("high"), F.min(F.struct("c", "token")).alias("low"))
+    ends = ends.select("k", F.explode(F.array_distinct(F.array("high.token", "low.token"))).alias("token"))
     for best in (True, False):
-        tiles = _mixed_tiles(blocks, groups).join(counted, "k")
-        pairs = shared.written(open_pairs(tiles, threshold, best).join(tested, ["a", "b"], "left_anti"), "pairs")
+        rows = _comparable(_tiles(mixed.join(ends, ["k", "token"], "left_semi") if best else mixed), threshold)
+        pairs = shared.written(open_pairs(rows.join(counted, "k"), threshold, best).join(tested, ["a", "b"], "left_anti"), "pairs")
         groups = components(_union([groups.select("id", "component_id"), verified(pairs, texts, threshold)]))
-        tested = tested.union(pairs)
+        if best:
+            tested, mixed = tested.union(pairs), _mixed(mixed.drop("component"), groups, "k", "token", "n", "own", "c")
     nodes = t.join(groups.withColumnRenamed("id", "k"), "k", "left").select("k", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "k").alias("root")).distinct()
     rows = own.select("k", "doc_id").join(nodes, "k")
     least = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
@@ -388,14 +411,37 @@ def linked(docs: DataFrame, threshold: Fraction = Fraction(4, 5), id_col: str =
     return rows.join(least, "root").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _mixed_tiles(blocks: DataFrame, groups: DataFrame) -> DataFrame:
-    """Rows of blocks whose documents lie in different components, large blocks in tiles."""
-    named = blocks.join(groups.withColumnRenamed("id", "k"), "k", "left").withColumn("component", F.coalesce("component_id", "k")).drop("component_id")
+def _mixed(blocks: DataFrame, groups: DataFrame, *columns: str) -> DataFrame:
+    """Rows of blocks whose documents lie in different components, with these."""
+    named = blocks.select(*columns).join(groups.withColumnRenamed("id", "k"), "k", "left").withColumn("component", F.coalesce("component_id", "k")).drop("component_id")
     named = shared.written(named, "named")
-    mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("c").alias("c")).where("low <> high").select("token", F.ceil(F.col("c") / TILE).cast("int").alias("tiles"))
-    mixed = shared.written(mixed, "mixed")
-    tiles = named.join(mixed, "token").withColumn("mine", F.pmod(F.xxhash64("k"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    return tiles.select("token", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "k", "n", "own", "component")
+    mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
+    return shared.written(named.join(shared.written(mixed, "mixed"), "token", "left_semi"), "open")
+
+
+def _tiles(blocks: DataFrame) -> DataFrame:
+    """Rows (token, i, j, mine, k, n, own, component): large blocks in tiles, each row in all tiles of its part."""
+    tiles = F.ceil(F.col("c") / TILE).cast("int")
+    cut = blocks.withColumn("tiles", tiles).withColumn("mine", F.pmod(F.xxhash64("k"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    return cut.select("token", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "k", "n", "own", "component")
+
+
+def _comparable(tiles: DataFrame, threshold: Fraction) -> DataFrame:
+    """Only rows that have a partner of another component and of a fitting size in their tile."""
+    key = ["token", "i", "j"]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, at in whole_runs(batches, key):
+            n, group = table.column("n").to_numpy().astype(np.int64), table.column("component").to_numpy()
+            run = np.repeat(np.arange(len(at) - 1), np.diff(at))
+            # sizes lie within (t n, n / t); runs are sorted by size, so partners are neighbours
+            place = run * (int(n.max()) * 4 + 4) + n * 1.0
+            low = np.searchsorted(place, place - n + np.floor(n * float(threshold)), side="left")
+            high = np.searchsorted(place, place - n + np.ceil(n / float(threshold)), side="right")
+            change = np.concatenate([[0], np.cumsum(group[1:] != group[:-1])])
+            yield from table.filter(pa.array(change[high - 1] > change[low])).to_batches()
+
+    return tiles.repartition(shared.partitions(tiles.sparkSession), *key).sortWithinPartitions(*key, "n").mapInArrow(rows, shared.ddl(tiles.schema))
 
 
 def needed_column(a, b, threshold: Fraction):
