@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import posixpath
 import re
 from urllib.parse import quote, unquote
 
 from evispark.functions import patterns
+from evispark.functions.html import span_table
 from evispark.functions.requests import request_numbers, unapproved_requests
 from evispark.functions.text import claim_numbers, local_citations, path_slug, prose_numbers, qualified_citations
 
@@ -24,6 +26,24 @@ def escape_cell(value: str | None) -> str:
     return (value or "").replace("\\", "\\\\").replace("|", "\\|").replace("\n", "<br>")
 
 
+def pipe_table(rows: list[list[str]]) -> str:
+    line = lambda row: "| " + " | ".join(map(escape_cell, row)) + " |"
+    return "\n".join([line(rows[0]), "| " + " | ".join("---" for _ in rows[0]) + " |", *map(line, rows[1:])]) if rows else ""
+
+
+def table_markup(raw: str | None) -> str | None:
+    """A table (JSON of rows, columns and origin cells) as a pipe table, or as HTML where a cell spans others."""
+    if not raw:
+        return None
+    t = json.loads(raw)
+    if t["rows"] <= 0 or t["columns"] <= 0:
+        return ""
+    if any(c["row_span"] > 1 or c["column_span"] > 1 for c in t["cells"]):
+        return span_table(t["rows"], t["columns"], t["cells"])
+    text = {(c["row"], c["column"]): c["text"] for c in t["cells"]}
+    return pipe_table([[text.get((y, x)) or "" for x in range(t["columns"])] for y in range(t["rows"])])
+
+
 def states(text: str) -> list[tuple[str, bool, bool]]:
     """(line, inside a code fence or one itself, inside an HTML comment) for every line."""
     out, fenced, comment = [], False, False

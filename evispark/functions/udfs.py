@@ -52,6 +52,7 @@ KERNELS: dict[str, tuple[Callable, str]] = {
     "clean_table": (html.clean_table, "string"),
     "cell_tokens_table": (html.cell_tokens_table, "string"),
     "table_rows": (html.table_rows, "array<array<array<string>>>"),
+    "table_markup": (markdown.table_markup, "string"),
     "anchors": (markdown.anchors, "array<string>"),
     "links": (markdown.links, "array<struct<kind:string,target:string,fragment:string>>"),
     "without_images": (markdown.without_images, "string"),
