@@ -12,7 +12,7 @@ from evispark import views
 from evispark.functions import columns as C
 from evispark.functions.udfs import call
 from evispark.operators import blocks as B
-from evispark.operators import checks, chunks, decisions, geometry, graph, links, topics
+from evispark.operators import artifacts, checks, chunks, decisions, geometry, graph, links, topics
 from evispark.plans import publish, stages
 from evispark.streaming import ingest
 from evispark.views import SLIDE_HEIGHT, SLIDE_WIDTH, table
@@ -508,3 +508,114 @@ def stream_dedupe(spark, sf):
     out, mark = f"stream-{name}", f"mark-{name}"
     ingest.run_once(with_time, f"{base}/{out}", f"{base}/{mark}")
     return spark.read.parquet(f"{base}/{out}").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type", "value")
+
+
+# ---- artifacts, checks and pages
+
+
+@query(f"""WITH {DOC} SELECT 'content-digest' AS check_code, 'error' AS severity, citation AS key, CAST(NULL AS VARCHAR) AS detail FROM doc WHERE rank % 50 = 3
+UNION ALL SELECT 'citation-mismatch', 'error', citation, NULL FROM doc WHERE rank % 50 = 4""")
+def provenance_violations(spark, sf):
+    """Blocks of which some have another digest or another element than their citation says."""
+    b = views.blocks_doc(spark, sf)
+    b = b.withColumn("content_sha256", F.when(F.col("rank") % 50 == 3, F.lit("0")).otherwise(F.col("content_sha256")))
+    return artifacts.provenance(b.withColumn("element_id", F.when(F.col("rank") % 50 == 4, F.lit("other")).otherwise(F.col("element_id"))))
+
+
+@query("""WITH e AS (SELECT o_orderkey AS slide_number, o_custkey AS id, CASE WHEN o_custkey % 2 = 0 THEN 'image' ELSE 'text' END AS kind FROM orders)
+SELECT 'raster-table-boundary-unverified' AS check_code, 'warning' AS severity, slide_number || '/t' AS key, CAST(NULL AS VARCHAR) AS detail FROM e WHERE kind = 'image'""")
+def raster_table_warnings(spark, sf):
+    o = table(spark, sf, "orders")
+    parent = o.select(F.col("o_orderkey").alias("slide_number"), F.col("o_custkey").cast("string").alias("element_id"), F.when(F.col("o_custkey") % 2 == 0, "image").otherwise("text").alias("kind"), F.lit("native").alias("source"), F.lit(None).cast("string").alias("parent_id"))
+    child = o.select(F.col("o_orderkey").alias("slide_number"), F.lit("t").alias("element_id"), F.lit("table").alias("kind"), F.lit("ocr").alias("source"), F.col("o_custkey").cast("string").alias("parent_id"))
+    return checks.raster_tables(parent.union(child))
+
+
+@query("""SELECT 'invalid-table-cell' AS check_code, 'error' AS severity, l_orderkey || '/0' AS key, CAST(NULL AS VARCHAR) AS detail FROM (SELECT DISTINCT l_orderkey FROM lineitem) WHERE l_orderkey % 4 = 3
+UNION ALL SELECT 'invalid-table-span', 'error', l_orderkey || '/0', NULL FROM (SELECT DISTINCT l_orderkey FROM lineitem) WHERE l_orderkey % 4 = 2""")
+def table_violations(spark, sf):
+    """A table for each order with one cell at row order % 4 that spans two rows of three."""
+    cell = F.struct((F.col("l_orderkey") % 4).cast("int").alias("row"), F.lit(0).alias("column"), F.lit(2).alias("row_span"), F.lit(1).alias("column_span"), F.lit(True).alias("is_merge_origin"))
+    t = table(spark, sf, "lineitem").select("l_orderkey").distinct().select(F.col("l_orderkey").alias("table_id"), F.lit(3).alias("rows"), F.lit(2).alias("columns"), F.array(cell).alias("cells"))
+    return checks.table_checks(t)
+
+
+@query("""SELECT l_orderkey AS page, unnest(['text', 'table']) AS kind, unnest([CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR)]) AS text, unnest([0, 1]) AS ord FROM lineitem""")
+def reader_payload_blocks(spark, sf):
+    """Payloads of a reader, a text and a table for each order line, as block rows."""
+    from evispark.operators import readers
+
+    row = F.concat(F.lit("<table><tr><td>"), F.col("l_partkey").cast("string"), F.lit("</td></tr></table>"))
+    payload = F.to_json(F.struct(F.array(F.struct(F.lit("text").alias("kind"), F.col("l_linenumber").cast("string").alias("text")), F.struct(F.lit("table").alias("kind"), row.alias("text"))).alias("blocks")))
+    t = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("page"), payload.alias("payload"))
+    return readers.read_payloads(t).select("page", "kind", "text", "ord")
+
+
+@query("""SELECT 'index.md' AS path, '---' || chr(10) || 'title: "Nations"' || chr(10) || 'description: "Nations"' || chr(10) || 'tags: ["index"]' || chr(10) || '---' || chr(10) || chr(10) || '# Nations' || chr(10) || chr(10)
+|| '## Nations' || chr(10) || chr(10) || string_agg('- [[nations/' || n_nationkey || '|' || n_name || ']]', chr(10) ORDER BY lower(n_name)) || chr(10) AS body FROM nation""")
+def index_page(spark, sf):
+    return publish.index_page("Nations", {"Nations": table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("title"))})
+
+
+@query("""WITH x AS (SELECT s_nationkey AS id, list_sort(list(CAST(s_suppkey AS VARCHAR))) AS stored FROM supplier GROUP BY 1)
+SELECT 'source-lineage' AS check_code, 'error' AS severity, CAST(id AS VARCHAR) AS key, CAST(NULL AS VARCHAR) AS detail FROM x WHERE len(stored) > 1""")
+def array_lineage(spark, sf):
+    """Nations whose stored suppliers, the first alone, are not the derived ones."""
+    s = table(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("id")).agg(F.array_sort(F.collect_list(F.col("s_suppkey").cast("string"))).alias("derived"))
+    return checks.array_checks(s.withColumn("stored", F.slice("derived", 1, 1)), "id", "stored", "derived", "source-lineage")
+
+
+@query("""SELECT 'not-derivable' AS check_code, 'error' AS severity, CAST(doc_id AS VARCHAR) AS key, CAST(NULL AS VARCHAR) AS detail FROM documents WHERE doc_id % 40 = 1
+UNION ALL SELECT 'not-stored', 'error', CAST(doc_id AS VARCHAR), NULL FROM documents WHERE doc_id % 40 = 1""")
+def lineage_reconcile(spark, sf):
+    d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), C.sha256(F.col("text")).alias("sha256"))
+    return checks.changed_rows(d.withColumn("sha256", F.when(F.col("id").cast("long") % 40 == 1, F.lit("x")).otherwise(F.col("sha256"))), d, "id")
+
+
+@query("""SELECT CAST(page_id AS VARCHAR) AS path, 'dangling-link' AS check_code, 'gone' AS target, CAST(NULL AS VARCHAR) AS fragment FROM pages WHERE page_id % 3 = 0
+UNION ALL SELECT CAST(page_id AS VARCHAR), 'dangling-fragment', CAST(page_id AS VARCHAR), 'lost' FROM pages WHERE page_id % 3 = 1""")
+def site_link_violations(spark, sf):
+    """Pages that link to a page that isn't there, to an anchor that isn't there, or to their own heading."""
+    p = F.col("page_id").cast("string")
+    body = F.when(F.col("page_id") % 3 == 0, F.lit("[[gone]]")).when(F.col("page_id") % 3 == 1, F.concat(F.lit("[["), p, F.lit("#lost]]"))).otherwise(F.concat(F.lit("# Top part\n[["), p, F.lit("#top-part]]")))
+    return links.tree_violations(table(spark, sf, "pages").select(p.alias("path"), body.alias("body")))
+
+
+@query("""SELECT doc_id AS page_id, CASE WHEN doc_id % 3 = 0 THEN 'borrowed-number' END AS check_code, CASE WHEN doc_id % 3 = 0 THEN '77' END AS detail FROM documents WHERE doc_id % 3 = 0""")
+def line_grounding(spark, sf):
+    """A line for each document that claims a number; every third one cites evidence that has another."""
+    d = table(spark, sf, "documents")
+    lines = d.select(F.col("doc_id").alias("page_id"), F.lit(1).alias("line_no"), F.concat(F.lit("It has 77 [slide-"), (F.col("doc_id") % 3 + 1).cast("string"), F.lit("#e]")).alias("line"))
+    facts = spark.createDataFrame([("[slide-1#e]", "40"), ("[slide-2#e]", "77"), ("[slide-3#e]", "77")], "citation string, number string")
+    return checks.line_grounding(lines, facts).select(F.substring_index("key", "/", 1).cast("long").alias("page_id"), "check_code", "detail")
+
+
+@query("""SELECT doc_id, list_filter(CASE WHEN doc_id % 4 = 0 THEN ['no-citation:', 'number:9', 'uncited-line:1'] WHEN doc_id % 4 = 1 THEN ['number:9'] WHEN doc_id % 4 = 2 THEN ['unknown-citation:[slide-2#z]'] ELSE [] END, lambda x: true) AS errors FROM documents""")
+def grounding_errors(spark, sf):
+    d = table(spark, sf, "documents")
+    body = F.when(F.col("doc_id") % 4 == 0, "it is 9").when(F.col("doc_id") % 4 == 1, "it is 9 [slide-1#e]").when(F.col("doc_id") % 4 == 2, "it is 8 [slide-1#e] [slide-2#z]").otherwise("# Head 8\nit is 8 [slide-1#e]")
+    return d.select("doc_id", call("grounding_errors", body, F.array(F.lit("[slide-1#e]")), F.lit("8 units")).alias("errors"))
+
+
+@query("""SELECT n_nationkey AS id, '<table>' || chr(10) || '  <tr>' || chr(10) || '    <th colspan="2">' || n_name || '</th>' || chr(10) || '  </tr>' || chr(10) || '  <tr>' || chr(10) || '    <td>' || n_regionkey || '</td>' || chr(10) || '    <td></td>' || chr(10) || '  </tr>' || chr(10) || '</table>' AS html FROM nation""")
+def span_tables(spark, sf):
+    cell = lambda r, c, t, w: F.struct(F.lit(r).alias("row"), F.lit(c).alias("column"), t.alias("text"), F.lit(1).alias("row_span"), F.lit(w).alias("column_span"))
+    raw = F.to_json(F.struct(F.lit(2).alias("rows"), F.lit(2).alias("columns"), F.array(cell(0, 0, F.col("n_name"), 2), cell(1, 0, F.col("n_regionkey").cast("string"), 1)).alias("cells")))
+    return table(spark, sf, "nation").select(F.col("n_nationkey").alias("id"), call("table_markup", raw).alias("html"))
+
+
+@query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+def stream_counts(spark, sf):
+    """Counts of a stream that ends, written batch by batch."""
+    base, name = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir"), uuid.uuid4().hex
+    ingest.each_batch(ingest.event_stream(spark, sf).select("event_id", "event_type"), _append(f"{base}/batches-{name}"), f"{base}/marks-{name}")
+    return spark.read.parquet(f"{base}/batches-{name}").groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+def _append(path: str):
+    """A batch written under its number: one that is tried again replaces itself."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return write
