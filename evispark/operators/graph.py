@@ -26,17 +26,20 @@ def predicate_kinds(spark) -> DataFrame:
     return spark.createDataFrame([(p, k, i) for p, kinds in OBJECT_KINDS.items() for i, k in enumerate(kinds)], "predicate string, kind string, preference int")
 
 
-def contained(texts: DataFrame, names: DataFrame, word: str = r"[^\x20\x09-\x0D]+") -> DataFrame:
-    """(text_id, name_id): names that a text holds as a sequence of its words. texts: (text_id, text); names: (name_id, name).
+def contained(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """(text_id, name_id): names that a text holds as a run of its words, case apart. texts: (text_id, text); names:
+    (name_id, name).
 
-    Instead of testing each name in each text, the first words of names meet the words of texts in an equi-join, and only
+    Instead of testing each name in each text, each name's longest word meets the words of texts in an equi-join, and only
     those pairs are tested, so the work grows with what they share.
     """
-    first = F.lower(F.regexp_extract("name", word, 0))
-    keyed = names.where(F.trim("name") != "").select("name_id", "name", first.alias("w"))
-    split = texts.select("text_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(f"({word})"), 1))).alias("w"))
-    near = split.join(keyed, "w").select("text_id", "name_id", "name")
-    return near.join(texts, "text_id").where(F.contains(F.lower("text"), F.lower("name"))).select("text_id", "name_id").distinct()
+    spaced = lambda c: F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(c), r"[\x20\x09-\x0D]+", " ")), F.lit(" "))
+    words = lambda c: F.filter(F.split(c, " "), lambda w: w != "")
+    longest = F.array_max(F.transform(words(F.col("n")), lambda w: F.struct(F.length(w).alias("size"), w.alias("word"))))["word"]
+    keyed = names.select("name_id", spaced(F.col("name")).alias("n")).where(F.trim("n") != "").withColumn("word", longest)
+    clean = texts.select("text_id", spaced(F.col("text")).alias("t"))
+    near = clean.select("text_id", F.explode(F.array_distinct(words(F.col("t")))).alias("word")).join(keyed, "word").select("text_id", "name_id", "n")
+    return near.join(clean, "text_id").where(F.contains("t", "n")).select("text_id", "name_id").distinct()
 
 
 def entity_id(kind: Column, name: Column, slug: Column) -> Column:

@@ -20,8 +20,8 @@ from evispark.views import SLIDE_HEIGHT, SLIDE_WIDTH, table
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
-DOC = """doc AS (SELECT source AS source_id, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) AS INTEGER) AS slide_number, lang AS slide_title,
-'doc-' || doc_id AS element_id, text AS content, doc_id AS rank, '[slide-' || row_number() OVER (PARTITION BY source ORDER BY doc_id) || '#doc-' || doc_id || ']' AS citation FROM documents)"""
+DOC = """doc AS (SELECT source || '-' || (doc_id // 1000) AS source_id, doc_id + 1 AS slide_number, lang AS slide_title,
+'doc-' || doc_id AS element_id, text AS content, doc_id AS rank, '[slide-' || (doc_id + 1) || '#doc-' || doc_id || ']' AS citation FROM documents)"""
 GEO = """geo AS (SELECT l_orderkey AS slide_number, CAST(l_linenumber AS INTEGER) AS element_id, CASE WHEN l_linenumber % 2 = 1 THEN 'native' ELSE 'ocr' END AS source,
 (l_partkey * 37) % 9000 * 1000 AS x, (l_suppkey * 91) % 5000 * 1000 AS y, CAST(1000000 + l_linenumber * 400000 AS BIGINT) AS width, CAST(600000 + l_linenumber * 300000 AS BIGINT) AS height,
 CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS text FROM lineitem)"""
@@ -65,7 +65,7 @@ def block_content_digest(spark, sf):
 @query(f"WITH {DOC} SELECT source_id, citation, '[@' || source_id || '/slide-' || slide_number || '#' || element_id || ']' AS qualified, slide_number, element_id FROM doc")
 def citation_build_and_parse(spark, sf):
     q = views.blocks_doc(spark, sf).select("source_id", "citation", C.qualified(F.col("source_id"), F.col("citation")).alias("qualified"))
-    return q.withColumn("p", C.citation_parts(F.col("qualified"))).select("source_id", "citation", "qualified", F.col("p.slide").alias("slide_number"), F.col("p.element").alias("element_id"))
+    return q.withColumn("p", C.citation_parts(F.col("qualified"))).select("source_id", "citation", "qualified", F.col("p.slide").cast("long").alias("slide_number"), F.col("p.element").alias("element_id"))
 
 
 @query("""SELECT CAST(l_orderkey AS BIGINT) AS slide_number, CAST(l_linenumber AS INTEGER) AS element_id, CAST(row_number() OVER (PARTITION BY l_orderkey
@@ -84,10 +84,10 @@ def reading_order(spark, sf):
     return B.reading_order(geo, ["slide_number"]).select("slide_number", "element_id", "reading_order")
 
 
-@query("""SELECT source AS source_id, 'e' || (doc_id % 7) AS base, doc_id, CASE WHEN row_number() OVER w = 1 THEN 'e' || (doc_id % 7) ELSE 'e' || (doc_id % 7) || '--' || row_number() OVER w END AS unique_id
-FROM documents WINDOW w AS (PARTITION BY source, doc_id % 7 ORDER BY doc_id)""")
+@query("""SELECT source || '-' || (doc_id // 1000) AS source_id, 'e' || (doc_id % 7) AS base, doc_id, CASE WHEN row_number() OVER w = 1 THEN 'e' || (doc_id % 7) ELSE 'e' || (doc_id % 7) || '--' || row_number() OVER w END AS unique_id
+FROM documents WINDOW w AS (PARTITION BY source, doc_id // 1000, doc_id % 7 ORDER BY doc_id)""")
 def unique_element_ids(spark, sf):
-    d = table(spark, sf, "documents").select(F.col("source").alias("source_id"), F.concat(F.lit("e"), (F.col("doc_id") % 7).cast("string")).alias("base"), "doc_id")
+    d = table(spark, sf, "documents").select(views.deck_id().alias("source_id"), F.concat(F.lit("e"), (F.col("doc_id") % 7).cast("string")).alias("base"), "doc_id")
     return B.unique_ids(d, ["source_id"], "base", "doc_id")
 
 
@@ -223,10 +223,10 @@ def coverage_reconcile(spark, sf):
     return topics.reconcile(table(spark, sf, "documents"), table(spark, sf, "labels"), ["doc_id"])
 
 
-@query("""WITH t AS (SELECT doc_id AS topic_id, source AS source_id, 'c' || doc_id AS citation, doc_id % 4 = 0 AS has_request FROM documents WHERE doc_id % 50 < 2)
-SELECT topic_id, source_id, citation FROM t UNION SELECT t.topic_id, t.source_id, 'c' || b.doc_id FROM t JOIN documents b ON b.source = t.source_id AND b.doc_id % 4 = 0 WHERE NOT has_request""")
+@query("""WITH t AS (SELECT doc_id AS topic_id, source || '-' || (doc_id // 1000) AS source_id, 'c' || doc_id AS citation, doc_id % 4 = 0 AS has_request FROM documents WHERE doc_id % 50 < 2)
+SELECT topic_id, source_id, citation FROM t UNION SELECT t.topic_id, t.source_id, 'c' || b.doc_id FROM t JOIN documents b ON b.source || '-' || (b.doc_id // 1000) = t.source_id AND b.doc_id % 4 = 0 WHERE NOT has_request""")
 def topic_expand(spark, sf):
-    d = table(spark, sf, "documents").select(F.col("source").alias("source_id"), F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("citation"), (F.col("doc_id") % 4 == 0).alias("has_request"), "doc_id")
+    d = table(spark, sf, "documents").select(views.deck_id().alias("source_id"), F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("citation"), (F.col("doc_id") % 4 == 0).alias("has_request"), "doc_id")
     return topics.expand_citations(d.where("doc_id % 50 < 2").select(F.col("doc_id").alias("topic_id"), "source_id", "citation"), d.drop("doc_id"))
 
 
@@ -362,18 +362,19 @@ def chunk_pack(spark, sf):
     return chunks.chunk_blocks(views.blocks_doc(spark, sf), 2000, header=60)
 
 
-@query("""SELECT d.source AS source_id, count(*) AS fragments, max(length(d.text)) > 2000 AS has_long FROM documents d GROUP BY 1""")
+@query("""SELECT source || '-' || (doc_id // 1000) AS source_id, count(*) AS fragments, max(length(text)) > 2000 AS has_long FROM documents GROUP BY 1""")
 def chunk_summary(spark, sf):
     """Chunks of a budget that no document exceeds: a fragment for each document."""
     c = chunks.chunk_blocks(views.blocks_doc(spark, sf), 1_000_000)
-    long = table(spark, sf, "documents").groupBy(F.col("source").alias("source_id")).agg((F.max(F.length("text")) > 2000).alias("has_long"))
+    long = table(spark, sf, "documents").groupBy(views.deck_id().alias("source_id")).agg((F.max(F.length("text")) > 2000).alias("has_long"))
     return c.groupBy("source_id").agg(F.count("*").alias("fragments")).join(long, "source_id")
 
 
 # ---- graph
 
 
-@query("SELECT d.doc_id AS text_id, b.item_id AS name_id FROM documents d JOIN benchmark b ON contains(lower(d.text), lower(b.text)) WHERE trim(b.text) <> ''")
+@query(r"""WITH d AS (SELECT doc_id, ' ' || regexp_replace(lower(text), '[\x20\x09-\x0D]+', ' ', 'g') || ' ' AS t FROM documents), b AS (SELECT item_id, ' ' || trim(regexp_replace(lower(text), '[\x20\x09-\x0D]+', ' ', 'g')) || ' ' AS t FROM benchmark)
+SELECT d.doc_id AS text_id, b.item_id AS name_id FROM d JOIN b ON contains(d.t, b.t) WHERE trim(b.t) <> ''""")
 def entity_contains(spark, sf):
     return graph.contained(table(spark, sf, "documents").select(F.col("doc_id").alias("text_id"), "text"), table(spark, sf, "benchmark").select(F.col("item_id").alias("name_id"), F.col("text").alias("name")))
 
@@ -390,10 +391,12 @@ def entity_merge(spark, sf):
     return graph.merge_entities(c, F.lower("p_brand"))
 
 
-@query("""SELECT c_custkey AS mention_id, min(s_suppkey) AS entity_id FROM customer JOIN supplier ON c_nationkey = s_nationkey AND c_custkey % 10 = s_suppkey % 10 GROUP BY 1 HAVING count(*) = 1""")
+@query("""SELECT c_custkey AS mention_id, min(s_suppkey) AS entity_id FROM customer JOIN supplier ON c_custkey % 2000 IN (s_suppkey, s_suppkey + 1) AND c_custkey % 3 = s_suppkey % 3 GROUP BY 1 HAVING count(*) = 1""")
 def alias_resolve(spark, sf):
-    m = table(spark, sf, "customer").select(F.col("c_custkey").alias("mention_id"), F.col("c_nationkey").cast("string").alias("key"), F.lit("s").alias("source_id"), F.array(F.col("c_custkey") % 10).alias("citations"))
-    e = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("entity_id"), F.array(F.col("s_nationkey").cast("string"), F.col("s_name")).alias("keys"), F.lit("s").alias("source_id"), F.array(F.col("s_suppkey") % 10).alias("citations"))
+    """Mentions of suppliers by number; every supplier has the next number as an alias."""
+    key = lambda n: F.concat(F.lit("e"), n.cast("string"))
+    m = table(spark, sf, "customer").select(F.col("c_custkey").alias("mention_id"), key(F.col("c_custkey") % 2000).alias("key"), F.lit("s").alias("source_id"), F.array(F.col("c_custkey") % 3).alias("citations"))
+    e = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("entity_id"), F.array(key(F.col("s_suppkey")), key(F.col("s_suppkey") + 1)).alias("keys"), F.lit("s").alias("source_id"), F.array(F.col("s_suppkey") % 3).alias("citations"))
     return graph.resolve_aliases(m, e)
 
 
@@ -423,10 +426,10 @@ def edge_lineage_violations(spark, sf):
     return graph.edge_violations(_edges(spark, sf), known)
 
 
-@query("SELECT DISTINCT c_custkey AS page_id, s_suppkey AS entity_id FROM customer JOIN supplier ON c_nationkey = s_nationkey")
+@query("SELECT o_orderkey AS page_id, c_custkey AS entity_id FROM orders JOIN customer ON o_custkey = c_custkey")
 def shared_sources(spark, sf):
-    pages = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("source_id"))
-    return graph.shared_sources(pages, table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("source_id")))
+    pages = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("source_id"))
+    return graph.shared_sources(pages, table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_custkey").alias("source_id")))
 
 
 # ---- links and pages

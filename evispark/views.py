@@ -5,7 +5,7 @@ blocks: source_id, slide_number, slide_title, citation, element_id, kind, conten
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evispark.functions.columns import citation, sha256
@@ -32,18 +32,25 @@ def blocks_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("content_sha256", sha256(F.col("content")))
 
 
+#: Documents of a deck: groups by source stay small, however many documents a source has.
+DECK = 1000
+
+
+def deck_id(source: str = "source", number: str = "doc_id") -> Column:
+    return F.concat(source, F.lit("-"), F.expr(f"{number} div {DECK}").cast("string"))
+
+
 def blocks_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as blocks of their source; a document's slide is its place among the source's ids."""
-    t = table(spark, sf_dir, "documents")
-    place = F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))
+    """Documents as blocks of decks, each up to 1000 documents of one source; a slide for each document."""
     element = F.concat(F.lit("doc-"), F.col("doc_id").cast("string"))
+    slide = F.col("doc_id") + 1
     return (
-        t.withColumn("slide_number", place)
+        table(spark, sf_dir, "documents")
         .select(
-            F.col("source").alias("source_id"),
-            "slide_number",
+            deck_id().alias("source_id"),
+            slide.alias("slide_number"),
             F.col("lang").alias("slide_title"),
-            citation(F.col("slide_number"), element).alias("citation"),
+            citation(slide, element).alias("citation"),
             element.alias("element_id"),
             F.lit("text").alias("kind"),
             F.lit("text").alias("content_format"),
