@@ -31,6 +31,8 @@ MOST_LABELLED = 20_000
 #: One labelled document in so many calibrates scores and stays out of the class counts.
 CALIBRATION_PART = 4
 TRIM = ".,!?;:*#&%$\"'()|"
+#: Words whose ratio a task keeps.
+KNOWN_WORDS = 200_000
 #: Signs before and after a word; no text has these surrogates.
 FIRST, LAST = 0xD800, 0xD801
 
@@ -100,11 +102,12 @@ def count_words(docs: DataFrame, ids: dict[int, float]) -> DataFrame:
             c1, c0 = (np.bincount((pair % m)[x], minlength=m) for x in (toxic, ~toxic))
             held.append(pa.table([coded.dictionary, pa.array(c1), pa.array(c0)], schema=schema))
             n += m
-            if n > 800_000:
+            if n > 300_000:
                 held, n = [flush()], 0
-                if held[0].num_rows > 400_000:
+                n = held[0].num_rows
+                if n > 150_000:
                     yield from held[0].to_batches()
-                    held = []
+                    held, n = [], 0
         if held:
             yield from flush().to_batches()
 
@@ -206,7 +209,7 @@ def statistic(docs: DataFrame, model: KneserNeyRatio) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratio = sent.value
-        store = UnitStore(lambda words: (ratio.words(words).view(np.uint32), np.ones(len(words), dtype=np.int64)))
+        store = UnitStore(lambda words: (ratio.words(words).view(np.uint32), np.ones(len(words), dtype=np.int64)), KNOWN_WORDS)
         for batch in batches:
             n = batch.num_rows
             mean, top, word = np.zeros(n), np.zeros(n), np.full(n, None, dtype=object)

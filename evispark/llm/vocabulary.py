@@ -15,8 +15,8 @@ import pyarrow as pa
 
 from evispark.llm.textkit import gather
 
-#: Units that a store keeps before it starts anew, about 250 MB.
-KNOWN_UNITS = 1_000_000
+#: Units that a store keeps before it starts anew, about 100 MB.
+KNOWN_UNITS = 400_000
 
 
 class UnitStore:

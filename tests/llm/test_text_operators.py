@@ -91,10 +91,10 @@ def test_count_tree_loses_no_pair():
     sizes = rng.integers(1, 60, 300)
     sets = [rng.integers(0, 90, n) for n in sizes]
     sizes = np.array([len(set(s.tolist())) for s in sets])
-    counts = np.array([np.bincount(np.unique(s) % jaccard.GROUPS, minlength=jaccard.GROUPS) for s in sets])
+    counts = np.array([np.bincount(np.unique(s) % jaccard.GROUPS, minlength=jaccard.GROUPS) for s in sets]).astype(np.uint8)
     tree = jaccard.CountTree(counts, sizes, Fraction(1, 2))
     for q in range(0, 300, 7):
-        found = set(tree.search(counts[q], int(sizes[q])).tolist())
+        found = set(tree.search(counts[q], int(sizes[q]))[0].tolist())
         mine = set(sets[q].tolist())
         assert {i for i, s in enumerate(sets) if 2 * len(mine & set(s.tolist())) >= len(mine | set(s.tolist()))} <= found
 
