@@ -2,7 +2,7 @@
 
 1. A count sketch of fixed size orders shingles from rare to common. Of each set only the first shingles in this order
    meet in blocks, enough of them that no linking pair stays apart (prefix filtering by size).
-2. Each document first meets one hub of its blocks, the document whose shingles are shared most. Exact verification of
+2. Each document first meets hubs of its blocks, documents with the fewest shingles that are rarer. Exact verification of
    these few pairs finds most links, and components follow.
 3. Only blocks in which components still differ go on. Every document there is a point of group counts (its shingles,
    hashed into groups); an R-tree over a block's points bounds each overlap by summed coordinate minima. First every
@@ -28,7 +28,9 @@ from evispark.llm.spans import keyed
 from evispark.llm.textkit import BASES, U, Words, chunks, digest, gather, mix, prefix, signed, text_bytes
 
 WORDS = 5
-SKETCH_BITS = 20
+SKETCH_BITS = 22
+#: Bits of a shingle's digest that name its block; blocks that share a name by chance only mean more pairs to bound.
+TOKEN_BITS = 48
 GROUPS = 512
 TILE = 2048
 LEAF = 16
@@ -60,29 +62,34 @@ def shingle_sets(buf: np.ndarray, off: np.ndarray, n: int = WORDS) -> tuple[np.n
 
 
 def sketch(docs: DataFrame) -> np.ndarray:
-    """Rank of commonness for each of 2**SKETCH_BITS slots of shingles: log2 of how many fall there. Fixed size."""
+    """Rank of commonness for each of 2**SKETCH_BITS slots of shingles: log2 of how many fall there, 2**16 at most. Of fixed
+    size; where slots fill up the order says less, and blocks grow, but no pair is lost."""
     size, parts = 1 << SKETCH_BITS, 64
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, dtype=np.int64)
+        total = np.zeros(size, dtype=np.uint32)
         for batch in batches:
             buf, off = text_bytes(batch.column(0))
             for a, b in chunks(off):
-                total += np.bincount((shingle_sets(buf, off[a : b + 1])[1] >> U(64 - SKETCH_BITS)).astype(np.int64), minlength=size)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(parts)), pa.array([x.astype(np.uint32).tobytes() for x in np.split(total, parts)])], names=["part", "counts"])
+                np.add.at(total, (shingle_sets(buf, off[a : b + 1])[1] >> U(64 - SKETCH_BITS)).astype(np.int64), 1)
+        yield from sent(enumerate(np.split(total, parts)))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total[part] = total.get(part, 0) + np.frombuffer(counts, dtype=np.uint32).astype(np.uint64)
+                total[part] = total.get(part, 0) + np.frombuffer(counts, dtype=np.uint16).astype(np.uint32)
         if total:
-            yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.array([np.minimum(x, 2**32 - 1).astype(np.uint32).tobytes() for x in total.values()])], names=["part", "counts"])
+            yield from sent(total.items())
+
+    def sent(counts) -> Iterator[pa.RecordBatch]:
+        keys, values = zip(*((k, np.minimum(x, 2**16 - 1).astype(np.uint16).tobytes()) for k, x in counts), strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(values)], names=["part", "counts"])
 
     schema = "part long, counts binary"
     out = np.zeros(size, dtype=np.uint8)
     for r in docs.select("text").mapInArrow(count, schema).repartition(BRANCHES, "part").mapInArrow(add, schema).collect():
-        out[r.part * size // parts : (r.part + 1) * size // parts] = np.log2(np.frombuffer(r.counts, dtype=np.uint32) + 1.0)
+        out[r.part * size // parts : (r.part + 1) * size // parts] = np.log2(np.frombuffer(r.counts, dtype=np.uint16) + 1.0)
     return out
 
 
@@ -120,7 +127,7 @@ def prefixes(docs: DataFrame, rank: np.ndarray, threshold: Fraction) -> DataFram
                 take = np.where(fresh, n + (-n * p // q) + 1, 0)  # n - ceil(t n) + 1
                 own = np.where(fresh, n + (-n * 2 * p // (p + q)) + 1, 0)  # n - ceil(2 t / (1 + t) n) + 1
                 place = np.arange(len(h)) - of[text]
-                first = h[order][place < take[text]]
+                first = h[order][place < take[text]] >> U(64 - TOKEN_BITS)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(take)]).astype(np.int32)), pa.array(signed(first)))
                 yield pa.RecordBatch.from_arrays([key.slice(a, b - a), pa.array(signed(both[0])), pa.array(signed(both[1])), pa.array(n.astype(np.int32)), lists, pa.array(own.astype(np.int32))], names=["k", "set1", "set2", "n", "tokens", "own"])
 
@@ -210,9 +217,14 @@ def whole_runs(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[tu
 class Block:
     """Columns of the rows of many blocks."""
 
-    def __init__(self, table: pa.Table):
+    def __init__(self, table: pa.Table, counts: np.ndarray | None = None):
         self.k, self.n, self.own, self.mine, self.group, self.i, self.j = (table.column(c).to_numpy() for c in ("k", "n", "own", "mine", "component", "i", "j"))
-        self.points = points(table.column("counts").to_pylist())
+        self.points = counts
+
+    def pairs(self, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+        a, b = self.k[x], self.k[y]
+        found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["a", "b"])
 
     def fit(self, x: np.ndarray, y: np.ndarray, threshold: Fraction) -> np.ndarray:
         """Which pairs of rows may link, by components, tiles, sizes and roles: the smaller set must meet its partner with
@@ -221,12 +233,6 @@ class Block:
         tiles = (self.i[x] == self.j[x]) | (self.mine[x] != self.mine[y])
         return (self.group[x] != self.group[y]) & roles & tiles & (np.minimum(self.n[x], self.n[y]) >= needed(self.n[x].astype(np.int64), self.n[y], threshold))
 
-    def bound(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(x), dtype=np.int64)
-        for a in range(0, len(x), 8192):
-            out[a : a + 8192] = np.minimum(self.points[x[a : a + 8192]], self.points[y[a : a + 8192]]).sum(axis=1, dtype=np.int64)
-        return out
-
     def small(self, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All pairs of rows of the same small block."""
         size = ends - starts
@@ -259,45 +265,53 @@ class Block:
             yield np.concatenate(one), np.concatenate(two)
 
 
+def small_pairs(blocks: DataFrame, threshold: Fraction) -> DataFrame:
+    """(a, b) of different components and fitting sizes in small blocks; blocks: as for open_pairs, without counts."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, at in whole_runs(batches, ["token"]):
+            block = Block(table)
+            x, y = block.small(at[:-1], at[1:])
+            keep = block.fit(x, y, threshold)
+            yield block.pairs(x[keep], y[keep])
+
+    return blocks.repartition(shared.partitions(blocks.sparkSession), "token").sortWithinPartitions("token").mapInArrow(rows, "a long, b long").distinct()
+
+
+def bounded(pairs: DataFrame, counted: DataFrame, threshold: Fraction) -> DataFrame:
+    """The pairs (a, b) that summed coordinate minima cannot rule out."""
+    one, two = (counted.select(F.col("k").alias(c), F.col("counts").alias(f"{c}_counts")) for c in ("a", "b"))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p, q = (points(batch.column(c).to_pylist()) for c in ("a_counts", "b_counts"))
+            most = np.minimum(p, q).sum(axis=1, dtype=np.int64)
+            fits = most >= needed(p.sum(axis=1, dtype=np.int64), q.sum(axis=1, dtype=np.int64), threshold)
+            yield batch.select(["a", "b"]).filter(pa.array(fits & (most > 0)))
+
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "a_counts", "b_counts").mapInArrow(rows, "a long, b long")
+
+
 def open_pairs(blocks: DataFrame, threshold: Fraction, best: bool) -> DataFrame:
     """(a, b) of different components that a block's bound cannot rule out; with `best`, of each document's partners in a
     block only the one with the best bound. blocks: (token, i, j, mine, k, n, own, component, counts), a tile (i, j) of a
     token's documents."""
     key = ["token", "i", "j"]
 
-    def portions(block: Block, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        starts, ends = at[:-1], at[1:]
-        little = ends - starts <= SMALL
-        x, y = block.small(starts[little], ends[little])
-        keep = block.fit(x, y, threshold)
-        x, y = x[keep], y[keep]
-        bound, need = block.bound(x, y), needed(block.n[x].astype(np.int64), block.n[y], threshold)
-        keep = bound >= need
-        x, y, value = x[keep], y[keep], (bound / np.maximum(need, 1))[keep]
-        if best and len(x):
-            both = np.concatenate([x, y])
-            order = np.lexsort((-np.tile(value, 2), both))
-            first = np.ones(len(order), dtype=bool)
-            first[1:] = both[order][1:] != both[order][:-1]
-            chosen = np.unique(order[first] % len(x))
-            x, y = x[chosen], y[chosen]
-        yield x, y
-        for a, b in zip(starts[~little], ends[~little], strict=True):
-            yield from block.large(a, b, threshold, best)
-
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, at in whole_runs(batches, key):
-            block = Block(table)
-            for x, y in portions(block, at):
-                a, b = block.k[x], block.k[y]
-                found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["a", "b"])
+            block = Block(table, points(table.column("counts").to_pylist()))
+            for a, b in zip(at[:-1], at[1:], strict=True):
+                for x, y in block.large(a, b, threshold, best):
+                    yield block.pairs(x, y)
 
     return blocks.repartition(shared.partitions(blocks.sparkSession), *key).sortWithinPartitions(*key).mapInArrow(rows, "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: Fraction) -> DataFrame:
-    """The pairs (a, b) whose sets link. A hub's text travels once for each salt, next to the texts it is compared with."""
+    """The pairs (a, b), a written table, whose sets link. Only texts of the pairs are dealt out; a hub's text travels once
+    for each salt, next to the texts it is compared with."""
+    texts = candidate_texts(texts, pairs.select(F.col("a").alias("k")).union(pairs.select("b")))
     salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(64)))
     others = salted.join(texts, salted.b == texts.k).select("a", "salt", F.lit(1).alias("kind"), F.col("b").alias("k"), "text")
     hubs = salted.select("a", "salt").distinct().join(texts, F.col("a") == texts.k).select("a", "salt", F.lit(0).alias("kind"), "k", "text")
@@ -325,7 +339,8 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: Fraction) -> DataFra
 
 
 def candidate_texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """(k, text) of the chosen keys, once each. A filter of fixed size lets few other texts into the join."""
+    """(k, text) of the chosen keys, and of a few others that a filter of fixed size lets through; a key comes once for each
+    task that has it."""
     bits = 1 << FILTER_BITS
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,11 +362,18 @@ def candidate_texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
 
     def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = np.frombuffer(sent.value, dtype=np.uint8)
+        seen: set[int] = set()
         for batch in batches:
-            x = batch.column(0).to_numpy() & (bits - 1)
-            yield batch.filter(pa.array((flags[x >> 3] >> (x & 7)) & 1 == 1))
+            k = batch.column(0).to_numpy()
+            x = k & (bits - 1)
+            keep = (flags[x >> 3] >> (x & 7)) & 1 == 1
+            for i in np.flatnonzero(keep):
+                if int(k[i]) in seen:
+                    keep[i] = False
+                seen.add(int(k[i]))
+            yield batch.filter(pa.array(keep))
 
-    return docs.select("k", "text").mapInArrow(few, "k long, text string").join(chosen, "k", "left_semi").groupBy("k").agg(F.first("text").alias("text"))
+    return docs.select("k", "text").mapInArrow(few, "k long, text string")
 
 
 def _counted(texts: DataFrame) -> DataFrame:
@@ -363,7 +385,7 @@ def _counted(texts: DataFrame) -> DataFrame:
                 c = group_counts(h, np.repeat(np.arange(b - a), np.diff(of)), b - a)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([packed(x) for x in c], pa.binary())], names=["k", "counts"])
 
-    return texts.mapInArrow(rows, "k long, counts binary")
+    return texts.mapInArrow(rows, "k long, counts binary").groupBy("k").agg(F.first("counts").alias("counts"))
 
 
 def linked(docs: DataFrame, threshold: Fraction = Fraction(4, 5), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -378,32 +400,36 @@ def linked(docs: DataFrame, threshold: Fraction = Fraction(4, 5), id_col: str =
     # equal rows share k, so that they are one node
     t = shared.written(prefixes(own, sketch(own), threshold), "prefixes")
     edges = [t.where("n > 0").groupBy("set1", "set2").agg(F.min("k").alias("a")).join(t.where("n > 0").select("set1", "set2", F.col("k").alias("b")), ["set1", "set2"]).where("a <> b").select("a", "b")]
-    held = t.where(F.size("tokens") > 0).select("k", "n", "own", F.size("tokens").alias("width"), F.posexplode("tokens").alias("place", "token"))
-    held = held.select("token", "k", "n", "width", (F.col("place") < F.col("own")).alias("own"))
-    often = held.groupBy("token").agg(F.count("*").alias("c"), F.max("own").alias("any")).where("c > 1 and any").select("token", "c")
+    held = t.where(F.size("tokens") > 0).select("k", "n", "own", F.posexplode("tokens").alias("place", "token"))
+    held = held.select("token", "k", "n", "place", (F.col("place") < F.col("own")).alias("own"))
+    # how many, and how many with their own part, in one number
+    both = held.groupBy("token").agg(F.sum(F.when(F.col("own"), F.lit((1 << 32) + 1)).otherwise(F.lit(1))).alias("s"))
+    often = both.select("token", F.expr(f"s & {(1 << 32) - 1}").alias("c"), F.expr("shiftright(s, 32)").alias("own")).where("c > 1 and own > 0").select("token", "c")
     blocks = shared.written(held.join(often, "token"), "blocks")
-    # the hub of a block: the document that shares most of its first shingles
-    score = blocks.groupBy("k").agg((F.sum(F.log2(F.col("c").cast("double"))) / F.first("width")).alias("score"))
-    scored = blocks.join(score, "k")
-    hubs = scored.groupBy("token").agg(F.max(F.struct("score", "k", "n")).alias("hub"))
-    near = scored.join(hubs, "token").where("k <> hub.k").where(F.least("n", "hub.n") >= needed_column(F.col("n"), F.col("hub.n"), threshold))
-    stars = near.groupBy("k").agg(F.max(F.struct("c", "hub.score", "hub.k")).alias("one"), F.max(F.struct("hub.score", "hub.k")).alias("two"))
+    # the hub of a block: the document that has the shingle furthest in front, so with the fewest rarer ones before it
+    hubs = blocks.groupBy("token").agg(F.min(F.struct("place", "k", "n")).alias("hub"))
+    near = blocks.join(hubs, "token").where("k <> hub.k").where(F.least("n", "hub.n") >= needed_column(F.col("n"), F.col("hub.n"), threshold))
+    stars = near.groupBy("k").agg(F.max(F.struct("c", -F.col("hub.place"), "hub.k")).alias("one"), F.min(F.struct("hub.place", "hub.k")).alias("two"))
     stars = stars.select(F.explode(F.array("one.k", "two.k")).alias("a"), F.col("k").alias("b")).distinct()
     stars = shared.written(stars, "stars")
     texts = shared.written(candidate_texts(own, blocks.select("k").distinct()), "texts")
-    edges.append(verified(stars, texts, threshold))
+    counted = shared.written(_counted(texts), "points")
+    # merge joins here and below: the same plan at every size
+    edges.append(verified(shared.written(bounded(stars, counted, threshold), "pairs").hint("merge"), texts, threshold))
     groups = components(_union(edges))
-    counted, tested = shared.written(_counted(texts), "points"), stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    mixed = _mixed(blocks, groups, "k", "token", "n", "own", "c")
-    # each document's most common and rarest mixed block
-    ends = mixed.groupBy("k").agg(F.max(F.struct("c", "token")).alias("high"), F.min(F.struct("c", "token")).alias("low"))
+    tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    mixed = _mixed(blocks, groups)
+    large = mixed.where(F.col("c") > SMALL)
+    # in large blocks each document first meets its best partners in its most common and its rarest block
+    ends = large.groupBy("k").agg(F.max(F.struct("c", "token")).alias("high"), F.min(F.struct("c", "token")).alias("low"))
     ends = ends.select("k", F.explode(F.array_distinct(F.array("high.token", "low.token"))).alias("token"))
-    for best in (True, False):
-        rows = _comparable(_tiles(mixed.join(ends, ["k", "token"], "left_semi") if best else mixed), threshold)
-        pairs = shared.written(open_pairs(rows.join(counted, "k"), threshold, best).join(tested, ["a", "b"], "left_anti"), "pairs")
-        groups = components(_union([groups.select("id", "component_id"), verified(pairs, texts, threshold)]))
-        if best:
-            tested, mixed = tested.union(pairs), _mixed(mixed.drop("component"), groups, "k", "token", "n", "own", "c")
+    best = open_pairs(_comparable(_tiles(large.join(ends, ["k", "token"], "left_semi")), threshold).join(counted, "k"), threshold, True)
+    little = bounded(small_pairs(_tiles(mixed.where(F.col("c") <= SMALL)), threshold).join(tested, ["a", "b"], "left_anti"), counted, threshold)
+    pairs = shared.written(best.join(tested, ["a", "b"], "left_anti").union(little).distinct(), "pairs")
+    groups = components(_union([groups.select("id", "component_id"), verified(pairs, texts, threshold)]))
+    rest = open_pairs(_comparable(_tiles(_mixed(large.drop("component"), groups)), threshold).join(counted, "k"), threshold, False)
+    pairs = shared.written(rest.join(tested.union(pairs), ["a", "b"], "left_anti"), "pairs")
+    groups = components(_union([groups.select("id", "component_id"), verified(pairs, texts, threshold)]))
     nodes = t.join(groups.withColumnRenamed("id", "k"), "k", "left").select("k", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "k").alias("root")).distinct()
     rows = own.select("k", "doc_id").join(nodes, "k")
     least = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
@@ -411,9 +437,9 @@ def linked(docs: DataFrame, threshold: Fraction = Fraction(4, 5), id_col: str =
     return rows.join(least, "root").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _mixed(blocks: DataFrame, groups: DataFrame, *columns: str) -> DataFrame:
+def _mixed(blocks: DataFrame, groups: DataFrame) -> DataFrame:
     """Rows of blocks whose documents lie in different components, with these."""
-    named = blocks.select(*columns).join(groups.withColumnRenamed("id", "k"), "k", "left").withColumn("component", F.coalesce("component_id", "k")).drop("component_id")
+    named = blocks.select("k", "token", "n", "own", "c").join(groups.withColumnRenamed("id", "k").hint("merge"), "k", "left").withColumn("component", F.coalesce("component_id", "k")).drop("component_id")
     named = shared.written(named, "named")
     mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
     return shared.written(named.join(shared.written(mixed, "mixed"), "token", "left_semi"), "open")
