@@ -65,7 +65,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     a, b = edges.columns[:2]
     pairs = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-    now = shared.written(pairs.mapInArrow(_contract, PAIR), "edges")
+    now = shared.written(pairs.mapInArrow(shared.tidy(_contract), PAIR), "edges")
     while not _stars_only(now):
         now = shared.written(_lower(_lower(now, True), False), "edges")
     return now.select(F.col("a").alias("id"), F.col("b").alias("component_id")).union(now.select(F.col("b").alias("id"), F.col("b").alias("component_id")).distinct())

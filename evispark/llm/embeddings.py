@@ -83,7 +83,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sig) + 1, dtype=np.int32) * tables), pa.array(sig.ravel()))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, "sig"])
 
-    signed = nodes.mapInArrow(sign, shared.ddl(nodes.schema) + ", sig array<int>")
+    signed = nodes.mapInArrow(shared.tidy(sign), shared.ddl(nodes.schema) + ", sig array<int>")
     place = ["label", "dim", "table", "bucket"]
     full = signed.select("label", "dim", F.posexplode("sig").alias("table", "bucket")).groupBy(*place).count().where(F.col("count") > TILE)
     full = full.select(*place, F.ceil(F.col("count") / TILE).cast("int").alias("tiles"))
@@ -117,7 +117,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
             yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(near.astype(np.int64) @ copies), pa.array(reach)], names=["node", "links", "least"])
 
     # a tile has at most 2 x TILE rows; runs are cut from sorted rows, whichever batches they come in
-    found = shared.written(rows.repartition(shared.partitions(spark), *key).sortWithinPartitions(*key).mapInArrow(compare, "node long, links long, least long"), "links")
+    found = shared.written(rows.repartition(shared.partitions(spark), *key).sortWithinPartitions(*key).mapInArrow(shared.tidy(compare), "node long, links long, least long"), "links")
     groups = components(found.select("node", "least")).withColumnRenamed("id", "node")
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     done = nodes.join(counts, "node", "left").join(groups, "node", "left").select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "node").alias("component_id"))

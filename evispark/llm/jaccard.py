@@ -88,7 +88,7 @@ def sketch(docs: DataFrame) -> np.ndarray:
 
     schema = "part long, counts binary"
     out = np.zeros(size, dtype=np.uint8)
-    for r in docs.select("text").mapInArrow(count, schema).repartition(BRANCHES, "part").mapInArrow(add, schema).collect():
+    for r in docs.select("text").mapInArrow(shared.tidy(count), schema).repartition(BRANCHES, "part").mapInArrow(shared.tidy(add), schema).collect():
         out[r.part * size // parts : (r.part + 1) * size // parts] = np.log2(np.frombuffer(r.counts, dtype=np.uint16) + 1.0)
     return out
 
@@ -131,7 +131,7 @@ def prefixes(docs: DataFrame, rank: np.ndarray, threshold: Fraction) -> DataFram
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(take)]).astype(np.int32)), pa.array(signed(first)))
                 yield pa.RecordBatch.from_arrays([key.slice(a, b - a), pa.array(signed(both[0])), pa.array(signed(both[1])), pa.array(n.astype(np.int32)), lists, pa.array(own.astype(np.int32))], names=["k", "set1", "set2", "n", "tokens", "own"])
 
-    return docs.select("k", "text").mapInArrow(rows, "k long, set1 long, set2 long, n int, tokens array<long>, own int")
+    return docs.select("k", "text").mapInArrow(shared.tidy(rows), "k long, set1 long, set2 long, n int, tokens array<long>, own int")
 
 
 class CountTree:
@@ -275,7 +275,7 @@ def small_pairs(blocks: DataFrame, threshold: Fraction) -> DataFrame:
             keep = block.fit(x, y, threshold)
             yield block.pairs(x[keep], y[keep])
 
-    return blocks.repartition(shared.partitions(blocks.sparkSession), "token").sortWithinPartitions("token").mapInArrow(rows, "a long, b long").distinct()
+    return blocks.repartition(shared.partitions(blocks.sparkSession), "token").sortWithinPartitions("token").mapInArrow(shared.tidy(rows), "a long, b long").distinct()
 
 
 def bounded(pairs: DataFrame, counted: DataFrame, threshold: Fraction) -> DataFrame:
@@ -289,7 +289,7 @@ def bounded(pairs: DataFrame, counted: DataFrame, threshold: Fraction) -> DataFr
             fits = most >= needed(p.sum(axis=1, dtype=np.int64), q.sum(axis=1, dtype=np.int64), threshold)
             yield batch.select(["a", "b"]).filter(pa.array(fits & (most > 0)))
 
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "a_counts", "b_counts").mapInArrow(rows, "a long, b long")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "a_counts", "b_counts").mapInArrow(shared.tidy(rows), "a long, b long")
 
 
 def open_pairs(blocks: DataFrame, threshold: Fraction, best: bool) -> DataFrame:
@@ -305,7 +305,7 @@ def open_pairs(blocks: DataFrame, threshold: Fraction, best: bool) -> DataFrame:
                 for x, y in block.large(a, b, threshold, best):
                     yield block.pairs(x, y)
 
-    return blocks.repartition(shared.partitions(blocks.sparkSession), *key).sortWithinPartitions(*key).mapInArrow(rows, "a long, b long").distinct()
+    return blocks.repartition(shared.partitions(blocks.sparkSession), *key).sortWithinPartitions(*key).mapInArrow(shared.tidy(rows), "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: Fraction) -> DataFrame:
@@ -335,7 +335,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: Fraction) -> DataFra
             if one:
                 yield pa.RecordBatch.from_arrays([pa.array(np.array(one, np.int64)), pa.array(np.array(two, np.int64))], names=["a", "b"])
 
-    return hubs.union(others).repartition(shared.partitions(pairs.sparkSession), "a", "salt").sortWithinPartitions("a", "salt", "kind").mapInArrow(rows, "a long, b long")
+    return hubs.union(others).repartition(shared.partitions(pairs.sparkSession), "a", "salt").sortWithinPartitions("a", "salt", "kind").mapInArrow(shared.tidy(rows), "a long, b long")
 
 
 def candidate_texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -357,7 +357,7 @@ def candidate_texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
                 seen |= np.frombuffer(x.as_py(), dtype=np.uint8)
         yield pa.RecordBatch.from_arrays([pa.array([seen.tobytes()])], names=["seen"])
 
-    seen = chosen.mapInArrow(mark, "seen binary").repartition(4).mapInArrow(join, "seen binary").coalesce(1).mapInArrow(join, "seen binary").collect()
+    seen = chosen.mapInArrow(shared.tidy(mark), "seen binary").repartition(4).mapInArrow(shared.tidy(join), "seen binary").coalesce(1).mapInArrow(shared.tidy(join), "seen binary").collect()
     sent = docs.sparkSession.sparkContext.broadcast(seen[0].seen if seen else bytes(bits // 8))
 
     def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -373,7 +373,7 @@ def candidate_texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
                 seen.add(int(k[i]))
             yield batch.filter(pa.array(keep))
 
-    return docs.select("k", "text").mapInArrow(few, "k long, text string")
+    return docs.select("k", "text").mapInArrow(shared.tidy(few), "k long, text string")
 
 
 def _counted(texts: DataFrame) -> DataFrame:
@@ -385,7 +385,7 @@ def _counted(texts: DataFrame) -> DataFrame:
                 c = group_counts(h, np.repeat(np.arange(b - a), np.diff(of)), b - a)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([packed(x) for x in c], pa.binary())], names=["k", "counts"])
 
-    return texts.mapInArrow(rows, "k long, counts binary").groupBy("k").agg(F.first("counts").alias("counts"))
+    return texts.mapInArrow(shared.tidy(rows), "k long, counts binary").groupBy("k").agg(F.first("counts").alias("counts"))
 
 
 def linked(docs: DataFrame, threshold: Fraction = Fraction(4, 5), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -467,7 +467,7 @@ def _comparable(tiles: DataFrame, threshold: Fraction) -> DataFrame:
             change = np.concatenate([[0], np.cumsum(group[1:] != group[:-1])])
             yield from table.filter(pa.array(change[high - 1] > change[low])).to_batches()
 
-    return tiles.repartition(shared.partitions(tiles.sparkSession), *key).sortWithinPartitions(*key, "n").mapInArrow(rows, shared.ddl(tiles.schema))
+    return tiles.repartition(shared.partitions(tiles.sparkSession), *key).sortWithinPartitions(*key, "n").mapInArrow(shared.tidy(rows), shared.ddl(tiles.schema))
 
 
 def needed_column(a, b, threshold: Fraction):

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evispark.llm import shared
+
 #: First level of the sum tree: so many tasks add the partitions' arrays, one task adds theirs.
 BRANCHES = 16
 BINS = 4096
@@ -33,8 +35,8 @@ def tree_sum(df: DataFrame, of_batch: Callable[[pa.RecordBatch], np.ndarray], si
         yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([total.tobytes()])], names=["branch", "total"])
 
     schema = "branch long, total binary"
-    sums = df.mapInArrow(each, schema).repartition(BRANCHES, "branch").mapInArrow(add, schema)
-    rows = sums.coalesce(1).mapInArrow(add, schema).collect()
+    sums = df.mapInArrow(shared.tidy(each), schema).repartition(BRANCHES, "branch").mapInArrow(shared.tidy(add), schema)
+    rows = sums.coalesce(1).mapInArrow(shared.tidy(add), schema).collect()
     return sum((np.frombuffer(r.total, dtype=np.float64) for r in rows), np.zeros(size))
 
 

@@ -164,7 +164,7 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(whole, pa.string()), pa.array(each, pa.list_(pa.binary()))], names=["k", "doc_id", "digest", "lines"])
 
     source = docs.select(shared.row_key(id_col, text_col).alias("k"), F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    hashed = shared.written(source.mapInArrow(digests, f"k long, doc_id {kind}, digest string, lines array<binary>"), "digests")
+    hashed = shared.written(source.mapInArrow(shared.tidy(digests), f"k long, doc_id {kind}, digest string, lines array<binary>"), "digests")
     line = hashed.select("k", F.explode("lines").alias("line")).join(known.select(F.unhex("digest").alias("line"), "license_id"), "line")
     lines = line.groupBy("k", "license_id").agg(F.count("*").alias("n")).groupBy("k").agg(F.sum("n").alias("n"), F.array_join(F.array_sort(F.collect_list("license_id")), ",").alias("line_licenses"))
     # equal rows share k and were counted together

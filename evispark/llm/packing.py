@@ -77,7 +77,7 @@ def pack(pieces: DataFrame, capacity: int, order: list[str], size: str = "length
     spark = pieces.sparkSession
     n = shared.partitions(spark)
     ranged = pieces.repartitionByRange(n, F.desc(size), *order).sortWithinPartitions(F.desc(size), *order)
-    ranged = shared.written(ranged.mapInArrow(numbered(size), shared.ddl(ranged.schema) + ", _part int, _rank long"), "ranged")
+    ranged = shared.written(ranged.mapInArrow(shared.tidy(numbered(size)), shared.ddl(ranged.schema) + ", _part int, _rank long"), "ranged")
     counts = ranged.groupBy("_part", size).count().collect()
     totals: dict[int, int] = {}
     first: dict[tuple[int, int], int] = {}
@@ -106,7 +106,7 @@ def pack(pieces: DataFrame, capacity: int, order: list[str], size: str = "length
             keep = [c for c in batch.schema.names if c not in ("_part", "_rank")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(seq), pa.array(off)], names=[*keep, "sequence_id", "offset"])
 
-    return ranged.mapInArrow(lay, schema)
+    return ranged.mapInArrow(shared.tidy(lay), schema)
 
 
 def numbered(size: str):
@@ -191,7 +191,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end
                 yield pa.RecordBatch.from_arrays([pa.array(doc, mask=null.to_numpy(zero_copy_only=False)).cast(pa.int64()).take(pa.array(at)), pa.array(k.astype(np.int32)), pa.array(s), pa.array(n), pa.array(crc)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    return source.mapInArrow(cut, PIECES)
+    return source.mapInArrow(shared.tidy(cut), PIECES)
 
 
 def _parts(size: np.ndarray, most: int = 4 << 20) -> Iterator[tuple[int, int]]:

@@ -154,7 +154,7 @@ def codec_rows(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_co
         for doc, ids, ends, decoded in _coded(batches, model_path):
             yield pa.RecordBatch.from_arrays([doc, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32))), pa.array([x.decode("utf-8", "replace") for x in decoded])], names=["doc_id", "ids", "decoded"])
 
-    return _source(docs, id_col, text_col).mapInArrow(rows, "doc_id long, ids array<int>, decoded string")
+    return _source(docs, id_col, text_col).mapInArrow(shared.tidy(rows), "doc_id long, ids array<int>, decoded string")
 
 
 def codec_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -166,7 +166,7 @@ def codec_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
             of_ids = [hashlib.sha256(data[4 * a : 4 * b]).hexdigest() for a, b in zip(ends[:-1], ends[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([doc, pa.array(np.diff(ends)), pa.array(of_ids), pa.array([hashlib.sha256(x).hexdigest() for x in decoded])], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return _source(docs, id_col, text_col).mapInArrow(rows, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _source(docs, id_col, text_col).mapInArrow(shared.tidy(rows), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -64,7 +64,7 @@ def statistic_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             flat = np.concatenate(parts).ravel() if parts else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(np.arange(len(off), dtype=np.int32) * N_STATS), pa.array(flat))], names=["doc_id", "stats"])
 
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(rows, "doc_id long, stats array<double>")
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(shared.tidy(rows), "doc_id long, stats array<double>")
 
 
 class FourierRidge:
@@ -120,7 +120,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int
     stats = shared.written(statistic_rows(docs), "statistics")
     known = stats.join(one_label(labels, "doc_id", label), "doc_id").where(fold(folds) != held).select("stats", "label")
     model = FourierRidge().fit(known)
-    raw = known.mapInArrow(_raw(model), "raw double, label double")
+    raw = known.mapInArrow(shared.tidy(_raw(model)), "raw double, label double")
     calibrate = Calibrator(-0.5, 1.5).fit(raw, "raw", "label")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +128,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int
             s = calibrate(model(FourierRidge.matrix(batch.column(2))))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
-    return stats.select("doc_id", (fold(folds) == held).alias("held_out"), "stats").mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int")
+    return stats.select("doc_id", (fold(folds) == held).alias("held_out"), "stats").mapInArrow(shared.tidy(score), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def _raw(model: FourierRidge):

@@ -70,7 +70,7 @@ def spans(docs: DataFrame, width: int, seed: int = SEED) -> DataFrame:
                     anchor, span, text, low, place, count = found
                     yield pa.RecordBatch.from_arrays([pa.array(signed(anchor)), pa.array(signed(span)), pa.array(key[a + text]), pa.array(low.astype(np.int32)), pa.array(place.astype(np.int16)), pa.array(count.astype(np.int16))], names=["anchor", "span", "k", "low", "at", "windows"])
 
-    return docs.select("k", "text").mapInArrow(rows, SPAN)
+    return docs.select("k", "text").mapInArrow(shared.tidy(rows), SPAN)
 
 
 def windows_of(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
@@ -100,7 +100,7 @@ def windows_of(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
                 window = digest(sums, place, place + width, BASES[2])
                 yield pa.RecordBatch.from_arrays([pa.array(anchors[own][each]), pa.array(digests[own][each]), pa.array(key[a + text[each]]), pa.array(start.astype(np.int32)), pa.array(signed(window))], names=["anchor", "span", "k", "start", "window"])
 
-    return texts.mapInArrow(rows, "anchor long, span long, k long, start int, window long")
+    return texts.mapInArrow(shared.tidy(rows), "anchor long, span long, k long, start int, window long")
 
 
 def covered(lows: np.ndarray, counts: np.ndarray, words: int, width: int) -> np.ndarray:
@@ -133,7 +133,7 @@ def without(docs: DataFrame, runs: DataFrame, width: int, finish, schema: str) -
                     out.append((words, int(low), int(high), gone, i - a))
                 yield pa.RecordBatch.from_arrays(finish(batch.slice(a, b - a), out), names=names)
 
-    return texts.mapInArrow(rows, schema)
+    return texts.mapInArrow(shared.tidy(rows), schema)
 
 
 def kept_bytes(words: Words, low: int, high: int, gone: np.ndarray | None) -> bytes:

@@ -57,7 +57,7 @@ def neighbours(sorted_rows: DataFrame, first: str, second: str) -> DataFrame:
         if held is not None:
             yield compare(held, None)
 
-    return sorted_rows.mapInArrow(rows, shared.ddl(sorted_rows.schema) + ", shared boolean, copy boolean")
+    return sorted_rows.mapInArrow(shared.tidy(rows), shared.ddl(sorted_rows.schema) + ", shared boolean, copy boolean")
 
 
 def ranged(df: DataFrame, *by: str) -> DataFrame:

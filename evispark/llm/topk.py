@@ -100,7 +100,7 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float =
         yield from done()
 
     # a block has about QUERY_BLOCK queries and comes before its shard, which streams past it in slices
-    lists = asked.union(there).repartition(shared.partitions(spark), *tile).sortWithinPartitions(*tile, "kind").mapInArrow(multiply, "query_id long, vec_id long, score long")
+    lists = asked.union(there).repartition(shared.partitions(spark), *tile).sortWithinPartitions(*tile, "kind").mapInArrow(shared.tidy(multiply), "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     part = Window.partitionBy("query_id", "branch").orderBy(F.desc("score"), "vec_id")
     branch = lists.withColumn("branch", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, round(shards**0.5)))))

@@ -112,7 +112,7 @@ def count_words(docs: DataFrame, ids: dict[int, float]) -> DataFrame:
             yield from flush().to_batches()
 
     source = docs.select(F.col("doc_id").cast("long"), "text")
-    return source.mapInArrow(rows, "word string, toxic long, ordinary long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+    return source.mapInArrow(shared.tidy(rows), "word string, toxic long, ordinary long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
 def count_grams(words: DataFrame, order: int = ORDER) -> DataFrame:
@@ -143,7 +143,7 @@ def count_grams(words: DataFrame, order: int = ORDER) -> DataFrame:
 
     spark = words.sparkSession
     # each task sends an n-gram once, so few large tasks send less than many small ones
-    made = words.coalesce(2 * spark.sparkContext.defaultParallelism).mapInArrow(rows, "key long, context long, suffix long, size int, types long, toxic long, ordinary long, used long")
+    made = words.coalesce(2 * spark.sparkContext.defaultParallelism).mapInArrow(shared.tidy(rows), "key long, context long, suffix long, size int, types long, toxic long, ordinary long, used long")
     one = made.groupBy("key", "context", "suffix", "size").agg(*(F.sum(c).alias(c) for c in ("types", "toxic", "ordinary", "used")))
     one = shared.written(one, "grams")
     of_context = one.groupBy("context").agg(F.sum("types").alias("total"), F.count("*").alias("kinds"), F.sum("used").alias("used"))
@@ -227,7 +227,7 @@ def statistic(docs: DataFrame, model: KneserNeyRatio) -> DataFrame:
                 word[of[one]] = flat.take(pa.array(best[one])).to_pylist()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(mean), pa.array(top), pa.array(word, pa.string()), pa.array(mean + top)], names=["doc_id", "mean_ratio", "top_ratio", "top_word", "raw"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, "doc_id long, mean_ratio double, top_ratio double, top_word string, raw double")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(shared.tidy(rows), "doc_id long, mean_ratio double, top_ratio double, top_word string, raw double")
 
 
 def fit(docs: DataFrame, known: DataFrame, most: int = MOST_LABELLED) -> KneserNeyRatio:
@@ -264,4 +264,4 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 4, held: in
             s = calibrate(batch.column(2).to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s), pa.array((s >= threshold).astype(np.int32)), batch.column(3)], names=["doc_id", "held_out", "score", "predicted", "top_word"])
 
-    return scored.select("doc_id", (fold(folds) == held).alias("held_out"), "raw", "top_word").mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int, top_word string")
+    return scored.select("doc_id", (fold(folds) == held).alias("held_out"), "raw", "top_word").mapInArrow(shared.tidy(score), "doc_id long, held_out boolean, score double, predicted int, top_word string")
