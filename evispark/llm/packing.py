@@ -169,7 +169,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end
     shared.tune(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store = kept(("words", tokenizer_path), lambda: UnitStore(word_units(tokenizer_path)))
+        store = UnitStore(kept(("words", tokenizer_path), lambda: word_units(tokenizer_path)))
         for batch in batches:
             doc = batch.column(0).to_numpy(zero_copy_only=False)
             null = batch.column(0).is_null()

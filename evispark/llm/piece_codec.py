@@ -174,18 +174,14 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
 
 
-def _codec_and_store(model_path: str) -> tuple[PieceCodec, UnitStore]:
-    codec = PieceCodec(model_path)
+def _coded(batches: Iterator[pa.RecordBatch], model_path: str):
+    codec = kept(("pieces", model_path), lambda: PieceCodec(model_path))
 
     def encode(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         own = [codec.encode(u) for u in units]  # encode() puts the space sign before each
         return np.fromiter((i for x in own for i in x), dtype=np.uint32), np.fromiter(map(len, own), dtype=np.int64, count=len(own))
 
-    return codec, UnitStore(encode)
-
-
-def _coded(batches: Iterator[pa.RecordBatch], model_path: str):
-    codec, store = kept(("pieces", model_path), lambda: _codec_and_store(model_path))
+    store = UnitStore(encode)
     for batch in batches:
         text = pc.fill_null(batch.column(1), "")
         # a text whose spaces stand alone between words is its words' units in a row; any other one is a single unit
