@@ -56,8 +56,9 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(shared.row_key(id_col, text_col).alias("k"), F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
 
 
-def spans(docs: DataFrame, width: int, seed: int = SEED) -> DataFrame:
-    """A row for each span of every whole text of (k, doc_id, text); texts shorter than a window have none."""
+def spans(docs: DataFrame, width: int, seed: int = SEED, with_id: bool = False) -> DataFrame:
+    """A row for each span of every whole text of (k, doc_id, text), with its doc_id if asked for; texts shorter than a
+    window have none."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -68,9 +69,11 @@ def spans(docs: DataFrame, width: int, seed: int = SEED) -> DataFrame:
                 found = _of_windows(words, word_sums(words), width, seed)
                 if found is not None:
                     anchor, span, text, low, place, count = found
-                    yield pa.RecordBatch.from_arrays([pa.array(signed(anchor)), pa.array(signed(span)), pa.array(key[a + text]), pa.array(low.astype(np.int32)), pa.array(place.astype(np.int16)), pa.array(count.astype(np.int16))], names=["anchor", "span", "k", "low", "at", "windows"])
+                    own = [batch.column(2).take(pa.array(a + text))] if with_id else []
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(anchor)), pa.array(signed(span)), pa.array(key[a + text]), pa.array(low.astype(np.int32)), pa.array(place.astype(np.int16)), pa.array(count.astype(np.int16)), *own], names=["anchor", "span", "k", "low", "at", "windows", *["doc_id"] * with_id])
 
-    return docs.select("k", "text").mapInArrow(shared.tidy(rows), SPAN)
+    extra = ["doc_id"] * with_id
+    return docs.select("k", "text", *extra).mapInArrow(shared.tidy(rows), SPAN + f", doc_id {dict(docs.dtypes)['doc_id']}" * with_id)
 
 
 def windows_of(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:

@@ -24,8 +24,9 @@ from evispark.llm.textkit import Words
 WIDTH = 50
 
 
-def neighbours(sorted_rows: DataFrame, first: str, second: str) -> DataFrame:
-    """Add `shared` (a neighbour has the same `first`) and `copy` (the row before has the same `first` and `second`).
+def neighbours(sorted_rows: DataFrame, first: str, second: str, place: list[str]) -> DataFrame:
+    """Add `shared` (a neighbour has the same `first`) and `copy` (the row before has the same `first` and `second`). Rows
+    that repeat the row before in these and in `place` are left out.
 
     Rows come range-sorted. The first and last row of a partition may have neighbours elsewhere: they count as shared, and
     the first as no copy, which the caller settles over the few rows that remain.
@@ -35,24 +36,28 @@ def neighbours(sorted_rows: DataFrame, first: str, second: str) -> DataFrame:
         held, before = None, None
 
         def compare(batch: pa.RecordBatch, after: tuple | None) -> pa.RecordBatch:
-            a, b = (batch.column(c).to_numpy(zero_copy_only=False) for c in (first, second))
+            a, b, *where = (batch.column(c).to_numpy(zero_copy_only=False) for c in (first, second, *place))
+            new = np.ones(len(a), dtype=bool)
+            if len(a) > 1:
+                new[1:] = np.any([x[1:] != x[:-1] for x in (a, b, *where)], axis=0)
             same = np.ones(len(a) + 1, dtype=bool)
             same[1:-1] = a[1:] == a[:-1]
             copy = np.zeros(len(a), dtype=bool)
             copy[1:] = same[1:-1] & (b[1:] == b[:-1])
             if before is not None:
                 same[0] = before[0] == a[0]
-                copy[0] = before == (a[0], b[0])
+                copy[0] = before[:2] == (a[0], b[0])
+                new[0] = before != (a[0], b[0], *(x[0] for x in where))
             if after is not None:
                 same[-1] = after[0] == a[-1]
-            return pa.RecordBatch.from_arrays([*batch.columns, pa.array(same[:-1] | same[1:]), pa.array(copy)], names=[*batch.schema.names, "shared", "copy"])
+            return pa.RecordBatch.from_arrays([*batch.columns, pa.array(same[:-1] | same[1:]), pa.array(copy)], names=[*batch.schema.names, "shared", "copy"]).filter(pa.array(new))
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             if held is not None:
                 yield compare(held, (batch.column(first)[0].as_py(), None))
-                before = held.column(first)[-1].as_py(), held.column(second)[-1].as_py()
+                before = tuple(held.column(c)[-1].as_py() for c in (first, second, *place))
             held = batch
         if held is not None:
             yield compare(held, None)
@@ -71,19 +76,21 @@ def later_copies(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """
     at = ["doc_id", "k", "low"]
     own = docs.select("k", F.col("doc_id")).distinct()
-    every = shared.written(spans(docs, width), "suffixes")
-    flagged = neighbours(ranged(every.drop("at"), "anchor", "span", "k", "low"), "anchor", "span")
-    kept = shared.written(flagged.where("shared").drop("shared").join(own, "k"), "shared")
-    # the first place of every span; sorted neighbours told the others apart but for ids, which put the order in place
-    kinds = kept.groupBy("anchor", "span").agg(F.min(F.struct(*at, "windows")).alias("one"), F.count("*").alias("n"))
+    every = shared.written(spans(docs, width, with_id=True).drop("at"), "suffixes")
+    place = ["anchor", "span", "doc_id", "k", "low"]
+    kept = shared.written(neighbours(ranged(every, *place), "anchor", "span", ["k", "low"]).where("shared").drop("shared"), "shared")
+    # the first place of every span, and others that only stand first in their partition
+    heads = kept.where(~F.col("copy"))
+    kinds = heads.groupBy("anchor", "span").agg(F.min(F.struct(*at, "windows")).alias("one"), F.count("*").alias("n"))
     kinds = shared.written(kinds.select("anchor", "span", "n", "one.*"), "kinds")
-    copies = kept.join(kinds.where("n > 1").select("anchor", "span", *(F.col(c).alias(f"first_{c}") for c in at)), ["anchor", "span"])
-    copies = copies.where(~(F.col("doc_id").eqNullSafe(F.col("first_doc_id")) & (F.col("k") == F.col("first_k")) & (F.col("low") == F.col("first_low")))).select("k", "low", "windows")
+    again = kinds.where("n > 1").select("anchor", "span", *(F.col(c).alias(f"first_{c}") for c in at))
+    parted = heads.join(again, ["anchor", "span"]).where(~((F.col("k") == F.col("first_k")) & (F.col("low") == F.col("first_low"))))
+    copies = kept.where("copy").select("k", "low", "windows").union(parted.select("k", "low", "windows"))
     # what is joined is written first: Spark can split a join's hot keys only where both sides are dealt out for it
     mixed = shared.written(kinds.groupBy("anchor").count().where("count > 1").select("anchor"), "mixed")
     chosen = kinds.join(mixed, "anchor", "left_semi")
     looked = shared.written(windows_of(docs, chosen, width).join(own, "k"), "windows")
-    met = neighbours(ranged(looked.select("anchor", "window", "doc_id", "k", "start"), "anchor", "window", "doc_id", "k", "start"), "window", "anchor").where("shared")
+    met = neighbours(ranged(looked.select("anchor", "window", "doc_id", "k", "start"), "anchor", "window", "doc_id", "k", "start"), "window", "anchor", ["k", "start"]).where("shared")
     met = shared.written(met.drop("shared", "copy"), "met")
     first = met.groupBy("anchor", "window").agg(F.min(F.struct("doc_id", "k", "start")).alias("one"), F.count("*").alias("n")).where("n > 1")
     first = shared.written(first, "first")
