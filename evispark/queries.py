@@ -120,10 +120,10 @@ def dup_map(spark, sf):
     return decisions.exact_duplicates(views.blocks_doc(spark, sf))
 
 
-def _decided(spark, sf):
-    d = views.blocks_doc(spark, sf)
+def _decided(spark, sf, whole=False):
+    d = views.blocks_doc(spark, sf, whole)
     none = d.select("source_id", "citation").limit(0)
-    return d, decisions.decisions(d, views.selection(spark, sf), none, decisions.exact_duplicates(d))
+    return d, decisions.decisions(d, views.selection(spark, sf, whole), none, decisions.exact_duplicates(d))
 
 
 @query(f"WITH {DECIDED} SELECT * FROM decided")
@@ -182,8 +182,8 @@ def slide_topics(spark, sf):
     return topics.slide_topics(d).select("source_id", "title", "citations")
 
 
-def _merged(spark, sf):
-    d = views.blocks_doc(spark, sf)
+def _merged(spark, sf, whole=False):
+    d = views.blocks_doc(spark, sf, whole)
     c = d.select("source_id", F.col("rank").alias("ord"), F.concat(F.lit("Topic "), (F.col("rank") % 11).cast("string")).alias("title"), F.col("slide_title").alias("description"), "citation", "rank")
     return topics.merge_topics(c, ["source_id"], F.regexp_replace(F.lower("title"), "[^a-z0-9]", ""))
 
@@ -432,6 +432,76 @@ def shared_sources(spark, sf):
     return graph.shared_sources(pages, table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_custkey").alias("source_id")))
 
 
+# ---- whole sources: what the queries above say of decks, said of sources, however many documents one has
+
+SOURCE_DOC = DOC.replace("source || '-' || (doc_id // 1000) AS source_id", "source AS source_id")
+
+
+def _of_sources(sql: str) -> str:
+    return sql.replace(DOC, SOURCE_DOC)
+
+
+@query(_of_sources(SQL["dup_map"]))
+def source_dup_map(spark, sf):
+    return decisions.exact_duplicates(views.blocks_doc(spark, sf, True))
+
+
+@query(_of_sources(SQL["keep_decisions"]))
+def source_keep_decisions(spark, sf):
+    return _decided(spark, sf, True)[1]
+
+
+@query(_of_sources(SQL["decisions_counts"]))
+def source_decisions_counts(spark, sf):
+    return _decided(spark, sf, True)[1].groupBy("disposition", "reason_code").agg(F.count("*").alias("n"))
+
+
+@query(_of_sources(SQL["selected_semi"]))
+def source_selected_semi(spark, sf):
+    d, k = _decided(spark, sf, True)
+    return stages.kept_blocks(d, k).select("source_id", "citation", "slide_title")
+
+
+@query(_of_sources(SQL["omitted_anti"]))
+def source_omitted_anti(spark, sf):
+    d, k = _decided(spark, sf, True)
+    return stages.omitted_blocks(d, k).select("source_id", "citation", "slide_title")
+
+
+@query(SQL["decision_violations"])
+def source_decision_violations(spark, sf):
+    return stages.complete_decisions(*_decided(spark, sf, True))
+
+
+@query(_of_sources(SQL["topic_merge"]))
+def source_topic_merge(spark, sf):
+    return _merged(spark, sf, True)
+
+
+@query(_of_sources(SQL["topk_overflow"]))
+def source_topk_overflow(spark, sf):
+    return topics.with_overflow(_merged(spark, sf, True), ["source_id"], 4).select("source_id", F.col("slot").cast("int").alias("slot"), "title", "citations")
+
+
+@query("""SELECT source AS source_id, 'e' || (doc_id % 7) AS base, doc_id, CASE WHEN row_number() OVER w = 1 THEN 'e' || (doc_id % 7) ELSE 'e' || (doc_id % 7) || '--' || row_number() OVER w END AS unique_id
+FROM documents WINDOW w AS (PARTITION BY source, doc_id % 7 ORDER BY doc_id)""")
+def source_unique_element_ids(spark, sf):
+    d = table(spark, sf, "documents").select(F.col("source").alias("source_id"), F.concat(F.lit("e"), (F.col("doc_id") % 7).cast("string")).alias("base"), "doc_id")
+    return B.unique_ids(d, ["source_id"], "base", "doc_id")
+
+
+@query()
+def source_chunk_pack(spark, sf):
+    return chunks.chunk_blocks(views.blocks_doc(spark, sf, True), 2000, header=60)
+
+
+@query("SELECT source AS source_id, count(*) AS fragments, max(length(text)) > 2000 AS has_long FROM documents GROUP BY 1")
+def source_chunk_summary(spark, sf):
+    c = chunks.chunk_blocks(views.blocks_doc(spark, sf, True), 1_000_000)
+    long = table(spark, sf, "documents").groupBy(F.col("source").alias("source_id")).agg((F.max(F.length("text")) > 2000).alias("has_long"))
+    return c.groupBy("source_id").agg(F.count("*").alias("fragments")).join(long, "source_id")
+
+
 # ---- links and pages
 
 HREFS = r"""found AS (SELECT page_id, unnest(regexp_extract_all(html, '(?i)<a\b[^>]*\bhref\s*=\s*["'']([^"'']*)["'']', 1)) AS href, generate_subscripts(regexp_extract_all(html, '(?i)<a\b[^>]*\bhref\s*=\s*["'']([^"'']*)["'']', 1), 1) - 1 AS position FROM pages)"""

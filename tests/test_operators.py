@@ -53,6 +53,18 @@ def test_entry(spark):
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
+def test_whole_sources_span_decks(spark, tmp_path):
+    """A copy whose original has an id in another thousand is a copy all the same; topics, ids and chunks go on too."""
+    spark.createDataFrame([(5, "a b", "en", "s"), (1005, "a  b", "en", "s"), (2005, "c", "en", "t")], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1005, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    run = lambda name: engine.QUERIES[f"source_{name}"](spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in run("dup_map")] == [("s", "[slide-1006#doc-1005]", "[slide-6#doc-5]")]
+    assert {(r.citation, r.disposition) for r in run("keep_decisions")} == {("[slide-6#doc-5]", "keep"), ("[slide-1006#doc-1005]", "duplicate"), ("[slide-2006#doc-2005]", "keep")}
+    assert {(r.source_id, len(r.citations)) for r in run("topic_merge")} == {("s", 1), ("t", 1)}
+    assert {(r.source_id, r["rank"], r.chunk) for r in run("chunk_pack")} == {("s", 5, 1), ("s", 1005, 1), ("t", 2005, 1)}
+    assert {r.source_id for r in run("unique_element_ids")} == {"s", "t"}
+
+
 def test_decision_precedence(spark):
     b = spark.createDataFrame([("s", f"c{i}", i, "", "text", "text", t) for i, t in enumerate(["PR-1 x", "g  h", "g h", "PR-1 x", "k"])], "source_id string, citation string, rank int, slide_title string, kind string, content_format string, content string").withColumn("slide_number", F.lit(1)).withColumn("element_id", F.col("citation"))
     out = stages.organise(b, spark.createDataFrame([("s", "c2")], "source_id string, citation string"))
