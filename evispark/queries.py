@@ -502,6 +502,17 @@ def source_chunk_summary(spark, sf):
     return c.groupBy("source_id").agg(F.count("*").alias("fragments")).join(long, "source_id")
 
 
+@query("""WITH d AS (SELECT doc_id, source AS source_id, 'c' || doc_id AS citation, doc_id % 3 = 0 AS has_request FROM documents)
+SELECT doc_id AS topic_id, source_id, citation FROM d UNION SELECT t.doc_id, t.source_id, b.citation FROM d t JOIN d b USING (source_id) WHERE NOT t.has_request AND b.has_request""")
+def source_topic_expand(spark, sf):
+    """A topic for every document, over whole sources; the rows are topics times request citations of their source.
+
+    Sources follow doc_id % 20, so that doc_id % 4 is one value in a source and would never expand; doc_id % 3 does.
+    """
+    d = table(spark, sf, "documents").select(F.col("source").alias("source_id"), F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("citation"), (F.col("doc_id") % 3 == 0).alias("has_request"), "doc_id")
+    return topics.expand_citations(d.select(F.col("doc_id").alias("topic_id"), "source_id", "citation"), d.drop("doc_id"))
+
+
 # ---- links and pages
 
 HREFS = r"""found AS (SELECT page_id, unnest(regexp_extract_all(html, '(?i)<a\b[^>]*\bhref\s*=\s*["'']([^"'']*)["'']', 1)) AS href, generate_subscripts(regexp_extract_all(html, '(?i)<a\b[^>]*\bhref\s*=\s*["'']([^"'']*)["'']', 1), 1) - 1 AS position FROM pages)"""

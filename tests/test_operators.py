@@ -65,6 +65,14 @@ def test_whole_sources_span_decks(spark, tmp_path):
     assert {r.source_id for r in run("unique_element_ids")} == {"s", "t"}
 
 
+def test_every_document_seeds_a_topic(spark, tmp_path):
+    ids = [3, 4, 5, 1005, 1007, 2007]
+    spark.createDataFrame([(i, "x", "en", "t" if i == 5 else "s") for i in ids], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = {(i, "t" if i == 5 else "s", f"c{i}") for i in ids} | {(i, "s", f"c{j}") for i in (4, 1007) for j in (3, 1005, 2007)}
+    got = [tuple(r) for r in engine.QUERIES["source_topic_expand"](spark, str(tmp_path)).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_decision_precedence(spark):
     b = spark.createDataFrame([("s", f"c{i}", i, "", "text", "text", t) for i, t in enumerate(["PR-1 x", "g  h", "g h", "PR-1 x", "k"])], "source_id string, citation string, rank int, slide_title string, kind string, content_format string, content string").withColumn("slide_number", F.lit(1)).withColumn("element_id", F.col("citation"))
     out = stages.organise(b, spark.createDataFrame([("s", "c2")], "source_id string, citation string"))
