@@ -513,6 +513,23 @@ def source_topic_expand(spark, sf):
     return topics.expand_citations(d.select(F.col("doc_id").alias("topic_id"), "source_id", "citation"), d.drop("doc_id"))
 
 
+# ---- many to many: keys that many rows of both sides share
+
+
+@query("SELECT DISTINCT c_custkey AS page_id, s_suppkey AS entity_id FROM customer JOIN supplier ON c_nationkey = s_nationkey")
+def nation_shared_sources(spark, sf):
+    pages = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("source_id"))
+    return graph.shared_sources(pages, table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("source_id")))
+
+
+@query("""SELECT c_custkey AS mention_id, min(s_suppkey) AS entity_id FROM customer JOIN supplier ON c_nationkey = s_nationkey AND c_custkey % 10 = s_suppkey % 10 GROUP BY 1 HAVING count(*) = 1""")
+def nation_alias_resolve(spark, sf):
+    """Mentions of suppliers by nation, which many suppliers share."""
+    m = table(spark, sf, "customer").select(F.col("c_custkey").alias("mention_id"), F.col("c_nationkey").cast("string").alias("key"), F.lit("s").alias("source_id"), F.array(F.col("c_custkey") % 10).alias("citations"))
+    e = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("entity_id"), F.array(F.col("s_nationkey").cast("string"), F.col("s_name")).alias("keys"), F.lit("s").alias("source_id"), F.array(F.col("s_suppkey") % 10).alias("citations"))
+    return graph.resolve_aliases(m, e)
+
+
 # ---- links and pages
 
 HREFS = r"""found AS (SELECT page_id, unnest(regexp_extract_all(html, '(?i)<a\b[^>]*\bhref\s*=\s*["'']([^"'']*)["'']', 1)) AS href, generate_subscripts(regexp_extract_all(html, '(?i)<a\b[^>]*\bhref\s*=\s*["'']([^"'']*)["'']', 1), 1) - 1 AS position FROM pages)"""

@@ -73,6 +73,17 @@ def test_every_document_seeds_a_topic(spark, tmp_path):
     assert len(got) == len(want) and set(got) == want
 
 
+def test_nations_are_shared_by_many(spark, tmp_path):
+    customers, suppliers = [(i, i % 2) for i in range(1, 13)], [(1, 0), (12, 0), (22, 0), (3, 1), (2505, 1)]
+    spark.createDataFrame(customers, "c_custkey long, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(k, n, f"S{k}") for k, n in suppliers], "s_suppkey long, s_nationkey int, s_name string").write.parquet(f"{tmp_path}/supplier.parquet")
+    pairs = sorted((c, s) for c, n in customers for s, m in suppliers if n == m)
+    assert sorted(map(tuple, engine.QUERIES["nation_shared_sources"](spark, str(tmp_path)).collect())) == pairs
+    met = {c: [s for s, m in suppliers if n == m and c % 10 == s % 10] for c, n in customers}
+    got = dict(map(tuple, engine.QUERIES["nation_alias_resolve"](spark, str(tmp_path)).collect()))
+    assert got == {c: s[0] for c, s in met.items() if len(s) == 1} and 2505 in got.values() and 2 not in got
+
+
 def test_decision_precedence(spark):
     b = spark.createDataFrame([("s", f"c{i}", i, "", "text", "text", t) for i, t in enumerate(["PR-1 x", "g  h", "g h", "PR-1 x", "k"])], "source_id string, citation string, rank int, slide_title string, kind string, content_format string, content string").withColumn("slide_number", F.lit(1)).withColumn("element_id", F.col("citation"))
     out = stages.organise(b, spark.createDataFrame([("s", "c2")], "source_id string, citation string"))
