@@ -18,31 +18,45 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """With the operators' key of id and text: ids may be null or repeat with other texts."""
+    return docs.withColumn("_key", shared.row_key("doc_id", "text"))
+
+
 def _kept(docs: DataFrame, good: DataFrame) -> DataFrame:
-    """Rows of docs whose id is among the good ones; ids may be null."""
-    good = good.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(good, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    """Rows of docs whose key is among the k of the good ones."""
+    return _keyed(docs).join(good.select(F.col("k").alias("_key")).distinct(), "_key", "left_semi").select(*docs.columns)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier rejects (score 0.3 or more) go."""
-    return _kept(docs, toxicity.toxicity_scores(docs, _labels(spark, sf_dir)).where("predicted = 0"))
+    return _kept(docs, toxicity.toxicity_scores(docs, _labels(spark, sf_dir), key=True).where("predicted = 0"))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects (score under 0.3) go."""
-    return _kept(docs, quality.quality_scores(docs, _labels(spark, sf_dir)).where("predicted = 1"))
+    return _kept(docs, quality.quality_scores(docs, _labels(spark, sf_dir), key=True).where("predicted = 1"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near-duplicates stays, the one with the smallest id."""
-    return _kept(docs, jaccard.linked(docs).where("doc_id <=> component_id"))
+    """One document of each component of near-duplicates stays, the one with the smallest id, a null id last; of rows that
+    repeat its id the one with the smallest key, of equal rows one. Texts without words are all components of their own."""
+    rows = shared.written(jaccard.members(docs).groupBy("root", "doc_id", "k", "n_shingles").agg(F.count("*").alias("n")), "members")
+    least = rows.where("n_shingles > 0").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k", "n")).alias("one"))
+    first = shared.written(least.select("one.k", "one.n"), "first")
+    out = _kept(docs, first.where("n = 1").select("k").union(rows.where("n_shingles = 0").select("k")))
+    equal = first.where("n > 1")
+    if equal.isEmpty():
+        return out
+    same = _keyed(docs).join(equal.select(F.col("k").alias("_key")), "_key", "left_semi")
+    return out.union(same.groupBy("_key").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*"))
 
 
 def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words and more that stand in an earlier document go; documents stay, also where no word is left."""
-    cut = suffixes.remove_later_copies(docs).where("n_removed > 0").select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")).distinct()
-    out = docs.join(cut, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    # equal rows are cut alike
+    cut = suffixes.remove_later_copies(docs, key=True).where("n_removed > 0").select(F.col("k").alias("_key"), F.col("text").alias("_text")).distinct()
+    out = _keyed(docs).join(cut, "_key", "left")
     text = F.coalesce("_text", "text")
     return out.select("doc_id", text.alias("text"), "lang", "source", F.when(F.col("_text").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long")).alias("n_chars"))
 

@@ -396,6 +396,14 @@ def linked(docs: DataFrame, threshold: Fraction = Fraction(4, 5), id_col: str =
     different components; a row whose component has no other id than null has a null component_id. Other columns play no
     part.
     """
+    rows = members(docs, threshold, id_col, text_col)
+    least = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # rows without words have no links: each stands for itself even where such rows are equal
+    return rows.join(least, "root").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def members(docs: DataFrame, threshold: Fraction = Fraction(4, 5), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(k, doc_id, n_shingles, root) of every row: its shared.row_key, and a key that the rows of its component share."""
     own = keyed(docs, id_col, text_col)
     # equal rows share k, so that they are one node
     t = shared.written(prefixes(own, sketch(own), threshold), "prefixes")
@@ -431,10 +439,7 @@ def linked(docs: DataFrame, threshold: Fraction = Fraction(4, 5), id_col: str =
     pairs = shared.written(rest.join(tested.union(pairs), ["a", "b"], "left_anti"), "pairs")
     groups = components(_union([groups.select("id", "component_id"), verified(pairs, texts, threshold)]))
     nodes = t.join(groups.withColumnRenamed("id", "k"), "k", "left").select("k", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "k").alias("root")).distinct()
-    rows = own.select("k", "doc_id").join(nodes, "k")
-    least = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    # rows without words have no links: each stands for itself even where such rows are equal
-    return rows.join(least, "root").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return own.select("k", "doc_id").join(nodes, "k")
 
 
 def _mixed(blocks: DataFrame, groups: DataFrame) -> DataFrame:

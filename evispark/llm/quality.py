@@ -53,8 +53,8 @@ def statistics(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
-def statistic_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, stats array<double>) of every whole text; a null text counts as empty."""
+def statistic_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: bool = False) -> DataFrame:
+    """(doc_id, stats array<double>) of every whole text, with its shared.row_key k if asked for; a null text counts as empty."""
     shared.tune(docs.sparkSession)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,9 +62,11 @@ def statistic_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             buf, off = text_bytes(batch.column(1))
             parts = [statistics(buf, off[a : b + 1]) for a, b in chunks(off)]
             flat = np.concatenate(parts).ravel() if parts else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(np.arange(len(off), dtype=np.int32) * N_STATS), pa.array(flat))], names=["doc_id", "stats"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(np.arange(len(off), dtype=np.int32) * N_STATS), pa.array(flat)), *batch.columns[2:]], names=["doc_id", "stats", *own])
 
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(shared.tidy(rows), "doc_id long, stats array<double>")
+    own = ["k"] if key else []
+    k = [shared.row_key(id_col, text_col).alias("k")] if key else []
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), *k).mapInArrow(shared.tidy(rows), "doc_id long, stats array<double>" + ", k long" * key)
 
 
 class FourierRidge:
@@ -110,14 +112,14 @@ class FourierRidge:
         return self.expand(x) @ self.weights
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, label: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, label: str = "quality", threshold: float = THRESHOLD, key: bool = False) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every document.
 
     Labels of ids whose crc32 modulo `folds` is `held` take no part. Empty and null texts get the score of their
     statistics, all zero. Without usable labels every score is about 0.5. Repeated rows come back each; repeated labels of
-    an id count as their mean; other columns play no part.
+    an id count as their mean; other columns play no part. With `key` a column k has the row's shared.row_key.
     """
-    stats = shared.written(statistic_rows(docs), "statistics")
+    stats = shared.written(statistic_rows(docs, key=key), "statistics")
     known = stats.join(one_label(labels, "doc_id", label), "doc_id").where(fold(folds) != held).select("stats", "label")
     model = FourierRidge().fit(known)
     raw = known.mapInArrow(shared.tidy(_raw(model)), "raw double, label double")
@@ -126,9 +128,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             s = calibrate(model(FourierRidge.matrix(batch.column(2))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s), pa.array((s >= threshold).astype(np.int32)), *batch.columns[3:]], names=["doc_id", "held_out", "score", "predicted", *own])
 
-    return stats.select("doc_id", (fold(folds) == held).alias("held_out"), "stats").mapInArrow(shared.tidy(score), "doc_id long, held_out boolean, score double, predicted int")
+    own = ["k"] if key else []
+    return stats.select("doc_id", (fold(folds) == held).alias("held_out"), "stats", *own).mapInArrow(shared.tidy(score), "doc_id long, held_out boolean, score double, predicted int" + ", k long" * key)
 
 
 def _raw(model: FourierRidge):

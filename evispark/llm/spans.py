@@ -114,13 +114,15 @@ def covered(lows: np.ndarray, counts: np.ndarray, words: int, width: int) -> np.
     return np.cumsum(mark)[:words] > 0
 
 
-def without(docs: DataFrame, runs: DataFrame, width: int, finish, schema: str) -> DataFrame:
+def without(docs: DataFrame, runs: DataFrame, width: int, finish, schema: str, key: bool = False) -> DataFrame:
     """Apply runs (k, low, windows) of windows to be removed to every text; finish(batch rows) makes the output.
 
-    finish(doc_id array, [(bytes, words, removed flags) for each text]) -> list of arrays for `schema`.
+    finish(doc_id array, [(bytes, words, removed flags) for each text]) -> list of arrays for `schema`; with `key` the rows
+    come with their k, at the end.
     """
     lists = runs.groupBy("k").agg(F.collect_list(F.struct("low", "windows")).alias("runs"))
-    texts = docs.join(lists, "k", "left").select("doc_id", "text", F.col("runs.low").alias("lows"), F.col("runs.windows").alias("counts"))
+    texts = docs.join(lists, "k", "left").select("doc_id", "text", F.col("runs.low").alias("lows"), F.col("runs.windows").alias("counts"), *(["k"] if key else []))
+    schema += ", k long" if key else ""
     names = [x.strip().split()[0] for x in schema.split(",")]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,7 +136,7 @@ def without(docs: DataFrame, runs: DataFrame, width: int, finish, schema: str) -
                     lows = batch.column(2)[i]
                     gone = covered(np.array(lows.as_py(), np.int64), np.array(batch.column(3)[i].as_py(), np.int64), high - low, width) if lows.is_valid else None
                     out.append((words, int(low), int(high), gone, i - a))
-                yield pa.RecordBatch.from_arrays(finish(batch.slice(a, b - a), out), names=names)
+                yield pa.RecordBatch.from_arrays([*finish(batch.slice(a, b - a), out), *batch.slice(a, b - a).columns[4:]], names=names)
 
     return texts.mapInArrow(shared.tidy(rows), schema)
 

@@ -112,14 +112,14 @@ def remaining_bytes(words: Words, low: int, high: int, gone: np.ndarray | None,
     return data[np.cumsum(mark)[:-1] == 0].tobytes()
 
 
-def remove_later_copies(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_later_copies(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", key: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, text) of every row: passages of at least `width` words that already stand at an earlier
     place go, so that one copy of each is left in the corpus.
 
     A window goes if its words also start earlier, in a text with a smaller id (a null id is the smallest) or before in
     the same text; the words that such windows cover are removed, with the white space after them. Null texts have no words
     and stay null; rows that repeat id and text are each treated alike, as places of the same windows. Other columns play
-    no part; an empty table gives no rows.
+    no part; an empty table gives no rows. With `key` a column k has the row's shared.row_key.
     """
     own = keyed(docs, id_col, text_col)
 
@@ -130,4 +130,4 @@ def remove_later_copies(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_
         return [batch.column(0), pa.array(np.array([b - a for _, a, b, _, _ in texts], dtype=np.int64)), pa.array(removed), pa.array(left, pa.string())]
 
     kind = dict(own.dtypes)["doc_id"]
-    return without(own, later_copies(own, width), width, finish, f"doc_id {kind}, n_words long, n_removed long, text string")
+    return without(own, later_copies(own, width), width, finish, f"doc_id {kind}, n_words long, n_removed long, text string", key)

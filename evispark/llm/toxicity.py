@@ -202,7 +202,8 @@ def _at(n: int, places: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def statistic(docs: DataFrame, model: KneserNeyRatio) -> DataFrame:
-    """(doc_id, mean_ratio, top_ratio, top_word, raw) of every whole text; texts without words have zeros."""
+    """(doc_id, mean_ratio, top_ratio, top_word, raw) of every whole text, and its row_key where docs has one; texts without words have zeros."""
+    own = [c for c in docs.columns if c == "row_key"]
     spark = docs.sparkSession
     shared.tune(spark)
     sent = spark.sparkContext.broadcast(model)
@@ -225,9 +226,9 @@ def statistic(docs: DataFrame, model: KneserNeyRatio) -> DataFrame:
                 of = np.repeat(np.arange(n), counts)[best]
                 _, one = np.unique(of, return_index=True)
                 word[of[one]] = flat.take(pa.array(best[one])).to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(mean), pa.array(top), pa.array(word, pa.string()), pa.array(mean + top)], names=["doc_id", "mean_ratio", "top_ratio", "top_word", "raw"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(mean), pa.array(top), pa.array(word, pa.string()), pa.array(mean + top), *batch.columns[2:]], names=["doc_id", "mean_ratio", "top_ratio", "top_word", "raw", *own])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(shared.tidy(rows), "doc_id long, mean_ratio double, top_ratio double, top_word string, raw double")
+    return docs.select(F.col("doc_id").cast("long"), "text", *own).mapInArrow(shared.tidy(rows), "doc_id long, mean_ratio double, top_ratio double, top_word string, raw double" + ", row_key long" * len(own))
 
 
 def fit(docs: DataFrame, known: DataFrame, most: int = MOST_LABELLED) -> KneserNeyRatio:
@@ -244,14 +245,14 @@ def fit(docs: DataFrame, known: DataFrame, most: int = MOST_LABELLED) -> KneserN
     return KneserNeyRatio(**arrays)
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, label: str = "toxic", threshold: float = THRESHOLD) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, label: str = "toxic", threshold: float = THRESHOLD, key: bool = False) -> DataFrame:
     """(doc_id, held_out, score, predicted, top_word) for every document.
 
     Labels of ids whose crc32 modulo `folds` is `held` take no part. Null and empty texts have the statistic 0. Without
     usable labels every score is about 0.5. Repeated rows come back each; repeated labels of an id count as their mean;
-    other columns play no part.
+    other columns play no part. With `key` a column k has the row's shared.row_key.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), *([shared.row_key("doc_id", "text").alias("row_key")] if key else []))
     shared.tune(docs.sparkSession)
     known = one_label(labels, "doc_id", label).where(fold(folds) != held)
     # a model knows the words of the documents it was fitted on: calibration takes documents of its own
@@ -262,6 +263,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 4, held: in
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             s = calibrate(batch.column(2).to_numpy(zero_copy_only=False))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s), pa.array((s >= threshold).astype(np.int32)), batch.column(3)], names=["doc_id", "held_out", "score", "predicted", "top_word"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s), pa.array((s >= threshold).astype(np.int32)), *batch.columns[3:]], names=["doc_id", "held_out", "score", "predicted", "top_word", *own])
 
-    return scored.select("doc_id", (fold(folds) == held).alias("held_out"), "raw", "top_word").mapInArrow(shared.tidy(score), "doc_id long, held_out boolean, score double, predicted int, top_word string")
+    own = ["k"] if key else []
+    return scored.select("doc_id", (fold(folds) == held).alias("held_out"), "raw", "top_word", *([F.col("row_key").alias("k")] if key else [])).mapInArrow(shared.tidy(score), "doc_id long, held_out boolean, score double, predicted int, top_word string" + ", k long" * key)

@@ -125,3 +125,43 @@ def test_pipeline(spark):
         if n == 4:
             assert {r.doc_id for r in after} == set(before)
         docs = out
+
+
+def test_pipeline_ids_repeat(spark, monkeypatch):
+    """Rows with null and repeated ids: each is judged by its own text and keeps it."""
+    rng = random.Random(9)
+    long = [" ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(200)) for _ in range(4)]
+    words = [x.split() for x in long]
+    table = lambda rows: spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    key = lambda out: sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+
+    # the near copies of text 0 are one component, also with null and equal ids; so are equal rows
+    near = " ".join([*words[0][:-1], "z"])
+    rows = [(None, long[0]), (7, long[0]), (7, near), (7, long[0]), (7, long[1]), (None, long[2]), (None, long[2]), (8, None), (8, None), (None, "")]
+    got = key(corpus_pipeline.near_duplicate_stage(spark, table(rows), SF))
+    assert len(got) == 6 and [x for x in got if x[1] in (long[0], near)][0][0] == 7
+    assert [x for x in got if x[1] not in (long[0], near)] == sorted([(7, long[1]), (None, long[2]), (8, None), (8, None), (None, "")], key=repr)
+
+    # later copies of one passage in rows of one id; an uncut row of this id keeps its text
+    passage = words[0][:80]
+    rows = [(1, long[0])] + [(i, " ".join([*words[n][:60], *passage])) for i, n in ((None, 1), (None, 2), (5, 1), (5, 3))] + [(5, "x y"), (None, None)]
+    seen = list(corpus_pipeline.repeated_passage_stage(spark, table(rows), SF).collect())
+    assert sorted(map(repr, (r.doc_id for r in seen))) == sorted(repr(i) for i, _ in rows)
+    kept = {(r.doc_id, r.text) for r in seen}
+    assert (5, "x y") in kept and (None, None) in kept and len(kept) == len(rows)
+
+    # a bad row goes although another row of its id passes
+    rows = [(3, "good"), (3, "bad"), (None, "good"), (None, "bad"), (4, None), (4, "bad")]
+    want = sorted([x for x in rows if x[1] != "bad"], key=repr)
+    for module, name, stage, flag in ((toxicity, "toxicity_scores", corpus_pipeline.toxicity_stage, 1), (quality, "quality_scores", corpus_pipeline.quality_stage, 0)):
+        true = getattr(module, name)
+
+        def judged(docs, labels, key=False, true=true, flag=flag):
+            from pyspark.sql import functions as F
+
+            scored = true(docs, labels, key=key)
+            bad = docs.where("text = 'bad'").select(corpus_pipeline.shared.row_key("doc_id", "text").alias("k")).distinct().withColumn("bad", F.lit(True))
+            return scored.join(bad, "k", "left").withColumn("predicted", F.when(F.col("bad"), flag).otherwise(1 - flag))
+
+        monkeypatch.setattr(module, name, judged)
+        assert key(stage(spark, table(rows), SF)) == want
