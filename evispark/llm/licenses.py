@@ -63,6 +63,13 @@ EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT
 USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT
 LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED
 OF THE POSSIBILITY OF SUCH DAMAGE."""
+BSD_3 = BSD_2.replace(
+    "\nTHIS SOFTWARE",
+    """
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission.
+THIS SOFTWARE""",
+)
 APACHE_NOTICE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
 compliance with the License. You may obtain a copy of the License at
 http://www.apache.org/licenses/LICENSE-2.0
@@ -72,10 +79,17 @@ governing permissions and limitations under the License."""
 KNOWN = (
     ("MIT", MIT),
     ("MIT", "MIT License\n" + MIT),
+    ("MIT", "The MIT License (MIT)\n" + MIT),
     ("ISC", ISC),
     ("ISC", "ISC License\n" + ISC),
     ("BSD-2-Clause", BSD_2),
     ("BSD-2-Clause", "BSD 2-Clause License\n" + BSD_2),
+    ("BSD-2-Clause", "All rights reserved.\n" + BSD_2),
+    ("BSD-2-Clause", "BSD 2-Clause License\nAll rights reserved.\n" + BSD_2),
+    ("BSD-3-Clause", BSD_3),
+    ("BSD-3-Clause", "BSD 3-Clause License\n" + BSD_3),
+    ("BSD-3-Clause", "All rights reserved.\n" + BSD_3),
+    ("BSD-3-Clause", "BSD 3-Clause License\nAll rights reserved.\n" + BSD_3),
     ("Apache-2.0", APACHE_NOTICE),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("MIT", "Released under the MIT License."),
@@ -87,10 +101,24 @@ KNOWN = (
     ("CC0-1.0", "Released under CC0 1.0."),
     ("LicenseRef-all-rights-reserved", "All rights reserved."),
 )
+#: Whole texts too long to stand here, as digests of their canonical forms.
+LONG_TEXTS = (
+    ("Apache-2.0", "036b5ff6d47b44974c624da95e5bf0ac7ddfe5030e41dfa7ff8ac0c1daa9f32b"),
+    ("Apache-2.0", "f70a2718f78121f2da77cd6afbffffbd668d7c1fd36c85a3ef121e83cb5f48fe"),
+    ("GPL-2.0-only", "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821"),
+    ("GPL-3.0-only", "a8cd54d6683aa630f0b8d05d56184ad91dc486756da2df61c94d3e4e8d5ecb68"),
+    ("LGPL-2.1-only", "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
+    ("LGPL-3.0-only", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-2.0", "f82071285728ca3ec7685ee9bc4acdae0b8267142a4d20b8f1805eabedb4a98a"),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+)
 #: More rows than this join by shuffle instead of a broadcast.
 BROADCAST_ROWS = 10_000
 
 
+#: A notice: copyright with a sign, a year or a name. Licence sentences wrap before the word, and lists have an item (c).
+PROSE = rb"(?:holders?|owners?|notices?|laws?|licen[cs]e[sd]?|statements?|interests?|protection|treaty|treaties|disclaimers?|permissions?|and|or|is|are|in|of|on|to|for|that|by the|as|the above)"
+NOTICE = re.compile(rb"(?:\xc2\xa9|\(c\)\W*(?:copyright|\d{4}|year)|copyright(?![a-z])(?!\s*$)(?!\s+" + PROSE + rb"\b))")
 _TO_SPACE = bytes(b if b >= 0x80 or b == 0x0A or chr(b).isalnum() else 0x20 for b in range(256))
 _STARTS = tuple(x.encode() for x in COPYRIGHT_STARTS)
 _STEMS = tuple(x.encode() for x in STEMS)
@@ -106,7 +134,7 @@ def _spelled(text: bytes) -> bytes:
 
 
 def canonical_lines(text: str) -> list[bytes]:
-    """Every line without marks, spaces single, spellings as they are; copyright lines are empty."""
+    """Every line without marks, spaces single, spellings as they are; copyright notices are empty."""
     raw = text.lower().encode("utf-8", "surrogatepass")
     plain = raw
     if b"\xe2\x80" in plain:
@@ -114,7 +142,7 @@ def canonical_lines(text: str) -> list[bytes]:
             plain = plain.replace(mark, b" ")
     lines = [b" ".join(line.split()) for line in plain.translate(_TO_SPACE).split(b"\n")]
     if any(x in raw for x in _STARTS):
-        starts = [line.lstrip(b" \t").startswith(_STARTS) for line in raw.split(b"\n")]
+        starts = [NOTICE.match(line.lstrip(b" \t")) is not None for line in raw.split(b"\n")]
         lines = [b"" if own else line for line, own in zip(lines, starts, strict=True)]
     return lines
 
@@ -129,6 +157,9 @@ def known_digests(known=KNOWN) -> list[tuple[str, str]]:
     out: dict[str, str] = {}
     for name, text in known:
         out.setdefault(hashlib.sha256(canonical(canonical_lines(text))).hexdigest(), name)
+    if known is KNOWN:
+        for name, digest in LONG_TEXTS:
+            out.setdefault(digest, name)
     return list(out.items())
 
 
@@ -175,7 +206,7 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def scan_sql(source: str = "documents", known=KNOWN) -> str:
-    """DuckDB SQL with the same rows for tables whose rows differ."""
+    """DuckDB SQL with the same rows for tables whose rows differ, and whose lines that start with copyright, (c) or © are notices."""
 
     def form(column: str) -> str:
         out = f"regexp_replace(lower({column}), '{COPYRIGHT_LINE}', chr(10), 'g')"

@@ -78,6 +78,20 @@ def test_license_scan(spark, make_docs):
     assert licenses.scan(make_docs([]), known).count() == 0
 
 
+def test_licenses_in_any_wrapping(spark, make_docs):
+    import textwrap
+
+    mit = " ".join(licenses.MIT.split())
+    texts = ["MIT License\n\nCopyright (c) 2022 A\n\n" + "\n".join(textwrap.wrap(mit, n)) for n in (40, 72, 78, 79, 80, 100, 10**6)]
+    texts += ["Copyright The B Authors. All rights reserved.\n" + "\n".join(textwrap.wrap(licenses.BSD_3, n)) for n in (60, 75, 80)]
+    got = [r.license_id for r in sorted(licenses.scan(make_docs(texts), licenses.known_table(spark)).collect(), key=lambda r: r.doc_id)]
+    assert got == ["MIT"] * 7 + ["BSD-3-Clause"] * 3
+    kept = lambda line: bool(licenses.canonical_lines(line)[0])
+    assert all(map(kept, ("COPYRIGHT HOLDERS BE LIABLE", "(c) You must retain", "copyright notice that is", "copyrighted by")))
+    assert not any(map(kept, ("Copyright 2020 A", "Copyright (C) A", "  © A", "(c) 2021 A", "Copyright A Inc.", "Copyright: A")))
+    assert {"Apache-2.0", "GPL-2.0-only", "GPL-3.0-only", "MPL-2.0"} <= {name for name, _ in licenses.LONG_TEXTS}
+
+
 def held_out(spark, scored, label):
     rows = scored.join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("held_out").select("score", label).collect()
     return np.array([r.score for r in rows]), np.array([r[label] for r in rows])
