@@ -32,18 +32,40 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().get()
 
 
+#: Shuffle files of a finished write go at once, not when the driver next collects garbage: the written table replaces them.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: the lineage ends there and outlives lost executors.
 
-    The files are deleted when the session ends.
+    The files are deleted by discard(), or else when the session ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    files, p = _files(spark, path)
+    files.deleteOnExit(p)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def _files(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written() tables. Only for tables whose every reader has itself been written: later reads fail."""
+    for t in tables:
+        files, p = _files(t.sparkSession, t.scratch_path)
+        files.delete(p, True)
 
 
 def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

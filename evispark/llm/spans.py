@@ -13,9 +13,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from evispark.llm import shared
-from evispark.llm.textkit import BASES, Words, chunks, digest, leftmost_minimum, prefix, signed, text_bytes
+from evispark.llm.textkit import BASES, Words, chunks, digest, gather, leftmost_minimum, prefix, signed, text_bytes
 
 SEED = 8
 SPAN = "anchor long, span long, k long, low int, at short, windows short"
@@ -50,10 +51,11 @@ def _of_windows(words: Words, sums: np.ndarray, width: int, seed: int):
     return h[anchor], span, text, low - of[text], place, count
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(k, doc_id, text) with a key of id and text."""
+def keyed(docs: DataFrame, id_col: str, text_col: str, others: list[str] | None = None) -> DataFrame:
+    """(k, doc_id, text) with a key of id and text; `others` follow as one struct."""
     shared.tune(docs.sparkSession)
-    return docs.select(shared.row_key(id_col, text_col).alias("k"), F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    more = [F.struct(*(F.col(f"`{c}`") for c in others)).alias("others")] if others else []
+    return docs.select(shared.row_key(id_col, text_col).alias("k"), F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), *more)
 
 
 def spans(docs: DataFrame, width: int, seed: int = SEED, with_id: bool = False) -> DataFrame:
@@ -76,54 +78,103 @@ def spans(docs: DataFrame, width: int, seed: int = SEED, with_id: bool = False)
     return docs.select("k", "text", *extra).mapInArrow(shared.tidy(rows), SPAN + f", doc_id {dict(docs.dtypes)['doc_id']}" * with_id)
 
 
-def windows_of(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
-    """(anchor, span, k, start, window digest) for every window of the chosen spans, read from their texts.
+def contexts(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
+    """The chosen spans with the words around their anchors, read from their texts: `right` from the anchor on, `left`
+    before it and backwards, as far as a window of the span reaches; a space ends each word.
 
-    chosen: (anchor, span, k, low, windows). Its rows gather by k, at most as many as the text has spans.
+    docs: (k, text, ...). chosen: (k, low, at, windows, others). Rows gather by k, at most as many as the text has spans.
     """
-    lists = chosen.groupBy("k").agg(F.collect_list(F.struct("anchor", "span", "low", "windows")).alias("spans"))
-    texts = docs.join(lists, "k").select("k", "text", F.col("spans.anchor").alias("anchors"), F.col("spans.span").alias("digests"), F.col("spans.low").alias("lows"), F.col("spans.windows").alias("counts"))
+    inner = [c for c in chosen.columns if c != "k"]
+    lists = chosen.groupBy("k").agg(F.collect_list(F.struct(*inner)).alias("spans"))
+    texts = docs.join(lists, "k").select("k", "text", *(F.col(f"spans.{c}").alias(c) for c in inner))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            buf, off = text_bytes(batch.column(1))
-            key = batch.column(0).to_numpy(zero_copy_only=False)
-            lists = [batch.column(i) for i in (2, 3, 4, 5)]
-            at = np.concatenate([[0], np.cumsum(lists[0].value_lengths().to_numpy(zero_copy_only=False))])
-            anchors, digests, lows, counts = (x.flatten().to_numpy(zero_copy_only=False) for x in lists)
+            lists = {c: batch.column(c) for c in inner}
+            size = lists["low"].value_lengths().to_numpy(zero_copy_only=False)
+            end = np.cumsum(size)
+            flat = {c: x.flatten() for c, x in lists.items()}
+            low, at, windows = (flat[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("low", "at", "windows"))
+            last = low + windows - 1 + width
+            begin, held, right, left = 0, 0, [], []
+
+            def out(i: int, right: list, left: list) -> pa.RecordBatch:
+                nonlocal begin
+                a, b = (int(end[begin - 1]) if begin else 0), int(end[i])
+                k = batch.column("k").slice(begin, i + 1 - begin)
+                own = k.take(pa.array(np.repeat(np.arange(len(k)), size[begin : i + 1])))
+                begin = i + 1
+                return pa.RecordBatch.from_arrays([own, *(flat[c].slice(a, b - a) for c in inner), pa.array(right, pa.binary()), pa.array(left, pa.binary())], names=["k", *inner, "right", "left"])
+
+            for i, text in enumerate(batch.column("text")):
+                words = text.as_buffer().to_pybytes().split()
+                for x in range(int(end[i] - size[i]), int(end[i])):
+                    middle = low[x] + at[x]
+                    right.append(b" ".join(words[middle : last[x]]) + b" ")
+                    left.append(b" ".join(words[low[x] : middle][::-1]) + b" " * bool(at[x]))
+                    held += len(right[-1]) + len(left[-1])
+                if held > 1 << 21 or i == batch.num_rows - 1:
+                    yield out(i, right, left)
+                    held, right, left = 0, [], []
+
+    kind = {f.name: f.dataType.simpleString() for f in chosen.schema}
+    return texts.mapInArrow(shared.tidy(rows), "k long, " + ", ".join(f"{c} {kind[c]}" for c in inner) + ", right binary, left binary")
+
+
+def common_words(a: bytes, b: bytes) -> int:
+    """How many words two contexts share from their start on."""
+    if a == b:
+        return a.count(b" ")
+    n = min(len(a), len(b))
+    other = np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)
+    at = int(other.argmax()) if n else 0
+    return a.count(b" ", 0, at if n and other[at] else n)
+
+
+def window_rows(found: DataFrame, width: int, keep: list[str]) -> DataFrame:
+    """(anchor, window digest, start, *keep) for the windows low, ..., low + windows - 1 of rows (anchor, low, windows,
+    right, left, from_word); left and right hold the words from from_word on."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            right, left = batch.column("right").to_pylist(), batch.column("left").to_pylist()
+            text = [b" ".join([*reversed(x.split()), y]) if x else y for x, y in zip(left, right, strict=True)]
+            buf, off = np.frombuffer(b"".join(text), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in text])]).astype(np.int64)
+            low, windows, base = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("low", "windows", "from_word"))
             for a, b in chunks(off):
                 words = Words(buf, off[a : b + 1])
-                sums = word_sums(words)
-                own = slice(at[a], at[b])
-                text = np.repeat(np.arange(b - a), np.diff(at[a : b + 1]))
-                n = counts[own].astype(np.int64)
-                each = np.repeat(np.arange(len(n)), n)
-                start = lows[own][each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
-                place = start + words.of[text[each]]
+                sums, n = word_sums(words), windows[a:b]
+                each = np.repeat(np.arange(b - a), n)
+                start = gather(low[a:b], n)
+                place = start - base[a:b][each] + words.of[each]
                 window = digest(sums, place, place + width, BASES[2])
-                yield pa.RecordBatch.from_arrays([pa.array(anchors[own][each]), pa.array(digests[own][each]), pa.array(key[a + text[each]]), pa.array(start.astype(np.int32)), pa.array(signed(window))], names=["anchor", "span", "k", "start", "window"])
+                yield pa.RecordBatch.from_arrays([batch.column("anchor").take(pa.array(a + each)), pa.array(signed(window)), pa.array(start.astype(np.int32)), *(batch.column(c).take(pa.array(a + each)) for c in keep)], names=["anchor", "window", "start", *keep])
 
-    return texts.mapInArrow(shared.tidy(rows), "anchor long, span long, k long, start int, window long")
+    kind = {f.name: f.dataType.simpleString() for f in found.schema}
+    return found.mapInArrow(shared.tidy(rows), "anchor long, window long, start int" + "".join(f", {c} {kind[c]}" for c in keep))
 
 
 def covered(lows: np.ndarray, counts: np.ndarray, words: int, width: int) -> np.ndarray:
     """Which of a text's words lie in a window that starts at low, ..., low + count - 1 for any of the runs."""
     mark = np.zeros(words + 1, dtype=np.int64)
-    np.add.at(mark, lows, 1)
+    np.add.at(mark, np.minimum(lows, words), 1)
     np.add.at(mark, np.minimum(lows + counts + width - 1, words), -1)
     return np.cumsum(mark)[:words] > 0
 
 
-def without(docs: DataFrame, runs: DataFrame, width: int, finish, schema: str, key: bool = False) -> DataFrame:
+def without(docs: DataFrame, runs: DataFrame, width: int, finish, schema: str) -> DataFrame:
     """Apply runs (k, low, windows) of windows to be removed to every text; finish(batch rows) makes the output.
 
-    finish(doc_id array, [(bytes, words, removed flags) for each text]) -> list of arrays for `schema`; with `key` the rows
-    come with their k, at the end.
+    finish(doc_id array, [(bytes, words, removed flags) for each text]) -> list of arrays for `schema`; a struct column
+    `others` of docs goes through the same join and comes at the end.
     """
     lists = runs.groupBy("k").agg(F.collect_list(F.struct("low", "windows")).alias("runs"))
-    texts = docs.join(lists, "k", "left").select("doc_id", "text", F.col("runs.low").alias("lows"), F.col("runs.windows").alias("counts"), *(["k"] if key else []))
-    schema += ", k long" if key else ""
-    names = [x.strip().split()[0] for x in schema.split(",")]
+    more = [c for c in docs.columns if c == "others"]
+    texts = docs.join(lists, "k", "left").select("doc_id", "text", F.col("runs.low").alias("lows"), F.col("runs.windows").alias("counts"), *more)
+    names = [*(x.strip().split()[0] for x in schema.split(",")), *more]
+    schema = DataType.fromDDL(schema)
+    for c in more:
+        schema = schema.add(docs.schema[c])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,11 +1,14 @@
 """Suffix-array dedup on sparse suffix arrays: of every text only the suffixes at content-selected minimiser positions are
-kept, sorted over the cluster and compared with their neighbours; shared ones are extended left and right.
-
-A suffix is ordered by the digest of its first words, then by the digest of all words around it that a window of the
-threshold length can reach (its span), then by its place. Digests order equal content together, which is all that a
-comparison of neighbours needs. In sorted order a suffix whose first words no neighbour shares is dropped; one whose whole
-span equals the span before it is a later copy; what remains are examples of partly equal spans, whose windows are sorted
-and compared in the same way.
+kept, sorted over the cluster and compared with their neighbours; what they share is extended right and left.
+
+1. Suffixes are sorted by the digest of their first words (the minimiser) and of their reach, all words around it that a
+   window of the threshold length can hold. Those whose minimiser no neighbour shares are dropped; places of one whole reach
+   are one entry of the array, and all but the first are later copies as they stand.
+2. Entries whose minimiser has several reaches are sorted by their words from the minimiser on. The longest prefix that an
+   entry shares with any other is the one it shares with a neighbour, counted in words: it bounds how far a copied passage
+   extends to the right. The same array sorted by the words before the minimiser, backwards, bounds the extension to the left.
+3. Windows that both bounds allow are few; they are sorted with those of other entries, and the first of equals stays. Equal
+   reaches and windows are told by two independent digests of 64 bits, the minimiser's and their own.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evispark.llm import shared
-from evispark.llm.spans import keyed, spans, windows_of, without
+from evispark.llm.spans import common_words, contexts, keyed, spans, window_rows, without
 from evispark.llm.textkit import Words
 
 WIDTH = 50
@@ -69,33 +72,79 @@ def ranged(df: DataFrame, *by: str) -> DataFrame:
     return df.repartitionByRange(shared.partitions(df.sparkSession), *by).sortWithinPartitions(*by)
 
 
+def longest_shared(entries: DataFrame, side: str, *before: str) -> DataFrame:
+    """Add `common`: how many words of its context `side` a row shares at most with another row of the same `before` columns.
+
+    The array is sorted by `before` and the context's bytes; whatever shares most of a context stands next to it, so only
+    neighbours are compared. The first and last row of a partition may have neighbours elsewhere: they keep all words.
+    """
+    place = [c for c in ("doc_id", "k", "low") if c in entries.columns]
+    array = ranged(entries, *before, side, *place)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, link = None, None  # a batch whose last row waits for its neighbour; what its first row shares with the row before
+
+        def finish(batch: pa.RecordBatch, last: int | None, x: list[bytes], links: list[int]) -> pa.RecordBatch:
+            n = len(x)
+            out = [max(([links[i - 1]] if i else [link if link is not None else x[i].count(b" ")]) + ([links[i]] if i < n - 1 else [last if last is not None else x[i].count(b" ")])) for i in range(n)]
+            return pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int32())], names=[*batch.schema.names, "common"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, own = batch.column(side).to_pylist(), list(zip(*(batch.column(c).to_pylist() for c in before), strict=True)) if before else [()] * batch.num_rows
+            links = [common_words(x[i], x[i + 1]) if own[i] == own[i + 1] else 0 for i in range(len(x) - 1)]
+            if held is not None:
+                last = common_words(held[1][-1], x[0]) if held[3] == own[0] else 0
+                yield finish(held[0], last, held[1], held[2])
+                link = last
+            held = batch, x, links, own[-1]
+        if held is not None:
+            yield finish(held[0], None, held[1], held[2])
+
+    return array.mapInArrow(shared.tidy(rows), shared.ddl(entries.schema) + ", common int")
+
+
 def later_copies(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(k, low, windows): runs of windows whose words also start at an earlier place, of (k, doc_id, text) rows.
 
     Places are ordered by doc_id, then k, then word; a null id comes first.
     """
     at = ["doc_id", "k", "low"]
-    own = docs.select("k", F.col("doc_id")).distinct()
-    every = shared.written(spans(docs, width, with_id=True).drop("at"), "suffixes")
+    every = shared.written(spans(docs, width, with_id=True), "suffixes")
     place = ["anchor", "span", "doc_id", "k", "low"]
     kept = shared.written(neighbours(ranged(every, *place), "anchor", "span", ["k", "low"]).where("shared").drop("shared"), "shared")
-    # the first place of every span, and others that only stand first in their partition
+    shared.discard(every)
+    # the first place of every reach, and others that only stand first in their partition
     heads = kept.where(~F.col("copy"))
-    kinds = heads.groupBy("anchor", "span").agg(F.min(F.struct(*at, "windows")).alias("one"), F.count("*").alias("n"))
+    kinds = heads.groupBy("anchor", "span").agg(F.min(F.struct(*at, "at", "windows")).alias("one"), F.count("*").alias("n"))
     kinds = shared.written(kinds.select("anchor", "span", "n", "one.*"), "kinds")
     again = kinds.where("n > 1").select("anchor", "span", *(F.col(c).alias(f"first_{c}") for c in at))
     parted = heads.join(again, ["anchor", "span"]).where(~((F.col("k") == F.col("first_k")) & (F.col("low") == F.col("first_low"))))
-    copies = kept.where("copy").select("k", "low", "windows").union(parted.select("k", "low", "windows"))
+    copies = shared.written(kept.where("copy").select("k", "low", "windows").union(parted.select("k", "low", "windows")), "copies")
+    shared.discard(kept)
     # what is joined is written first: Spark can split a join's hot keys only where both sides are dealt out for it
     mixed = shared.written(kinds.groupBy("anchor").count().where("count > 1").select("anchor"), "mixed")
-    chosen = kinds.join(mixed, "anchor", "left_semi")
-    looked = shared.written(windows_of(docs, chosen, width).join(own, "k"), "windows")
-    met = neighbours(ranged(looked.select("anchor", "window", "doc_id", "k", "start"), "anchor", "window", "doc_id", "k", "start"), "window", "anchor", ["k", "start"]).where("shared")
+    chosen = kinds.join(mixed, "anchor", "left_semi").select("anchor", *at, "at", "windows")
+    words = shared.written(contexts(docs, chosen, width), "words")  # a range sort reads its input twice
+    # rightwards: a window fits only where the words from the anchor to its end stand elsewhere too
+    right = longest_shared(words, "right").withColumn("from_word", F.col("low"))
+    right = right.withColumn("windows", F.least(F.col("windows").cast("int"), F.col("at") + F.col("common") - (width - 1))).where("windows > 0")
+    right = shared.written(right.drop("common"), "right")
+    shared.discard(words, kinds, mixed)
+    # leftwards: so must the words before the anchor
+    left = longest_shared(right, "left", "anchor").withColumn("skip", F.greatest(F.lit(0), F.col("at") - F.col("common")))
+    left = left.withColumn("low", F.col("low") + F.col("skip")).withColumn("windows", F.col("windows") - F.col("skip")).where("windows > 0")
+    looked = shared.written(window_rows(left, width, ["doc_id", "k"]), "windows")
+    met = neighbours(ranged(looked, "anchor", "window", "doc_id", "k", "start"), "window", "anchor", ["k", "start"]).where("shared")
     met = shared.written(met.drop("shared", "copy"), "met")
+    shared.discard(right, looked)
     first = met.groupBy("anchor", "window").agg(F.min(F.struct("doc_id", "k", "start")).alias("one"), F.count("*").alias("n")).where("n > 1")
     first = shared.written(first, "first")
     partly = met.join(first, ["anchor", "window"]).where(~F.struct("doc_id", "k", "start").eqNullSafe(F.col("one")))
-    return copies.union(partly.select("k", F.col("start").alias("low"), F.lit(1).cast("short").alias("windows")))
+    partly = shared.written(partly.select("k", F.col("start").alias("low"), F.lit(1).cast("short").alias("windows")), "partly")
+    shared.discard(met, first)
+    return copies.union(partly)
 
 
 def remaining_bytes(words: Words, low: int, high: int, gone: np.ndarray | None, text: int) -> bytes:
@@ -112,16 +161,16 @@ def remaining_bytes(words: Words, low: int, high: int, gone: np.ndarray | None,
     return data[np.cumsum(mark)[:-1] == 0].tobytes()
 
 
-def remove_later_copies(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", key: bool = False) -> DataFrame:
+def remove_later_copies(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", others: list[str] | None = None) -> DataFrame:
     """(doc_id, n_words, n_removed, text) of every row: passages of at least `width` words that already stand at an earlier
     place go, so that one copy of each is left in the corpus.
 
     A window goes if its words also start earlier, in a text with a smaller id (a null id is the smallest) or before in
     the same text; the words that such windows cover are removed, with the white space after them. Null texts have no words
-    and stay null; rows that repeat id and text are each treated alike, as places of the same windows. Other columns play
-    no part; an empty table gives no rows. With `key` a column k has the row's shared.row_key.
+    and stay null; rows that repeat id and text are each treated alike, as places of the same windows. Columns named in
+    `others` follow each row; no other column plays a part. An empty table gives no rows.
     """
-    own = keyed(docs, id_col, text_col)
+    own = keyed(docs, id_col, text_col, others)
 
     def finish(batch: pa.RecordBatch, texts: list) -> list[pa.Array]:
         removed = np.array([0 if g is None else int(g.sum()) for *_, g, _ in texts], dtype=np.int64)
@@ -130,4 +179,5 @@ def remove_later_copies(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_
         return [batch.column(0), pa.array(np.array([b - a for _, a, b, _, _ in texts], dtype=np.int64)), pa.array(removed), pa.array(left, pa.string())]
 
     kind = dict(own.dtypes)["doc_id"]
-    return without(own, later_copies(own, width), width, finish, f"doc_id {kind}, n_words long, n_removed long, text string", key)
+    out = without(own, later_copies(own.select("k", "doc_id", "text"), width), width, finish, f"doc_id {kind}, n_words long, n_removed long, text string")
+    return out.select("doc_id", "n_words", "n_removed", "text", "others.*") if others else out
