@@ -54,11 +54,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words and more that stand in an earlier document go; documents stay, also where no word is left."""
-    # equal rows are cut alike
-    cut = suffixes.remove_later_copies(docs, key=True).where("n_removed > 0").select(F.col("k").alias("_key"), F.col("text").alias("_text")).distinct()
-    out = _keyed(docs).join(cut, "_key", "left")
-    text = F.coalesce("_text", "text")
-    return out.select("doc_id", text.alias("text"), "lang", "source", F.when(F.col("_text").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long")).alias("n_chars"))
+    cut = suffixes.remove_later_copies(docs, others=["lang", "source", "n_chars"])
+    chars = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return cut.select("doc_id", "text", "lang", "source", chars.alias("n_chars"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
