@@ -1,19 +1,17 @@
-"""Best-fit packing of token sequences, bulk-synchronous: range-sorted pieces meet range-sorted gaps in successor sweeps.
-
-Pieces and gaps take at most `capacity` different sizes, so a sweep needs, of all rows, only how many there are of each
-size in each range partition. One superstep takes all pieces of the largest size that is left, gives them the gaps of the
-smallest size that still holds them (the successor), opens sequences where there is none, and puts the smaller gaps back;
-the supersteps run down the sizes. Ties within a size are resolved by rank: the r-th piece of a size takes the r-th gap
-that the sweep granted to that size. The plan has a row for each run of ranks, at most a few per size and gap, whatever the
-number of documents; a final pass lays it over the range-sorted pieces.
+"""Best-fit packing of token sequences in bulk-synchronous supersteps over range-sorted pieces and gaps.
+
+Pieces are range-sorted by size once, largest first, which gives each a rank. The supersteps run down ranges of sizes. In each
+one the range's pieces and all gaps that may hold them are dealt to tasks by rank, so that every task has its share of each
+size and no two tasks want the same gap. A task sweeps over its pieces in order: a piece takes the successor, the smallest
+gap that holds it, and what is left of it is a gap again; pieces of one size that want one gap take it and the next ones by
+rank; where no gap holds a piece a sequence is opened. All updated gaps are ranked and dealt anew in the next superstep.
 """
 
 from __future__ import annotations
 
-import bisect
 import zlib
-from collections import deque
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -22,112 +20,127 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evispark.llm import shared
-from evispark.llm.textkit import runs, text_bytes
+from evispark.llm.textkit import text_bytes
 from evispark.llm.vocabulary import UnitStore, kept, spread
 
 MARK = "<|endoftext|>"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def sweep(sizes: dict[int, int], capacity: int) -> list[tuple[int, int, int, int]]:
-    """Best fit over counts by size, largest first: rows (size, first rank, first sequence, offset), ranks ascending.
+class Gaps:
+    """A task's gaps by size; the successor of a size is found by its lowest set bit above."""
+
+    def __init__(self, capacity: int, fresh):
+        self.capacity, self.fresh = capacity, fresh
+        self.of: list[list[int]] = [[] for _ in range(capacity + 1)]
+        self.sizes = 0
+
+    def put(self, size: int, sequence: int) -> None:
+        if not self.of[size]:
+            self.sizes |= 1 << size
+        self.of[size].append(sequence)
+
+    def place(self, size: int) -> tuple[int, int]:
+        """(sequence, offset) for a piece of this size."""
+        above = self.sizes >> size
+        if above:
+            gap = size + (above & -above).bit_length() - 1
+            sequence = self.of[gap].pop()
+            if not self.of[gap]:
+                self.sizes ^= 1 << gap
+        else:
+            gap, sequence = self.capacity, next(self.fresh)
+        self.put(gap - size, sequence)
+        return sequence, self.capacity - gap
+
+    def left(self) -> Iterator[tuple[int, int]]:
+        """(size, sequence), smallest first; full sequences have no gap."""
+        for size in range(1, self.capacity + 1):
+            for sequence in self.of[size]:
+                yield size, sequence
 
-    Ranks from `first rank` to the next row's take consecutive sequences. Sizes lie between 1 and capacity.
-    """
-    gaps: dict[int, deque[tuple[int, int]]] = {}  # size of a gap -> runs of sequences that have it
-    order: list[int] = []  # sizes that have gaps, ascending
-    plan, opened = [], 0
-
-    def put(gap: int, low: int, high: int) -> None:
-        if gap:
-            if gap not in gaps:
-                gaps[gap] = deque()
-                bisect.insort(order, gap)
-            gaps[gap].append((low, high))
-
-    for size in sorted(sizes, reverse=True):
-        rank, left = 0, sizes[size]
-        while left:
-            at = bisect.bisect_left(order, size)
-            if at == len(order):  # none fits: open as many as are sure to be filled with this size
-                each = capacity // size
-                n = -(-left // each)
-                put(capacity, opened, opened + n)
-                opened += n
-                continue
-            gap = order[at]
-            low, high = gaps[gap].popleft()
-            n = min(left, high - low)
-            if high - low > n:
-                gaps[gap].appendleft((low + n, high))
-            elif not gaps[gap]:
-                del gaps[gap], order[at]
-            plan.append((size, rank, low, capacity - gap))
-            put(gap - size, low, low + n)
-            rank, left = rank + n, left - n
-    return plan
+
+#: Pieces of a superstep for each task.
+SHARE = 200_000
+#: Sizes at most the capacity over this power of two share the last superstep.
+STEPS = 5
 
 
 def pack(pieces: DataFrame, capacity: int, order: list[str], size: str = "length") -> DataFrame:
     """Add sequence_id and offset to pieces, whose `size` lies between 1 and capacity. `order` makes rows distinct.
 
-    Rows of one size may be a third of all: range partitions split them, since `order` takes part in the range. What
-    reaches the driver are counts by (partition, size): at most partitions + capacity rows. Repeated rows are packed each.
+    Rows of one size may be a third of all: `order` takes part in the ranges and shares are dealt by rank, so they spread
+    over tasks. What reaches the driver are counts by size: at most capacity rows. Repeated rows are packed each.
     """
     spark = pieces.sparkSession
-    n = shared.partitions(spark)
-    ranged = pieces.repartitionByRange(n, F.desc(size), *order).sortWithinPartitions(F.desc(size), *order)
-    ranged = shared.written(ranged.mapInArrow(shared.tidy(numbered(size)), shared.ddl(ranged.schema) + ", _part int, _rank long"), "ranged")
-    counts = ranged.groupBy("_part", size).count().collect()
-    totals: dict[int, int] = {}
-    first: dict[tuple[int, int], int] = {}
-    for part, s, c in sorted(map(tuple, counts)):
-        first[part, s] = totals.get(s, 0)
-        totals[s] = totals.get(s, 0) + c
-    if totals and not 1 <= min(totals) <= max(totals) <= capacity:
+    rows = pieces.withColumn("_size", F.col(size).cast("int"))
+    ranged = rows.repartitionByRange(F.desc("_size"), *order).sortWithinPartitions(F.desc("_size"), *order)
+    ranged = shared.written(ranged.mapInArrow(shared.tidy(_numbered), shared.ddl(rows.schema) + ", _part int, _rank long"), "ranged")
+    counts = dict(map(tuple, ranged.groupBy("_size").count().collect()))
+    if counts and not 1 <= min(counts) <= max(counts) <= capacity:
         raise ValueError("sizes must lie between 1 and the capacity")
-    plan = np.array(sweep(totals, capacity), dtype=np.int64).reshape(-1, 4)
-    plan = plan[np.lexsort((plan[:, 1], plan[:, 0]))]
-    bound = {s: (np.searchsorted(plan[:, 0], s), np.searchsorted(plan[:, 0], s, "right")) for s in totals}
-    # (capacity + partitions) and a few rows per size and gap: bounded, so the closure carries them
     schema = shared.ddl(pieces.schema) + ", sequence_id long, offset long"
-
-    def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            s = batch.column(size).to_numpy(zero_copy_only=False).astype(np.int64)
-            part, rank = batch.column("_part").to_numpy(zero_copy_only=False), batch.column("_rank").to_numpy(zero_copy_only=False)
-            seq, off = np.zeros(len(s), np.int64), np.zeros(len(s), np.int64)
-            cut = np.flatnonzero((s[1:] != s[:-1]) | (part[1:] != part[:-1])) + 1
-            for a, b in zip([0, *cut] if len(s) else [], [*cut, len(s)] if len(s) else [], strict=True):
-                r = first[int(part[a]), int(s[a])] + rank[a:b]
-                low, high = bound[int(s[a])]
-                row = low + np.searchsorted(plan[low:high, 1], r, side="right") - 1
-                seq[a:b], off[a:b] = plan[row, 2] + r - plan[row, 1], plan[row, 3]
-            keep = [c for c in batch.schema.names if c not in ("_part", "_rank")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(seq), pa.array(off)], names=[*keep, "sequence_id", "offset"])
-
-    return ranged.mapInArrow(shared.tidy(lay), schema)
-
-
-def numbered(size: str):
-    """Add _part and _rank, the place among the partition's rows of that size; rows come sorted by size."""
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # a piece of more than half the capacity has a sequence of its own, whose rank names it
+    bounds = [0, *sorted({capacity >> k for k in range(1, STEPS + 1)} - {0}), capacity]
+    own = F.shiftleft(F.col("_part").cast("long"), 40) + F.col("_rank")
+    large = ranged.where(F.col("_size") > bounds[-2])
+    placed = [large.select(*pieces.columns, own.alias("sequence_id"), F.lit(0).cast("long").alias("offset"))]
+    gaps = large.where(F.col("_size") < capacity).select((capacity - F.col("_size")).alias("_gap"), own.alias("_sequence"), (F.col("_part") + F.col("_rank")).alias("_deal"))
+    for step in range(len(bounds) - 2, 0, -1):
+        low, high = bounds[step - 1], bounds[step]
+        number = sum(n for s, n in counts.items() if low < s <= high)
+        if number:
+            tasks = -(-number // SHARE)
+            own = ranged.where((F.col("_size") > low) & (F.col("_size") <= high)).withColumn("_deal", F.col("_part") + F.col("_rank")).drop("_part", "_rank")
+            both = own.unionByName(gaps, allowMissingColumns=True).withColumn("_deal", F.pmod("_deal", F.lit(tasks)))
+            dealt = both.repartition(tasks, "_deal").sortWithinPartitions(F.desc("_gap"), F.desc("_size"), *order, "_sequence")
+            swept = shared.written(dealt.mapInArrow(shared.tidy(_sweep(capacity, step, pieces.columns)), f"{schema}, _gap int, _sequence long, _deal long"), "swept")
+            placed.append(swept.where("_gap is null").drop("_gap", "_sequence", "_deal"))
+            gaps = swept.where("_gap is not null").select("_gap", "_sequence", "_deal")
+    out = placed[0]
+    for p in placed[1:]:
+        out = out.union(p)
+    return out
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add _part and _rank, the place in the partition."""
+    from pyspark import TaskContext
+
+    part, seen = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        n = batch.num_rows
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(n, part, np.int32)), pa.array(seen + np.arange(n))], names=[*batch.schema.names, "_part", "_rank"])
+        seen += n
+
+
+def _sweep(capacity: int, step: int, columns: list[str]):
+    """A task's part of a superstep: gaps come first, then pieces, largest first. Rows of placed pieces, then those of gaps."""
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        last, seen = None, 0
+        # steps and tasks number the sequences that they open apart from each other and from those of large pieces
+        gaps = Gaps(capacity, count(1 << 62 | step << 58 | part << 36))
+        kinds = None
         for batch in batches:
-            s = batch.column(size).to_numpy(zero_copy_only=False)
-            rank = np.zeros(len(s), np.int64)
-            bounds = runs(s)
-            for a, b in zip(bounds[:-1], bounds[1:], strict=True) if len(s) else ():
-                seen = seen if s[a] == last else 0
-                rank[a:b] = seen + np.arange(b - a)
-                last, seen = s[a], seen + b - a
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(s), part, np.int32)), pa.array(rank)], names=[*batch.schema.names, "_part", "_rank"])
-
-    return number
+            kinds = [batch.schema.field(c).type for c in columns]
+            gap = batch.column("_gap")
+            for g, s in zip(gap.drop_null().to_pylist(), batch.column("_sequence").drop_null().to_pylist(), strict=True):
+                gaps.put(g, s)
+            own = batch.filter(gap.is_null())
+            if own.num_rows:
+                at = np.array([gaps.place(s) for s in own.column("_size").to_pylist()], dtype=np.int64)
+                none = [pa.nulls(len(at), pa.int32()), pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.int64())]
+                yield pa.RecordBatch.from_arrays([*(own.column(c) for c in columns), pa.array(at[:, 0]), pa.array(at[:, 1]), *none], names=[*columns, "sequence_id", "offset", "_gap", "_sequence", "_deal"])
+        left = np.array(list(gaps.left()), dtype=np.int64).reshape(-1, 2)
+        for a in range(0, len(left), 50_000):
+            x = left[a : a + 50_000]
+            none = [pa.nulls(len(x), k) for k in (*kinds, pa.int64(), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(x[:, 0].astype(np.int32)), pa.array(x[:, 1]), pa.array(part + a + np.arange(len(x)))], names=[*columns, "sequence_id", "offset", "_gap", "_sequence", "_deal"])
+
+    return sweep
 
 
 def word_parts(text: pa.Array) -> pa.Array:
