@@ -1,4 +1,8 @@
-"""Near-duplicate embeddings: random-hyperplane signs in several tables, exact cosines inside buckets, components."""
+"""Near-duplicate embeddings: random-hyperplane signs in several tables, exact cosines inside buckets, components.
+
+A table deals out, for each vector, its bucket, its id and a code of further signs. In a bucket codes are compared by the number
+of signs that differ; only vectors with another near them are fetched, and their cosines computed in double precision.
+"""
 
 from __future__ import annotations
 
@@ -18,6 +22,8 @@ from evispark.llm.textkit import runs
 MISS = 1e-4
 #: Vectors of a bucket that one task compares with each other; larger buckets are compared in tiles of this size.
 TILE = 2048
+#: Signs of a code, by which rows of a bucket are told apart before vectors move.
+CODE_BITS = 256
 
 
 def clean(vectors: DataFrame, vector: str) -> DataFrame:
@@ -58,19 +64,31 @@ def bucket_links(x: np.ndarray, sig: np.ndarray, table: int, own: np.ndarray, i:
     return near
 
 
+def codes(batch: np.ndarray, seed: int) -> np.ndarray:
+    """CODE_BITS further signs of every vector, packed into bytes."""
+    planes = np.random.default_rng([seed, 1, batch.shape[1]]).standard_normal((batch.shape[1], CODE_BITS))
+    return np.packbits(batch @ planes > 0, axis=1)
+
+
+def most_differing(threshold: float) -> int:
+    """In how many signs of a code vectors at the threshold may differ; more have a chance of about 1e-7."""
+    share = math.acos(threshold) / math.pi
+    return math.ceil(CODE_BITS * share + 5.2 * math.sqrt(CODE_BITS * share * (1 - share)))
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vector: str = "embedding", label: str = "label", seed: int = 11) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row; see the module's text for the method.
 
     Vectors link when their labels are equal and not null, their lengths are equal, and their cosine in double precision is
     at least the threshold. A vector that is null, zero or holds a null or non-finite component links with nothing, nor
     does one without an id. Equal vectors are one node that counts how many there are; a row that repeats id, label and
-    vector counts once. Other columns play no part.
+    vector counts once; rows that repeat an id alone are vectors of their own, with links of their own. Other columns play
+    no part.
     """
-    spark = vectors.sparkSession
     v = clean(vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{label}`").alias("label"), F.col(f"`{vector}`").cast("array<double>").alias("v")), "v")
     usable = v.where("vec_id is not null and label is not null and v is not null")
-    nodes = usable.distinct().groupBy("label", "v").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
-    nodes = shared.written(nodes.withColumn("dim", F.size("v")), "nodes")
+    same = usable.distinct().groupBy("label", "v").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
+    nodes = shared.written(same.withColumn("dim", F.size("v")).withColumn("node", F.monotonically_increasing_id()), "nodes")
     most = nodes.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
     bits, tables = plan(most, threshold)
 
@@ -79,19 +97,34 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
             dims = batch.column("dim").to_numpy(zero_copy_only=False)
             for d in np.unique(dims):
                 part = batch.filter(pa.array(dims == d))
-                sig = sign_tables(_matrix(part.column("v"), int(d)), bits, tables, seed)
+                x = _matrix(part.column("v"), int(d))
+                sig = sign_tables(x, bits, tables, seed)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sig) + 1, dtype=np.int32) * tables), pa.array(sig.ravel()))
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, "sig"])
+                yield pa.RecordBatch.from_arrays([*part.columns, lists, pa.array([c.tobytes() for c in codes(x, seed)], pa.binary())], names=[*part.schema.names, "sig", "code"])
 
-    signed = nodes.mapInArrow(shared.tidy(sign), shared.ddl(nodes.schema) + ", sig array<int>")
+    signed = shared.written(nodes.mapInArrow(shared.tidy(sign), shared.ddl(nodes.schema) + ", sig array<int>, code binary"), "signed")
     place = ["label", "dim", "table", "bucket"]
-    full = signed.select("label", "dim", F.posexplode("sig").alias("table", "bucket")).groupBy(*place).count().where(F.col("count") > TILE)
-    full = full.select(*place, F.ceil(F.col("count") / TILE).cast("int").alias("tiles"))
-    rows = signed.select("*", F.posexplode("sig").alias("table", "bucket")).join(full, place, "left")
-    rows = rows.withColumn("own", F.when(F.col("tiles").isNull(), 0).otherwise(F.pmod(F.xxhash64("node"), F.col("tiles"))).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.when(F.col("tiles").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("tiles") - 1))))
+    dealt = signed.select("label", "dim", "node", "code", F.posexplode("sig").alias("table", "bucket"))
+    counts = shared.written(dealt.groupBy(*place).count().where("count > 1").withColumn("tiles", F.ceil(F.col("count") / TILE).cast("int")).drop("count"), "buckets")
+    rows = dealt.join(counts, place)
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     key = [*place, "i", "j"]
-    rows = rows.select(*place, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "copies", "v", "sig")
+    rows = rows.select(*place, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "code")
+    bound = most_differing(threshold)
+
+    def near_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in sorted_runs(batches, key):
+            if run.num_rows < 2:
+                continue
+            i, j = run.column("i")[0].as_py(), run.column("j")[0].as_py()
+            flags = np.unpackbits(np.frombuffer(b"".join(run.column("code").to_pylist()), np.uint8).reshape(run.num_rows, -1), axis=1).astype(np.float32) * 2 - 1
+            near = (CODE_BITS - flags @ flags.T) / 2 <= bound
+            np.fill_diagonal(near, False)
+            if i != j:
+                own = run.column("own").to_numpy()
+                near &= own[:, None] != own[None, :]
+            if near.any():
+                yield from run.filter(pa.array(near.any(1))).drop_columns(["code"]).combine_chunks().to_batches()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in sorted_runs(batches, key):
@@ -116,16 +149,29 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
                 reach = new
             yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(near.astype(np.int64) @ copies), pa.array(reach)], names=["node", "links", "least"])
 
-    # a tile has at most 2 x TILE rows; runs are cut from sorted rows, whichever batches they come in
-    found = shared.written(rows.repartition(shared.partitions(spark), *key).sortWithinPartitions(*key).mapInArrow(shared.tidy(compare), "node long, links long, least long"), "links")
-    groups = components(found.select("node", "least")).withColumnRenamed("id", "node")
-    counts = found.groupBy("node").agg(F.sum("links").alias("links"))
-    done = nodes.join(counts, "node", "left").join(groups, "node", "left").select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "node").alias("component_id"))
+    # a tile has at most about 2 x TILE rows; runs are cut from sorted rows, whichever batches they come in. Every table deals
+    # out ids and codes only; vectors follow where a code has another near it
+    n = shared.partitions(v.sparkSession)
+    chosen = shared.written(_tiled(rows, key, n).mapInArrow(shared.tidy(near_codes), shared.ddl(rows.drop("code").schema)), "chosen")
+    full = chosen.join(signed.select("node", "copies", "v", "sig"), "node").select(*chosen.columns, "copies", "v", "sig")
+    found = shared.written(_tiled(full, key, n).mapInArrow(shared.tidy(compare), "node long, links long, least long"), "links")
+    shared.discard(counts, chosen)
+    groups = components(found.select("node", "least")).withColumnRenamed("id", "node").withColumnRenamed("component_id", "root")
+    grouped = shared.written(nodes.select("node", "label", "v", "copies", "least").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node")), "grouped")
+    least = shared.written(grouped.groupBy("root").agg(F.min("least").alias("component_id")), "least")
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
+    done = grouped.join(least, "root").join(links, "node", "left").select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
+    done = shared.written(done, "done")
+    shared.discard(signed, nodes, found, grouped, least)
     out = v.where("vec_id is not null").join(done, ["label", "v"], "left").unionByName(v.where("vec_id is null"), allowMissingColumns=True)
     group = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), group.alias("component_id"), F.coalesce(F.col("vec_id") == group, F.lit(True)).alias("kept"))
 
 
+def _tiled(rows: DataFrame, key: list[str], n: int) -> DataFrame:
+    return rows.repartition(n, *key).sortWithinPartitions(*key)
+
+
 def sorted_runs(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.Table]:
     """Cut sorted rows into tables of equal keys, across batches."""
     held: list[pa.RecordBatch] = []

@@ -43,6 +43,27 @@ def test_near_duplicates(spark):
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_vectors_of_one_id(spark):
+    """Rows that repeat an id with other vectors are apart."""
+    rows = [(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [1.0, 0.01], 1), (3, [0.01, 1.0], 1), (4, [-1.0, 0.0], 1), (4, [-1.0, 0.0], 1)]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    assert sorted(map(tuple, got)) == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (4, 0, 4, True), (4, 0, 4, True)]
+
+
+def test_recall(spark):
+    """Every link of a table with many of them, against all cosines of a label."""
+    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = [(r.vec_id, np.array(r.embedding, float), r.label) for r in table.where("embedding is not null and label is not null").collect()]
+    want = {}
+    for label in {r[2] for r in rows}:
+        ids, x = [r[0] for r in rows if r[2] == label], np.array([r[1] for r in rows if r[2] == label])
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        near = x @ x.T >= 0.93
+        want |= dict(zip(ids, (near.sum(1) - 1).tolist(), strict=True))
+    got = {r.vec_id: r.n_links for r in embeddings.near_duplicates(table).collect()}
+    assert all(got[i] <= n for i, n in want.items()) and sum(got.values()) >= 0.999 * sum(want.values())
+
+
 def test_large_bucket_tiles(spark, monkeypatch):
     monkeypatch.setattr(embeddings, "TILE", 16)
     rng = np.random.default_rng(2)
