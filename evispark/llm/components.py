@@ -44,12 +44,16 @@ def _stars(up: dict[int, int], top) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], names=["a", "b"])
 
 
-def _lower(edges: DataFrame, both_ways: bool) -> DataFrame:
-    """One star step on edges with a > b. Large star: every larger neighbour of a node moves to the node's smallest
-    neighbour. Small star: a node and its smaller neighbours move to the smallest of these. Counting down by aggregation
-    and joining back keeps a node's neighbours spread over tasks."""
+def _least(edges: DataFrame, both_ways: bool) -> DataFrame:
+    """(a, m): the smallest of a node and its neighbours, of all of them or of the smaller ones."""
     seen = edges.union(edges.select("b", "a")) if both_ways else edges
-    least = seen.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    return seen.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+
+
+def _lower(edges: DataFrame, least: DataFrame, both_ways: bool) -> DataFrame:
+    """One star step on edges with a > b. Large star: every larger neighbour of a node moves to the node's smallest
+    neighbour. Small star: a node and its smaller neighbours move to the smallest of these. The smallest ones are a written
+    table, so that the join deals out both sides and Spark can split a node of many edges."""
     if both_ways:
         out = edges.select(F.col("b").alias("a"), F.col("a").alias("v")).join(least, "a").select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:
@@ -67,7 +71,12 @@ def components(edges: DataFrame) -> DataFrame:
     pairs = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
     now = shared.written(pairs.mapInArrow(shared.tidy(_contract), PAIR), "edges")
     while not _stars_only(now):
-        now = shared.written(_lower(_lower(now, True), False), "edges")
+        before = [now]
+        for both_ways in (True, False):
+            least = shared.written(_least(now, both_ways), "least")
+            now = shared.written(_lower(now, least, both_ways), "edges")
+            before += [least, now]
+        shared.discard(*before[:-1])
     return now.select(F.col("a").alias("id"), F.col("b").alias("component_id")).union(now.select(F.col("b").alias("id"), F.col("b").alias("component_id")).distinct())
 
 

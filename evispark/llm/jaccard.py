@@ -396,8 +396,10 @@ def linked(docs: DataFrame, threshold: Fraction = Fraction(4, 5), id_col: str =
     different components; a row whose component has no other id than null has a null component_id. Other columns play no
     part.
     """
-    rows = members(docs, threshold, id_col, text_col)
-    least = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # written first, as all aggregates here that are joined back by their key: Spark splits a hot key only in a join that
+    # deals out both sides
+    rows = shared.written(members(docs, threshold, id_col, text_col), "members")
+    least = shared.written(rows.groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
     # rows without words have no links: each stands for itself even where such rows are equal
     return rows.join(least, "root").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
@@ -407,19 +409,22 @@ def members(docs: DataFrame, threshold: Fraction = Fraction(4, 5), id_col: str =
     own = keyed(docs, id_col, text_col)
     # equal rows share k, so that they are one node
     t = shared.written(prefixes(own, sketch(own), threshold), "prefixes")
-    edges = [t.where("n > 0").groupBy("set1", "set2").agg(F.min("k").alias("a")).join(t.where("n > 0").select("set1", "set2", F.col("k").alias("b")), ["set1", "set2"]).where("a <> b").select("a", "b")]
+    equal = shared.written(t.where("n > 0").groupBy("set1", "set2").agg(F.min("k").alias("a"), F.count("*").alias("c")).where("c > 1").drop("c"), "equal")
+    edges = [equal.join(t.where("n > 0").select("set1", "set2", F.col("k").alias("b")), ["set1", "set2"]).where("a <> b").select("a", "b")]
     held = t.where(F.size("tokens") > 0).select("k", "n", "own", F.posexplode("tokens").alias("place", "token"))
     held = held.select("token", "k", "n", "place", (F.col("place") < F.col("own")).alias("own"))
     # how many, and how many with their own part, in one number
     both = held.groupBy("token").agg(F.sum(F.when(F.col("own"), F.lit((1 << 32) + 1)).otherwise(F.lit(1))).alias("s"))
     often = both.select("token", F.expr(f"s & {(1 << 32) - 1}").alias("c"), F.expr("shiftright(s, 32)").alias("own")).where("c > 1 and own > 0").select("token", "c")
+    often = shared.written(often, "often")
     blocks = shared.written(held.join(often, "token"), "blocks")
     # the hub of a block: the document that has the shingle furthest in front, so with the fewest rarer ones before it
-    hubs = blocks.groupBy("token").agg(F.min(F.struct("place", "k", "n")).alias("hub"))
+    hubs = shared.written(blocks.groupBy("token").agg(F.min(F.struct("place", "k", "n")).alias("hub")), "hubs")
     near = blocks.join(hubs, "token").where("k <> hub.k").where(F.least("n", "hub.n") >= needed_column(F.col("n"), F.col("hub.n"), threshold))
     stars = near.groupBy("k").agg(F.max(F.struct("c", -F.col("hub.place"), "hub.k")).alias("one"), F.min(F.struct("hub.place", "hub.k")).alias("two"))
     stars = stars.select(F.explode(F.array("one.k", "two.k")).alias("a"), F.col("k").alias("b")).distinct()
     stars = shared.written(stars, "stars")
+    shared.discard(often, hubs)
     texts = shared.written(candidate_texts(own, blocks.select("k").distinct()), "texts")
     counted = shared.written(_counted(texts), "points")
     # merge joins here and below: the same plan at every size
@@ -446,8 +451,10 @@ def _mixed(blocks: DataFrame, groups: DataFrame) -> DataFrame:
     """Rows of blocks whose documents lie in different components, with these."""
     named = blocks.select("k", "token", "n", "own", "c").join(groups.withColumnRenamed("id", "k").hint("merge"), "k", "left").withColumn("component", F.coalesce("component_id", "k")).drop("component_id")
     named = shared.written(named, "named")
-    mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
-    return shared.written(named.join(shared.written(mixed, "mixed"), "token", "left_semi"), "open")
+    mixed = shared.written(named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token"), "mixed")
+    out = shared.written(named.join(mixed, "token", "left_semi"), "open")
+    shared.discard(named, mixed)
+    return out
 
 
 def _tiles(blocks: DataFrame) -> DataFrame:
