@@ -4,11 +4,11 @@
 LOCAL_CITATION = r"\[slide-(\d+)#([^\]\s#]+)\]"
 QUALIFIED_CITATION = r"\[@([a-z0-9](?:[a-z0-9._-]{0,126}[a-z0-9])?)/slide-(\d+)#([^\]\s#]+)\]"
 
-# Number grammars. Prose numbers may not follow a digit; claim numbers may not touch letters or digits;
+# Number grammars. Prose numbers may not follow a digit; claim and raw numbers may not touch letters or digits;
 # raw numbers keep their spelling and know per mille.
 PROSE_NUMBER = r"(?<!\d)[-+]?(?:\d{1,3}(?:,\d{3})+|\d+)(?:\.\d+)?(?:[%％])?"
 CLAIM_NUMBER = r"(?<![0-9A-Za-z])[-+]?(?:\d{1,3}(?:,\d{3})+|\d+)(?:\.\d+)?%?(?![0-9A-Za-z])"
-RAW_NUMBER = r"[-+]?\d[\d,]*(?:\.\d+)?(?:[%‰])?"
+RAW_NUMBER = r"(?<![0-9A-Za-z])[+-]?(?:\d{1,3}(?:,\d{3})+|\d+)(?:\.\d+)?(?:%|‰)?(?![0-9A-Za-z])"
 
 # Identifiers, and request numbers with their labels (English and Korean).
 IDENTIFIER = r"(?i)(?<![A-Z0-9])(?:[A-Z]{2,8}[ \t_-]+[A-Z0-9][A-Z0-9._/\-]{0,63})(?![A-Z0-9])"

@@ -51,6 +51,8 @@ def test_lenient_json():
 
 def test_repeats():
     assert text.repeats_at_end("start " + "ab" * 60) and not text.repeats_at_end("plain words only")
+    # int(4 * (1 + 3 / period)) copies are still none too many: 16 of one character, 10 of two
+    assert [text.repeats_at_end("x" + u * n) for u, n in (("a", 16), ("a", 17), ("ab", 10), ("ab", 11))] == [False, True, False, True]
     tail = "y" * 9000 + "end."
     assert text.cut_repeats(tail) == tail
     assert text.cut_repeats("h" * 10 + "abc" * 4000).count("abc") == 1
@@ -80,6 +82,7 @@ def test_html_tables():
     rows = html.table_rows("<table><tr><td colspan=2>a</td><td>b</td></tr><tr><td rowspan=2>c</td><td>d</td><td>e</td></tr><tr><td>f</td></tr></table>")
     assert rows == [[["a", "a", "b"], ["c", "d", "e"], ["c", "f"]]]
     assert html.clean_table("<table onclick=x><tr><td colspan='3' style='a'>x<script>bad</script></td></table>") == '<table><tr><td colspan="3">x</td></tr></table>'
+    assert html.cell_tokens_table("<lcel><ecel>no<nl><fcel>x < y<ucel><xcel><nl>") == "<table><tr><td></td><td></td></tr><tr><td>x &lt; y</td></tr></table>".replace("<td></td></tr>", '<td rowspan="2"></td></tr>', 1)
     assert html.cell_tokens_table("<fcel>a<lcel><nl><fcel>b<fcel>c<nl>") == '<table><tr><td colspan="2">a</td></tr><tr><td>b</td><td>c</td></tr></table>'
     assert "<script" not in html.plain_text("<p>a</p><script>x</script>b") and html.plain_text("<p>a</p>b") == "a\nb"
     spanned = html.span_table(2, 2, [{"row": 0, "column": 0, "text": "a<", "row_span": 1, "column_span": 2}])
