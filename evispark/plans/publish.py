@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,10 +80,10 @@ def manifest(files: DataFrame) -> DataFrame:
 
 
 def publish(files: DataFrame, target: str, violations: DataFrame | None = None) -> None:
-    """Write pages (path, body) below a new folder: checks first, then a staging folder, then one rename.
+    """Write pages (path, body) at their paths below a new folder: checks first, then a staging folder, then one rename.
 
-    Every task writes its rows through Hadoop's file systems in a Spark text write per page partition; the target must not
-    exist. Large sites stay distributed: pages are rows of a partitioned write, and only the rename is the driver's.
+    Tasks write their own pages, so a large site stays distributed; a task that runs again writes the same pages again. Only
+    the rename is the driver's. The target must not exist.
     """
     if violations is not None:
         fail_closed(violations)
@@ -91,7 +94,23 @@ def publish(files: DataFrame, target: str, violations: DataFrame | None = None)
     if fs.exists(place(target)):
         raise FileExistsError(target)
     stage = f"{target.rstrip('/')}.{uuid.uuid4().hex}.incomplete"
-    files.select("body", "path").write.partitionBy("path").option("lineSep", "\n").text(stage)
+    root = re.sub("^file:/+", "file:///", fs.makeQualified(place(stage)).toString())
+
+    def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow.fs import FileSystem
+
+        store, base = FileSystem.from_uri(root)
+        for frame in frames:
+            for path, body in zip(frame.path, frame.body, strict=True):
+                if ".." in path.split("/") or path.startswith("/"):
+                    raise ValueError(f"{path} leaves the site")
+                store.create_dir(f"{base}/{path}".rpartition("/")[0])
+                with store.open_output_stream(f"{base}/{path}") as out:
+                    out.write(body.encode())
+            yield pd.DataFrame({"n": [len(frame)]})
+
+    fs.mkdirs(place(stage))
+    files.select("path", "body").mapInPandas(write, "n long").agg(F.sum("n")).collect()
     if not fs.rename(place(stage), place(target)):
         raise OSError(f"cannot rename to {target}")
 
