@@ -91,7 +91,7 @@ def paragraphs(body) -> str:
 
 
 def table_json(table) -> str:
-    """Rows, columns and origin cells with spans, as JSON."""
+    """Rows, columns and the cells that no other covers, with spans, as JSON."""
     rows = table.findall(f"{A}tr")
     columns = len(table.findall(f"{A}tblGrid/{A}gridCol"))
     cells = []
@@ -100,7 +100,7 @@ def table_json(table) -> str:
             if cell.get("hMerge") in ("1", "true") or cell.get("vMerge") in ("1", "true"):
                 continue
             down, across = (max(1, min(number(cell.get(k), 1), most)) for k, most in (("rowSpan", len(rows) - y), ("gridSpan", columns - x)))
-            cells.append({"row": y, "column": x, "text": paragraphs(cell.find(f"{A}txBody")), "row_span": down, "column_span": across, "is_merge_origin": down > 1 or across > 1})
+            cells.append({"row": y, "column": x, "text": paragraphs(cell.find(f"{A}txBody")), "row_span": down, "column_span": across, "is_merge_origin": True})
     return json.dumps({"rows": len(rows), "columns": columns, "cells": cells}, ensure_ascii=False)
 
 
