@@ -2,29 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evispark.functions.udfs import call
+from evispark.session import cut
 
 
-def content_digest(kind: Column, form: Column, content: Column) -> Column:
-    """Digest of kind, format and content, spaces collapsed. ASCII rows stay with Spark; NFKC needs a kernel."""
-    plain = F.trim(F.regexp_replace(content, r"[ \t\n\x0B\f\r\x1c-\x1f]+", " "))
-    collapsed = F.when(~content.rlike(r"[^\x00-\x7F]"), plain).otherwise(call("collapse_text", content))
-    return F.sha2(F.concat_ws("\x1f", kind, form, collapsed), 256)
+def content_digests(blocks: DataFrame) -> DataFrame:
+    """(source_id, citation, rank, digest): digest of kind, format and content after NFKC, spaces collapsed.
+
+    Spark runs a Python kernel for every row of a branch that names it, so ASCII rows, which NFKC leaves alone, are a branch
+    of their own without it.
+    """
+    ascii_only = ~F.coalesce(F.col("content"), F.lit("")).rlike(r"[^\x00-\x7F]")
+    plain = F.trim(F.regexp_replace("content", r"[ \t\n\x0B\f\r\x1c-\x1f]+", " "))
+    digest = lambda collapsed: F.sha2(F.concat_ws("\x1f", "kind", "content_format", collapsed), 256).alias("digest")
+    key = ["source_id", "citation", "rank"]
+    return blocks.where(ascii_only).select(*key, digest(plain)).union(blocks.where(~ascii_only).select(*key, digest(call("collapse_text", F.col("content")))))
 
 
-def exact_duplicates(blocks: DataFrame, protected: DataFrame | None = None, digest: Column | None = None) -> DataFrame:
-    """(source_id, citation, duplicate_of): blocks that repeat an earlier one of their source.
+def exact_duplicates(blocks: DataFrame, protected: DataFrame | None = None, digests: DataFrame | None = None) -> DataFrame:
+    """(source_id, citation, duplicate_of): blocks that repeat an earlier one of their source. Protected blocks are no copies.
 
-    Blocks with an equal digest share one partition only by (source, digest) minimum: the first of each is found by
-    aggregation and joined back, so a text that a source repeats very often stays spread. Protected blocks are no copies.
+    Texts are digested once; their digests and the first of each are cut off as tables of their own, so that the join deals
+    out both sides and Spark can split a text that a source repeats very often.
     """
-    keyed = blocks.select("source_id", "citation", "rank", (content_digest(F.col("kind"), F.col("content_format"), F.col("content")) if digest is None else digest).alias("digest"))
-    first = keyed.groupBy("source_id", "digest").agg(F.min_by("citation", "rank").alias("duplicate_of"), F.min("rank").alias("first"), F.count("*").alias("n")).where("n > 1")
+    keyed = cut(content_digests(blocks) if digests is None else digests)
+    first = cut(keyed.groupBy("source_id", "digest").agg(F.min_by("citation", "rank").alias("duplicate_of"), F.min("rank").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
     copies = keyed.join(first, ["source_id", "digest"]).where("rank > first").select("source_id", "citation", "duplicate_of")
-    return copies if protected is None else copies.join(protected, ["source_id", "citation"], "left_anti")
+    return cut(copies if protected is None else copies.join(protected, ["source_id", "citation"], "left_anti"))
 
 
 def request_ledger(blocks: DataFrame) -> DataFrame:
@@ -68,9 +75,17 @@ def occurrences(files: DataFrame) -> DataFrame:
 
 
 def source_ids(digests: DataFrame, least: int = 16, step: int = 2) -> DataFrame:
-    """(sha256, source_id): deck- and the shortest prefix length at which all distinct digests differ, 16 at least."""
-    distinct = digests.select("sha256").distinct()
-    lengths = list(range(least, 65, step))
-    counted = distinct.agg(F.count("*").alias("all"), *(F.countDistinct(F.substring("sha256", 1, n)).alias(f"n{n}") for n in lengths)).first()
-    length = next((n for n in lengths if counted[f"n{n}"] == counted["all"]), 64)
-    return distinct.select("sha256", F.concat(F.lit("deck-"), F.substring("sha256", 1, length)).alias("source_id"))
+    """(sha256, source_id): deck- and the shortest prefix length at which all distinct digests differ, `least` at least.
+
+    Each length that is tried counts by prefix; only digests that still share one are counted at the next length.
+    """
+    distinct = cut(digests.select("sha256").distinct())
+    length, same = least, distinct
+    while length < 64:
+        prefix = F.substring("sha256", 1, length)
+        shared = same.groupBy(prefix.alias("p")).count().where("count > 1").select("p")
+        same = cut(same.withColumn("p", prefix).join(shared, "p", "left_semi").drop("p"))
+        if same.isEmpty():
+            break
+        length += step
+    return distinct.select("sha256", F.concat(F.lit("deck-"), F.substring("sha256", 1, min(length, 64))).alias("source_id"))

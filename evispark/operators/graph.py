@@ -5,25 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evispark.functions.udfs import call
 from evispark.operators.topics import ordered
+from evispark.session import cut
 
-# Predicates and the kinds of objects that each prefers.
+# Predicates, and the kinds of objects that each prefers (none: any kind).
 OBJECT_KINDS = {
-    "tests": ("product", "package", "lot", "component"),
-    "uses": ("test", "equipment", "method"),
-    "has_condition": ("condition",),
-    "has_result": ("result",),
-    "has_failure": ("failure_mode",),
-    "part_of": ("product", "package"),
-    "made_by": ("organization",),
+    "has_sample": ("sample",),
+    "has_lot": ("lot",),
+    "targets_device": ("device", "product"),
+    "uses_package": ("package", "product"),
+    "uses_material": ("material",),
+    "underwent_test": ("test_method",),
+    "uses_condition": ("test_condition",),
+    "uses_equipment": ("equipment", "system"),
+    "observed_failure": ("failure_mode",),
+    "observed_defect": ("defect",),
+    "suspected_cause": ("material", "process", "defect", "failure_mode", "concept"),
+    "concluded_cause": ("material", "process", "defect", "failure_mode", "concept"),
+    "recommends_action": ("corrective_action", "process"),
+    "compared_with": (),
     "related_to": (),
 }
-DOMAIN_KINDS = tuple(sorted({k for kinds in OBJECT_KINDS.values() for k in kinds}))
+# Kinds of entities of the domain, which win over general ones, and the general ones.
+DOMAIN_KINDS = ("sample", "lot", "device", "package", "material", "process", "test_method", "test_condition", "equipment", "failure_mode", "defect", "standard", "corrective_action")
+GENERAL_KINDS = ("person", "organization", "product", "system", "project", "location", "concept", "metric", "other")
 
 
 def predicate_kinds(spark) -> DataFrame:
-    """(predicate, kind, preference) rows: a dimension of a few rows."""
-    return spark.createDataFrame([(p, k, i) for p, kinds in OBJECT_KINDS.items() for i, k in enumerate(kinds)], "predicate string, kind string, preference int")
+    """(predicate, kinds) rows: a dimension of as many rows as there are predicates."""
+    return spark.createDataFrame([(p, list(kinds)) for p, kinds in OBJECT_KINDS.items()], "predicate string, kinds array<string>")
 
 
 def contained(texts: DataFrame, names: DataFrame) -> DataFrame:
@@ -85,6 +96,51 @@ def merge_edges(candidates: DataFrame) -> DataFrame:
     return keyed.groupBy("id", "predicate", "subject", "object").agg(head.alias("h"), ordered(F.col("citation"), F.col("ord")).alias("citations")).select("id", "predicate", "subject", "object", F.col("h.description").alias("description"), "citations")
 
 
+def resolve_edges(found: DataFrame, entities: DataFrame, evidence: DataFrame, key=None, request=None, numbers=None) -> DataFrame:
+    """Edges (id, predicate, subject, object, assertion, description, citations, requests) from a model's relationships.
+
+    found: (ord, source_id, predicate, subject, subject_type, object, object_type, assertion, description, citations);
+    entities: (entity_id, type, keys, source_id, citations), a row for each source; evidence: (source_id, citation, numbers,
+    requests), where requests are (key, value) pairs.
+
+    A relationship stays if its predicate is known, a citation of it is evidence of its source, both ends resolve, its text
+    has no number that its citations lack, and a request number belongs to it. An end is a request number of its citations,
+    else the one entity of that name with a citation in common; of several the type that is asked for decides, for objects
+    the kinds that the predicate prefers. Requests are those of the ends, else those of the citations. Relationships of one
+    predicate, assertion and ends unite; the first one's words stay. Loops and relationships without assertion drop out.
+    """
+    key = key or (lambda c: call("search_form", c))
+    request = request or (lambda c: call("request_key", c))
+    numbers = numbers or (lambda c: call("claim_numbers", c))
+    spark = found.sparkSession
+    said = found.withColumn("predicate", F.lower(F.trim("predicate"))).where(F.trim(F.coalesce("assertion", F.lit(""))) != "")
+    said = said.join(F.broadcast(predicate_kinds(spark)), "predicate").withColumn("description", F.when(F.trim(F.coalesce("description", F.lit(""))) != "", F.col("description")).otherwise(F.col("assertion")))
+    cited = said.select("ord", "source_id", F.posexplode(F.array_distinct("citations")).alias("at", "citation")).join(evidence, ["source_id", "citation"])
+    flat = lambda c: F.array_distinct(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("at", c))), lambda x: x[c])))
+    own = cited.groupBy("ord").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "citation"))), lambda x: x["citation"]).alias("citations"), flat("numbers").alias("known"), flat("requests").alias("requests"))
+    said = cut(said.drop("citations").join(own, "ord"))
+    said = said.where(F.size(F.array_except(numbers(F.concat_ws("\n", "assertion", "description")), "known")) == 0)
+    end = lambda role: F.struct(F.lit(role).alias("role"), F.col(role).alias("name"), F.col(f"{role}_type").alias("asked"))
+    ends = said.select("ord", "source_id", "citations", "kinds", "requests", F.explode(F.array(end("subject"), end("object"))).alias("e")).select("*", "e.*").drop("e")
+    of_request = F.filter("requests", lambda r: r["key"] == F.col("request_key"))
+    ends = cut(ends.withColumn("request_key", request(F.col("name"))).withColumn("request", F.get(F.transform(of_request, lambda r: r["value"]), 0)).withColumn("key", key(F.col("name"))).drop("request_key", "requests"))
+    names = entities.select("entity_id", "type", F.explode("keys").alias("key"), "source_id", F.col("citations").alias("theirs")).distinct()
+    hits = ends.where("request is null").join(names, ["source_id", "key"]).where(F.arrays_overlap("citations", "theirs"))
+    asked, liked = F.col("asked").isNotNull(), (F.col("role") == "object") & F.array_contains("kinds", F.col("type"))
+    hits = hits.where(~asked | (F.col("asked") == F.col("type"))).withColumn("liked", ~asked & liked).select("ord", "role", "entity_id", "liked").distinct()
+    one = lambda flag: F.when(F.count_if(flag) == 1, F.min(F.when(flag, F.col("entity_id"))))
+    best = hits.groupBy("ord", "role").agg(F.when(F.count_if("liked") > 0, one(F.col("liked"))).otherwise(one(F.lit(True))).alias("entity"))
+    solved = ends.select("ord", "role", "request").join(best, ["ord", "role"], "left")
+    node = F.coalesce(F.concat(F.lit("pr:"), F.col("request")), F.concat(F.lit("entity:"), F.col("entity")))
+    pick = lambda role, c: F.max(F.when(F.col("role") == role, c))
+    pairs = solved.groupBy("ord").agg(pick("subject", node).alias("subject"), pick("object", node).alias("object"), F.array_compact(F.array(pick("subject", F.col("request")), pick("object", F.col("request")))).alias("named")).where("subject <> object")
+    out = said.drop("subject", "object").join(pairs, "ord").withColumn("requests", F.when(F.size("named") > 0, F.array_distinct("named")).otherwise(F.transform("requests", lambda r: r["value"]))).where(F.size("requests") > 0)
+    out = out.withColumn("id", relationship_id(F.col("predicate"), F.col("subject"), F.col("object"), key(F.col("assertion"))))
+    gather = lambda c: F.array_distinct(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("ord", c))), lambda x: x[c])))
+    merged = out.groupBy("id", "predicate", "subject", "object").agg(F.min(F.struct("ord", "assertion", "description")).alias("h"), gather("citations").alias("citations"), gather("requests").alias("requests"))
+    return merged.select("id", "predicate", "subject", "object", "h.assertion", "h.description", "citations", "requests")
+
+
 def incidence(edges: DataFrame) -> DataFrame:
     """(node, direction, predicate, other): every edge from both of its ends."""
     out = edges.select(F.col("subject").alias("node"), F.lit("out").alias("direction"), "predicate", F.col("object").alias("other"))

@@ -20,7 +20,7 @@ from evispark.views import SLIDE_HEIGHT, SLIDE_WIDTH, table
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
-DOC = """doc AS (SELECT source || '-' || (doc_id // 1000) AS source_id, doc_id + 1 AS slide_number, lang AS slide_title,
+DOC = """doc AS (SELECT source AS source_id, doc_id + 1 AS slide_number, lang AS slide_title,
 'doc-' || doc_id AS element_id, text AS content, doc_id AS rank, '[slide-' || (doc_id + 1) || '#doc-' || doc_id || ']' AS citation FROM documents)"""
 GEO = """geo AS (SELECT l_orderkey AS slide_number, CAST(l_linenumber AS INTEGER) AS element_id, CASE WHEN l_linenumber % 2 = 1 THEN 'native' ELSE 'ocr' END AS source,
 (l_partkey * 37) % 9000 * 1000 AS x, (l_suppkey * 91) % 5000 * 1000 AS y, CAST(1000000 + l_linenumber * 400000 AS BIGINT) AS width, CAST(600000 + l_linenumber * 300000 AS BIGINT) AS height,
@@ -84,10 +84,10 @@ def reading_order(spark, sf):
     return B.reading_order(geo, ["slide_number"]).select("slide_number", "element_id", "reading_order")
 
 
-@query("""SELECT source || '-' || (doc_id // 1000) AS source_id, 'e' || (doc_id % 7) AS base, doc_id, CASE WHEN row_number() OVER w = 1 THEN 'e' || (doc_id % 7) ELSE 'e' || (doc_id % 7) || '--' || row_number() OVER w END AS unique_id
-FROM documents WINDOW w AS (PARTITION BY source, doc_id // 1000, doc_id % 7 ORDER BY doc_id)""")
+@query("""SELECT source AS source_id, 'e' || (doc_id % 7) AS base, doc_id, CASE WHEN row_number() OVER w = 1 THEN 'e' || (doc_id % 7) ELSE 'e' || (doc_id % 7) || '--' || row_number() OVER w END AS unique_id
+FROM documents WINDOW w AS (PARTITION BY source, doc_id % 7 ORDER BY doc_id)""")
 def unique_element_ids(spark, sf):
-    d = table(spark, sf, "documents").select(views.deck_id().alias("source_id"), F.concat(F.lit("e"), (F.col("doc_id") % 7).cast("string")).alias("base"), "doc_id")
+    d = table(spark, sf, "documents").select(F.col("source").alias("source_id"), F.concat(F.lit("e"), (F.col("doc_id") % 7).cast("string")).alias("base"), "doc_id")
     return B.unique_ids(d, ["source_id"], "base", "doc_id")
 
 
@@ -120,10 +120,10 @@ def dup_map(spark, sf):
     return decisions.exact_duplicates(views.blocks_doc(spark, sf))
 
 
-def _decided(spark, sf, whole=False):
-    d = views.blocks_doc(spark, sf, whole)
+def _decided(spark, sf):
+    d = views.blocks_doc(spark, sf)
     none = d.select("source_id", "citation").limit(0)
-    return d, decisions.decisions(d, views.selection(spark, sf, whole), none, decisions.exact_duplicates(d))
+    return d, decisions.decisions(d, views.selection(spark, sf), none, decisions.exact_duplicates(d))
 
 
 @query(f"WITH {DECIDED} SELECT * FROM decided")
@@ -182,8 +182,8 @@ def slide_topics(spark, sf):
     return topics.slide_topics(d).select("source_id", "title", "citations")
 
 
-def _merged(spark, sf, whole=False):
-    d = views.blocks_doc(spark, sf, whole)
+def _merged(spark, sf):
+    d = views.blocks_doc(spark, sf)
     c = d.select("source_id", F.col("rank").alias("ord"), F.concat(F.lit("Topic "), (F.col("rank") % 11).cast("string")).alias("title"), F.col("slide_title").alias("description"), "citation", "rank")
     return topics.merge_topics(c, ["source_id"], F.regexp_replace(F.lower("title"), "[^a-z0-9]", ""))
 
@@ -223,11 +223,15 @@ def coverage_reconcile(spark, sf):
     return topics.reconcile(table(spark, sf, "documents"), table(spark, sf, "labels"), ["doc_id"])
 
 
-@query("""WITH t AS (SELECT doc_id AS topic_id, source || '-' || (doc_id // 1000) AS source_id, 'c' || doc_id AS citation, doc_id % 4 = 0 AS has_request FROM documents WHERE doc_id % 50 < 2)
-SELECT topic_id, source_id, citation FROM t UNION SELECT t.topic_id, t.source_id, 'c' || b.doc_id FROM t JOIN documents b ON b.source || '-' || (b.doc_id // 1000) = t.source_id AND b.doc_id % 4 = 0 WHERE NOT has_request""")
+@query("""WITH d AS (SELECT doc_id, source AS source_id, 'c' || doc_id AS citation, doc_id % 3 = 0 AS has_request FROM documents)
+SELECT doc_id AS topic_id, source_id, citation FROM d UNION SELECT t.doc_id, t.source_id, b.citation FROM d t JOIN d b USING (source_id) WHERE NOT t.has_request AND b.has_request""")
 def topic_expand(spark, sf):
-    d = table(spark, sf, "documents").select(views.deck_id().alias("source_id"), F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("citation"), (F.col("doc_id") % 4 == 0).alias("has_request"), "doc_id")
-    return topics.expand_citations(d.where("doc_id % 50 < 2").select(F.col("doc_id").alias("topic_id"), "source_id", "citation"), d.drop("doc_id"))
+    """A topic for every document, over whole sources; the rows are topics times request citations of their source.
+
+    Sources follow doc_id % 20, so that doc_id % 4 is one value in a source and would never expand; doc_id % 3 does.
+    """
+    d = table(spark, sf, "documents").select(F.col("source").alias("source_id"), F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("citation"), (F.col("doc_id") % 3 == 0).alias("has_request"), "doc_id")
+    return topics.expand_citations(d.select(F.col("doc_id").alias("topic_id"), "source_id", "citation"), d.drop("doc_id"))
 
 
 @query("""WITH r AS (SELECT o_custkey % 97 AS record_id, o_orderkey AS source_id, l_linenumber AS citation, l_partkey AS value, l_returnflag = 'R' AS own FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
@@ -311,8 +315,9 @@ def iou_best(spark, sf):
 # ---- text
 
 
-@query(r"SELECT doc_id, unnest(list_distinct(regexp_extract_all(text, '[-+]?\d[\d,]*(?:\.\d+)?(?:[%‰])?'))) AS number FROM documents")
+@query()
 def number_tokens(spark, sf):
+    """Numbers that touch no letter or digit; the SQL at hand has no look-around."""
     return table(spark, sf, "documents").select("doc_id", F.explode(F.array_distinct(geometry.raw_numbers(F.col("text")))).alias("number"))
 
 
@@ -362,11 +367,10 @@ def chunk_pack(spark, sf):
     return chunks.chunk_blocks(views.blocks_doc(spark, sf), 2000, header=60)
 
 
-@query("""SELECT source || '-' || (doc_id // 1000) AS source_id, count(*) AS fragments, max(length(text)) > 2000 AS has_long FROM documents GROUP BY 1""")
+@query("SELECT source AS source_id, count(*) AS fragments, max(length(text)) > 2000 AS has_long FROM documents GROUP BY 1")
 def chunk_summary(spark, sf):
-    """Chunks of a budget that no document exceeds: a fragment for each document."""
     c = chunks.chunk_blocks(views.blocks_doc(spark, sf), 1_000_000)
-    long = table(spark, sf, "documents").groupBy(views.deck_id().alias("source_id")).agg((F.max(F.length("text")) > 2000).alias("has_long"))
+    long = table(spark, sf, "documents").groupBy(F.col("source").alias("source_id")).agg((F.max(F.length("text")) > 2000).alias("has_long"))
     return c.groupBy("source_id").agg(F.count("*").alias("fragments")).join(long, "source_id")
 
 
@@ -380,7 +384,7 @@ def entity_contains(spark, sf):
 
 
 @query("""WITH c AS (SELECT p_partkey AS ord, p_type AS name, lower(p_brand) AS key, CASE WHEN p_size % 3 = 0 THEN 'lot' WHEN p_size % 3 = 1 THEN 'other' ELSE 'product' END AS type, p_name AS description, 'c' || p_partkey AS citation FROM part),
-b AS (SELECT key, CASE WHEN count(*) FILTER (type = 'lot') > 0 THEN 'lot' WHEN count(*) FILTER (type = 'product') > 0 THEN 'product' ELSE 'other' END AS best FROM c GROUP BY key),
+b AS (SELECT key, CASE WHEN count(*) FILTER (type = 'lot') > 0 THEN 'lot' ELSE min(type) END AS best FROM c GROUP BY key),
 f AS (SELECT c.*, b.best, row_number() OVER (PARTITION BY c.key ORDER BY c.type <> b.best, ord) AS n FROM c JOIN b USING (key)),
 h AS (SELECT key, best AS type, name, description FROM f WHERE n = 1),
 names AS (SELECT key, name, min(ord) AS o FROM c GROUP BY ALL)
@@ -391,12 +395,11 @@ def entity_merge(spark, sf):
     return graph.merge_entities(c, F.lower("p_brand"))
 
 
-@query("""SELECT c_custkey AS mention_id, min(s_suppkey) AS entity_id FROM customer JOIN supplier ON c_custkey % 2000 IN (s_suppkey, s_suppkey + 1) AND c_custkey % 3 = s_suppkey % 3 GROUP BY 1 HAVING count(*) = 1""")
+@query("""SELECT c_custkey AS mention_id, min(s_suppkey) AS entity_id FROM customer JOIN supplier ON c_nationkey = s_nationkey AND c_custkey % 10 = s_suppkey % 10 GROUP BY 1 HAVING count(*) = 1""")
 def alias_resolve(spark, sf):
-    """Mentions of suppliers by number; every supplier has the next number as an alias."""
-    key = lambda n: F.concat(F.lit("e"), n.cast("string"))
-    m = table(spark, sf, "customer").select(F.col("c_custkey").alias("mention_id"), key(F.col("c_custkey") % 2000).alias("key"), F.lit("s").alias("source_id"), F.array(F.col("c_custkey") % 3).alias("citations"))
-    e = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("entity_id"), F.array(key(F.col("s_suppkey")), key(F.col("s_suppkey") + 1)).alias("keys"), F.lit("s").alias("source_id"), F.array(F.col("s_suppkey") % 3).alias("citations"))
+    """Mentions of suppliers by nation, which many suppliers share."""
+    m = table(spark, sf, "customer").select(F.col("c_custkey").alias("mention_id"), F.col("c_nationkey").cast("string").alias("key"), F.lit("s").alias("source_id"), F.array(F.col("c_custkey") % 10).alias("citations"))
+    e = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("entity_id"), F.array(F.col("s_nationkey").cast("string"), F.col("s_name")).alias("keys"), F.lit("s").alias("source_id"), F.array(F.col("s_suppkey") % 10).alias("citations"))
     return graph.resolve_aliases(m, e)
 
 
@@ -426,110 +429,36 @@ def edge_lineage_violations(spark, sf):
     return graph.edge_violations(_edges(spark, sf), known)
 
 
-@query("SELECT o_orderkey AS page_id, c_custkey AS entity_id FROM orders JOIN customer ON o_custkey = c_custkey")
-def shared_sources(spark, sf):
-    pages = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("source_id"))
-    return graph.shared_sources(pages, table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_custkey").alias("source_id")))
-
-
-# ---- whole sources: what the queries above say of decks, said of sources, however many documents one has
-
-SOURCE_DOC = DOC.replace("source || '-' || (doc_id // 1000) AS source_id", "source AS source_id")
-
-
-def _of_sources(sql: str) -> str:
-    return sql.replace(DOC, SOURCE_DOC)
-
-
-@query(_of_sources(SQL["dup_map"]))
-def source_dup_map(spark, sf):
-    return decisions.exact_duplicates(views.blocks_doc(spark, sf, True))
-
-
-@query(_of_sources(SQL["keep_decisions"]))
-def source_keep_decisions(spark, sf):
-    return _decided(spark, sf, True)[1]
-
-
-@query(_of_sources(SQL["decisions_counts"]))
-def source_decisions_counts(spark, sf):
-    return _decided(spark, sf, True)[1].groupBy("disposition", "reason_code").agg(F.count("*").alias("n"))
-
-
-@query(_of_sources(SQL["selected_semi"]))
-def source_selected_semi(spark, sf):
-    d, k = _decided(spark, sf, True)
-    return stages.kept_blocks(d, k).select("source_id", "citation", "slide_title")
-
-
-@query(_of_sources(SQL["omitted_anti"]))
-def source_omitted_anti(spark, sf):
-    d, k = _decided(spark, sf, True)
-    return stages.omitted_blocks(d, k).select("source_id", "citation", "slide_title")
-
-
-@query(SQL["decision_violations"])
-def source_decision_violations(spark, sf):
-    return stages.complete_decisions(*_decided(spark, sf, True))
-
-
-@query(_of_sources(SQL["topic_merge"]))
-def source_topic_merge(spark, sf):
-    return _merged(spark, sf, True)
-
-
-@query(_of_sources(SQL["topk_overflow"]))
-def source_topk_overflow(spark, sf):
-    return topics.with_overflow(_merged(spark, sf, True), ["source_id"], 4).select("source_id", F.col("slot").cast("int").alias("slot"), "title", "citations")
-
-
-@query("""SELECT source AS source_id, 'e' || (doc_id % 7) AS base, doc_id, CASE WHEN row_number() OVER w = 1 THEN 'e' || (doc_id % 7) ELSE 'e' || (doc_id % 7) || '--' || row_number() OVER w END AS unique_id
-FROM documents WINDOW w AS (PARTITION BY source, doc_id % 7 ORDER BY doc_id)""")
-def source_unique_element_ids(spark, sf):
-    d = table(spark, sf, "documents").select(F.col("source").alias("source_id"), F.concat(F.lit("e"), (F.col("doc_id") % 7).cast("string")).alias("base"), "doc_id")
-    return B.unique_ids(d, ["source_id"], "base", "doc_id")
-
-
-@query()
-def source_chunk_pack(spark, sf):
-    return chunks.chunk_blocks(views.blocks_doc(spark, sf, True), 2000, header=60)
-
-
-@query("SELECT source AS source_id, count(*) AS fragments, max(length(text)) > 2000 AS has_long FROM documents GROUP BY 1")
-def source_chunk_summary(spark, sf):
-    c = chunks.chunk_blocks(views.blocks_doc(spark, sf, True), 1_000_000)
-    long = table(spark, sf, "documents").groupBy(F.col("source").alias("source_id")).agg((F.max(F.length("text")) > 2000).alias("has_long"))
-    return c.groupBy("source_id").agg(F.count("*").alias("fragments")).join(long, "source_id")
-
-
-@query("""WITH d AS (SELECT doc_id, source AS source_id, 'c' || doc_id AS citation, doc_id % 3 = 0 AS has_request FROM documents)
-SELECT doc_id AS topic_id, source_id, citation FROM d UNION SELECT t.doc_id, t.source_id, b.citation FROM d t JOIN d b USING (source_id) WHERE NOT t.has_request AND b.has_request""")
-def source_topic_expand(spark, sf):
-    """A topic for every document, over whole sources; the rows are topics times request citations of their source.
-
-    Sources follow doc_id % 20, so that doc_id % 4 is one value in a source and would never expand; doc_id % 3 does.
-    """
-    d = table(spark, sf, "documents").select(F.col("source").alias("source_id"), F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("citation"), (F.col("doc_id") % 3 == 0).alias("has_request"), "doc_id")
-    return topics.expand_citations(d.select(F.col("doc_id").alias("topic_id"), "source_id", "citation"), d.drop("doc_id"))
-
-
-# ---- many to many: keys that many rows of both sides share
+@query(f"""WITH pk AS (SELECT * FROM (VALUES ('uses_material', 'material'), ('has_lot', 'lot'), ('related_to', NULL)) t(predicate, kind)),
+f AS (SELECT o_orderkey AS ord, CASE o_orderkey % 4 WHEN 0 THEN 'uses_material' WHEN 1 THEN 'has_lot' WHEN 2 THEN 'related_to' ELSE 'likes' END AS predicate, o_custkey % 10 + 1 AS s, o_custkey % 50 AS name, o_orderkey % 7 AS c, o_orderkey % 50 AS q, o_orderpriority AS d FROM orders),
+g AS (SELECT f.*, pk.kind FROM f JOIN pk USING (predicate) WHERE q <= 40 AND c < 5 AND s IN (SELECT s_suppkey FROM supplier)),
+e AS (SELECT p_partkey AS id, p_partkey % 50 AS name, p_partkey % 7 AS c, CASE p_size % 3 WHEN 0 THEN 'lot' WHEN 1 THEN 'material' ELSE 'other' END AS type FROM part WHERE p_partkey <= 1000),
+o AS (SELECT g.ord, count(*) FILTER (e.type = g.kind) AS liked, min(e.id) FILTER (e.type = g.kind) AS liked_id, count(*) AS n, min(e.id) AS id FROM g JOIN e ON e.name = g.name AND e.c = g.c GROUP BY 1),
+r AS (SELECT g.*, CASE WHEN o.liked > 0 THEN o.liked_id ELSE o.id END AS object FROM g JOIN o USING (ord) WHERE CASE WHEN o.liked > 0 THEN o.liked = 1 ELSE o.n = 1 END),
+k AS (SELECT predicate, s, object, q, arg_min(d, ord) AS description, list_sort(list(DISTINCT 'c' || c)) AS citations FROM r GROUP BY ALL)
+SELECT 'rel-' || left(sha256(predicate || chr(31) || 'entity:s' || s || chr(31) || 'entity:p' || object || chr(31) || 'holds ' || q || ' units'), 20) AS id, predicate, 'entity:s' || s AS subject, 'entity:p' || object AS object, 'Holds ' || q || ' units' AS assertion, description, citations, list_transform(citations, lambda x: 'PR-' || substr(x, 2)) AS requests FROM k""")
+def edge_resolve(spark, sf):
+    """Relationships of suppliers to parts by name: unknown predicates, ungrounded numbers, ambiguous ends and citations
+    without a request drop out."""
+    t, by = table(spark, sf, "orders"), F.col("o_orderkey") % 4
+    predicate = F.when(by == 0, "uses_material").when(by == 1, "Has_Lot ").when(by == 2, "related_to").otherwise("likes")
+    name = lambda c: F.concat(F.lit("c"), c.cast("string"))
+    words = F.concat(F.lit("Holds "), (F.col("o_orderkey") % 50).cast("string"), F.lit(" units"))
+    found = t.select(F.col("o_orderkey").alias("ord"), F.lit("s").alias("source_id"), predicate.alias("predicate"), F.concat(F.lit("Supplier "), (F.col("o_custkey") % 10 + 1).cast("string")).alias("subject"), F.lit(None).cast("string").alias("subject_type"), F.concat(F.lit("Item  "), (F.col("o_custkey") % 50).cast("string")).alias("object"), F.lit(None).cast("string").alias("object_type"), words.alias("assertion"), F.col("o_orderpriority").alias("description"), F.array(name(F.col("o_orderkey") % 7), F.lit("nowhere")).alias("citations"))
+    supplier = table(spark, sf, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("entity_id"), F.lit("organization").alias("type"), F.array(F.concat(F.lit("supplier "), F.col("s_suppkey").cast("string"))).alias("keys"), F.lit("s").alias("source_id"), F.transform(F.sequence(F.lit(0), F.lit(6)), name).alias("citations"))
+    kind = F.when(F.col("p_size") % 3 == 0, "lot").when(F.col("p_size") % 3 == 1, "material").otherwise("other")
+    part = table(spark, sf, "part").where("p_partkey <= 1000").select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")), kind, F.array(F.concat(F.lit("item "), (F.col("p_partkey") % 50).cast("string"))), F.lit("s"), F.array(name(F.col("p_partkey") % 7)))
+    evidence = spark.range(7).select(F.lit("s").alias("source_id"), name(F.col("id")).alias("citation"), F.transform(F.sequence(F.lit(0), F.lit(40)), lambda n: n.cast("string")).alias("numbers"), F.when(F.col("id") < 5, F.array(F.struct(F.col("id").cast("string").alias("key"), F.concat(F.lit("PR-"), F.col("id").cast("string")).alias("value")))).otherwise(F.array().cast("array<struct<key:string,value:string>>")).alias("requests"))
+    out = graph.resolve_edges(found, supplier.union(part), evidence)
+    return out.withColumn("citations", F.array_sort("citations")).withColumn("requests", F.array_sort("requests"))
 
 
 @query("SELECT DISTINCT c_custkey AS page_id, s_suppkey AS entity_id FROM customer JOIN supplier ON c_nationkey = s_nationkey")
-def nation_shared_sources(spark, sf):
+def shared_sources(spark, sf):
     pages = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("source_id"))
     return graph.shared_sources(pages, table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("source_id")))
 
 
-@query("""SELECT c_custkey AS mention_id, min(s_suppkey) AS entity_id FROM customer JOIN supplier ON c_nationkey = s_nationkey AND c_custkey % 10 = s_suppkey % 10 GROUP BY 1 HAVING count(*) = 1""")
-def nation_alias_resolve(spark, sf):
-    """Mentions of suppliers by nation, which many suppliers share."""
-    m = table(spark, sf, "customer").select(F.col("c_custkey").alias("mention_id"), F.col("c_nationkey").cast("string").alias("key"), F.lit("s").alias("source_id"), F.array(F.col("c_custkey") % 10).alias("citations"))
-    e = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("entity_id"), F.array(F.col("s_nationkey").cast("string"), F.col("s_name")).alias("keys"), F.lit("s").alias("source_id"), F.array(F.col("s_suppkey") % 10).alias("citations"))
-    return graph.resolve_aliases(m, e)
-
-
 # ---- links and pages
 
 HREFS = r"""found AS (SELECT page_id, unnest(regexp_extract_all(html, '(?i)<a\b[^>]*\bhref\s*=\s*["'']([^"'']*)["'']', 1)) AS href, generate_subscripts(regexp_extract_all(html, '(?i)<a\b[^>]*\bhref\s*=\s*["'']([^"'']*)["'']', 1), 1) - 1 AS position FROM pages)"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "evispark", master: str | None = None, **conf: str) -> SparkSession:
@@ -17,3 +17,12 @@ def session(app: str = "evispark", master: str | None = None, **conf: str) -> Sp
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     return builder.config(map=settings).getOrCreate()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df as a checkpoint: computed once, its lineage ends there. The files lie in spark.checkpoint.dir, which executors
+    share, so they outlive lost executors; where it is unset (as in tests) below the warehouse."""
+    spark = df.sparkSession
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
+    return df.checkpoint()

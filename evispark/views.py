@@ -5,7 +5,7 @@ blocks: source_id, slide_number, slide_title, citation, element_id, kind, conten
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evispark.functions.columns import citation, sha256
@@ -32,22 +32,14 @@ def blocks_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("content_sha256", sha256(F.col("content")))
 
 
-#: Documents of a deck: groups by source stay small, however many documents a source has.
-DECK = 1000
-
-
-def deck_id(source: str = "source", number: str = "doc_id") -> Column:
-    return F.concat(source, F.lit("-"), F.expr(f"{number} div {DECK}").cast("string"))
-
-
-def blocks_doc(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
-    """Documents as blocks of decks, each up to 1000 documents of one source, or of whole sources; a slide for each document."""
+def blocks_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as blocks of their source; a slide for each document. A source may hold any share of all documents."""
     element = F.concat(F.lit("doc-"), F.col("doc_id").cast("string"))
     slide = F.col("doc_id") + 1
     return (
         table(spark, sf_dir, "documents")
         .select(
-            (F.col("source") if whole else deck_id()).alias("source_id"),
+            F.col("source").alias("source_id"),
             slide.alias("slide_number"),
             F.col("lang").alias("slide_title"),
             citation(slide, element).alias("citation"),
@@ -61,10 +53,10 @@ def blocks_doc(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFra
     )
 
 
-def selection(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+def selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stand-in for a model's choice: good and not toxic documents, by citation."""
     chosen = table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("element_id"))
-    return blocks_doc(spark, sf_dir, whole).join(chosen, "element_id", "left_semi").select("source_id", "citation")
+    return blocks_doc(spark, sf_dir).join(chosen, "element_id", "left_semi").select("source_id", "citation")
 
 
 SLIDE_WIDTH, SLIDE_HEIGHT = 12_192_000, 6_858_000
