@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from evispark.functions import columns as C
+from evispark.session import cut
 
 
 def reading_order(elements: DataFrame, deck: list[str], explicit: str = "explicit_order", index: str = "input_index") -> DataFrame:
@@ -45,13 +46,19 @@ def notes_blocks(blocks: DataFrame, notes: DataFrame, deck: list[str]) -> DataFr
 
 def unique_ids(elements: DataFrame, group: list[str], base: str, order: str) -> DataFrame:
     """element ids made unique within a group: the first keeps its id, later ones get --2, --3, ..., each the first that
-    no earlier id has. Groups are slides, so their elements fit into memory."""
+    no earlier id has.
+
+    An id only meets ids of its family, those that differ in such endings. In most families all bases are equal: a number
+    within the base tells them apart, and rows stream through a sort. Only families of several bases are gone through one by
+    one in memory.
+    """
     schema = StructType([*elements.schema.fields, StructField("unique_id", StringType())])
+    family = F.regexp_replace(F.col(base), r"(--\d+)+$", "").alias("_family")
 
     def assign(pdf: pd.DataFrame) -> pd.DataFrame:
         used: set[str] = set()
         out = []
-        pdf = pdf.sort_values(order, kind="stable")
+        pdf = pdf.sort_values(order, kind="stable").drop(columns="_family")
         for name in pdf[base]:
             value, n = name, 1
             while value in used:
@@ -61,7 +68,13 @@ def unique_ids(elements: DataFrame, group: list[str], base: str, order: str) ->
             out.append(value)
         return pdf.assign(unique_id=out)
 
-    return elements.groupBy(*group).applyInPandas(assign, schema)
+    key = [*group, "_family"]
+    named = elements.withColumn("_family", family)
+    several = cut(named.groupBy(*key).agg(F.min(base).alias("low"), F.max(base).alias("high")).where("low <> high").select(*key))
+    number = F.row_number().over(Window.partitionBy(*group, base).orderBy(order))
+    numbered = named.join(several, key, "left_anti").withColumn("n", number)
+    plain = numbered.select(*elements.columns, F.when(F.col("n") == 1, F.col(base)).otherwise(F.concat(F.col(base), F.lit("--"), F.col("n").cast("string"))).alias("unique_id"))
+    return plain.union(named.join(several, key, "left_semi").groupBy(*key).applyInPandas(assign, schema))
 
 
 def safe_element_id(value: Column) -> Column:

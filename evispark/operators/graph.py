@@ -90,10 +90,11 @@ def relationship_id(predicate: Column, subject: Column, obj: Column, assertion:
 
 def merge_edges(candidates: DataFrame) -> DataFrame:
     """(id, predicate, subject, object, description, citations) from candidates (ord, predicate, subject, object,
-    assertion, description, citation): one identity, one edge; the first description wins. Loops drop out."""
-    keyed = candidates.where("subject <> object").withColumn("id", relationship_id(F.col("predicate"), F.col("subject"), F.col("object"), F.col("assertion")))
-    head = F.min(F.struct("ord", "description"))
-    return keyed.groupBy("id", "predicate", "subject", "object").agg(head.alias("h"), ordered(F.col("citation"), F.col("ord")).alias("citations")).select("id", "predicate", "subject", "object", F.col("h.description").alias("description"), "citations")
+    assertion, description, citation): one identity, one edge; the first description wins. Loops drop out. Only what is left
+    of each identity is digested."""
+    identity = ["predicate", "subject", "object", "assertion"]
+    merged = candidates.where("subject <> object").groupBy(*identity).agg(F.min(F.struct("ord", "description")).alias("h"), ordered(F.col("citation"), F.col("ord")).alias("citations"))
+    return merged.select(relationship_id(*map(F.col, identity)).alias("id"), "predicate", "subject", "object", F.col("h.description").alias("description"), "citations")
 
 
 def resolve_edges(found: DataFrame, entities: DataFrame, evidence: DataFrame, key=None, request=None, numbers=None) -> DataFrame:

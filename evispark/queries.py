@@ -112,6 +112,101 @@ def content_precedence(spark, sf):
     return d.select("doc_id", C.content_of(F.lit(None).cast("string"), only(0), only(1), only(2), asset, F.col("lang")).alias("c")).select("doc_id", "c.format", "c.content")
 
 
+ELEMENTS = """el AS (SELECT o_orderkey AS slide_number, o_custkey AS element_id, CASE o_orderkey % 6 WHEN 0 THEN 'image' WHEN 1 THEN 'text' WHEN 2 THEN 'chart' WHEN 3 THEN 'table' WHEN 4 THEN 'shape' ELSE 'diagram' END AS kind,
+CASE WHEN o_custkey % 3 = 0 THEN '  ' WHEN o_custkey % 3 = 1 THEN o_orderpriority END AS text FROM orders)"""
+
+
+def _elements(spark, sf):
+    kind = F.element_at(F.array(*map(F.lit, ("image", "text", "chart", "table", "shape", "diagram"))), (F.col("o_orderkey") % 6 + 1).cast("int"))
+    text = F.when(F.col("o_custkey") % 3 == 0, "  ").when(F.col("o_custkey") % 3 == 1, F.col("o_orderpriority"))
+    return table(spark, sf, "orders").select(F.col("o_orderkey").alias("slide_number"), F.col("o_custkey").alias("element_id"), kind.alias("kind"), text.alias("text"))
+
+
+@query(f"WITH {ELEMENTS} SELECT slide_number, element_id, kind FROM el WHERE kind IN ('image', 'chart', 'diagram', 'table') OR trim(coalesce(text, '')) <> ''")
+def keep_elements(spark, sf):
+    return B.keep_elements(_elements(spark, sf)).select("slide_number", "element_id", "kind")
+
+
+@query(f"WITH {ELEMENTS} SELECT slide_number, element_id, CASE kind WHEN 'image' THEN 'document' ELSE 'chart' END AS task FROM el WHERE kind IN ('image', 'chart', 'diagram')")
+def visual_targets(spark, sf):
+    return B.visual_targets(_elements(spark, sf)).select("slide_number", "element_id", "task")
+
+
+@query(f"WITH {ELEMENTS} SELECT slide_number, element_id FROM el WHERE coalesce(text, '') <> '' OR kind = 'image'")
+def blocks_without_empty(spark, sf):
+    e = _elements(spark, sf).withColumn("asset_path", F.when(F.col("kind") == "image", F.lit("a.png"))).withColumnRenamed("text", "content")
+    return B.without_empty(e).select("slide_number", "element_id")
+
+
+@query("""WITH n AS (SELECT conv_id, CASE WHEN conv_id % 3 = 0 THEN ' ' ELSE 'note ' || conv_id END AS notes FROM (SELECT DISTINCT conv_id FROM conversations)), m AS (SELECT conv_id, max(turn) + 1 AS last FROM conversations WHERE conv_id % 2 = 0 GROUP BY 1)
+SELECT n.conv_id, 'notes' AS kind, notes AS content, CAST(coalesce(last, 0) + 1 AS BIGINT) AS reading_order FROM n LEFT JOIN m USING (conv_id) WHERE trim(notes) <> ''""")
+def notes_blocks(spark, sf):
+    """Notes behind the kept blocks of conversations; odd ones have lost their blocks."""
+    c = table(spark, sf, "conversations")
+    notes = c.select("conv_id").distinct().withColumn("notes", F.when(F.col("conv_id") % 3 == 0, " ").otherwise(F.concat(F.lit("note "), F.col("conv_id").cast("string"))))
+    kept = c.where("conv_id % 2 = 0").select("conv_id", (F.col("turn") + 1).cast("long").alias("reading_order"))
+    return B.notes_blocks(kept, notes, ["conv_id"]).select("conv_id", "kind", "content", F.col("reading_order").cast("long").alias("reading_order"))
+
+
+@query("SELECT o_custkey AS page, o_orderkey AS line, CASE WHEN row_number() OVER w > 1 THEN lower(o_orderstatus) || '-' || (row_number() OVER w - 1) ELSE lower(o_orderstatus) END AS anchor FROM orders WINDOW w AS (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderkey)")
+def heading_slugs(spark, sf):
+    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("page"), F.col("o_orderkey").alias("line"), F.lower("o_orderstatus").alias("slug"))
+    return links.heading_slugs(o, "page", "line", "slug").select("page", "line", "anchor")
+
+
+@query("""WITH b AS (SELECT l_orderkey AS id, l_partkey AS p, l_suppkey % 100 AS s, l_linenumber AS n FROM lineitem)
+SELECT id, p, n, CASE WHEN n % 3 = 0 THEN [least(p, s), least(s, p + 1), greatest(p, s), greatest(s, p + 1)] WHEN s >= p AND p + 1 >= s THEN [p, s, s, p + 1] END AS box FROM b""")
+def clean_boxes(spark, sf):
+    """Boxes of two corners, which count only in order, and of four, which have a box in any."""
+    t = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_partkey").alias("p"), (F.col("l_suppkey") % 100).alias("s"), F.col("l_linenumber").alias("n"))
+    two = F.array("p", "s", "s", F.col("p") + 1)
+    four = F.array(F.col("p"), F.col("s"), F.col("s"), F.col("p") + 1, F.col("p"), F.col("p") + 1, F.col("s"), F.col("s"))
+    box = C.clean_box(F.when(F.col("n") % 3 == 0, four).otherwise(two).cast("array<double>"))
+    return t.select("id", "p", "n", box.cast("array<long>").alias("box"))
+
+
+@query("""SELECT l_orderkey AS id, l_linenumber AS n, l_partkey AS p, list_transform([l_partkey % 1200 - 100, l_suppkey % 1100, l_partkey % 1500, l_suppkey % 900 + 200], lambda v, i: CAST(round(least(greatest(v / 1000.0 * CASE WHEN i % 2 = 1 THEN 4000 ELSE 2250 END, 0), CASE WHEN i % 2 = 1 THEN 4000 ELSE 2250 END) * 1000) AS BIGINT)) AS milli_pixels FROM lineitem""")
+def grid_pixels(spark, sf):
+    t = table(spark, sf, "lineitem")
+    grid = F.array(F.col("l_partkey") % 1200 - 100, F.col("l_suppkey") % 1100, F.col("l_partkey") % 1500, F.col("l_suppkey") % 900 + 200)
+    return t.select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("p"), F.transform(C.grid_to_pixels(grid, F.lit(4000), F.lit(2250)), lambda v: F.round(v * 1000).cast("long")).alias("milli_pixels"))
+
+
+@query("""WITH b AS (SELECT l_orderkey AS id, l_linenumber AS n, l_partkey AS p, least(greatest(l_partkey % 300 - 10, 0), 200) AS x1, least(greatest(l_suppkey % 150 - 10, 0), 100) AS y1, least(greatest(l_partkey % 300 + l_linenumber * 8 - 10, 0), 200) AS x2, least(greatest(l_suppkey % 150 + 20 - 10, 0), 100) AS y2, l_linenumber % 5 = 0 AS none FROM lineitem)
+SELECT id, n, p, CASE WHEN none OR x2 <= x1 OR y2 <= y1 THEN [1000, 2000, 600, 300] ELSE [1000 + x1 * 3, 2000 + y1 * 3, (x2 - x1) * 3, (y2 - y1) * 3] END AS box FROM b""")
+def box_on_slide(spark, sf):
+    """Boxes that were found in a padded crop of 200 by 100 pixels, on the slide; the crop's own box where one vanishes."""
+    t = table(spark, sf, "lineitem")
+    at = lambda c: F.when(F.col("l_linenumber") % 5 != 0, c.cast("double"))
+    block = [at(F.col("l_partkey") % 300), at(F.col("l_suppkey") % 150), at(F.col("l_partkey") % 300 + F.col("l_linenumber") * 8), at(F.col("l_suppkey") % 150 + 20)]
+    box = C.box_on_slide([F.lit(n).cast("long") for n in (1000, 2000, 600, 300)], block, F.lit(10.0), F.lit(200.0), F.lit(100.0), F.lit(3.0), F.lit(3.0))
+    return t.select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("p"), box.alias("box"))
+
+
+@query("""SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'image/png' WHEN 1 THEN 'image/jpeg' WHEN 2 THEN 'image/tiff' WHEN 3 THEN 'image/webp' ELSE 'application/octet-stream' END AS kind, 'data:' || CASE doc_id % 5 WHEN 0 THEN 'image/png' WHEN 1 THEN 'image/jpeg' WHEN 2 THEN 'image/tiff' WHEN 3 THEN 'image/webp' ELSE 'application/octet-stream' END
+|| ';base64,' || to_base64(CASE doc_id % 5 WHEN 0 THEN unhex('89504E470D0A1A0A') WHEN 1 THEN unhex('FFD8FFE0') WHEN 3 THEN unhex('524946460000000057454250') ELSE unhex('00') END) AS url FROM documents""")
+def media_types(spark, sf):
+    """Media by their first bytes, else by their names, and as data URLs."""
+    d, by = table(spark, sf, "documents"), F.col("doc_id") % 5
+    data = F.unhex(F.when(by == 0, "89504E470D0A1A0A").when(by == 1, "FFD8FFE0").when(by == 3, "524946460000000057454250").otherwise("00"))
+    kind = C.media_type(data, F.when(by == 2, "a/b.TIFF").when(by == 1, "wrong.png").otherwise("none"))
+    return d.select("doc_id", kind.alias("kind"), C.data_url(data, kind).alias("url"))
+
+
+@query("""SELECT l_orderkey AS id, l_linenumber AS n, l_partkey AS p, CASE WHEN l_linenumber % 3 = 2 THEN '' ELSE '$$' || chr(10) || 'x_' || l_partkey || chr(10) || '$$' END AS formula FROM lineitem""")
+def formula_markdown(spark, sf):
+    part = F.concat(F.lit("x_"), F.col("l_partkey").cast("string"))
+    raw = F.when(F.col("l_linenumber") % 3 == 0, F.concat(F.lit(" $"), part, F.lit("$ "))).when(F.col("l_linenumber") % 3 == 1, F.concat(F.lit("$$ "), part, F.lit(" $$"))).otherwise("$$ $$")
+    return table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("p"), C.formula_markdown(raw).alias("formula"))
+
+
+@query("""SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '_con.' || doc_id WHEN 1 THEN 'a_' || doc_id WHEN 2 THEN 'deck' ELSE left('n' || doc_id || repeat('x', 120), 100) END AS stem FROM documents""")
+def safe_stems(spark, sf):
+    d, i = F.col("doc_id") % 4, F.col("doc_id").cast("string")
+    name = F.when(d == 0, F.concat(F.lit("con."), i)).when(d == 1, F.concat(F.lit(" a<>:"), i, F.lit(". "))).when(d == 2, " . ").otherwise(F.concat(F.lit("n"), i, F.lit("x" * 120)))
+    return table(spark, sf, "documents").select("doc_id", C.safe_stem(name).alias("stem"))
+
+
 # ---- decisions
 
 
@@ -148,9 +243,15 @@ def omitted_anti(spark, sf):
     return stages.omitted_blocks(d, k).select("source_id", "citation", "slide_title")
 
 
-@query("SELECT CAST(NULL AS VARCHAR) AS check_code, CAST(NULL AS VARCHAR) AS severity, CAST(NULL AS VARCHAR) AS key, CAST(NULL AS VARCHAR) AS detail WHERE false")
+@query("""WITH b AS (SELECT source AS source_id, '[slide-' || (doc_id + 1) || '#doc-' || doc_id || ']' AS citation, doc_id FROM documents)
+SELECT 'decided-twice' AS check_code, doc_id FROM b WHERE doc_id % 10 = 2 UNION ALL SELECT 'undecided', doc_id FROM b WHERE doc_id % 10 = 1 UNION ALL SELECT 'unknown-citation', doc_id FROM b WHERE doc_id % 10 = 3""")
 def decision_violations(spark, sf):
-    return stages.complete_decisions(*_decided(spark, sf))
+    """Decisions of which some are missing, some come twice and some are of a block that isn't there."""
+    d, decided = _decided(spark, sf)
+    last = F.regexp_extract("citation", r"doc-(\d+)", 1).cast("long")
+    twice, ghosts = decided.where(last % 10 == 2), decided.where(last % 10 == 3).withColumn("source_id", F.lit("ghost"))
+    found = stages.complete_decisions(d, decided.where(last % 10 != 1).union(twice).union(ghosts))
+    return found.select("check_code", F.regexp_extract("key", r"doc-(\d+)", 1).cast("long").alias("doc_id"))
 
 
 @query("SELECT sha256(text) AS sha256, count(*) AS n, list_sort(list(CAST(doc_id AS VARCHAR))) AS paths FROM documents GROUP BY 1")
@@ -158,9 +259,11 @@ def source_groups(spark, sf):
     return decisions.occurrences(table(spark, sf, "documents").select(C.sha256(F.col("text")).alias("sha256"), F.col("doc_id").cast("string").alias("path")))
 
 
-@query("SELECT DISTINCT sha256(text) AS sha256, 'deck-' || left(sha256(text), 16) AS source_id FROM documents")
+@query("""WITH d AS (SELECT DISTINCT sha256(text) AS sha256 FROM documents), l AS (SELECT unnest(range(2, 65, 2)) AS l), n AS (SELECT l, count(DISTINCT left(sha256, CAST(l AS INTEGER))) AS n FROM d, l GROUP BY l)
+SELECT sha256, 'deck-' || left(sha256, CAST((SELECT min(l) FROM n WHERE n = (SELECT count(*) FROM d)) AS INTEGER)) AS source_id FROM d""")
 def unique_prefix(spark, sf):
-    return decisions.source_ids(table(spark, sf, "documents").select(C.sha256(F.col("text")).alias("sha256")))
+    """The shortest prefixes that differ, from two digits on, so that short ones do collide."""
+    return decisions.source_ids(table(spark, sf, "documents").select(C.sha256(F.col("text")).alias("sha256")), 2)
 
 
 @query("SELECT o_orderkey, 'PR-' || o_orderkey AS value, CAST(o_orderkey AS VARCHAR) AS canonical_key FROM orders WHERE o_orderkey % 3 = 0")
@@ -172,6 +275,27 @@ def request_ledger(spark, sf):
     return decisions.request_ledger(o).select(F.col("rank").alias("o_orderkey"), "value", "canonical_key")
 
 
+REQUESTS = """rq AS (SELECT 's' || o_custkey % 20 AS source_id, 'c' || o_orderkey AS citation, o_orderkey AS rank, CASE WHEN o_orderkey % 4 = 0 THEN 'PR-' || o_custkey % 30 ELSE 'pr ' || o_custkey % 30 END AS value, CAST(o_custkey % 30 AS VARCHAR) AS key FROM orders)"""
+
+
+def _requests(spark, sf):
+    number = (F.col("o_custkey") % 30).cast("string")
+    text = F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit("see PR-"), number)).otherwise(F.concat(F.lit("see pr "), number, F.lit(", and pr "), number))
+    o = table(spark, sf, "orders").select(F.concat(F.lit("s"), (F.col("o_custkey") % 20).cast("string")).alias("source_id"), F.concat(F.lit("c"), F.col("o_orderkey").cast("string")).alias("citation"), F.lit(1).alias("slide_number"), F.lit("e").alias("element_id"), F.col("o_orderkey").alias("rank"), F.lit("").alias("slide_title"), text.alias("content"))
+    return decisions.request_ledger(o)
+
+
+@query(f"WITH {REQUESTS}, f AS (SELECT source_id, key, min(rank) AS rank, arg_min(value, rank) AS value FROM rq GROUP BY ALL) SELECT source_id, list(value ORDER BY rank) AS values FROM f GROUP BY 1")
+def request_inventory(spark, sf):
+    """A source's request numbers, a spelling of each, in the order of their first places."""
+    return decisions.inventory(_requests(spark, sf))
+
+
+@query(f"WITH {REQUESTS} SELECT source_id, citation, [value] AS values FROM rq")
+def request_by_citation(spark, sf):
+    return decisions.by_citation(_requests(spark, sf))
+
+
 # ---- topics and coverage
 
 
@@ -252,11 +376,12 @@ def gfm_table(spark, sf):
     return views.order_tables(spark, sf).select("table_id", C.pipe_table(F.col("matrix")).alias("markdown"))
 
 
-@query(f"""WITH {GEO} SELECT slide_number, element_id, CAST(round(x * 1000000.0 / {SLIDE_WIDTH}) AS BIGINT) AS left_ppm FROM geo""")
+@query(f"""WITH {GEO} SELECT slide_number, element_id, CAST(round(x * 1000000.0 / {SLIDE_WIDTH}) AS BIGINT) AS left_ppm, CAST(round(y * 1000000.0 / {SLIDE_HEIGHT}) AS BIGINT) AS top_ppm,
+CAST(round((x + width) * 1000000.0 / {SLIDE_WIDTH}) AS BIGINT) AS right_ppm, CAST(round((y + height) * 1000000.0 / {SLIDE_HEIGHT}) AS BIGINT) AS bottom_ppm FROM geo""")
 def bbox_normalized(spark, sf):
     g = views.elements_geo(spark, sf)
     box = C.bbox_normalized(F.col("x"), F.col("y"), F.col("width"), F.col("height"), F.lit(SLIDE_WIDTH), F.lit(SLIDE_HEIGHT))
-    return g.select("slide_number", "element_id", F.round(box[0] * 1000000).cast("long").alias("left_ppm"))
+    return g.select("slide_number", "element_id", *(F.round(box[i] * 1000000).cast("long").alias(f"{n}_ppm") for i, n in enumerate(("left", "top", "right", "bottom"))))
 
 
 @query(f"WITH {GEO} SELECT slide_number, element_id FROM geo WHERE x < 0 OR y < 0 OR x + width > {SLIDE_WIDTH} OR y + height > {SLIDE_HEIGHT}")
@@ -367,11 +492,14 @@ def chunk_pack(spark, sf):
     return chunks.chunk_blocks(views.blocks_doc(spark, sf), 2000, header=60)
 
 
-@query("SELECT source AS source_id, count(*) AS fragments, max(length(text)) > 2000 AS has_long FROM documents GROUP BY 1")
+@query("""WITH RECURSIVE d AS (SELECT source AS source_id, coalesce(length(text), 0) AS s, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM documents),
+w AS (SELECT source_id, n, 1 AS chunk, s AS used FROM d WHERE n = 1 UNION ALL SELECT d.source_id, d.n, CASE WHEN w.used > 0 AND w.used + 2 + d.s > 131072 THEN w.chunk + 1 ELSE w.chunk END,
+CASE WHEN w.used > 0 AND w.used + 2 + d.s > 131072 THEN d.s ELSE w.used + d.s + CASE WHEN w.used > 0 THEN 2 ELSE 0 END END FROM w JOIN d ON d.source_id = w.source_id AND d.n = w.n + 1)
+SELECT source_id, count(*) AS fragments, CAST(max(chunk) AS BIGINT) AS chunks FROM w GROUP BY 1""")
 def chunk_summary(spark, sf):
-    c = chunks.chunk_blocks(views.blocks_doc(spark, sf), 1_000_000)
-    long = table(spark, sf, "documents").groupBy(F.col("source").alias("source_id")).agg((F.max(F.length("text")) > 2000).alias("has_long"))
-    return c.groupBy("source_id").agg(F.count("*").alias("fragments")).join(long, "source_id")
+    """How many chunks a source fills under a budget that holds any one document."""
+    c = chunks.chunk_blocks(views.blocks_doc(spark, sf), 131_072)
+    return c.groupBy("source_id").agg(F.count("*").alias("fragments"), F.max("chunk").alias("chunks"))
 
 
 # ---- graph
@@ -531,8 +659,9 @@ def stable_sort_topk(spark, sf):
 
 @query("SELECT event_id, ts, event_type, value FROM events")
 def stream_dedupe(spark, sf):
-    """The events table as a stream, each event once, written by a query that ends."""
-    with_time = ingest.once(ingest.event_stream(spark, sf), ["event_id"])
+    """The events table as a stream that has every event twice; each comes out once, written by a query that ends."""
+    twice = ingest.event_stream(spark, sf).withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("copy")
+    with_time = ingest.once(twice, ["event_id"])
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     name = uuid.uuid4().hex
     out, mark = f"stream-{name}", f"mark-{name}"

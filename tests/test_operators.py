@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__
 from evispark import queries as engine
 from evispark.functions import columns as C
-from evispark.functions import patterns, text
+from evispark.functions import html, patterns, text
 from evispark.functions.udfs import call
 from evispark.operators import blocks, checks, decisions, graph, links, readers, topics
 from evispark.plans import publish, stages
@@ -125,6 +125,26 @@ def test_kernels_over_whole_tables(spark):
     assert {d: "".join(p).replace("\n", "") for d, p in pieces.items()} == {r.doc_id: (r.text or "").replace("\n", "") for r in docs} and all(len(r.fragment) <= 500 for r in got)
 
 
+def test_chunks_by_brute_force(spark):
+    """Greedy packing over the whole table, in plain Python."""
+    rows = sorted((r.source, r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
+    want, state = [], {}
+    for source, doc, body in rows:
+        for i, part in enumerate(text.split_text(body, 2000 - 60 - 32), 1):
+            chunk, used = state.get(source, (1, 0))
+            size = 60 + len(part)
+            if used and used + 2 + size > 2000:
+                chunk, used = chunk + 1, 0
+            state[source] = chunk, used + size + (2 if used else 0)
+            want.append((source, doc, i, chunk))
+    assert sorted(tuple(r) for r in engine.QUERIES["chunk_pack"](spark, SF).collect()) == sorted(want) and max(w[3] for w in want) > 5
+
+
+def test_html_to_text_by_brute_force(spark):
+    pages = {r.page_id: html.plain_text(r.html) for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    assert {r.page_id: r.text for r in engine.QUERIES["html_to_text"](spark, SF).collect()} == pages
+
+
 def test_edges_resolve(spark):
     found = spark.createDataFrame([
         (1, "s", "has_lot", "PR-7", None, "Lot A", None, "PR-7 has lot A", None, ["c1", "c9"]),  # a request as an end
