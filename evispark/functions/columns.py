@@ -158,6 +158,17 @@ def file_stem(path: Column) -> Column:
     return F.regexp_replace(F.regexp_extract(path, r"([^/\\]+)$", 1), r"\.[^.]*$", "")
 
 
+def occurrence_id(path: Column) -> Column:
+    """Name of a file's occurrence that doesn't give its path away; path comes in NFC, its case doesn't count."""
+    return F.concat(F.lit("occurrence-"), F.left(sha256(F.lower(path)), F.lit(16)))
+
+
+def without_paths(message: Column, paths: Column) -> Column:
+    """A message in which each path of an array is its file's name alone, longer paths first."""
+    longest = F.transform(F.array_sort(F.transform(paths, lambda p: F.struct((-F.length(p)).alias("n"), p.alias("p")))), lambda s: s["p"])
+    return F.aggregate(longest, message, lambda text, p: F.replace(text, p, F.regexp_extract(p, r"([^/\\\\]*)$", 1)))
+
+
 def is_dangerous(html: Column) -> Column:
     return html.rlike(patterns.DANGEROUS_HTML)
 

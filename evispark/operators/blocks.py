@@ -38,6 +38,11 @@ def visual_targets(elements: DataFrame, policy: str = "auto") -> DataFrame:
     return elements.where(F.col("kind").isin(*VISUAL_KINDS) & F.lit(policy != "never")).withColumn("task", C.ocr_task(F.col("kind")))
 
 
+def any_visual(elements: DataFrame) -> bool:
+    """Is there anything that a reader of images should see? One row answers, so that rendering can be left out."""
+    return not visual_targets(elements).limit(1).isEmpty()
+
+
 def notes_blocks(blocks: DataFrame, notes: DataFrame, deck: list[str]) -> DataFrame:
     """Speaker notes as blocks behind a slide's kept ones. notes: deck columns and notes."""
     last = blocks.groupBy(*deck).agg(F.max("reading_order").alias("last"))

@@ -14,13 +14,13 @@ def side(df: DataFrame, name: str, keep: list[str]) -> DataFrame:
     return df.select("slide_number", *(F.col(c).alias(f"{name}_{c}") for c in keep))
 
 
-def overlaps(elements: DataFrame, share: float = 0.75, left: str = "native", right: str = "ocr") -> DataFrame:
-    """(slide_number, a_id, b_id, a_text, b_text): boxes of two sources of which the smaller is covered to `share` at least.
+def overlaps(elements: DataFrame, share: float = 0.75, left: tuple[str, ...] = ("native",), right: tuple[str, ...] = ("ocr", "vlm")) -> DataFrame:
+    """(slide_number, a_id, b_id, a_text, b_text): native boxes and ones that were read, of which the smaller is covered to `share` at least.
 
     The slide is the join's key, so only boxes of one slide meet."""
     keep = ["element_id", *BOX, "text"]
-    a = side(elements.where(F.col("source") == left), "a", keep)
-    b = side(elements.where(F.col("source") == right), "b", keep)
+    a = side(elements.where(F.col("source").isin(*left)), "a", keep)
+    b = side(elements.where(F.col("source").isin(*right)), "b", keep)
     x = overlap(F.col("a_x"), F.col("a_x") + F.col("a_width"), F.col("b_x"), F.col("b_x") + F.col("b_width"))
     y = overlap(F.col("a_y"), F.col("a_y") + F.col("a_height"), F.col("b_y"), F.col("b_y") + F.col("b_height"))
     small = F.least(F.col("a_width") * F.col("a_height"), F.col("b_width") * F.col("b_height"))

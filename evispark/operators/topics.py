@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from evispark.functions.udfs import call
+
 
 def ordered(values: Column, order: Column) -> Column:
     """Distinct values of a group in the order of their first place (the ordered distinct of the engine)."""
@@ -80,3 +82,31 @@ def reconcile(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
     a, b = left.select(*key).distinct().withColumn("in_left", F.lit(True)), right.select(*key).distinct().withColumn("in_right", F.lit(True))
     both = a.join(b, key, "full_outer").where("in_left is null or in_right is null")
     return both.select(*key, F.when(F.col("in_left").isNull(), "extra").otherwise("missing").alias("side"))
+
+
+def grounded_titles(topics: DataFrame, evidence: DataFrame, numbers=None) -> DataFrame:
+    """Topics (topic_id, source_id, title, citations) whose title has no number that their cited evidence lacks.
+
+    evidence: (source_id, citation, numbers). Topics without a citation that is evidence drop out.
+    """
+    numbers = numbers or (lambda c: call("prose_numbers", c))
+    cited = topics.select("topic_id", "source_id", F.explode(F.array_distinct("citations")).alias("citation")).join(evidence, ["source_id", "citation"])
+    known = cited.groupBy("topic_id").agg(F.array_distinct(F.flatten(F.collect_list("numbers"))).alias("known"))
+    return topics.join(known, "topic_id").where(F.size(F.array_except(numbers(F.col("title")), "known")) == 0).drop("known")
+
+
+def allowed_citations(evidence: DataFrame, group: str, most: int | None = None) -> DataFrame:
+    """(group, citations): a chunk's citations in the order in which a model sees them: those with request numbers, then those
+    with numbers or identifiers, then by name; the first `most` of them. evidence: (group, citation, requests, tokens)."""
+    order = F.struct((F.size("requests") == 0).alias("r"), (F.size("tokens") == 0).alias("t"), "citation")
+    listed = F.transform(F.array_sort(F.collect_set(order)), lambda x: x["citation"])
+    return evidence.groupBy(group).agg((listed if most is None else F.slice(listed, 1, most)).alias("citations"))
+
+
+def all_candidates(*lists: DataFrame) -> DataFrame:
+    """Candidates of several passes (general, domain, entities alone) in one, missing fields null; `pass_no` keeps their order."""
+    out = None
+    for n, df in enumerate(lists):
+        own = df.withColumn("pass_no", F.lit(n))
+        out = own if out is None else out.unionByName(own, allowMissingColumns=True)
+    return out

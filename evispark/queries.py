@@ -14,6 +14,7 @@ from evispark.functions.udfs import call
 from evispark.operators import blocks as B
 from evispark.operators import artifacts, checks, chunks, decisions, geometry, graph, links, topics
 from evispark.plans import publish, stages
+from evispark.session import shared_folder
 from evispark.streaming import ingest
 from evispark.views import SLIDE_HEIGHT, SLIDE_WIDTH, table
 
@@ -367,6 +368,49 @@ def fallback_lineage(spark, sf):
     return topics.lineage(r.select("record_id", "source_id", "citation"), r.where("l_returnflag = 'R'").select("source_id", "citation", "value"), r.select("source_id", (-F.col("source_id")).alias("value")).distinct())
 
 
+TOKENS = """tk AS (SELECT c_nationkey AS chunk, 'c' || c_custkey AS citation, c_custkey % 7 = 0 AS request, c_custkey % 3 = 0 AS token FROM customer)"""
+
+
+def _tokens(spark, sf):
+    some = lambda flag: F.when(flag, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>"))
+    return table(spark, sf, "customer").select(F.col("c_nationkey").alias("chunk"), F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("citation"), some(F.col("c_custkey") % 7 == 0).alias("requests"), some(F.col("c_custkey") % 3 == 0).alias("tokens"))
+
+
+@query(f"WITH {TOKENS} SELECT chunk, list(citation ORDER BY CASE WHEN request THEN 0 ELSE 1 END, CASE WHEN token THEN 0 ELSE 1 END, citation) AS citations FROM tk GROUP BY 1")
+def citation_priority(spark, sf):
+    return topics.allowed_citations(_tokens(spark, sf), "chunk")
+
+
+@query(f"WITH {TOKENS} SELECT chunk, list_slice(list(citation ORDER BY CASE WHEN request THEN 0 ELSE 1 END, CASE WHEN token THEN 0 ELSE 1 END, citation), 1, 8) AS citations FROM tk GROUP BY 1")
+def citation_limit(spark, sf):
+    """The feature is the limit: a chunk's first eight."""
+    return topics.allowed_citations(_tokens(spark, sf), "chunk", 8)
+
+
+@query("""SELECT o_orderkey AS topic_id FROM orders WHERE o_orderkey % 40 IN (o_custkey % 11, o_custkey % 13) AND o_orderkey % 5 <> 4""")
+def title_grounding(spark, sf):
+    """Topics whose title claims a number, and evidence that has two; some cite nothing that is there."""
+    o = table(spark, sf, "orders")
+    source = F.concat(F.lit("s"), (F.col("o_orderkey") % 17).cast("string"))
+    cited = lambda n: F.concat(F.col("o_orderkey").cast("string"), F.lit(f"-{n}"))
+    t = o.select(F.col("o_orderkey").alias("topic_id"), source.alias("source_id"), F.concat(F.lit("Run "), (F.col("o_orderkey") % 40).cast("string"), F.lit(" of it")).alias("title"), F.when(F.col("o_orderkey") % 5 == 4, F.array(F.lit("gone"))).otherwise(F.array(cited(1), cited(2))).alias("citations"))
+    facts = [o.select(source.alias("source_id"), cited(n).alias("citation"), F.array((F.col("o_custkey") % m).cast("string")).alias("numbers")) for n, m in ((1, 11), (2, 13))]
+    return topics.grounded_titles(t, facts[0].union(facts[1])).select("topic_id")
+
+
+@query("""SELECT 0 AS pass_no, s_name AS name, CAST(NULL AS VARCHAR) AS type FROM supplier UNION ALL SELECT 1, p_name, p_type FROM part""")
+def candidate_union(spark, sf):
+    return topics.all_candidates(table(spark, sf, "supplier").select(F.col("s_name").alias("name")), table(spark, sf, "part").select(F.col("p_type").alias("type"), F.col("p_name").alias("name")))
+
+
+@query("SELECT page_id, 'occurrence-' || left(sha256(lower(url)), 16) AS id, 'cannot read ' || regexp_extract(url, '[^/]*$') || ' twice: ' || regexp_extract(url, '[^/]*$') AS message FROM pages")
+def occurrence_ids(spark, sf):
+    """Paths as ids, and messages that name files without their folders."""
+    p = table(spark, sf, "pages")
+    message = F.concat(F.lit("cannot read "), "url", F.lit(" twice: "), "url")
+    return p.select("page_id", C.occurrence_id(F.col("url")).alias("id"), C.without_paths(message, F.array("url")).alias("message"))
+
+
 # ---- tables and geometry
 
 
@@ -662,7 +706,7 @@ def stream_dedupe(spark, sf):
     """The events table as a stream that has every event twice; each comes out once, written by a query that ends."""
     twice = ingest.event_stream(spark, sf).withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("copy")
     with_time = ingest.once(twice, ["event_id"])
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = shared_folder(spark)
     name = uuid.uuid4().hex
     out, mark = f"stream-{name}", f"mark-{name}"
     ingest.run_once(with_time, f"{base}/{out}", f"{base}/{mark}")
@@ -766,7 +810,7 @@ def span_tables(spark, sf):
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def stream_counts(spark, sf):
     """Counts of a stream that ends, written batch by batch."""
-    base, name = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir"), uuid.uuid4().hex
+    base, name = shared_folder(spark), uuid.uuid4().hex
     ingest.each_batch(ingest.event_stream(spark, sf).select("event_id", "event_type"), _append(f"{base}/batches-{name}"), f"{base}/marks-{name}")
     return spark.read.parquet(f"{base}/batches-{name}").groupBy("event_type").agg(F.count("*").alias("n"))
 

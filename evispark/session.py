@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -24,5 +26,13 @@ def cut(df: DataFrame) -> DataFrame:
     share, so they outlive lost executors; where it is unset (as in tests) below the warehouse."""
     spark = df.sparkSession
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
+        spark.sparkContext.setCheckpointDir(shared_folder(spark) + "/_checkpoints")
     return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; where it is unset the warehouse, but only if driver and executors are one machine."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return named or spark.conf.get("spark.sql.warehouse.dir")
