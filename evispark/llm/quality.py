@@ -16,6 +16,8 @@ from evispark.llm.textkit import Words, chunks, text_bytes
 FEATURES = 320
 RIDGE = 1e-3
 THRESHOLD = 0.3
+#: One labelled document in so many calibrates scores and stays out of the ridge.
+CALIBRATION_PART = 4
 
 #: Classes of bytes whose shares are statistics.
 CLASSES = (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b".", b",", b"!", b"#*&%$", b"|", b"\n", b"<>{}[]()=/\\_^~@+", b"'\"-:;?")
@@ -120,9 +122,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int
     an id count as their mean; other columns play no part. With `key` a column k has the row's shared.row_key.
     """
     stats = shared.written(statistic_rows(docs, key=key), "statistics")
-    known = stats.join(one_label(labels, "doc_id", label), "doc_id").where(fold(folds) != held).select("stats", "label")
-    model = FourierRidge().fit(known)
-    raw = known.mapInArrow(shared.tidy(_raw(model)), "raw double, label double")
+    known = stats.join(one_label(labels, "doc_id", label), "doc_id").where(fold(folds) != held)
+    # a ridge is too sure of the rows that it was fitted on: calibration takes rows of its own
+    apart = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(CALIBRATION_PART)) == 0
+    model = FourierRidge().fit(known.where(~apart).select("stats", "label"))
+    raw = known.where(apart).select("stats", "label").mapInArrow(shared.tidy(_raw(model)), "raw double, label double")
     calibrate = Calibrator(-0.5, 1.5).fit(raw, "raw", "label")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -141,8 +141,116 @@ def test_isotonic_is_monotone():
     assert (np.diff(out) >= -1e-12).all() and out.min() >= 0 and out.max() <= 1
 
 
+def test_quality_by_brute_force(spark, texts):
+    """Statistics by plain Python; features, normal equations and pooled blocks by single-machine algebra."""
+    from evispark.llm.textkit import text_bytes
+    import pyarrow as pa
+
+    some = [t for t in texts if t] + ["A. B, C! x", "ÄÖ|| 12 #### aa aa aa"]
+    got = quality.statistics(*text_bytes(pa.array(some)))
+    for row, t in zip(got, some, strict=True):
+        data, words = t.encode(), [w for w in t.encode().split()]
+        for i, own in enumerate(quality.CLASSES):
+            assert row[i] == pytest.approx(sum(b in own for b in data) / len(data))
+        if words:
+            assert row[quality.N_CLASSES] == pytest.approx(math.log1p(len(words)) / 10)
+            assert row[quality.N_CLASSES + 1] == pytest.approx(np.mean([len(w) for w in words]) / 10)
+            assert row[quality.N_CLASSES + 2] == pytest.approx(np.mean([a == b for a, b in zip([None, *words], words)]))  # noqa: B905
+            assert row[quality.N_CLASSES + 3] == pytest.approx(1 - len(set(words)) / len(words))
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    stats = quality.statistic_rows(docs)
+    from pyspark.sql import functions as F
+
+    apart = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(quality.CALIBRATION_PART)) == 0
+    rows = stats.join(labels, "doc_id").withColumn("apart", apart).withColumn("held", learning.fold(5) == 0).collect()
+    part = lambda flag: [r for r in rows if not r.held and r["apart"] == flag]
+    x, y = np.array([r.stats for r in part(False)]), np.array([r.quality for r in part(False)], float)
+    model = quality.FourierRidge()
+    mean, scale = x.mean(0), x.std(0) + 1e-6
+    expand = lambda v: np.array([[math.sqrt(2 / quality.FEATURES) * math.cos(c) for c in np.clip((u - mean) / scale, -5, 5) / math.sqrt(quality.N_STATS) @ model.normal + model.phase] + [1.0] for u in v])
+    z = expand(x)
+    penalty = np.diag([quality.RIDGE * len(x)] * quality.FEATURES + [quality.RIDGE * len(x) * 1e-9])
+    weights = np.linalg.solve(z.T @ z + penalty, z.T @ y)
+    bins = lambda v: np.clip((v + 0.5) / 2 * learning.BINS, 0, learning.BINS - 1)
+    hits, total = np.zeros(learning.BINS), np.zeros(learning.BINS)
+    for r, value in zip(part(True), expand(np.array([r.stats for r in part(True)])) @ weights, strict=True):
+        hits[int(bins(value))] += r.quality
+        total[int(bins(value))] += 1
+    rates = pooled(hits, total)
+    raw = expand(np.array([r.stats for r in rows])) @ weights
+    want = {r.doc_id: (1 - 1e-3) * np.interp(bins(v), np.arange(learning.BINS), rates) + 1e-3 * bins(v) / learning.BINS for r, v in zip(rows, raw, strict=True)}
+    scored = {r.doc_id: r.score for r in quality.quality_scores(docs, labels).collect()}
+    assert np.allclose([scored[d] for d in want], list(want.values()), atol=0.02) and np.corrcoef([scored[d] for d in want], list(want.values()))[0, 1] > 0.9999
+
+
+def pooled(hits, total):
+    """Isotonic rates as the largest least mean over all intervals around a bin (the min-max formula), linear in between."""
+    at = np.flatnonzero(total)
+    h, t = np.concatenate([[0], np.cumsum(hits[at])]), np.concatenate([[0], np.cumsum(total[at])])
+    n = len(at)
+    value = [max(min((h[b + 1] - h[a]) / (t[b + 1] - t[a]) for b in range(i, n)) for a in range(i + 1)) for i in range(n)]
+    return np.interp(np.arange(len(total)), at, value)
+
+
+def test_kneser_ney_by_brute_force(spark, make_docs):
+    """Every word's ratio from counts in plain dictionaries."""
+    from collections import Counter
+
+    texts = ["you idiot clown", "idiot idiots, go", "nice day now", "a nice clown day", "unlabelled words here", "day"]
+    label = {0: 1.0, 1: 1.0, 2: 0.0, 3: 0.0}
+    found = toxicity.count_grams(toxicity.count_words(make_docs(texts), label)).toArrow()
+    arrays = {c: found[c].to_numpy() for c in found.column_names}
+    model = toxicity.KneserNeyRatio(**{c: a.view(np.uint64) if c in ("key", "context", "suffix") else a for c, a in arrays.items()})
+    words = [set(w.strip(toxicity.TRIM) for w in t.lower().split()) for t in texts]
+    weight = {w: [sum(w in ws and label.get(i) == v for i, ws in enumerate(words)) for v in (1.0, 0.0)] for w in set().union(*words)}
+    types, seen, used = Counter(), [Counter(), Counter()], set()
+    cells = lambda w: ["<", *w, ">"]
+    for w, c in weight.items():
+        x = cells(w)
+        for e in range(1, len(x)):
+            for k in range(min(e, toxicity.ORDER - 1) + 1):
+                g = tuple(x[e - k : e + 1])
+                types[g] += 1
+                if sum(c):
+                    used.add(g[:-1])
+                if k == min(e, toxicity.ORDER - 1):
+                    for s, n in zip(seen, c, strict=True):
+                        s[g] += n
+    total, kinds = Counter(), Counter()
+    for g, n in types.items():
+        total[g[:-1]] += n
+        kinds[g[:-1]] += 1
+    d = toxicity.DISCOUNT
+
+    def shared(g):
+        lower = 1 / (total[()] + 200) if len(g) == 1 else shared(g[1:])
+        return max(types[g] - d, 0) / total[g[:-1]] + d * kinds[g[:-1]] / total[g[:-1]] * lower
+
+    def log_p(s, g, known):
+        own = [n for h, n in s.items() if h[:-1] == g[:-1]]
+        n, t = sum(own), sum(x > 0 for x in own)
+        free = d * t / n if n else 1.0
+        return math.log(max(s[g] - d, 0) / max(n, 1) + free * (shared(g[1:]) if len(g) > 1 else 1 / (total[()] + 200))) if known else math.log(free)
+
+    def ratio(w):
+        x, out = cells(w), 0.0
+        for e in range(1, len(x)):
+            g = tuple(x[e - min(e, toxicity.ORDER - 1) : e + 1])
+            if seen[0][g] + seen[1][g] or g[:-1] in used:
+                known = seen[0][g] + seen[1][g] > 0
+                out += log_p(seen[0], g, known) - log_p(seen[1], g, known)
+        return out
+
+    tried = [*weight, "clowns", "idiotic", "dayly", "zzz", "x"]
+    assert np.allclose(model.words(tried), [ratio(w) for w in tried], atol=1e-4)
+    assert ratio("idiot") > 1 > -0.5 > ratio("nice")
+
+
 def test_pipeline(spark):
-    """Every stage against what its operator says about the stage's own input."""
+    """Every stage against what its operator says about the stage's own input, the last three against plain Python."""
+    from test_text_operators import shingles, words
+
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns = docs.columns
     for n, (name, stage) in enumerate(corpus_pipeline.STAGES):
@@ -155,10 +263,32 @@ def test_pipeline(spark):
             scored = (toxicity.toxicity_scores if n == 0 else quality.quality_scores)(docs, spark.read.parquet(f"{SF}/labels.parquet"))
             assert {r.doc_id for r in after} == {r.doc_id for r in scored.where(f"predicted = {n}").collect()}
             assert len(after) >= 0.5 * len(before)
+        if n == 2:
+            up = {d: d for d in before}
+            sets = {d: shingles(t) for d, t in before.items()}
+            for d in sorted(before):
+                for e in sorted(before):
+                    both = len(sets[d] & sets[e])
+                    if e < d and both and 100 * both >= 80 * len(sets[d] | sets[e]):
+                        low, high = sorted((up[d], up[e]))
+                        up = {k: low if v == high else v for k, v in up.items()}
+            assert {r.doc_id: r.text for r in after} == {d: t for d, t in before.items() if up[d] == d}
         if n == 3:
-            assert {r.doc_id for r in after} == set(before)
+            seen, want = set(), {}
+            for d in sorted(before):
+                w, gone = words(before[d]), set()
+                for i in range(len(w) - 49):
+                    if (x := tuple(w[i : i + 50])) in seen:
+                        gone.update(range(i, i + 50))
+                    seen.add(x)
+                want[d] = [x for i, x in enumerate(w) if i not in gone]
+            assert {r.doc_id: words(r.text) for r in after} == want and all(r.n_chars == len(r.text) for r in after if len(want[r.doc_id]) != len(words(before[r.doc_id])))
         if n == 4:
             assert {r.doc_id for r in after} == set(before)
+            full = {}
+            for r in after:
+                full.setdefault(r.sequence_id, []).append((r.offset, r.length))
+            assert all(sum(n for _, n in own) <= 2048 and [a for a, _ in sorted(own)] == [sum(n for _, n in sorted(own)[:i]) for i in range(len(own))] for own in full.values())
         docs = out
 
 
