@@ -25,6 +25,9 @@ from evispark.llm.textkit import gather, text_bytes
 from evispark.llm.vocabulary import UnitStore, kept, spread
 
 SPACE = "▁"
+#: Pair tests that a Python worker keeps, about 100 MB, and the longest run of spaces whose ids it keeps.
+MOST_PAIRS = 1_000_000
+MOST_SPACES = 256
 
 
 class PieceCodec:
@@ -85,6 +88,8 @@ class PieceCodec:
     def _apart(self, a: int, b: int) -> bool:
         key = a << 20 | b
         if (known := self.apart.get(key)) is None:
+            if len(self.apart) >= MOST_PAIRS:
+                self.apart.clear()
             known = self.apart[key] = self.merge(self.pieces[a] + self.pieces[b]) == [a, b]
         return known
 
@@ -114,6 +119,8 @@ class PieceCodec:
         return out[::-1]
 
     def run(self, n: int) -> list[int]:
+        if n > MOST_SPACES:  # rare and long: not kept
+            return self.merge(SPACE * n)
         if n not in self.spaces:
             self.spaces[n] = self.merge(SPACE * n)
         return self.spaces[n]

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from evispark.session import shared_folder
+
 #: Rows of an Arrow batch; texts may be long, so a batch stays small in memory.
 ARROW_ROWS = 1000
 
@@ -24,11 +26,11 @@ def tune(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or where it is unset one below the warehouse."""
+    """The folder that all executors share: spark.checkpoint.dir, or where it is unset, on one machine alone, one below the
+    warehouse."""
     sc = spark.sparkContext._jsc.sc()
     if sc.getCheckpointDir().isEmpty():
-        base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
-        spark.sparkContext.setCheckpointDir(base)
+        spark.sparkContext.setCheckpointDir(shared_folder(spark) + "/_checkpoints")
     return sc.getCheckpointDir().get()
 
 
