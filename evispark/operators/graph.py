@@ -66,7 +66,7 @@ def merge_entities(candidates: DataFrame, key: Column, domain: tuple[str, ...] =
     """
     keyed = candidates.withColumn("key", key).where("key <> ''")
     typed = keyed.withColumn("pref", F.struct((~F.col("type").isin(*domain)).alias("other"), F.col("type").alias("type")))
-    best = typed.groupBy("key").agg(F.min("pref").alias("best"))
+    best = cut(typed.groupBy("key").agg(F.min("pref").alias("best")))  # so that the join deals out both sides and can split a hot key
     head = F.min(F.struct((F.col("type") != F.col("best.type")).alias("not_best"), F.col("ord").alias("ord"), F.col("name").alias("name"), F.col("description").alias("description")))
     out = typed.join(best, "key").groupBy("key", F.col("best.type").alias("type")).agg(head.alias("h"), ordered(F.col("name"), F.col("ord")).alias("names"), ordered(F.col("citation"), F.col("ord")).alias("citations"))
     return out.select("key", "type", F.col("h.name").alias("name"), F.col("h.description").alias("description"), F.array_except("names", F.array("h.name")).alias("aliases"), "citations")
