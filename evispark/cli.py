@@ -1,10 +1,14 @@
-"""Command line: python -m evispark.cli {parse,organise,publish,batch,query} ..."""
+"""Command line: python -m evispark.cli {parse,organise,publish,batch,republish,query} ..."""
 
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 
-from evispark.session import session
+from evispark import config
+from evispark.operators import readers
+from evispark.plans import stages
+from evispark.session import cut, session
 
 
 def parser() -> argparse.ArgumentParser:
@@ -15,6 +19,10 @@ def parser() -> argparse.ArgumentParser:
         s = sub.add_parser(name, help=words)
         s.add_argument("input")
         s.add_argument("output")
+        s.add_argument("--config", help="settings in YAML; with a model's address topics, entities and relationships are integrated")
+    r = sub.add_parser("republish", help="a site from the pages of an earlier batch, without models")
+    r.add_argument("input")
+    r.add_argument("output")
     q = sub.add_parser("query", help="a registered query over a folder of tables")
     q.add_argument("name")
     q.add_argument("tables")
@@ -22,7 +30,19 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
-def main(argv: list[str] | None = None) -> int:
+def options_of(settings: dict) -> stages.Options:
+    own, wiki = settings["semantic"], settings["wiki"]
+    return stages.Options(own["prompt_chars"], settings["llm_api"]["max_tokens"], own["repairs"], wiki["max_entities"], own["max_topics"], wiki["max_relationships"])
+
+
+def backend_of(api: dict) -> Callable[[], readers.ChatBackend]:
+    """Makes the configured model's client, in each task. The key goes with it to executors."""
+    key = config.secret(api)
+    return lambda: readers.HttpBackend(api["base_url"], api["model"], api["timeout_seconds"], key=key)
+
+
+def main(argv: list[str] | None = None, backend: Callable[[], readers.ChatBackend] | None = None) -> int:
+    """Run a command. backend: a model in place of the configured one."""
     args = parser().parse_args(argv)
     spark = session(master=args.master)
     if args.command == "query":
@@ -30,16 +50,29 @@ def main(argv: list[str] | None = None) -> int:
 
         QUERIES[args.name](spark, args.tables).show(args.rows, truncate=80)
         return 0
-    from evispark.plans import collection, publish
+    from evispark.plans import collection, integration, publish
 
     if args.command == "parse":
         collection.read(spark, args.input)[2].write.mode("errorifexists").parquet(args.output)
         return 0
-    found = collection.collect(spark, args.input)
+    if args.command == "republish":
+        publish.publish(publish.resume(spark, f"{args.input}/tables/integrated/pages.parquet"), args.output)
+        return 0
+    settings = config.loaded(args.config) if args.config else config.parsed({"version": 2})
+    if backend is None and settings["llm_api"]["base_url"]:
+        backend = backend_of(settings["llm_api"])
+    found = collection.collect(spark, args.input, complete=settings["semantic"]["policy"] == "complete")
     if args.command in ("organise", "batch"):
         collection.export(found, f"{args.output}/tables" if args.command == "batch" else args.output)
     if args.command in ("publish", "batch"):
-        publish.publish(collection.site(found), f"{args.output}/site" if args.command == "batch" else args.output, found.violations)
+        pages, broken = collection.site(found), found.violations
+        if backend is not None:
+            whole = integration.integrate(found, backend, options_of(settings))
+            pages = cut(integration.site(found, whole))
+            broken = broken.unionByName(integration.violations(pages, whole))
+            if args.command == "batch":
+                integration.export(whole, pages, f"{args.output}/tables/integrated")
+        publish.publish(pages, f"{args.output}/site" if args.command == "batch" else args.output, broken)
     return 0
 
 

@@ -121,6 +121,32 @@ def excerpt(text: str | None, allowed: list[str] | None) -> str:
     return "\n".join(kept).strip()
 
 
+def cited_blocks(text: str | None) -> list[dict]:
+    """(block, citations): runs of lines that end in a line with qualified citations; a rest without any is no block."""
+    out, held = [], []
+    for line in (text or "").splitlines():
+        held.append(line)
+        if cited := qualified_citations(line):
+            out.append({"block": "\n".join(held).strip(), "citations": cited})
+            held = []
+    return out
+
+
+def integrated_check(text: str | None, facts: str | None, accepted: list[str] | None) -> list[str]:
+    """integrated_errors with the facts as JSON: an array of citation, numbers and requests."""
+    return integrated_errors(text, {f["citation"]: f for f in json.loads(facts or "[]")}, accepted)
+
+
+def evidence_links(text: str | None) -> str:
+    """Qualified citations as links to their block on the evidence page of their slide."""
+
+    def link(m: re.Match) -> str:
+        source, slide = m[1], int(m[2])
+        return f"[[evidence/{source}-{slide:04d}#{quote(m[3], safe='-._~')}|{source} slide {slide}]]"
+
+    return re.sub(patterns.QUALIFIED_CITATION, link, text or "")
+
+
 def anchors(text: str | None) -> list[str]:
     """Explicit ids and heading slugs outside fences; a slug that comes again gets -1, -2, ..."""
     out, seen = [], {}

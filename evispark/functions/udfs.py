@@ -61,6 +61,10 @@ KERNELS: dict[str, tuple[Callable, str]] = {
     "prepared_markdown": (markdown.prepared, "string"),
     "grounding_errors": (markdown.grounding_errors, "array<string>"),
     "excerpt": (markdown.excerpt, "string"),
+    "cited_blocks": (markdown.cited_blocks, "array<struct<block:string,citations:array<string>>>"),
+    "integrated_check": (markdown.integrated_check, "array<string>"),
+    "evidence_links": (markdown.evidence_links, "string"),
+    "fragments": (text.split_text, "array<string>"),
     "evidence_block": (markdown.evidence_block, "string"),
     "relative_link": (markdown.relative_link, "string"),
 }

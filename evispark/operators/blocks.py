@@ -49,8 +49,8 @@ def notes_blocks(blocks: DataFrame, notes: DataFrame, deck: list[str]) -> DataFr
     return notes.where(F.trim("notes") != "").join(last, deck, "left").select(*deck, F.lit("notes").alias("element_id"), F.lit("notes").alias("kind"), F.col("notes").alias("content"), (F.coalesce("last", F.lit(0)) + 1).alias("reading_order"))
 
 
-def unique_ids(elements: DataFrame, group: list[str], base: str, order: str) -> DataFrame:
-    """element ids made unique within a group: the first keeps its id, later ones get --2, --3, ..., each the first that
+def unique_ids(elements: DataFrame, group: list[str], base: str, order: str, mark: str = "--") -> DataFrame:
+    """element ids made unique within a group: the first keeps its id, later ones get --2, --3, ... (or another mark), each the first that
     no earlier id has.
 
     An id only meets ids of its family, those that differ in such endings. In most families all bases are equal: a number
@@ -58,7 +58,7 @@ def unique_ids(elements: DataFrame, group: list[str], base: str, order: str) ->
     one in memory.
     """
     schema = StructType([*elements.schema.fields, StructField("unique_id", StringType())])
-    family = F.regexp_replace(F.col(base), r"(--\d+)+$", "").alias("_family")
+    family = F.regexp_replace(F.col(base), rf"({mark}\d+)+$", "").alias("_family")
 
     def assign(pdf: pd.DataFrame) -> pd.DataFrame:
         used: set[str] = set()
@@ -68,7 +68,7 @@ def unique_ids(elements: DataFrame, group: list[str], base: str, order: str) ->
             value, n = name, 1
             while value in used:
                 n += 1
-                value = f"{name}--{n}"
+                value = f"{name}{mark}{n}"
             used.add(value)
             out.append(value)
         return pdf.assign(unique_id=out)
@@ -78,7 +78,7 @@ def unique_ids(elements: DataFrame, group: list[str], base: str, order: str) ->
     several = cut(named.groupBy(*key).agg(F.min(base).alias("low"), F.max(base).alias("high")).where("low <> high").select(*key))
     number = F.row_number().over(Window.partitionBy(*group, base).orderBy(order))
     numbered = named.join(several, key, "left_anti").withColumn("n", number)
-    plain = numbered.select(*elements.columns, F.when(F.col("n") == 1, F.col(base)).otherwise(F.concat(F.col(base), F.lit("--"), F.col("n").cast("string"))).alias("unique_id"))
+    plain = numbered.select(*elements.columns, F.when(F.col("n") == 1, F.col(base)).otherwise(F.concat(F.col(base), F.lit(mark), F.col("n").cast("string"))).alias("unique_id"))
     return plain.union(named.join(several, key, "left_semi").groupBy(*key).applyInPandas(assign, schema))
 
 

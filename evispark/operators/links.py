@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evispark.functions.udfs import call
+from evispark.operators.blocks import unique_ids
 
 HREF = r"""(?i)<a\b[^>]*\bhref\s*=\s*["']([^"']*)["']"""
 HEADING = r"(?is)<h1[^>]*>(.*?)</h1>"
@@ -59,6 +60,21 @@ def unique_slugs(values: DataFrame, slug, value: str = "value") -> DataFrame:
     return base.join(shared, "base", "left").select(value, F.when(F.col("shared"), F.concat("base", F.lit("--"), F.substring(F.sha2(F.encode(value, "UTF-8"), 256), 1, 10))).otherwise(F.col("base")).alias("slug"))
 
 
+# Names that a site's own files have.
+RESERVED_SLUGS = ("index", "publish-report", "manifest", "documents", "con", "prn", "aux", "nul", *(f"{port}{n}" for port in ("com", "lpt") for n in range(1, 10)))
+
+
+def numbered_slugs(values: DataFrame, base: str, order: str, reserved: tuple[str, ...] = RESERVED_SLUGS) -> DataFrame:
+    """values with a slug each: a base that an earlier row or a reserved name has gets -2, -3, ..., the first that is free.
+
+    `order` is a text column without empty values; rows of one base are numbered in its order. Slugs are in lower case.
+    """
+    own = values.withColumn("_base", F.lower(base)).withColumn("_held", F.lit(False))
+    held = values.sparkSession.createDataFrame([(name,) for name in reserved], "_base string").withColumn(order, F.lit("")).withColumn("_held", F.lit(True))
+    named = unique_ids(own.unionByName(held, allowMissingColumns=True), [], "_base", order, "-")
+    return named.where("not _held").withColumnRenamed("unique_id", "slug").drop("_base", "_held")
+
+
 def heading_slugs(headings: DataFrame, page: str, line: str, slug: str) -> DataFrame:
     """A heading slug that a page has already gets -1, -2, ... by line."""
     w = Window.partitionBy(page, slug).orderBy(line)

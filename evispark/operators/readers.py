@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evispark.functions.html import cell_tokens_table, clean_table, html_text
+from evispark.session import cut
 
 BLOCKS = "array<struct<kind:string,text:string,markdown:string,html:string,bbox:array<double>,confidence:double,ord:int>>"
 
@@ -106,7 +107,7 @@ def repaired(prompts: DataFrame, backend: Callable[[], ChatBackend], errors_of:
     """
     kept, open_prompts = None, prompts.select(key, prompt)
     for n in range(rounds + 1):
-        answers = complete(open_prompts, backend, key, prompt).select(key, "answer").where("answer is not null").persist()
+        answers = cut(complete(open_prompts, backend, key, prompt).select(key, "answer").where("answer is not null"))  # a model is asked once
         bad = errors_of(answers).groupBy(key).agg(F.array_join(F.sort_array(F.collect_list("error")), "\n").alias("why"))
         good = answers.join(bad, key, "left_anti")
         kept = good if kept is None else kept.union(good)

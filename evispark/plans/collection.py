@@ -12,6 +12,7 @@ from evispark.functions import columns as C
 from evispark.functions.udfs import call
 from evispark.operators import artifacts, blocks, checks, decisions, topics
 from evispark.plans import publish, stages
+from evispark.session import cut
 from evispark.sources import files, ooxml
 
 
@@ -50,14 +51,21 @@ def collect(spark: SparkSession, path: str, selected: DataFrame | None = None, c
     occurrences, sources, elements = read(spark, path)
     b = to_blocks(elements).persist()
     chosen = b.select("source_id", "citation").limit(0) if selected is None else selected
-    semantic = stages.organise(b, chosen, complete)
+    decided = stages.organise(b, chosen, complete)
+    ledger = cut(decided.ledger)  # these are read by every later step
+    semantic = stages.Semantic(ledger, decisions.inventory(ledger), decided.duplicates, cut(decided.decisions))
     broken = checks.union([artifacts.provenance(b), artifacts.decisions(semantic.decisions, b, semantic.ledger)])
     return Collection(occurrences, sources, b, semantic, broken)
 
 
+def evidence_pages(b: DataFrame) -> DataFrame:
+    """(path, body) of every slide's blocks."""
+    return blocks.slide_pages(b).select(F.format_string("evidence/%s-%04d.md", "source_id", "slide_number").alias("path"), F.col("page").alias("body"))
+
+
 def site(c: Collection) -> DataFrame:
     """(path, body): evidence pages, a dossier for each source, and an index."""
-    evidence = blocks.slide_pages(c.blocks).select(F.format_string("evidence/%s-%04d.md", "source_id", "slide_number").alias("path"), F.col("page").alias("body"))
+    evidence = evidence_pages(c.blocks)
     names = c.sources.select("source_id", C.file_stem(F.element_at("paths", 1)).alias("title"))
     kept = stages.kept_blocks(c.blocks, c.semantic.decisions)
     body = kept.groupBy("source_id").agg(publish.lines(F.col("content"), F.col("rank"), "").alias("body"))

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evispark.functions.text import lenient_json, without_fence
 from evispark.functions.udfs import call
 from evispark.operators import readers
 from evispark.operators.checks import rows
+from evispark.session import cut
 
 # Own wording of the instructions; a page's evidence follows them.
 TOPIC_TASK = "Name the topics of this evidence as JSON: {\"topics\": [{\"title\": ..., \"description\": ..., \"citations\": [...]}]}."
@@ -34,7 +35,7 @@ def topics(chunks: DataFrame, backend: Callable, fallback: DataFrame) -> tuple[D
     """(topics, warnings): topics (source_id, ord, title, description, citation) that a model names in chunks (chunk_id,
     source_id, text, citations); unknown citations are warnings; sources without any topic take those of `fallback`."""
     prompts = chunks.select("chunk_id", F.concat(F.lit(TOPIC_TASK + "\n\n"), "text").alias("prompt"))
-    answers = readers.complete(prompts, backend, "chunk_id")
+    answers = cut(readers.complete(prompts, backend, "chunk_id"))  # read twice, asked once
     schema = "struct<topics:array<struct<title:string,description:string,citations:array<string>>>>"
     found = answers.select("chunk_id", F.posexplode(F.from_json(call("lenient_json", "answer"), schema)["topics"]).alias("place", "t"))
     joined = found.join(chunks.select("chunk_id", "source_id", F.col("citations").alias("allowed")), "chunk_id")
@@ -45,27 +46,39 @@ def topics(chunks: DataFrame, backend: Callable, fallback: DataFrame) -> tuple[D
     return good.unionByName(fallback.join(good.select("source_id").distinct(), "source_id", "left_anti").select(*good.columns)), warnings
 
 
-def pages(parts: DataFrame, backend: Callable, limit: int, repairs: int = 2) -> DataFrame:
-    """(topic_id, body, generation) from parts (topic_id, part, title, evidence, citations, verbatim).
+def local_check() -> Column:
+    """Errors of an answer with local citations."""
+    return call("grounding_errors", "answer", "citations", "evidence")
+
+
+def integrated_check() -> Column:
+    """Errors of an answer with qualified citations: each line's numbers and requests belong to its citations."""
+    return call("integrated_check", "answer", F.to_json("facts"), F.array_distinct(F.flatten("facts.requests")))
+
+
+def pages(parts: DataFrame, backend: Callable, limit: int, repairs: int = 2, check: Callable[[], Column] = local_check) -> DataFrame:
+    """(topic_id, body, generation) from parts (topic_id, part, title, evidence, citations, verbatim, facts if checked).
 
     Every part is written and checked, and asked for again with its errors; what never passes is its evidence word for
     word. A topic's parts are joined by the model where they fit the limit and the result passes, else put one after
     another. A topic's parts form one group: they are as many as its evidence has chunks.
     """
-    keyed = parts.withColumn("id", F.concat_ws("#", "topic_id", F.col("part").cast("string")))
+    keyed = cut(parts.withColumn("id", F.concat_ws("#", "topic_id", F.col("part").cast("string"))))  # every round reads it
     prompts = keyed.select("id", F.concat(F.lit(PAGE_TASK + "\nTopic: "), "title", F.lit("\n\n"), "evidence").alias("prompt"))
-    facts = keyed.select("id", "citations", "evidence")
+    has_facts = "facts" in parts.columns
+    carried = ["citations", "evidence", *["facts"] * has_facts]
+    facts = keyed.select("id", *carried)
 
     def errors(answers: DataFrame) -> DataFrame:
-        return answers.join(facts, "id").select("id", F.explode(call("grounding_errors", "answer", "citations", "evidence")).alias("error"))
+        return answers.join(facts, "id").select("id", F.explode(check()).alias("error"))
 
     good, _ = readers.repaired(prompts, backend, errors, repairs, "id")
-    written = keyed.join(good, "id", "left").select("topic_id", "part", F.when(F.col("answer").isNull(), F.col("verbatim")).otherwise(call("without_top_heading", "answer")).alias("body"), F.col("answer").isNull().alias("fell_back"), "citations", "evidence")
-    grouped = written.groupBy("topic_id").agg(F.sort_array(F.collect_list(F.struct("part", "body"))).alias("p"), F.max("fell_back").alias("fell_back"), F.array_distinct(F.flatten(F.collect_list("citations"))).alias("citations"), F.array_join(F.collect_list("evidence"), "\n").alias("evidence"))
-    whole = grouped.select("topic_id", F.array_join(F.col("p.body"), "\n\n").alias("body"), F.size("p").alias("n"), "fell_back", "citations", "evidence")
+    written = keyed.join(good, "id", "left").select("topic_id", "part", F.when(F.col("answer").isNull(), F.col("verbatim")).otherwise(call("without_top_heading", "answer")).alias("body"), F.col("answer").isNull().alias("fell_back"), *carried)
+    grouped = written.groupBy("topic_id").agg(F.sort_array(F.collect_list(F.struct("part", "body"))).alias("p"), F.max("fell_back").alias("fell_back"), F.array_distinct(F.flatten(F.collect_list("citations"))).alias("citations"), F.array_join(F.collect_list("evidence"), "\n").alias("evidence"), *[F.array_distinct(F.flatten(F.collect_list("facts"))).alias("facts")] * has_facts)
+    whole = grouped.select("topic_id", F.array_join(F.col("p.body"), "\n\n").alias("body"), F.size("p").alias("n"), "fell_back", *carried)
     fits = whole.where((F.col("n") > 1) & ~F.col("fell_back") & (F.length("body") <= limit))
     merge = fits.select(F.col("topic_id").alias("id"), F.concat(F.lit(MERGE_TASK + "\n\n"), "body").alias("prompt"))
-    merged, _ = readers.repaired(merge, backend, lambda a: a.join(fits.select(F.col("topic_id").alias("id"), "citations", "evidence"), "id").select("id", F.explode(call("grounding_errors", "answer", "citations", "evidence")).alias("error")), 0, "id")
+    merged, _ = readers.repaired(merge, backend, lambda a: a.join(fits.select(F.col("topic_id").alias("id"), *carried), "id").select("id", F.explode(check()).alias("error")), 0, "id")
     out = whole.join(merged.select(F.col("id").alias("topic_id"), "answer"), "topic_id", "left")
     return out.select("topic_id", F.coalesce("answer", "body").alias("body"), F.when(F.col("fell_back"), "verbatim_fallback").otherwise("model").alias("generation"))
 

@@ -27,11 +27,26 @@ def page(title: Column, description: Column, tags: Column, body: Column) -> Colu
     return F.concat(head, F.lit("\n# "), title, F.lit("\n\n"), body, F.lit("\n"))
 
 
-def entity_pages(entities: DataFrame, edges: DataFrame) -> DataFrame:
-    """(path, body) for each entity (id, name, type, description, aliases, citations), with its relationships."""
-    named = entities.select(F.col("id").alias("other"), F.col("name").alias("other_name"))
-    near = graph.incidence(edges).join(named, "other").withColumn("line", F.concat(F.when(F.col("direction") == "out", "→ ").otherwise("← "), F.col("predicate"), F.lit(" [["), F.lit("entities/"), F.col("other"), F.lit("|"), F.col("other_name"), F.lit("]]")))
-    related = near.groupBy(F.col("node").alias("id")).agg(lines(F.col("line"), F.struct("direction", "predicate", "other_name")).alias("related"))
+def label(column: Column) -> Column:
+    """Text as the words of a wiki link, which may hold no brackets or bars."""
+    return F.trim(F.regexp_replace(F.coalesce(column, F.lit("")), r"[\[\]|\s]+", " "))
+
+
+def wiki_link(folder: str, name: Column, title: Column) -> Column:
+    return F.concat(F.lit(f"[[{folder}/"), name, F.lit("|"), label(title), F.lit("]]"))
+
+
+def entity_pages(entities: DataFrame, edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+    """(path, body) for each entity (id, name, type, description, aliases, citations), with its relationships.
+
+    nodes: (node, link) of everything that an edge may end at, where an entity's node is entity:id; without it the ends are
+    ids of entities."""
+    prefix = "entity:" if nodes is not None else ""
+    if nodes is None:
+        nodes = entities.select(F.col("id").alias("node"), wiki_link("entities", F.col("id"), F.col("name")).alias("link"))
+    named = nodes.select(F.col("node").alias("other"), "link")
+    near = graph.incidence(edges).where(F.startswith("node", F.lit(prefix))).join(named, "other").withColumn("line", F.concat(F.when(F.col("direction") == "out", "→ ").otherwise("← "), F.col("predicate"), F.lit(" "), F.col("link")))
+    related = near.groupBy(F.substring("node", len(prefix) + 1, 1 << 30).alias("id")).agg(lines(F.col("line"), F.struct("direction", "predicate", "link")).alias("related"))
     section = lambda head, text: F.when(F.coalesce(text, F.lit("")) != "", F.concat(F.lit(f"## {head}\n\n"), text))
     bullets = lambda c: F.array_join(F.transform(c, lambda x: F.concat(F.lit("- "), x)), "\n")
     body = F.concat_ws("\n\n", F.col("description"), section("Aliases", bullets("aliases")), section("Evidence", bullets("citations")), section("Relationships", F.col("related")))
@@ -44,7 +59,7 @@ def request_pages(values: DataFrame, sources: DataFrame, topics: DataFrame, enti
     values: (value, slug); the others: (value, id, title)."""
     parts = []
     for name, df in (("Sources", sources), ("Topics", topics), ("Entities", entities)):
-        link = F.concat(F.lit(f"[[{name.lower()}/"), "id", F.lit("|"), "title", F.lit("]]"))
+        link = wiki_link(name.lower(), F.col("id"), F.col("title"))
         parts.append(df.groupBy("value").agg(F.concat(F.lit(f"## {name}\n\n"), lines(link, F.col("title"))).alias(name)))
     out = values
     for p in parts:
@@ -52,11 +67,18 @@ def request_pages(values: DataFrame, sources: DataFrame, topics: DataFrame, enti
     return out.select(F.concat(F.lit("requests/"), "slug", F.lit(".md")).alias("path"), page(F.col("value"), F.col("value"), F.array(F.lit("request")), F.concat_ws("\n\n", "Sources", "Topics", "Entities")).alias("body"))
 
 
+def topic_pages(topics: DataFrame, related: DataFrame) -> DataFrame:
+    """(path, body) of topics (slug, title, body) with the entities that share a source. related: (slug, id, name)."""
+    links = related.groupBy("slug").agg(lines(wiki_link("entities", F.col("id"), F.col("name")), F.col("id")).alias("related"))
+    body = F.concat_ws("\n\n", "body", F.concat(F.lit("## Related entities\n\n"), F.col("related")))
+    return topics.join(links, "slug", "left").select(F.concat(F.lit("topics/"), "slug", F.lit(".md")).alias("path"), page(F.col("title"), F.col("title"), F.array(F.lit("topic")), body).alias("body"))
+
+
 def index_page(title: str, sections: dict[str, DataFrame]) -> DataFrame:
     """One page that lists (id, title) rows of every section, sorted without regard to case."""
     parts = None
     for n, (name, df) in enumerate(sections.items()):
-        link = F.concat(F.lit(f"[[{name.lower()}/"), "id", F.lit("|"), "title", F.lit("]]"))
+        link = wiki_link(name.lower(), F.col("id"), F.col("title"))
         own = df.select(F.lit(n).alias("n"), F.lit(name).alias("name"), call("stable_key", "title").alias("k"), link.alias("link"))
         parts = own if parts is None else parts.union(own)
     one = parts.groupBy("n", "name").agg(lines(F.col("link"), F.col("k")).alias("list")).select("n", F.concat(F.lit("## "), "name", F.lit("\n\n"), "list").alias("s"))

@@ -59,12 +59,18 @@ def complete_decisions(blocks: DataFrame, decided: DataFrame) -> DataFrame:
     return checks.union([checks.duplicates(decided, ["source_id", "citation"], "decided-twice"), checks.missing(blocks, decided, ["source_id", "citation"], "undecided"), checks.missing(decided, blocks, ["source_id", "citation"], "unknown-citation")])
 
 
-ANSWER = "struct<entities:array<struct<name:string,type:string,description:string,citations:array<string>>>,relationships:array<struct<predicate:string,subject:string,object:string,assertion:string,description:string,citations:array<string>>>,topics:array<struct<title:string,description:string,citations:array<string>>>>"
+ANSWER = "struct<entities:array<struct<name:string,type:string,description:string,citations:array<string>>>,relationships:array<struct<predicate:string,subject:string,subject_type:string,object:string,object_type:string,assertion:string,description:string,citations:array<string>>>,topics:array<struct<title:string,description:string,citations:array<string>>>>"
 
 
-def discover(chunks: DataFrame, backend, options: Options, key: str = "chunk_id", text: str = "text") -> DataFrame:
+# Own wording of the instructions; the evidence follows them.
+DISCOVER_TASK = "List topics, entities and relationships as JSON, each with citations from the evidence."
+DOMAIN_TASK = "List as JSON the samples, lots, devices, materials, tests, failures and causes as entities, and their relationships with predicate, subject, object and the assertion that the evidence makes, each with citations."
+ENTITIES_TASK = "List as JSON the entities alone that the evidence names, each with citations."
+
+
+def discover(chunks: DataFrame, backend, options: Options, key: str = "chunk_id", text: str = "text", task: str = DISCOVER_TASK) -> DataFrame:
     """(key, entities, relationships, topics) that a model finds in each chunk; answers that are no JSON give nulls."""
-    prompts = chunks.select(F.col(key), F.concat(F.lit("List topics, entities and relationships as JSON, each with citations from the evidence.\n\n"), F.col(text)).alias("prompt"))
+    prompts = chunks.select(F.col(key), F.concat(F.lit(task + "\n\n"), F.col(text)).alias("prompt"))
     answers = readers.complete(prompts, backend, key, max_tokens=options.output_tokens)
     return answers.select(key, F.from_json(call("lenient_json", "answer"), ANSWER).alias("a")).select(key, "a.*")
 
@@ -74,7 +80,7 @@ def grounded_candidates(found: DataFrame, chunks: DataFrame, key: str = "chunk_i
     names that are request numbers belong to the code, not to the model."""
     rows = found.select(key, F.posexplode("entities").alias("place", "e")).join(chunks.select(key, text, F.col(citations).alias("allowed")), key)
     seen = rows.where(F.contains(call("search_form", text), call("search_form", F.col("e.name"))) & (F.size(call("request_numbers", F.col("e.name"))) == 0))
-    cited = seen.select(F.struct(F.col(key), "place").alias("ord"), F.col("e.name").alias("name"), F.coalesce("e.type", F.lit("other")).alias("type"), F.col("e.description").alias("description"), F.explode(F.array_intersect(F.array_distinct(F.col("e.citations")), F.col("allowed"))).alias("citation"))
+    cited = seen.select(F.struct(F.col(key), "place").alias("ord"), call("clean_label", "e.name").alias("name"), F.coalesce("e.type", F.lit("other")).alias("type"), F.col("e.description").alias("description"), F.explode(F.array_intersect(F.array_distinct(F.col("e.citations")), F.col("allowed"))).alias("citation"))
     return cited
 
 

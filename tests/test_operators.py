@@ -256,7 +256,7 @@ def test_coverage_fills_uncovered_topics(spark):
     assert graph.predicate_kinds(spark).where("array_contains(kinds, 'lot')").first().predicate == "has_lot"
 
 
-def deck_bytes(external=False):
+def deck_bytes(external=False, title="Title"):
     ns = 'xmlns:a="http://schemas.openxmlformats.org/drawingml/2006/main" xmlns:p="http://schemas.openxmlformats.org/presentationml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
     box = lambda x, y, w, h, extra="": f'<a:xfrm{extra}><a:off x="{x}" y="{y}"/><a:ext cx="{w}" cy="{h}"/></a:xfrm>'
     text = lambda i, t, x: f'<p:sp><p:nvSpPr><p:cNvPr id="{i}" name="n{i}"/></p:nvSpPr><p:spPr>{box(x, 10, 100, 50)}</p:spPr><p:txBody><a:p><a:r><a:t>{t}</a:t></a:r></a:p></p:txBody></p:sp>'
@@ -269,7 +269,7 @@ def deck_bytes(external=False):
         z.writestr("[Content_Types].xml", "<Types/>")
         z.writestr("ppt/presentation.xml", f'<p:presentation {ns}><p:sldIdLst><p:sldId id="256" r:id="r1"/></p:sldIdLst><p:sldSz cx="12192000" cy="6858000"/></p:presentation>')
         z.writestr("ppt/_rels/presentation.xml.rels", rel)
-        z.writestr("ppt/slides/slide1.xml", f"<p:sld {ns}><p:cSld><p:spTree>{text(2, 'Title', 5)}{group}{table}{pic}</p:spTree></p:cSld></p:sld>")
+        z.writestr("ppt/slides/slide1.xml", f"<p:sld {ns}><p:cSld><p:spTree>{text(2, title, 5)}{group}{table}{pic}</p:spTree></p:cSld></p:sld>")
         if external:
             z.writestr("ppt/slides/_rels/slide1.xml.rels", rel.replace("r1", "r2").replace('/slide"', '/image"').replace('Target="slides/slide1.xml"', 'Target="http://far" TargetMode="External"'))
     return out.getvalue()

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from evispark import cli, config
 from evispark.functions import columns as C
-from evispark.operators import artifacts, readers
-from evispark.plans import collection, models, publish
+from evispark.operators import artifacts, links, readers
+from evispark.plans import collection, integration, models, publish
 from test_operators import deck_bytes
 
 
@@ -94,6 +94,94 @@ def test_deck_to_site(spark, tmp_path):
     assert cli.parser().parse_args(["batch", "i", "o"]).command == "batch"
 
 
+def test_decks_to_integrated_site(spark, tmp_path):
+    """The whole way through the command line with a scripted model: pages at their paths, every link resolves."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name, words in (("a", "PR-77 Lot AB-1 uses copper foil 40"), ("b", "Copper foil of PR-78 broke"), ("c", "Nothing to say")):
+        (folder / f"{name}.pptx").write_bytes(deck_bytes(title=words))
+
+    def backend():
+        import json
+        import re
+
+        def cited(prompt, word):
+            spans = re.findall(r'<evidence citation="([^"]+)">\n(.*?)\n</evidence>', prompt, re.S)
+            return [c for c, text in spans if word in text.lower()]
+
+        def discovered(prompt):
+            foil, lot = cited(prompt, "copper foil"), cited(prompt, "lot ab-1")
+            entities = [{"name": "Copper  foil", "type": "material", "citations": foil}] * bool(foil) + [{"name": "Lot AB-1", "type": "lot", "citations": lot}] * bool(lot) + [{"name": "Ghost", "citations": foil}]
+            edges = [{"predicate": "uses_material", "subject": "Lot AB-1", "object": "copper foil", "assertion": "Lot AB-1 uses copper foil", "citations": lot}, {"predicate": "likes", "subject": "Lot AB-1", "object": "copper foil", "assertion": "no", "citations": lot}]
+            return json.dumps({"entities": entities, "relationships": edges, "topics": [{"title": "Index", "description": "d", "citations": foil + ["[@ghost/slide-1#a]"]}]})
+
+        def page(prompt):
+            return "\n".join(f"It stands there. {c}" for c in cited(prompt, "")) if "@" in prompt else "it is 999"
+
+        return readers.ScriptedBackend([("Name the topics", "{}"), ("as JSON", discovered), ("Write Markdown", page)])
+
+    out = tmp_path / "out"
+    assert cli.main(["batch", str(folder), str(out)], backend) == 0
+    at = lambda name: spark.read.parquet(str(out / "tables/integrated" / f"{name}.parquet"))
+    assert sorted((r.name, r.type) for r in at("entities").collect()) == [("Copper foil", "material"), ("Lot AB-1", "lot")]
+    edge = at("relationships").collect()
+    assert [r.predicate for r in edge] == ["uses_material"] and edge[0].requests == ["PR-77"]
+    pages = {p.relative_to(out / "site").as_posix(): p.read_text() for p in (out / "site").rglob("*.md")}
+    assert {p.split("/")[0] for p in pages} == {"evidence", "sources", "entities", "topics", "requests", "index.md"}
+    assert set(p for p in pages if p.startswith("topics/")) == {"topics/index-2.md", "topics/c.md"}
+    topic = pages["topics/index-2.md"]
+    assert "## Related entities" in topic and "[[entities/copper-foil-" in topic and "[[evidence/" in topic and "[@" not in topic
+    lot = next(body for p, body in pages.items() if p.startswith("entities/lot-ab-1"))
+    assert "→ uses_material [[entities/copper-foil-" in lot
+    request = next(body for p, body in pages.items() if p.startswith("requests/") and "PR-77" in body)
+    assert "## Topics" in request and "## Entities" in request and "## Sources" in request
+    modes = {r.slug: r.generation for r in at("topics").collect()}
+    assert modes == {"index-2": "model", "c": "model"}
+    assert links.tree_violations(spark.createDataFrame(list(pages.items()), "path string, body string")).count() == 0
+    assert cli.main(["republish", str(out), str(tmp_path / "again")]) == 0
+    assert {p.relative_to(tmp_path / "again").as_posix(): p.read_text() for p in (tmp_path / "again").rglob("*.md")} == pages
+    with pytest.raises(FileExistsError):
+        cli.main(["republish", str(out), str(tmp_path / "again")])
+
+
+def test_evidence_is_packed_whole(spark):
+    rows = spark.createDataFrame([("s", n, f"[@s/slide-1#e{n}]", "head", "x" * size) for n, size in enumerate((10, 900, 5, 40))] + [("t", 1, "[@t/slide-1#a]", None, None)], "source_id string, place long, citation string, title string, content string")
+    got = {(r.source_id, r.part): r for r in integration.evidence_parts(rows, "source_id", 500).collect()}
+    assert all(len(r.text) <= 500 and r.text.count("<evidence") == r.text.count("</evidence>") for r in got.values())
+    assert sum(r.text.count("x") for r in got.values()) == 955 and got["t", 1].text == '<evidence citation="[@t/slide-1#a]">\n\n</evidence>'
+    assert [c for k in sorted(got) if k[0] == "s" for c in got[k].citations if c.endswith(("e0]", "e3]"))] == ["[@s/slide-1#e0]", "[@s/slide-1#e3]"]
+    said = spark.createDataFrame([("s", "One.\n[@s/slide-1#e0]\n\nTwo [@s/slide-1#e9]\n\nThree [@s/slide-1#e3]\nrest")], "source_id string, body string")
+    parts = integration.evidence_parts(rows, "source_id", 5000)
+    front = {r.source_id: r.text.split("## Evidence")[0] for r in integration.with_dossiers(parts, said, 5000).collect()}
+    assert front == {"s": "## Dossier\n\nOne.\n[@s/slide-1#e0]\n\nThree [@s/slide-1#e3]\n\n", "t": "## Dossier\n\n(none)\n\n"}
+    size = len(parts.where("source_id = 's'").first().text) + len("One.\n[@s/slide-1#e0]") + 90
+    for budget, want in ((size, "One.\n[@s/slide-1#e0]"), (size - 1, "(none)")):
+        got = integration.with_dossiers(parts.where("source_id = 's'"), said, budget).first().text
+        assert got.split("\n\n## Evidence")[0] == f"## Dossier\n\n{want}"
+    assert integration.evidence_parts(rows.limit(0), "source_id", 500).count() == 0
+
+
+def test_topics_over_all_sources(spark):
+    found = spark.createDataFrame([("1", "Alpha", "s", "c1"), ("2", "alpha!", "t", "c2"), ("3", "Beta", "s", "c3"), ("4", "Gamma", "s", "c1"), ("5", "--", "s", "c1")], "ord string, title string, source_id string, citation string")
+    facts = spark.createDataFrame([("s", "c1", []), ("s", "c3", ["PR-1"]), ("t", "c2", []), ("u", "c4", [])], "source_id string, qualified_citation string, request_values array<string>")
+    names = spark.createDataFrame([("s", "S"), ("t", "T"), ("u", "U")], "source_id string, title string")
+    named, members = integration.topic_members(found, facts, names, 2)
+    assert {r.topic_id: r.slug for r in named.collect()} == {"topic-alpha": "alpha", "overflow": "further-evidence", "source-u": "u"}
+    got = {}
+    for r in members.collect():
+        got.setdefault(r.topic_id, set()).add(r.citation)
+    assert got == {"topic-alpha": {"c1", "c2", "c3"}, "overflow": {"c1", "c3"}, "source-u": {"c4"}}
+    named, members = integration.topic_members(found, facts, names, 64)
+    assert named.count() == 4 and members.where("topic_id = 'overflow'").count() == 0
+
+
+def test_numbered_slugs(spark):
+    values = spark.createDataFrame([("a", "Lot"), ("b", "lot"), ("c", "lot-2"), ("d", "index"), ("e", "con"), ("f", "x-1")], "ord string, base string")
+    got = {r.ord: r.slug for r in links.numbered_slugs(values, "base", "ord").collect()}
+    assert got == {"a": "lot", "b": "lot-2", "c": "lot-2-2", "d": "index-2", "e": "con-2", "f": "x-1"}
+    assert links.numbered_slugs(values.limit(0), "base", "ord").count() == 0
+
+
 def test_artifact_invariants(spark):
     b = spark.createDataFrame([("s", 1, "", "[slide-1#a]", "a", "Lot AB-1 has 40 PR-7"), ("s", 2, "", "[slide-9#b]", "b", "x")], "source_id string, slide_number int, slide_title string, citation string, element_id string, content string").withColumn("content_sha256", F.when(F.col("element_id") == "a", C.sha256(F.col("content"))).otherwise("0"))
     assert sorted(r.check_code for r in artifacts.provenance(b).collect()) == ["citation-mismatch", "content-digest"]
