@@ -9,6 +9,7 @@ from evispark import config
 from evispark.operators import readers
 from evispark.plans import stages
 from evispark.session import cut, session
+from evispark.sources import files
 
 
 def parser() -> argparse.ArgumentParser:
@@ -61,6 +62,7 @@ def main(argv: list[str] | None = None, backend: Callable[[], readers.ChatBacken
     settings = config.loaded(args.config) if args.config else config.parsed({"version": 2})
     if backend is None and settings["llm_api"]["base_url"]:
         backend = backend_of(settings["llm_api"])
+    files.separate(spark, args.input, args.output)
     found = collection.collect(spark, args.input, complete=settings["semantic"]["policy"] == "complete")
     if args.command in ("organise", "batch"):
         collection.export(found, f"{args.output}/tables" if args.command == "batch" else args.output)

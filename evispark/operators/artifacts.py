@@ -87,6 +87,14 @@ def coverage(stored: DataFrame, sources: DataFrame, pages_: DataFrame, entities_
     return union([changed_rows(same, derived, "source_id"), bad_values(derived, "uncovered-source", F.col("source_id"), ~F.col("covered"))])
 
 
+def documents(df: DataFrame, blocks: DataFrame, slides: DataFrame) -> DataFrame:
+    """Documents (document_id, source_id, citations) that cite no block, or a block whose slide has no page. blocks: (source_id,
+    citation, slide_number); slides: (source_id, slide_number)."""
+    cited = df.select("document_id", "source_id", F.explode(F.array_distinct("citations")).alias("citation")).join(blocks.select("source_id", "citation", "slide_number"), ["source_id", "citation"], "left")
+    lost = cited.where("slide_number is not null").join(slides, ["source_id", "slide_number"], "left_anti")
+    return union([rows(cited.where("slide_number is null"), "unknown-citation", F.col("document_id"), F.col("citation")), rows(lost, "slide-page-missing", F.col("document_id"), F.col("citation"))])
+
+
 def relationships(df: DataFrame, entities_: DataFrame) -> DataFrame:
     """Edges with unknown or equal ends, with no citation that an end shares, or from sources that an end lacks."""
     ends = df.select("id", "citations", "source_ids", F.explode(F.array("subject", "object")).alias("end")).join(entities_.select(F.col("id").alias("end"), F.col("citations").alias("theirs"), F.col("source_ids").alias("their_sources")), "end", "left")

@@ -69,6 +69,15 @@ def midgap_crops(elements: DataFrame, slide_width: int, slide_height: int, ratio
     )
 
 
+def model_images(crops: DataFrame, padding: int = 24) -> DataFrame:
+    """crops with the size of the image that a model gets, the crop on white with `padding` pixels around, and the place in the
+    slide of that image's corner; a box that the model reads lies there plus this corner."""
+    if padding < 0:
+        raise ValueError("the padding can't be negative")
+    wide, high = F.col("right") - F.col("left"), F.col("bottom") - F.col("top")
+    return crops.withColumns({"model_width": wide + 2 * padding, "model_height": high + 2 * padding, "model_left": F.col("left") - padding, "model_top": F.col("top") - padding})
+
+
 def outside_slide(elements: DataFrame, width: int, height: int) -> DataFrame:
     return elements.where((F.col("x") < 0) | (F.col("y") < 0) | (F.col("x") + F.col("width") > width) | (F.col("y") + F.col("height") > height))
 

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evispark.functions.html import cell_tokens_table, clean_table, html_text
+from evispark.functions.html import cell_tokens_table, clean_table, html_text, plain_text
 from evispark.session import cut
 
 BLOCKS = "array<struct<kind:string,text:string,markdown:string,html:string,bbox:array<double>,confidence:double,ord:int>>"
@@ -161,6 +161,31 @@ def markdown_blocks(text: str | None) -> list[dict]:
     return out
 
 
+# Fixed value: a picture's place in an answer, in thousandths of the image that was read.
+_PLACED = re.compile(r"""(?i)<img\s+src=["']images/bbox_(\d+)_(\d+)_(\d+)_(\d+)\.jpg["']\s*/?>""")
+
+
+def placed_blocks(text: str | None, task: str | None, width: int, height: int) -> list[dict]:
+    """Text, HTML tables and placed pictures of an answer in turn; places come as pixels of an image of width and height, held
+    inside it. Text is of the task's kind where that is a kind of text."""
+    kind = task if task in ("text", "chart", "formula") else "text"
+    found = []
+    for part in markdown_blocks(text):
+        if part["kind"] == "table":
+            found.append(part)
+            continue
+        at = 0
+        for m in [*_PLACED.finditer(part["text"]), None]:
+            words = part["text"][at : m.start() if m else None].strip()
+            if words:
+                found.append(block(kind, plain_text(words), words))
+            if m:
+                at = m.end()
+                box = [min(int(n) * side / 1000, float(side)) for n, side in zip(m.groups(), (width, height) * 2, strict=True)]
+                found.append(block("image", "", m[0], m[0], box))
+    return [{**b, "ord": n} for n, b in enumerate(found)]
+
+
 def literal_blocks(raw: str | None) -> list[dict]:
     """Blocks from a list of mappings, written as JSON or as Python literals."""
     for parse in (json.loads, ast.literal_eval):

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from evispark.functions import columns as C
 from evispark.functions.udfs import call
 from evispark.operators import graph
-from evispark.operators.checks import fail_closed
+from evispark.operators.checks import bad_values, fail_closed
 
 
 def lines(column: Column, order: Column, prefix: str = "- ") -> Column:
@@ -101,8 +101,21 @@ def manifest(files: DataFrame) -> DataFrame:
     return files.select("path", C.sha256(F.col("body")).alias("sha256"), F.octet_length(F.encode("body", "UTF-8")).cast("long").alias("bytes"))
 
 
+def asset_files(assets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Files (path, content) and violations of assets (source_id, path, content, sha256): each lies once under its source and
+    digest, whatever it was called. What isn't the declared bytes is a violation and no file.
+
+    Digests are taken first, so that equal contents meet only once for each of a source's digests and suffixes."""
+    suffix = F.regexp_extract(F.lower("path"), r"(\.[a-z0-9]{1,10})$", 1)
+    named = assets.withColumn("digest", F.sha2("content", 256)).withColumn("suffix", F.when(suffix == "", ".bin").otherwise(suffix))
+    wrong = named.where(~F.coalesce(F.col("sha256") == F.col("digest"), F.lit(False)))
+    place = F.concat_ws("/", F.lit("assets"), "source_id", F.concat("digest", "suffix"))
+    good = named.where("sha256 = digest").select(place.alias("path"), "content").dropDuplicates(["path"])
+    return good, bad_values(wrong, "asset-digest", F.concat_ws("/", "source_id", "path"), F.lit(True), F.col("digest"))
+
+
 def publish(files: DataFrame, target: str, violations: DataFrame | None = None) -> None:
-    """Write pages (path, body) at their paths below a new folder: checks first, then a staging folder, then one rename.
+    """Write pages (path, body), body a text or bytes, at their paths below a new folder: checks first, then a staging folder, then one rename.
 
     Tasks write their own pages, so a large site stays distributed; a task that runs again writes the same pages again. Only
     the rename is the driver's. The target must not exist.
@@ -128,7 +141,7 @@ def publish(files: DataFrame, target: str, violations: DataFrame | None = None)
                     raise ValueError(f"{path} leaves the site")
                 store.create_dir(f"{base}/{path}".rpartition("/")[0])
                 with store.open_output_stream(f"{base}/{path}") as out:
-                    out.write(body.encode())
+                    out.write(body.encode() if isinstance(body, str) else bytes(body))
             yield pd.DataFrame({"n": [len(frame)]})
 
     fs.mkdirs(place(stage))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import io
+import os
+import posixpath
 import zipfile
 from xml.etree import ElementTree
 
@@ -20,6 +22,24 @@ MOST_MEMBERS, MOST_MEMBER_BYTES, MOST_TOTAL_BYTES, MOST_RATIO = 20_000, 512 << 2
 REQUIRED_PARTS = ("[Content_Types].xml", "ppt/presentation.xml")
 
 
+def separate(spark: SparkSession, source: str, target: str) -> None:
+    """Fails where input and output hold each other, or a local one lies behind a symbolic link."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    whole = []
+    for path in (source, target):
+        uri = place(path).getFileSystem(conf).makeQualified(place(path)).toUri()
+        whole.append((f"{uri.getScheme()}://{uri.getAuthority() or ''}", posixpath.normpath(uri.getPath())))
+        if uri.getScheme() == "file":
+            steps = whole[-1][1].split("/")
+            for n in range(2, len(steps) + 1):
+                if os.path.islink("/".join(steps[:n])):
+                    raise ValueError(f"{path} lies behind a symbolic link")
+    (store, a), (other, b) = whole
+    if store == other and posixpath.commonpath([a, b]) in (a, b):
+        raise ValueError(f"{source} and {target} hold each other")
+
+
 def discover(spark: SparkSession, path: str, pattern: str = "*.pptx", recursive: bool = True) -> DataFrame:
     """(path, size, modified, sha256, content) of input files; lock files of editors are left out."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", str(recursive).lower()).load(path)

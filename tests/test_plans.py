@@ -1,12 +1,16 @@
 """Configuration, artifact invariants, model stages and the way from decks to a site."""
 
+from hashlib import sha256
+
+import evispark
 import pytest
 from pyspark.sql import functions as F
 
 from evispark import cli, config
 from evispark.functions import columns as C
-from evispark.operators import artifacts, links, readers
+from evispark.operators import artifacts, geometry, links, readers
 from evispark.plans import collection, integration, models, publish
+from evispark.sources import files
 from test_operators import deck_bytes
 
 
@@ -175,6 +179,49 @@ def test_topics_over_all_sources(spark):
     assert named.count() == 4 and members.where("topic_id = 'overflow'").count() == 0
 
 
+def test_placed_blocks():
+    got = readers.placed_blocks('a <b>b</b>\n<img src="images/bbox_100_0_500_2000.jpg"/> c<table><tr><td>1</td></tr></table><img src=\'images/bbox_0_0_1000_1000.jpg\'>', "chart", 200, 50)
+    assert [(b["kind"], b["bbox"], b["ord"]) for b in got] == [("chart", None, 0), ("image", [20.0, 0.0, 100.0, 50.0], 1), ("chart", None, 2), ("table", None, 3), ("image", [0.0, 0.0, 200.0, 50.0], 4)]
+    assert got[0]["text"].strip() == "a b" and got[0]["markdown"] == "a <b>b</b>"
+    assert readers.placed_blocks(None, "table", 1, 1) == [] and readers.placed_blocks("x", "document", 1, 1)[0]["kind"] == "text"
+
+
+def test_assets_by_digest(spark, tmp_path):
+    one, two = b"\x00one", b"two"
+    rows = [("s", "a/X.PNG", one, sha256(one).hexdigest()), ("s", "b/y.png", one, sha256(one).hexdigest()), ("t", "noend", two, sha256(two).hexdigest()), ("t", "bad.gif", two, "0"), ("t", "none.gif", two, None), ("t", "null.gif", None, "0")]
+    assets = spark.createDataFrame([(a, b, None if c is None else bytearray(c), d) for a, b, c, d in rows], "source_id string, path string, content binary, sha256 string")
+    kept, broken = publish.asset_files(assets)
+    assert sorted(r.key for r in broken.collect()) == ["t/bad.gif", "t/none.gif", "t/null.gif"]
+    publish.publish(kept.withColumnRenamed("content", "body"), str(tmp_path / "site"))
+    assert {p.relative_to(tmp_path / "site").as_posix(): p.read_bytes() for p in (tmp_path / "site").rglob("*") if p.is_file() and not p.name.endswith(".crc")} == {f"assets/s/{sha256(one).hexdigest()}.png": one, f"assets/t/{sha256(two).hexdigest()}.bin": two}
+
+
+def test_inputs_and_outputs_are_apart(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "link").symlink_to(tmp_path / "in")
+    files.separate(spark, str(tmp_path / "in"), str(tmp_path / "input"))
+    for source, target in (("in", "in"), ("in", "in/out"), ("in/x/..", "in/out"), ("in/deep", "in"), ("link", "out")):
+        with pytest.raises(ValueError):
+            files.separate(spark, str(tmp_path / source), str(tmp_path / target))
+
+
+def test_documents_and_model_images(spark):
+    blocks = spark.createDataFrame([("s", "c1", 1), ("s", "c2", 2)], "source_id string, citation string, slide_number int")
+    docs = spark.createDataFrame([("d", "s", ["c1", "c2", "c2", "c9"]), ("e", "t", ["c1"]), ("f", "s", [])], "document_id string, source_id string, citations array<string>")
+    got = artifacts.documents(docs, blocks, spark.createDataFrame([("s", 1)], "source_id string, slide_number int"))
+    assert sorted((r.check_code, r.key, r.detail) for r in got.collect()) == [("slide-page-missing", "d", "c2"), ("unknown-citation", "d", "c9"), ("unknown-citation", "e", "c1")]
+    crops = spark.createDataFrame([(10, 20, 40, 30)], "left int, top int, right int, bottom int")
+    assert geometry.model_images(crops, 5).select("model_width", "model_height", "model_left", "model_top").first() == (40, 20, 5, 15)
+    with pytest.raises(ValueError):
+        geometry.model_images(crops, -1)
+
+
+def test_public_names():
+    assert all(getattr(evispark, name) is not None for name in evispark.__all__) and evispark.integrate is integration.integrate
+    with pytest.raises(AttributeError):
+        evispark.nothing
+
+
 def test_numbered_slugs(spark):
     values = spark.createDataFrame([("a", "Lot"), ("b", "lot"), ("c", "lot-2"), ("d", "index"), ("e", "con"), ("f", "x-1")], "ord string, base string")
     got = {r.ord: r.slug for r in links.numbered_slugs(values, "base", "ord").collect()}
