@@ -448,6 +448,13 @@ def overlap_conflict(spark, sf):
     return found.select("slide_number", "a_element_id", "b_element_id", "a_numbers", "b_numbers")
 
 
+@query(f"""WITH {GEO} SELECT slide_number, element_id, x AS "left", y AS top, x + width AS "right", y + height AS bottom, width + 48 AS model_width, height + 48 AS model_height, x - 24 AS model_left, y - 24 AS model_top FROM geo""")
+def model_images(spark, sf):
+    g = views.elements_geo(spark, sf)
+    crops = g.select("slide_number", "element_id", F.col("x").alias("left"), F.col("y").alias("top"), (F.col("x") + F.col("width")).alias("right"), (F.col("y") + F.col("height")).alias("bottom"))
+    return geometry.model_images(crops)
+
+
 @query(f"""WITH {GEO}, {OVERLAP} SELECT 'numeric-conflict' AS check_code, 'error' AS severity, slide_number || '/' || a_element_id || '/' || b_element_id AS key, a_text || '|' || b_text AS detail FROM o WHERE a_text <> b_text
 UNION ALL SELECT 'element-outside-slide', 'warning', slide_number || '/' || element_id, NULL FROM geo WHERE x < 0 OR y < 0 OR x + width > {SLIDE_WIDTH} OR y + height > {SLIDE_HEIGHT}
 UNION ALL SELECT 'duplicate-element-id', 'error', slide_number || '/' || element_id, CAST(count(*) AS VARCHAR) FROM geo GROUP BY slide_number, element_id HAVING count(*) > 1""")
@@ -631,8 +638,35 @@ def shared_sources(spark, sf):
     return graph.shared_sources(pages, table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("source_id")))
 
 
+@query("""WITH c AS (SELECT DISTINCT 'd' || o_orderkey AS key, 's' || (o_custkey % 3) AS source_id, unnest(['c' || o_custkey, 'c' || (o_custkey + 300)]) AS citation FROM orders),
+b AS (SELECT 's' || (c_custkey % 3) AS source_id, 'c' || c_custkey AS citation, c_custkey % 10 + 1 AS slide_number FROM customer),
+j AS (SELECT c.*, b.slide_number FROM c LEFT JOIN b USING (source_id, citation))
+SELECT CASE WHEN slide_number IS NULL THEN 'unknown-citation' ELSE 'slide-page-missing' END AS check_code, 'error' AS severity, key, citation AS detail FROM j WHERE slide_number IS NULL OR slide_number > 8""")
+def document_violations(spark, sf):
+    """Documents of orders that cite their customer and another one: some cite none, some a slide without page."""
+    cite = lambda c: F.concat(F.lit("c"), c.cast("string"))
+    source = lambda c: F.concat(F.lit("s"), (c % 3).cast("string"))
+    who = F.col("o_custkey")
+    docs = table(spark, sf, "orders").select(F.concat(F.lit("d"), F.col("o_orderkey").cast("string")).alias("document_id"), source(who).alias("source_id"), F.array(cite(who), cite(who + 300)).alias("citations"))
+    blocks = table(spark, sf, "customer").select(source(F.col("c_custkey")).alias("source_id"), cite(F.col("c_custkey")).alias("citation"), (F.col("c_custkey") % 10 + 1).alias("slide_number"))
+    return artifacts.documents(docs, blocks, blocks.where("slide_number <= 8").select("source_id", "slide_number").distinct())
+
+
 # ---- links and pages
 
+RESERVED = ", ".join(f"('{name}')" for name in links.RESERVED_SLUGS)
+
+
+@query(f"""WITH v AS (SELECT p_partkey, lower(CASE p_partkey % 50 WHEN 0 THEN 'index' WHEN 1 THEN 'Con' ELSE replace(p_type, ' ', '-') END) AS base FROM part),
+n AS (SELECT p_partkey, base, row_number() OVER (PARTITION BY base ORDER BY lpad(CAST(p_partkey AS VARCHAR), 12, '0')) + CASE WHEN base IN (SELECT * FROM (VALUES {RESERVED}) r) THEN 1 ELSE 0 END AS n FROM v)
+SELECT p_partkey, CASE WHEN n = 1 THEN base ELSE base || '-' || n END AS slug FROM n""")
+def slug_numbers(spark, sf):
+    p, by = table(spark, sf, "part"), F.col("p_partkey") % 50
+    base = F.when(by == 0, "index").when(by == 1, "Con").otherwise(F.replace("p_type", F.lit(" "), F.lit("-")))
+    values = p.select("p_partkey", base.alias("base"), F.lpad(F.col("p_partkey").cast("string"), 12, "0").alias("ord"))
+    return links.numbered_slugs(values, "base", "ord").select("p_partkey", "slug")
+
+
 HREFS = r"""found AS (SELECT page_id, unnest(regexp_extract_all(html, '(?i)<a\b[^>]*\bhref\s*=\s*["'']([^"'']*)["'']', 1)) AS href, generate_subscripts(regexp_extract_all(html, '(?i)<a\b[^>]*\bhref\s*=\s*["'']([^"'']*)["'']', 1), 1) - 1 AS position FROM pages)"""
 
 
