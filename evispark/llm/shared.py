@@ -7,6 +7,7 @@ import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,17 @@ def shared_dir(spark: SparkSession) -> str:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting while the block runs."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: the lineage ends there and outlives lost executors.
 
@@ -45,12 +57,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with setting(spark, CLEANUP, "true"):
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     files, p = _files(spark, path)
     files.deleteOnExit(p)
     out = spark.read.schema(df.schema).parquet(path)
@@ -97,3 +105,37 @@ def partitions(spark: SparkSession) -> int:
 def row_key(id_col: str, text_col: str) -> Column:
     """64-bit key of a row by id and text; rows that repeat both share it, and nulls in either are values of their own."""
     return F.xxhash64(F.col(f"`{id_col}`").isNull(), F.col(f"`{id_col}`"), F.col(f"`{text_col}`").isNull(), F.col(f"`{text_col}`"))
+
+
+def wide_key(id_col: str, text_col: str) -> Column:
+    """128-bit key of a row by id and text; rows that repeat both share it, and nulls in either are values of their own."""
+    own = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("-"))
+    return F.unhex(F.md5(F.concat(F.octet_length(own).cast("string"), F.lit(":"), own, F.when(F.col(f"`{text_col}`").isNull(), "-").otherwise("+"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")))))
+
+
+def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add _part, the partition, and _rank, the place in it."""
+    from pyspark import TaskContext
+
+    part, seen = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        n = batch.num_rows
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(n, part, np.int32)), pa.array(seen + np.arange(n))], names=[*batch.schema.names, "_part", "_rank"])
+        seen += n
+
+
+def ranked(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Add _rank (0, 1, 2, ...) in this order over all rows, by ranges: no task sorts more than its range. Rows that are equal
+    in the whole order must be interchangeable; they spread over ranges by their place in df, which is to be a written table.
+
+    What reaches the driver, and is broadcast, is a count for each partition.
+    """
+    keys = [*order, F.col("_place")]
+    ranged = df.withColumn("_place", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_place")
+    ranged = written(ranged.mapInArrow(numbered, ddl(ranged.schema) + ", _part int, _rank long"), name)
+    before, offsets = 0, []
+    for part, n in sorted(map(tuple, ranged.groupBy("_part").count().collect())):
+        offsets.append((part, before))
+        before += n
+    small = df.sparkSession.createDataFrame(offsets, "_part int, _before long")
+    return ranged.join(F.broadcast(small), "_part").withColumn("_rank", F.col("_rank") + F.col("_before")).drop("_part", "_before")

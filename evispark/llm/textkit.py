@@ -78,14 +78,16 @@ def chunks(off: np.ndarray, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]
 
 
 class Words:
-    """Words of consecutive texts: byte bounds of each and the first word of each text (with the total at the end)."""
+    """Words of consecutive texts: byte bounds of each and the first word of each text (with the total at the end).
 
-    def __init__(self, buf: np.ndarray, off: np.ndarray, lower: bool = False):
+    `breaks` says of each byte value (of lowered texts, where `lower`) whether it parts words."""
+
+    def __init__(self, buf: np.ndarray, off: np.ndarray, lower: bool = False, breaks: np.ndarray = IS_SPACE):
         self.base = int(off[0])
         b = buf[self.base : int(off[-1])]
         self.bytes = LOWER[b] if lower else b
         at = (off - off[0]).astype(np.int64)
-        solid = ~IS_SPACE[self.bytes]
+        solid = ~breaks[self.bytes]
         edge = np.zeros(len(b) + 1, dtype=bool)
         edge[at] = True
         first, last = solid.copy(), solid.copy()
