@@ -168,7 +168,8 @@ def without(docs: DataFrame, runs: DataFrame, width: int, finish, schema: str) -
     finish(doc_id array, [(bytes, words, removed flags) for each text]) -> list of arrays for `schema`; a struct column
     `others` of docs goes through the same join and comes at the end.
     """
-    lists = runs.groupBy("k").agg(F.collect_list(F.struct("low", "windows")).alias("runs"))
+    # rows that repeat id and text share k and give the same runs each: a set, or its size would grow with their square
+    lists = runs.groupBy("k").agg(F.collect_set(F.struct("low", "windows")).alias("runs"))
     more = [c for c in docs.columns if c == "others"]
     texts = docs.join(lists, "k", "left").select("doc_id", "text", F.col("runs.low").alias("lows"), F.col("runs.windows").alias("counts"), *more)
     names = [*(x.strip().split()[0] for x in schema.split(",")), *more]
