@@ -1,7 +1,7 @@
 """Best-fit packing of token sequences in bulk-synchronous supersteps over range-sorted pieces and gaps.
 
 Pieces are range-sorted by size once, largest first, which gives each a rank. The supersteps run down ranges of sizes. In each
-one the range's pieces and all gaps that may hold them are dealt to tasks by rank, so that every task has its share of each
+one the range's pieces and all gaps that may hold one of them are dealt to tasks by rank, so that every task has its share of each
 size and no two tasks want the same gap. A task sweeps over its pieces in order: a piece takes the successor, the smallest
 gap that holds it, and what is left of it is a gap again; pieces of one size that want one gap take it and the next ones by
 rank; where no gap holds a piece a sequence is opened. All updated gaps are ranked and dealt anew in the next superstep.
@@ -60,7 +60,7 @@ class Gaps:
                 yield size, sequence
 
 
-#: Pieces of a superstep for each task.
+#: Pieces and gaps of a superstep for each task.
 SHARE = 200_000
 #: Sizes at most the capacity over this power of two share the last superstep.
 STEPS = 5
@@ -75,7 +75,7 @@ def pack(pieces: DataFrame, capacity: int, order: list[str], size: str = "length
     spark = pieces.sparkSession
     rows = pieces.withColumn("_size", F.col(size).cast("int"))
     ranged = rows.repartitionByRange(F.desc("_size"), *order).sortWithinPartitions(F.desc("_size"), *order)
-    ranged = shared.written(ranged.mapInArrow(shared.tidy(_numbered), shared.ddl(rows.schema) + ", _part int, _rank long"), "ranged")
+    ranged = shared.written(ranged.mapInArrow(shared.tidy(shared.numbered), shared.ddl(rows.schema) + ", _part int, _rank long"), "ranged")
     counts = dict(map(tuple, ranged.groupBy("_size").count().collect()))
     if counts and not 1 <= min(counts) <= max(counts) <= capacity:
         raise ValueError("sizes must lie between 1 and the capacity")
@@ -88,30 +88,25 @@ def pack(pieces: DataFrame, capacity: int, order: list[str], size: str = "length
     gaps = large.where(F.col("_size") < capacity).select((capacity - F.col("_size")).alias("_gap"), own.alias("_sequence"), (F.col("_part") + F.col("_rank")).alias("_deal"))
     for step in range(len(bounds) - 2, 0, -1):
         low, high = bounds[step - 1], bounds[step]
-        number = sum(n for s, n in counts.items() if low < s <= high)
-        if number:
-            tasks = -(-number // SHARE)
+        sizes = [s for s in counts if low < s <= high]
+        if sizes:
             own = ranged.where((F.col("_size") > low) & (F.col("_size") <= high)).withColumn("_deal", F.col("_part") + F.col("_rank")).drop("_part", "_rank")
-            both = own.unionByName(gaps, allowMissingColumns=True).withColumn("_deal", F.pmod("_deal", F.lit(tasks)))
-            dealt = both.repartition(tasks, "_deal").sortWithinPartitions(F.desc("_gap"), F.desc("_size"), *order, "_sequence")
+            wide = gaps.where(F.col("_gap") >= min(sizes))  # no piece of this range fits the others; they wait for smaller ones
+            dealt = _dealt(own, wide, sum(counts[s] for s in sizes) + wide.count(), order)
             swept = shared.written(dealt.mapInArrow(shared.tidy(_sweep(capacity, step, pieces.columns)), f"{schema}, _gap int, _sequence long, _deal long"), "swept")
             placed.append(swept.where("_gap is null").drop("_gap", "_sequence", "_deal"))
-            gaps = swept.where("_gap is not null").select("_gap", "_sequence", "_deal")
+            gaps = swept.where("_gap is not null").select("_gap", "_sequence", "_deal").union(gaps.where(F.col("_gap") < min(sizes)))
     out = placed[0]
     for p in placed[1:]:
         out = out.union(p)
     return out
 
 
-def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add _part and _rank, the place in the partition."""
-    from pyspark import TaskContext
-
-    part, seen = TaskContext.get().partitionId(), 0
-    for batch in batches:
-        n = batch.num_rows
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(n, part, np.int32)), pa.array(seen + np.arange(n))], names=[*batch.schema.names, "_part", "_rank"])
-        seen += n
+def _dealt(own: DataFrame, gaps: DataFrame, number: int, order: list[str]) -> DataFrame:
+    """Pieces and gaps by rank over so many tasks that each has SHARE rows; a task's gaps first, then its pieces by size."""
+    tasks = -(-number // SHARE)
+    both = own.unionByName(gaps, allowMissingColumns=True).withColumn("_deal", F.pmod("_deal", F.lit(tasks)))
+    return both.repartitionById(tasks, F.col("_deal").cast("int")).sortWithinPartitions(F.desc("_gap"), F.desc("_size"), *order, "_sequence")
 
 
 def _sweep(capacity: int, step: int, columns: list[str]):

@@ -7,8 +7,10 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from evispark.llm import jaccard, packing, piece_codec, substring, suffixes
 from evispark.llm.components import components
@@ -45,6 +47,23 @@ def test_substring_dedup(make_docs, texts):
     assert sorted(map(tuple, again)) == sorted(removed_anywhere([(1, texts[9])] * 2, 35))
 
 
+def test_substring_dedup_of_rows_that_repeat(make_docs, texts):
+    """A third of all rows is one row: each gets the text's runs once, not once for every repeat."""
+    rows = [(None, texts[9])] * 300 + list(enumerate(texts))
+    docs = make_docs([t for _, t in rows], [d for d, _ in rows])
+    got = substring.repeat_digests(docs).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(removed_anywhere(rows, 35), key=repr)
+    from evispark.llm import spans
+
+    def finish(batch, texts):
+        return [batch.column(0), pa.array([0 if r is None else len(r) for r in batch.column(2).to_pylist()])]
+
+    own = spans.keyed(docs.where("doc_id is null"), "doc_id", "text")
+    sizes = {r.n for r in spans.without(own, substring.repeated_runs(own, 35), 35, finish, "doc_id long, n long").collect()}
+    few = spans.keyed(docs.where("doc_id is null").limit(2), "doc_id", "text")
+    assert sizes == {r.n for r in spans.without(few, substring.repeated_runs(few, 35), 35, finish, "doc_id long, n long").collect()}
+
+
 def test_suffix_array_dedup(make_docs, texts):
     seen, want = set(), []
     for d, t in enumerate(texts):
@@ -128,6 +147,31 @@ def test_codec_is_exact(make_docs, texts):
         assert r.decoded_sha256 == hashlib.sha256(model.decode(ids.tolist()).encode()).hexdigest()
 
 
+def test_packing_deals_gaps_over_tasks(spark, monkeypatch):
+    """Many gaps and a few small pieces: gaps are dealt out like pieces, and those that hold no piece wait."""
+    monkeypatch.setattr(packing, "SHARE", 1000)
+    sizes = [1900] * 6000 + [2048] * 50 + [70] * 20 + [600] * 5 + [1] * 3
+    pieces = spark.createDataFrame([(i, n) for i, n in enumerate(sizes)], "doc_id long, length long")
+    seen = []
+    plain = packing._dealt
+
+    def dealt(own, gaps, number, order):
+        out = plain(own, gaps, number, order)
+        seen.append([r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()])
+        return out
+
+    monkeypatch.setattr(packing, "_dealt", dealt)
+    rows = packing.pack(pieces, 2048, ["doc_id"]).collect()
+    assert len(rows) == len(sizes) and max(map(max, seen)) <= 1002 and len(max(seen, key=sum)) >= 6
+    taken = defaultdict(list)
+    for r in rows:
+        taken[r.sequence_id].append((r.offset, r.length))
+    for parts in taken.values():
+        ends = [a + n for a, n in sorted(parts)]
+        assert [0, *ends[:-1]] == [a for a, _ in sorted(parts)] and ends[-1] <= 2048
+    assert len(taken) == 6050 + 2  # the 600s fill two sequences, all other small ones lie in gaps
+
+
 @pytest.mark.parametrize("capacity", [64, 2048])
 def test_packing_round_trip(make_docs, texts, capacity):
     from tokenizers import Tokenizer
