@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evispark.functions import patterns
 from evispark.functions.udfs import call
 from evispark.operators.topics import ordered
 from evispark.session import cut
@@ -78,8 +79,10 @@ def resolve_aliases(mentions: DataFrame, entities: DataFrame) -> DataFrame:
 
     mentions: (mention_id, key, source_id, citations); entities: (entity_id, keys, source_id, citations).
     """
-    names = entities.select("entity_id", F.explode("keys").alias("key"), "source_id", F.col("citations").alias("theirs")).distinct()
-    hits = mentions.join(names, ["key", "source_id"]).where(F.arrays_overlap("citations", "theirs")).select("mention_id", "entity_id").distinct()
+    # they meet on the shared citation too, so a name that many have makes no pairs that share none
+    names = entities.select("entity_id", F.explode("keys").alias("key"), "source_id", F.explode("citations").alias("citation")).distinct()
+    cited = mentions.select("mention_id", "key", "source_id", F.explode("citations").alias("citation")).distinct()
+    hits = cited.join(names, ["key", "source_id", "citation"]).select("mention_id", "entity_id").distinct()
     one = hits.groupBy("mention_id").agg(F.count("*").alias("n"), F.min("entity_id").alias("entity_id")).where("n = 1")
     return one.select("mention_id", "entity_id")
 
@@ -97,15 +100,16 @@ def merge_edges(candidates: DataFrame) -> DataFrame:
     return merged.select(relationship_id(*map(F.col, identity)).alias("id"), "predicate", "subject", "object", F.col("h.description").alias("description"), "citations")
 
 
-def resolve_edges(found: DataFrame, entities: DataFrame, evidence: DataFrame, key=None, request=None, numbers=None) -> DataFrame:
+def resolve_edges(found: DataFrame, entities: DataFrame, evidence: DataFrame, key=None, request=None, numbers=None, unapproved=None) -> DataFrame:
     """Edges (id, predicate, subject, object, assertion, description, citations, requests) from a model's relationships.
 
     found: (ord, source_id, predicate, subject, subject_type, object, object_type, assertion, description, citations);
     entities: (entity_id, type, keys, source_id, citations), a row for each source; evidence: (source_id, citation, numbers,
-    requests), where requests are (key, value) pairs.
+    requests, identifiers if there are any), where requests are (key, value) pairs.
 
-    A relationship stays if its predicate is known, a citation of it is evidence of its source, both ends resolve, its text
-    has no number that its citations lack, and a request number belongs to it. An end is a request number of its citations,
+    A relationship stays if its predicate is known, a citation of it is evidence of its source, both ends resolve, its
+    assertion and description, read as lines that rest on its citations, have no number, identifier or request number that
+    these lack, and a request number belongs to it. An end is a request number of its citations,
     else the one entity of that name with a citation in common; of several the type that is asked for decides, for objects
     the kinds that the predicate prefers. Requests are those of the ends, else those of the citations. Relationships of one
     predicate, assertion and ends unite; the first one's words stay. Loops and relationships without assertion drop out.
@@ -113,20 +117,25 @@ def resolve_edges(found: DataFrame, entities: DataFrame, evidence: DataFrame, ke
     key = key or (lambda c: call("search_form", c))
     request = request or (lambda c: call("request_key", c))
     numbers = numbers or (lambda c: call("claim_numbers", c))
+    unapproved = unapproved or (lambda line, values, spelled: call("unapproved_requests", line, values, spelled))
+    evidence = evidence if "identifiers" in evidence.columns else evidence.withColumn("identifiers", F.array().cast("array<string>"))
     spark = found.sparkSession
     said = found.withColumn("predicate", F.lower(F.trim("predicate"))).where(F.trim(F.coalesce("assertion", F.lit(""))) != "")
     said = said.join(F.broadcast(predicate_kinds(spark)), "predicate").withColumn("description", F.when(F.trim(F.coalesce("description", F.lit(""))) != "", F.col("description")).otherwise(F.col("assertion")))
     cited = said.select("ord", "source_id", F.posexplode(F.array_distinct("citations")).alias("at", "citation")).join(evidence, ["source_id", "citation"])
+    cited = cut(cited)  # it is read for the citations and for the lines
     flat = lambda c: F.array_distinct(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("at", c))), lambda x: x[c])))
-    own = cited.groupBy("ord").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "citation"))), lambda x: x["citation"]).alias("citations"), flat("numbers").alias("known"), flat("requests").alias("requests"))
-    said = cut(said.drop("citations").join(own, "ord"))
-    said = said.where(F.size(F.array_except(numbers(F.concat_ws("\n", "assertion", "description")), "known")) == 0)
+    own = cited.groupBy("ord").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "citation"))), lambda x: x["citation"]).alias("citations"), flat("requests").alias("requests"))
+    lost = ungrounded_lines(said, cited, numbers, unapproved)
+    said = cut(said.drop("citations").join(own, "ord").join(lost, "ord", "left_anti"))
     end = lambda role: F.struct(F.lit(role).alias("role"), F.col(role).alias("name"), F.col(f"{role}_type").alias("asked"))
     ends = said.select("ord", "source_id", "citations", "kinds", "requests", F.explode(F.array(end("subject"), end("object"))).alias("e")).select("*", "e.*").drop("e")
     of_request = F.filter("requests", lambda r: r["key"] == F.col("request_key"))
     ends = cut(ends.withColumn("request_key", request(F.col("name"))).withColumn("request", F.get(F.transform(of_request, lambda r: r["value"]), 0)).withColumn("key", key(F.col("name"))).drop("request_key", "requests"))
-    names = entities.select("entity_id", "type", F.explode("keys").alias("key"), "source_id", F.col("citations").alias("theirs")).distinct()
-    hits = ends.where("request is null").join(names, ["source_id", "key"]).where(F.arrays_overlap("citations", "theirs"))
+    # they meet on the shared citation too, so a name that many have makes no pairs that share none
+    names = entities.select("entity_id", "type", F.explode("keys").alias("key"), "source_id", F.explode("citations").alias("citation")).distinct()
+    cited_ends = ends.where("request is null").withColumn("citation", F.explode("citations"))
+    hits = cited_ends.join(names, ["source_id", "key", "citation"])
     asked, liked = F.col("asked").isNotNull(), (F.col("role") == "object") & F.array_contains("kinds", F.col("type"))
     hits = hits.where(~asked | (F.col("asked") == F.col("type"))).withColumn("liked", ~asked & liked).select("ord", "role", "entity_id", "liked").distinct()
     one = lambda flag: F.when(F.count_if(flag) == 1, F.min(F.when(flag, F.col("entity_id"))))
@@ -142,6 +151,23 @@ def resolve_edges(found: DataFrame, entities: DataFrame, evidence: DataFrame, ke
     return merged.select("id", "predicate", "subject", "object", "h.assertion", "h.description", "citations", "requests")
 
 
+def ungrounded_lines(said: DataFrame, cited: DataFrame, numbers, unapproved) -> DataFrame:
+    """(ord): relationships (ord, assertion, description) of which a text, read as a line that rests on citations, claims what
+    these don't have: a number, a request number spelled otherwise, or one with another prefix that no identifier explains.
+
+    A line rests on the qualified citations in it, which must be the relationship's own, else on all of these. cited: (ord,
+    citation, numbers, requests as (key, value) pairs, identifiers), a row for each citation."""
+    lines = said.select("ord", F.posexplode(F.array("assertion", "description")).alias("line_no", "line")).withColumn("own", F.array_distinct(F.regexp_extract_all("line", F.lit(f"({patterns.QUALIFIED_CITATION})"), 1)))
+    meets = lines.join(cited, "ord").where((F.size("own") == 0) | F.array_contains("own", F.col("citation")))
+    flat = lambda c: F.array_distinct(F.flatten(F.collect_list(c)))
+    known = meets.groupBy("ord", "line_no").agg(flat(F.col("numbers")).alias("known"), flat(F.transform("requests", lambda r: r["value"])).alias("values"), flat(F.col("identifiers")).alias("identifiers"), F.collect_set("citation").alias("found"))
+    both = lines.join(known, ["ord", "line_no"], "left")
+    none = F.array().cast("array<string>")
+    both = both.select("ord", "line", "own", *(F.coalesce(c, none).alias(c) for c in ("known", "values", "identifiers", "found")))
+    lost = both.withColumn("numbers", numbers(F.col("line"))).withColumn("changed", unapproved(F.col("line"), F.col("values"), F.array_join("identifiers", " ")))
+    return lost.where((F.size(F.array_except("numbers", "known")) > 0) | (F.size("changed") > 0) | (F.size(F.array_except("own", "found")) > 0)).select("ord").distinct()
+
+
 def incidence(edges: DataFrame) -> DataFrame:
     """(node, direction, predicate, other): every edge from both of its ends."""
     out = edges.select(F.col("subject").alias("node"), F.lit("out").alias("direction"), "predicate", F.col("object").alias("other"))
