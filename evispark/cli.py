@@ -5,9 +5,11 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable
 
+from pyspark.sql import DataFrame
+
 from evispark import config
-from evispark.operators import readers
-from evispark.plans import stages
+from evispark.operators import checks, readers
+from evispark.plans import collection, integration, pictures, publish, runs, stages
 from evispark.session import cut, session
 from evispark.sources import files
 
@@ -42,8 +44,28 @@ def backend_of(api: dict) -> Callable[[], readers.ChatBackend]:
     return lambda: readers.HttpBackend(api["base_url"], api["model"], api["timeout_seconds"], key=key)
 
 
-def main(argv: list[str] | None = None, backend: Callable[[], readers.ChatBackend] | None = None) -> int:
-    """Run a command. backend: a model in place of the configured one."""
+def collected(found: collection.Collection) -> dict[str, DataFrame]:
+    """The tables of a collection that has no violation."""
+    checks.fail_closed(found.violations)
+    return collection.tables(found)
+
+
+def published(found: collection.Collection, whole: integration.Integrated | None, target: str) -> None:
+    """Check a collection and its integration, and publish their site with the decks' pictures."""
+    assets, wrong = publish.asset_files(found.assets)
+    paths = assets.select("path")
+    if whole is None:
+        pages = cut(collection.site(found))
+        broken = found.violations.unionByName(wrong).unionByName(integration.page_violations(pages, paths))
+    else:
+        pages = cut(integration.site(found, whole))
+        sources = whole.facts.select("source_id").distinct()
+        broken = found.violations.unionByName(wrong).unionByName(integration.violations(pages, whole, paths)).unionByName(integration.artifact_violations(whole, sources))
+    publish.publish(pages, target, broken, assets)
+
+
+def main(argv: list[str] | None = None, backend: Callable[[], readers.ChatBackend] | None = None, reader: Callable[[], readers.ReaderBackend] | None = None) -> int:
+    """Run a command. backend, reader: a model and a reader of pictures in place of the configured ones."""
     args = parser().parse_args(argv)
     spark = session(master=args.master)
     if args.command == "query":
@@ -51,30 +73,34 @@ def main(argv: list[str] | None = None, backend: Callable[[], readers.ChatBacken
 
         QUERIES[args.name](spark, args.tables).show(args.rows, truncate=80)
         return 0
-    from evispark.plans import collection, integration, publish
-
     if args.command == "parse":
         collection.read(spark, args.input)[2].write.mode("errorifexists").parquet(args.output)
         return 0
     if args.command == "republish":
-        publish.publish(publish.resume(spark, f"{args.input}/tables/integrated/pages.parquet"), args.output)
+        found = collection.restored(runs.loaded(spark, f"{args.input}/tables/parsed"))
+        kept = f"{args.input}/tables/integrated"
+        whole = integration.restored(runs.loaded(spark, kept)) if runs.exists(spark, kept) else None
+        published(found, whole, args.output)
         return 0
     settings = config.loaded(args.config) if args.config else config.parsed({"version": 2})
     if backend is None and settings["llm_api"]["base_url"]:
         backend = backend_of(settings["llm_api"])
+    reader = reader or pictures.reader_of(settings)
     files.separate(spark, args.input, args.output)
-    found = collection.collect(spark, args.input, complete=settings["semantic"]["policy"] == "complete")
-    if args.command in ("organise", "batch"):
-        collection.export(found, f"{args.output}/tables" if args.command == "batch" else args.output)
-    if args.command in ("publish", "batch"):
-        pages, broken = collection.site(found), found.violations
-        if backend is not None:
-            whole = integration.integrate(found, backend, options_of(settings))
-            pages = cut(integration.site(found, whole))
-            broken = broken.unionByName(integration.violations(pages, whole))
-            if args.command == "batch":
-                integration.export(whole, pages, f"{args.output}/tables/integrated")
-        publish.publish(pages, f"{args.output}/site" if args.command == "batch" else args.output, broken)
+    own = settings["extraction"]
+    reading = collection.Reading(own["include_images"] or reader is not None, own["strict"], settings["ocr"]["policy"], reader, f"{args.output}/tables/answers" if args.command == "batch" else None)
+    collect = lambda: collection.collect(spark, args.input, complete=settings["semantic"]["policy"] == "complete", reading=reading)
+    if args.command == "organise":
+        collection.export(collect(), args.output)
+    elif args.command == "publish":
+        found = collect()
+        published(found, integration.integrate(found, backend, options_of(settings)) if backend is not None else None, args.output)
+    elif args.command == "batch":
+        with runs.Run(spark, f"{args.output}/tables") as run:
+            found = collection.restored(run.stage("parsed", lambda: collected(collect())))
+            whole = integration.restored(run.stage("integrated", lambda: integration.tables(integration.integrate(found, backend, options_of(settings))))) if backend is not None else None
+            run.at = "site"
+            published(found, whole, f"{args.output}/site")
     return 0
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import posixpath
 import re
+from html import unescape
 from urllib.parse import quote, unquote
 
 from evispark.functions import patterns
@@ -176,6 +177,20 @@ def links(text: str | None) -> list[dict]:
     return out
 
 
+def placed_links(text: str | None, page: str | None) -> list[dict]:
+    """links(), each with its place: the path in the site that a relative one means, seen from its page. What is absolute, of
+    another scheme, or leaves the site is unsafe."""
+    out = []
+    for link in links(text):
+        kind, target, place = link["kind"], unescape(link["target"]), None
+        if kind not in ("wiki", "external") and target:
+            place = posixpath.normpath(posixpath.join(posixpath.dirname(page or ""), target.split("?")[0]))
+            if target.startswith(("/", "\\")) or re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:", target) or place.startswith(".."):
+                kind, place = "unsafe", None
+        out.append({"kind": kind, "target": target, "fragment": link["fragment"], "place": place})
+    return out
+
+
 def without_images(text: str | None) -> str:
     """Inline, reference and embedded images go; their words stay as plain text."""
     text = re.sub(r"!\[\[[^\]]*\]\]", "", text or "")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
-from evispark.functions import html, markdown, requests, text
+from evispark.functions import html, images, markdown, requests, text
 
 
 def arrow(kernel: Callable, returns: str):
@@ -55,6 +55,7 @@ KERNELS: dict[str, tuple[Callable, str]] = {
     "table_markup": (markdown.table_markup, "string"),
     "anchors": (markdown.anchors, "array<string>"),
     "links": (markdown.links, "array<struct<kind:string,target:string,fragment:string>>"),
+    "placed_links": (markdown.placed_links, "array<struct<kind:string,target:string,fragment:string,place:string>>"),
     "without_images": (markdown.without_images, "string"),
     "moved_links": (markdown.moved_links, "string"),
     "citation_link": (markdown.citation_link, "string"),
@@ -64,7 +65,9 @@ KERNELS: dict[str, tuple[Callable, str]] = {
     "cited_blocks": (markdown.cited_blocks, "array<struct<block:string,citations:array<string>>>"),
     "integrated_check": (markdown.integrated_check, "array<string>"),
     "evidence_links": (markdown.evidence_links, "string"),
+    "image_size": (images.image_size, "array<int>"),
     "fragments": (text.split_text, "array<string>"),
+    "fragment_sizes": (text.fragment_sizes, "array<int>"),
     "evidence_block": (markdown.evidence_block, "string"),
     "relative_link": (markdown.relative_link, "string"),
 }

@@ -107,7 +107,11 @@ def relationships(df: DataFrame, entities_: DataFrame) -> DataFrame:
     ])
 
 
-def front_matter(pages_: DataFrame, keys: tuple[str, ...] = ("title", "description", "tags")) -> DataFrame:
+# Keys of a generated page's head.
+HEAD_KEYS = ("title", "description", "aliases", "tags", "pr_numbers", "source_ids", "draft")
+
+
+def front_matter(pages_: DataFrame, keys: tuple[str, ...] = HEAD_KEYS) -> DataFrame:
     """Generated pages whose head lacks a key or a closing rule."""
     head = F.regexp_extract("body", r"\A---\n((?:.*\n)*?)---\n", 1)
     return union([bad_values(pages_, "no-front-matter", F.col("path"), head == ""), *(bad_values(pages_, f"front-matter-{k}", F.col("path"), (head != "") & ~F.concat(F.lit("\n"), head).contains(f"\n{k}: ")) for k in keys)])

@@ -93,9 +93,10 @@ def block_markdown(anchor: Column, kind: Column, content: Column, cited: Column)
     return F.concat(F.lit("<!-- BEGIN "), word, F.lit(" "), anchor, F.lit(' -->\n<a id="'), anchor, F.lit('"></a>\n\n'), content, F.lit("\n\n"), cited, F.lit("\n<!-- END "), word, F.lit(" "), anchor, F.lit(" -->"))
 
 
-def slide_pages(blocks: DataFrame) -> DataFrame:
-    """(source_id, slide_number, page): a Markdown page for each slide, its blocks in rank order."""
-    one = block_markdown(F.col("element_id"), F.col("kind"), F.col("content"), F.col("citation"))
+def slide_pages(blocks: DataFrame, cited: Column | None = None) -> DataFrame:
+    """(source_id, slide_number, page): a Markdown page for each slide, its blocks in rank order, each with its citation or what
+    `cited` makes of it."""
+    one = block_markdown(F.col("element_id"), F.col("kind"), F.col("content"), F.col("citation") if cited is None else cited)
     parts = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", one.alias("b")))), lambda s: s["b"]), "\n\n")
     head = F.concat(F.lit("# Slide "), F.col("slide_number").cast("string"), F.lit("\n\n"))
     return blocks.groupBy("source_id", "slide_number").agg(parts.alias("body")).select("source_id", "slide_number", F.concat(head, "body").alias("page"))

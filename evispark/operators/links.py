@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from evispark.functions import patterns
 from evispark.functions.udfs import call
 from evispark.operators.blocks import unique_ids
+from evispark.session import cut
 
 HREF = r"""(?i)<a\b[^>]*\bhref\s*=\s*["']([^"']*)["']"""
 HEADING = r"(?is)<h1[^>]*>(.*?)</h1>"
@@ -37,14 +39,41 @@ def path_key(path) -> F.Column:
     return call("stable_key", F.regexp_replace(path, r"\.[^./]*$", ""))
 
 
-def tree_violations(pages: DataFrame) -> DataFrame:
-    """(check_code, path, target, fragment): wiki links to no page, and fragments that the page linked to doesn't have."""
-    keyed = pages.withColumn("page_key", path_key(F.col("path")))
-    links = page_links(keyed.select("path", "body")).where("kind = 'wiki'").withColumn("page_key", F.when(F.col("target") == "", path_key(F.col("path"))).otherwise(call("stable_key", "target")))
-    lost = links.join(keyed.select("page_key").distinct(), "page_key", "left_anti").select(F.lit("dangling-link").alias("check_code"), "path", "target", "fragment")
-    anchors = page_anchors(keyed.select("path", "body")).withColumn("page_key", path_key(F.col("path"))).select("page_key", F.col("anchor").alias("fragment")).distinct()
-    known = links.where("fragment is not null").join(keyed.select("page_key").distinct(), "page_key", "left_semi")
-    return lost.union(known.join(anchors, ["page_key", "fragment"], "left_anti").select(F.lit("dangling-fragment").alias("check_code"), "path", "target", "fragment"))
+#: Pages that show what decks hold; the others are generated.
+EVIDENCE = "evidence/"
+
+
+def tree_violations(pages: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """(check_code, path, target, fragment) of a site's pages (path, body): links of any kind to no page or file, fragments that
+    the page linked to doesn't have, links to absolute paths or unknown schemes, markup of images, and in generated pages
+    citations that are no links.
+
+    Wiki links name a page without its suffix, from the root, in any case. Standard, reference and HTML links are relative to
+    their page and may also go to `files` (path)."""
+    code = lambda c: F.lit(c).alias("check_code")
+    keyed = pages.select("path", "body", path_key(F.col("path")).alias("page_key"))
+    known_keys = keyed.select("page_key").distinct()
+    every = pages.select("path").union(files.select("path")).distinct() if files is not None else pages.select("path").distinct()
+    found = cut(keyed.select("path", "page_key", F.inline(call("placed_links", "body", "path"))))
+    wiki = found.where("kind = 'wiki'").select("path", "target", "fragment", F.when(F.col("target") == "", F.col("page_key")).otherwise(call("stable_key", F.regexp_replace(F.ltrim("target", F.lit("/")), r"\.md$", ""))).alias("page_key"))
+    local = found.where("kind not in ('wiki', 'external', 'unsafe')").select("path", "target", "fragment", F.when(F.col("target") == "", F.col("path")).otherwise(F.col("place")).alias("goal"))
+    anchors = cut(page_anchors(keyed.select("path", "body")).select("path", path_key(F.col("path")).alias("page_key"), F.col("anchor").alias("fragment")).distinct())
+    shown = ["path", "target", "fragment"]
+    parts = [
+        wiki.join(known_keys, "page_key", "left_anti").select(code("dangling-link"), *shown),
+        wiki.where("fragment is not null").join(known_keys, "page_key", "left_semi").join(anchors.select("page_key", "fragment"), ["page_key", "fragment"], "left_anti").select(code("dangling-fragment"), *shown),
+        local.join(every.select(F.col("path").alias("goal")), "goal", "left_anti").select(code("dangling-link"), *shown),
+        local.where("fragment is not null").join(pages.select(F.col("path").alias("goal")), "goal", "left_semi").join(anchors.select(F.col("path").alias("goal"), "fragment"), ["goal", "fragment"], "left_anti").select(code("dangling-fragment"), *shown),
+        found.where("kind = 'unsafe'").select(code("unsafe-link"), *shown),
+    ]
+    none = (F.lit(None).cast("string").alias("target"), F.lit(None).cast("string").alias("fragment"))
+    image = F.col("body").rlike(patterns.MARKDOWN_IMAGE) | F.col("body").contains("![[") | F.col("body").rlike(patterns.HTML_IMAGE)
+    raw = ~F.startswith("path", F.lit(EVIDENCE)) & (F.col("body").contains("[slide-") | F.col("body").contains("[@"))
+    parts += [pages.where(image).select(code("image-markup"), "path", *none), pages.where(raw).select(code("raw-citation"), "path", *none)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
 
 
 def path_collisions(files: DataFrame, key) -> DataFrame:

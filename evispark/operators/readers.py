@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evispark.functions.html import cell_tokens_table, clean_table, html_text, plain_text
+from evispark.functions.images import image_type
+from evispark.functions.text import lenient_json
 from evispark.session import cut
 
 BLOCKS = "array<struct<kind:string,text:string,markdown:string,html:string,bbox:array<double>,confidence:double,ord:int>>"
@@ -54,6 +56,68 @@ class HttpBackend:
         return content if isinstance(content, str) else "".join(p.get("text", "") for p in content if isinstance(p, dict))
 
 
+class ReaderError(RuntimeError):
+    """Kinds of trouble with readers: configuration, execution, transient, parse."""
+
+    def __init__(self, kind: str, message: str):
+        super().__init__(message)
+        self.kind = kind
+
+
+# Own wording of what a model that sees a picture is told; {task} is the picture's task.
+SEE_TASK = "Read this picture, a {task}, word for word; add, correct and shorten nothing. Answer with one JSON object: text, markdown, html, confidence, blocks. A block has kind, text, markdown, html, bbox ([x1, y1, x2, y2] in pixels or null), confidence (0 to 1 or null) and order."
+TASK_WORDS = {
+    "table": "It is one table: give it as HTML with empty cells, rowspan and colspan.",
+    "chart": "Give labels, axes and values, then a description in Markdown that infers nothing.",
+    "formula": "Give the formula as LaTeX, and the words beside it as they are.",
+    "text": "Give every character that is visible.",
+    "document": "Keep the reading order; what stands apart is a block of its own.",
+}
+# HTTP states after which a request may be made again, besides those from 500 on.
+PASSING = (408, 409, 425, 429)
+
+
+class ImageReader:
+    """A chat model that sees pictures: the bytes go as a data URL, the answer is a JSON object. Answers that are none, and
+    passing errors of the server, are asked for again after 0.5, 1, 2, 4 seconds."""
+
+    def __init__(self, base_url: str, model: str, timeout: float = 120.0, max_tokens: int = 8192, retries: int = 2, key: str | None = None, transport: Callable | None = None, sleep: Callable = time.sleep):
+        self.url, self.model, self.timeout, self.max_tokens = chat_url(base_url), model, timeout, max_tokens
+        self.retries, self.key, self.transport, self.sleep = retries, key, transport or _post, sleep
+
+    def body(self, image: bytes, task: str, context: str) -> dict:
+        import base64
+
+        words = " ".join([SEE_TASK.format(task=task), TASK_WORDS.get(task, TASK_WORDS["document"]), f"Context, which is not part of the picture: {context}" if context else ""]).strip()
+        url = f"data:{image_type(image)};base64,{base64.b64encode(image).decode()}"
+        content = [{"type": "text", "text": words}, {"type": "image_url", "image_url": {"url": url, "detail": "high"}}]
+        return {"model": self.model, "messages": [{"role": "user", "content": content}], "max_tokens": self.max_tokens, "temperature": 0.0}
+
+    def read(self, image: bytes, task: str, context: str) -> dict:
+        body = self.body(bytes(image), task, context)
+
+        def once() -> dict:
+            try:
+                answer = self.transport(self.url, body, self.timeout, self.key)
+                said = answer["choices"][0]["message"]["content"]
+            except OSError as e:  # the server's states are among these
+                state = getattr(e, "code", None)
+                if state is None or state in PASSING or state >= 500:
+                    raise
+                raise ReaderError("execution", f"state {state}") from e
+            except (KeyError, IndexError, TypeError, ValueError) as e:
+                raise TimeoutError("no answer of a model") from e
+            found = lenient_json(said if isinstance(said, str) else "\n".join(p.get("text", "") for p in said if isinstance(p, dict)))
+            if found is None:
+                raise TimeoutError("no JSON object")
+            return json.loads(found)
+
+        try:
+            return retried(once, self.retries, sleep=self.sleep)
+        except OSError as e:
+            raise ReaderError("transient", str(e)) from e
+
+
 def _post(url: str, body: dict, timeout: float, key: str | None) -> dict:
     from urllib.request import Request, urlopen
 
@@ -213,7 +277,7 @@ def payload_blocks(payload: str | None) -> list[dict]:
     data = data.get("res", data) if isinstance(data, dict) else {}
     items = data.get("parsing_res_list") or data.get("blocks") or []
     if not items:
-        return markdown_blocks(data.get("markdown") or data.get("text"))
+        return markdown_blocks(data.get("markdown") or data.get("html") or data.get("text"))
     boxes = [(b.get("label", ""), clean_box(b.get("coordinate") or b.get("bbox")), clean_confidence(b.get("score"))) for b in (data.get("layout_det_res") or {}).get("boxes", [])]
     out = []
     for item in items:

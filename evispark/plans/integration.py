@@ -109,7 +109,7 @@ def edges(passes: list[DataFrame], parts: DataFrame, entities: DataFrame, facts:
     pairs = facts.select("source_id", F.col("qualified_citation").alias("citation"), F.posexplode("request_values").alias("at", "value")).withColumn("key", call("request_key", "value"))
     requests = pairs.groupBy("source_id", "citation").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "key", "value"))), lambda x: F.struct(x["key"].alias("key"), x["value"].alias("value"))).alias("requests"))
     none = F.array().cast("array<struct<key:string,value:string>>")
-    evidence = facts.select("source_id", F.col("qualified_citation").alias("citation"), "numbers").join(requests, ["source_id", "citation"], "left").withColumn("requests", F.coalesce("requests", none))
+    evidence = facts.select("source_id", F.col("qualified_citation").alias("citation"), "numbers", "identifiers").join(requests, ["source_id", "citation"], "left").withColumn("requests", F.coalesce("requests", none))
     each = entities.select(F.col("id").alias("entity_id"), "type", F.array("key").alias("keys"), F.explode("citations").alias("citation")).withColumn("source_id", C.citation_parts(F.col("citation"))["source"])
     by_source = each.groupBy("entity_id", "type", "keys", "source_id").agg(F.collect_set("citation").alias("citations"))
     return graph.resolve_edges(said, by_source, evidence).orderBy("id").limit(options.most_relationships)
@@ -187,6 +187,14 @@ def integrate(c: collection.Collection, backend: Callable, options: stages.Optio
     return Integrated(facts, entities, related, named.join(bodies, "topic_id"), members, written, warnings)
 
 
+def with_lists(rows: DataFrame, key: str, cited: DataFrame, carried: DataFrame) -> DataFrame:
+    """Rows with the sorted lists of what stands behind them, for their pages: source_ids and requests. cited: (key, citation,
+    source_id); carried: (citation, value)."""
+    sources = cited.groupBy(key).agg(F.sort_array(F.collect_set("source_id")).alias("source_ids"))
+    requests = cited.select(key, "citation").join(carried.select("citation", "value"), "citation").groupBy(key).agg(F.sort_array(F.collect_set("value")).alias("requests"))
+    return rows.join(sources, key, "left").join(requests, key, "left")
+
+
 def site(c: collection.Collection, found: Integrated) -> DataFrame:
     """(path, body): evidence, sources, entities with their relationships, topics with related entities, requests and an index
     over all of them. Citations are links to evidence pages."""
@@ -198,36 +206,68 @@ def site(c: collection.Collection, found: Integrated) -> DataFrame:
     slugs = cut(links.unique_slugs(values, call("path_slug", "value")))
     nodes = found.entities.select(F.concat(F.lit("entity:"), "id").alias("node"), publish.wiki_link("entities", F.col("id"), F.col("name")).alias("link"))
     nodes = nodes.union(slugs.select(F.concat(F.lit("pr:"), "value"), publish.wiki_link("requests", F.col("slug"), F.col("value"))))
-    entities = publish.entity_pages(found.entities, found.edges, nodes)
     of_entity = found.entities.select("id", "name", F.explode("citations").alias("citation")).withColumn("source_id", C.citation_parts(F.col("citation"))["source"])
     shared = graph.shared_sources(found.members.select(F.col("topic_id").alias("id"), "source_id").distinct(), of_entity.select("id", "source_id").distinct())
     related = shared.join(found.topics.select(F.col("topic_id").alias("page_id"), "slug"), "page_id").join(found.entities.select(F.col("id").alias("entity_id"), "name"), "entity_id").select("slug", F.col("entity_id").alias("id"), "name")
-    topic_pages = publish.topic_pages(found.topics, related)
     carried = found.facts.select(F.col("qualified_citation").alias("citation"), "source_id", F.explode("request_values").alias("value"))
+    entities = publish.entity_pages(with_lists(found.entities, "id", of_entity, carried), found.edges, nodes)
+    topic_pages = publish.topic_pages(with_lists(found.topics, "topic_id", found.members, carried), related)
     by_topic = found.members.select("topic_id", "citation").join(carried, "citation").select("value", "topic_id").distinct().join(found.topics, "topic_id").select("value", F.col("slug").alias("id"), "title")
     by_entity = of_entity.select("id", "name", "citation").join(carried.select("citation", "value"), "citation").select("value", "id", F.col("name").alias("title")).distinct()
     by_source = carried.select("value", "source_id").distinct().join(names, "source_id").select("value", F.col("source_id").alias("id"), "title")
-    requests = publish.request_pages(slugs, by_source, by_topic, by_entity)
-    index = publish.index_page("Evidence", {"Sources": names.select(F.col("source_id").alias("id"), "title"), "Topics": found.topics.select(F.col("slug").alias("id"), "title"), "Entities": found.entities.select("id", F.col("name").alias("title")), "Requests": slugs.select(F.col("slug").alias("id"), F.col("value").alias("title"))})
+    requests = publish.request_pages(slugs, by_source, by_topic, by_entity, found.edges, nodes)
+    index = publish.index_pages("Evidence", {"Sources": names.select(F.col("source_id").alias("id"), "title"), "Topics": found.topics.select(F.col("slug").alias("id"), "title"), "Entities": found.entities.select("id", F.col("name").alias("title")), "Requests": slugs.select(F.col("slug").alias("id"), F.col("value").alias("title"))})
     linked = sources.union(entities).union(topic_pages).union(requests).select("path", call("evidence_links", "body").alias("body"))
     return evidence.union(linked).union(index)
 
 
-def violations(pages: DataFrame, found: Integrated) -> DataFrame:
-    """What stops a site: dangling links, pages without front matter, edges with unknown ends, dangerous markup."""
-    lost = links.tree_violations(pages)
-    made = pages.where("path not like 'evidence/%'")
+def violations(pages: DataFrame, found: Integrated, files: DataFrame | None = None) -> DataFrame:
+    """What stops a site: links to nothing, images, raw citations, pages without front matter, edges with unknown ends, dangerous
+    markup. files: (path) of what else the site holds."""
     ends = found.edges.select("id", F.explode(F.array("subject", "object")).alias("node"), "citations").where("node like 'entity:%'").select("id", F.substring("node", 8, 1 << 30).alias("entity"), "citations")
     ends = ends.join(found.entities.select(F.col("id").alias("entity"), F.col("citations").alias("theirs")), "entity", "left")
-    return checks.union([
-        checks.rows(lost, "dangling-link", F.col("path"), F.concat_ws("#", "target", "fragment")),
-        artifacts.front_matter(made),
-        checks.bad_values(made, "dangerous-html", F.col("path"), C.is_dangerous(F.col("body"))),
-        checks.bad_values(ends, "edge-lineage", F.col("id"), ~F.coalesce(F.arrays_overlap("citations", "theirs"), F.lit(False)), F.col("entity")),
-    ])
+    lineage = checks.bad_values(ends, "edge-lineage", F.col("id"), ~F.coalesce(F.arrays_overlap("citations", "theirs"), F.lit(False)), F.col("entity"))
+    return page_violations(pages, files).unionByName(lineage)
+
+
+def page_violations(pages: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """violations() of pages alone."""
+    made = pages.where(~F.startswith("path", F.lit(links.EVIDENCE)))
+    lost = links.tree_violations(pages, files).select("check_code", F.lit("error").alias("severity"), F.col("path").alias("key"), F.concat_ws("#", "target", "fragment").alias("detail"))
+    return checks.union([lost, artifacts.front_matter(made), checks.bad_values(made, "dangerous-html", F.col("path"), C.is_dangerous(F.col("body")))])
 
 
-def export(found: Integrated, pages: DataFrame, target: str) -> None:
-    """Tables of the graph and the pages below a folder; pages can be published again from it without any model."""
-    for name, df in {"source_map": found.facts, "entities": found.entities, "relationships": found.edges, "topics": found.topics, "topic_citations": found.members, "warnings": found.warnings, "pages": pages}.items():
-        df.write.mode("errorifexists").parquet(f"{target}/{name}.parquet")
+def tables(found: Integrated) -> dict[str, DataFrame]:
+    """What a run keeps of an integration; restored() takes it up again."""
+    return {"source_map": found.facts, "entities": found.entities, "relationships": found.edges, "topics": found.topics, "topic_citations": found.members, "dossiers": found.dossiers, "warnings": found.warnings}
+
+
+def restored(kept: dict[str, DataFrame]) -> Integrated:
+    return Integrated(*(kept[name] for name in ("source_map", "entities", "relationships", "topics", "topic_citations", "dossiers", "warnings")))
+
+
+def artifact_violations(found: Integrated, known_sources: DataFrame) -> DataFrame:
+    """The cross-checks of a loaded integration before it is published: entities, relationships, topics and coverage against the
+    source map and each other."""
+    carried = found.facts.select(F.col("qualified_citation").alias("citation"), "source_id")
+    of = lambda df: df.select("id", F.explode("citations").alias("citation")).join(carried, "citation").groupBy("id").agg(F.sort_array(F.collect_set("source_id")).alias("source_ids"))
+    entities = found.entities.join(of(found.entities), "id", "left").withColumn("source_ids", F.coalesce("source_ids", F.array().cast("array<string>")))
+    node = lambda c: F.when(F.startswith(c, F.lit("entity:")), F.substring(c, 8, 1 << 30))
+    ends = found.edges.select("id", F.explode(F.array("subject", "object")).alias("end"), "citations")
+    lost = ends.withColumn("entity", node(F.col("end"))).where("entity is not null").join(entities.select(F.col("id").alias("entity"), F.col("citations").alias("theirs")), "entity", "left")
+    requests = found.facts.select(F.explode("request_values").alias("value")).distinct()
+    unknown = ends.where(F.startswith("end", F.lit("pr:"))).join(requests.select(F.concat(F.lit("pr:"), "value").alias("end")), "end", "left_anti")
+    cited = found.members.join(carried, ["citation", "source_id"], "left_anti")
+    covered = known_sources.join(found.members.select("source_id").distinct(), "source_id", "left_anti")
+    return checks.union([
+        artifacts.entities(entities, known_sources, found.facts),
+        checks.duplicates(found.edges, ["id"], "duplicate-id"),
+        checks.bad_values(found.edges, "self-loop", F.col("id"), F.col("subject") == F.col("object")),
+        checks.rows(lost.where("theirs is null"), "unknown-endpoint", F.col("id"), F.col("end")),
+        checks.bad_values(lost, "no-shared-citation", F.col("id"), ~F.arrays_overlap("citations", "theirs"), F.col("end")),
+        checks.rows(unknown, "unknown-endpoint", F.col("id"), F.col("end")),
+        checks.duplicates(found.topics, ["slug"], "duplicate-slug"),
+        checks.missing(found.members.select("topic_id").distinct(), found.topics, ["topic_id"], "unknown-topic"),
+        checks.rows(cited, "unknown-citation", F.col("topic_id"), F.col("citation")),
+        checks.rows(covered, "uncovered-source", F.col("source_id")),
+    ])

@@ -12,6 +12,7 @@ from evispark.functions.text import lenient_json, without_fence
 from evispark.functions.udfs import call
 from evispark.operators import readers
 from evispark.operators.checks import rows
+from evispark.operators.readers import ReaderError
 from evispark.session import cut
 
 # Own wording of the instructions; a page's evidence follows them.
@@ -94,14 +95,6 @@ def request_json(backend: readers.ChatBackend, prompt: str, repairs: int = 2) ->
     return None
 
 
-class ReaderError(RuntimeError):
-    """Kinds of trouble with readers: configuration, execution, transient, parse."""
-
-    def __init__(self, kind: str, message: str):
-        super().__init__(message)
-        self.kind = kind
-
-
 class FallbackReader:
     """Readers in turn: an error or an empty result goes to the next; the last error stands."""
 
@@ -147,8 +140,10 @@ class CommandReader:
             return {"text": without_fence(done.stdout)}
 
 
-def read_elements(targets: DataFrame, reader: Callable[[], readers.ReaderBackend], key: str = "element_id") -> DataFrame:
-    """(key, payload, error_kind, error): one reader for each partition; targets: (key, image, task, context)."""
+def read_elements(targets: DataFrame, reader: Callable[[], readers.ReaderBackend], key: str = "element_id", carry: dict[str, str] | None = None) -> DataFrame:
+    """(key, payload, error_kind, error, *carry): one reader for each partition; targets: (key, image, task, context, *carry),
+    where carry names further columns and their types."""
+    carry = carry or {}
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import json
@@ -161,10 +156,10 @@ def read_elements(targets: DataFrame, reader: Callable[[], readers.ReaderBackend
                     out.append((json.dumps(own.read(image, task, context)), None, None))
                 except Exception as e:  # noqa: BLE001
                     out.append((None, getattr(e, "kind", "execution"), str(e)[:500]))
-            yield pd.DataFrame({key: pdf[key], **{c: [x[i] for x in out] for i, c in enumerate(("payload", "error_kind", "error"))}})
+            yield pd.DataFrame({key: pdf[key], **{c: [x[i] for x in out] for i, c in enumerate(("payload", "error_kind", "error"))}, **{c: pdf[c] for c in carry}})
 
     kind = dict(targets.dtypes)[key]
-    return targets.select(key, "image", "task", "context").mapInPandas(run, f"{key} {kind}, payload string, error_kind string, error string")
+    return targets.select(key, "image", "task", "context", *carry).mapInPandas(run, f"{key} {kind}, payload string, error_kind string, error string" + "".join(f", {c} {t}" for c, t in carry.items()))
 
 
 def read_children(targets: DataFrame, results: DataFrame, key: str = "element_id") -> DataFrame:

@@ -13,7 +13,7 @@ from evispark.functions import columns as C
 from evispark.functions.udfs import call
 from evispark.operators import blocks as B
 from evispark.operators import artifacts, checks, chunks, decisions, geometry, graph, links, topics
-from evispark.plans import publish, stages
+from evispark.plans import pictures, publish, runs, stages
 from evispark.session import shared_folder
 from evispark.streaming import ingest
 from evispark.views import SLIDE_HEIGHT, SLIDE_WIDTH, table
@@ -538,7 +538,18 @@ def fragment_split(spark, sf):
     return spark.sql("SELECT d.doc_id, s.position, s.fragment FROM _split d, LATERAL split_text(d.text, 500) s")
 
 
-@query()
+@query(r"""WITH RECURSIVE d AS (SELECT source AS source_id, doc_id, coalesce(text, '') AS t FROM documents),
+l AS (SELECT doc_id, unnest(p) AS line, generate_subscripts(p, 1) AS n FROM (SELECT doc_id, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS p FROM d WHERE length(t) > 1908)),
+r AS (SELECT doc_id, n, CASE WHEN length(line) > 1908 THEN 0 ELSE length(line) END AS held, 1 AS f, (length(line) + 1907) // 1908 AS last FROM l WHERE n = 1
+UNION ALL SELECT l.doc_id, l.n, CASE WHEN length(line) > 1908 THEN 0 WHEN held > 0 AND held + length(line) <= 1908 THEN held + length(line) ELSE length(line) END,
+CASE WHEN length(line) <= 1908 AND held > 0 AND held + length(line) <= 1908 THEN last ELSE last + 1 END,
+CASE WHEN length(line) > 1908 THEN last + (length(line) + 1907) // 1908 WHEN held > 0 AND held + length(line) <= 1908 THEN last ELSE last + 1 END FROM r JOIN l ON l.doc_id = r.doc_id AND l.n = r.n + 1),
+p AS (SELECT doc_id, f AS k, length(rtrim(string_agg(line, '' ORDER BY n), chr(10))) AS s FROM r JOIN l USING (doc_id, n) WHERE length(line) <= 1908 GROUP BY doc_id, f
+UNION ALL SELECT doc_id, f + i, length(rtrim(substr(line, i * 1908 + 1, 1908), chr(10))) FROM (SELECT doc_id, f, line, unnest(range(0, (length(line) + 1907) // 1908)) AS i FROM r JOIN l USING (doc_id, n) WHERE length(line) > 1908)
+UNION ALL SELECT doc_id, 1, length(t) FROM d WHERE length(t) <= 1908),
+o AS (SELECT source_id, doc_id, k, 60 + s AS s, row_number() OVER (PARTITION BY source_id ORDER BY doc_id, k) AS n FROM p JOIN d USING (doc_id)),
+w AS (SELECT source_id, n, 1 AS chunk, s AS used FROM o WHERE n = 1 UNION ALL SELECT o.source_id, o.n, CASE WHEN used + 2 + s > 2000 THEN chunk + 1 ELSE chunk END, CASE WHEN used + 2 + s > 2000 THEN s ELSE used + 2 + s END FROM w JOIN o ON o.source_id = w.source_id AND o.n = w.n + 1)
+SELECT source_id, doc_id AS rank, CAST(k AS INTEGER) AS fragment, CAST(chunk AS BIGINT) AS chunk FROM o JOIN w USING (source_id, n)""")
 def chunk_pack(spark, sf):
     return chunks.chunk_blocks(views.blocks_doc(spark, sf), 2000, header=60)
 
@@ -609,25 +620,30 @@ def edge_lineage_violations(spark, sf):
 
 
 @query(f"""WITH pk AS (SELECT * FROM (VALUES ('uses_material', 'material'), ('has_lot', 'lot'), ('related_to', NULL)) t(predicate, kind)),
-f AS (SELECT o_orderkey AS ord, CASE o_orderkey % 4 WHEN 0 THEN 'uses_material' WHEN 1 THEN 'has_lot' WHEN 2 THEN 'related_to' ELSE 'likes' END AS predicate, o_custkey % 10 + 1 AS s, o_custkey % 50 AS name, o_orderkey % 7 AS c, o_orderkey % 50 AS q, o_orderpriority AS d FROM orders),
-g AS (SELECT f.*, pk.kind FROM f JOIN pk USING (predicate) WHERE q <= 40 AND c < 5 AND s IN (SELECT s_suppkey FROM supplier)),
-e AS (SELECT p_partkey AS id, p_partkey % 50 AS name, p_partkey % 7 AS c, CASE p_size % 3 WHEN 0 THEN 'lot' WHEN 1 THEN 'material' ELSE 'other' END AS type FROM part WHERE p_partkey <= 1000),
+f AS (SELECT o_orderkey AS ord, CASE o_orderkey % 4 WHEN 0 THEN 'uses_material' WHEN 1 THEN 'has_lot' WHEN 2 THEN 'related_to' ELSE 'likes' END AS predicate, o_custkey % 10 + 1 AS s, o_custkey % 1009 AS name, o_orderkey % 7 AS c, o_orderkey % 50 AS q,
+CASE o_orderkey % 5 WHEN 1 THEN ' of PR-' || o_custkey % 7 WHEN 2 THEN ' in PX-' || o_orderkey % 7 ELSE '' END AS tail, o_custkey % 7 AS claimed, o_orderkey % 5 AS v, o_orderpriority AS d FROM orders),
+g AS (SELECT f.*, pk.kind FROM f JOIN pk USING (predicate) WHERE q <= 40 AND c < 5 AND s IN (SELECT s_suppkey FROM supplier) AND (v <> 1 OR claimed = c) AND (v <> 2 OR c % 2 = 0)),
+e AS (SELECT p_partkey AS id, p_partkey % 1009 AS name, p_partkey % 7 AS c, CASE p_size % 3 WHEN 0 THEN 'lot' WHEN 1 THEN 'material' ELSE 'other' END AS type FROM part),
 o AS (SELECT g.ord, count(*) FILTER (e.type = g.kind) AS liked, min(e.id) FILTER (e.type = g.kind) AS liked_id, count(*) AS n, min(e.id) AS id FROM g JOIN e ON e.name = g.name AND e.c = g.c GROUP BY 1),
 r AS (SELECT g.*, CASE WHEN o.liked > 0 THEN o.liked_id ELSE o.id END AS object FROM g JOIN o USING (ord) WHERE CASE WHEN o.liked > 0 THEN o.liked = 1 ELSE o.n = 1 END),
-k AS (SELECT predicate, s, object, q, arg_min(d, ord) AS description, list_sort(list(DISTINCT 'c' || c)) AS citations FROM r GROUP BY ALL)
-SELECT 'rel-' || left(sha256(predicate || chr(31) || 'entity:s' || s || chr(31) || 'entity:p' || object || chr(31) || 'holds ' || q || ' units'), 20) AS id, predicate, 'entity:s' || s AS subject, 'entity:p' || object AS object, 'Holds ' || q || ' units' AS assertion, description, citations, list_transform(citations, lambda x: 'PR-' || substr(x, 2)) AS requests FROM k""")
+k AS (SELECT predicate, s, object, q, tail, arg_min(d, ord) AS description, list_sort(list(DISTINCT 'c' || c)) AS citations FROM r GROUP BY ALL)
+SELECT 'rel-' || left(sha256(predicate || chr(31) || 'entity:s' || s || chr(31) || 'entity:p' || object || chr(31) || 'holds ' || q || ' units' || lower(tail)), 20) AS id, predicate, 'entity:s' || s AS subject, 'entity:p' || object AS object, 'Holds ' || q || ' units' || tail AS assertion, description, citations, list_transform(citations, lambda x: 'PR-' || substr(x, 2)) AS requests FROM k""")
 def edge_resolve(spark, sf):
-    """Relationships of suppliers to parts by name: unknown predicates, ungrounded numbers, ambiguous ends and citations
-    without a request drop out."""
-    t, by = table(spark, sf, "orders"), F.col("o_orderkey") % 4
+    """Relationships of suppliers to parts by name: unknown predicates, ungrounded numbers, borrowed and changed request numbers,
+    ambiguous ends and citations without a request drop out."""
+    t, by, v = table(spark, sf, "orders"), F.col("o_orderkey") % 4, F.col("o_orderkey") % 5
     predicate = F.when(by == 0, "uses_material").when(by == 1, "Has_Lot ").when(by == 2, "related_to").otherwise("likes")
     name = lambda c: F.concat(F.lit("c"), c.cast("string"))
-    words = F.concat(F.lit("Holds "), (F.col("o_orderkey") % 50).cast("string"), F.lit(" units"))
-    found = t.select(F.col("o_orderkey").alias("ord"), F.lit("s").alias("source_id"), predicate.alias("predicate"), F.concat(F.lit("Supplier "), (F.col("o_custkey") % 10 + 1).cast("string")).alias("subject"), F.lit(None).cast("string").alias("subject_type"), F.concat(F.lit("Item  "), (F.col("o_custkey") % 50).cast("string")).alias("object"), F.lit(None).cast("string").alias("object_type"), words.alias("assertion"), F.col("o_orderpriority").alias("description"), F.array(name(F.col("o_orderkey") % 7), F.lit("nowhere")).alias("citations"))
+    number = lambda c, of: (c % of).cast("string")
+    tail = F.when(v == 1, F.concat(F.lit(" of PR-"), number(F.col("o_custkey"), 7))).when(v == 2, F.concat(F.lit(" in PX-"), number(F.col("o_orderkey"), 7))).otherwise("")
+    words = F.concat(F.lit("Holds "), number(F.col("o_orderkey"), 50), F.lit(" units"), tail)
+    found = t.select(F.col("o_orderkey").alias("ord"), F.lit("s").alias("source_id"), predicate.alias("predicate"), F.concat(F.lit("Supplier "), (F.col("o_custkey") % 10 + 1).cast("string")).alias("subject"), F.lit(None).cast("string").alias("subject_type"), F.concat(F.lit("Item  "), number(F.col("o_custkey"), 1009)).alias("object"), F.lit(None).cast("string").alias("object_type"), words.alias("assertion"), F.col("o_orderpriority").alias("description"), F.array(name(F.col("o_orderkey") % 7), F.lit("nowhere")).alias("citations"))
     supplier = table(spark, sf, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("entity_id"), F.lit("organization").alias("type"), F.array(F.concat(F.lit("supplier "), F.col("s_suppkey").cast("string"))).alias("keys"), F.lit("s").alias("source_id"), F.transform(F.sequence(F.lit(0), F.lit(6)), name).alias("citations"))
     kind = F.when(F.col("p_size") % 3 == 0, "lot").when(F.col("p_size") % 3 == 1, "material").otherwise("other")
-    part = table(spark, sf, "part").where("p_partkey <= 1000").select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")), kind, F.array(F.concat(F.lit("item "), (F.col("p_partkey") % 50).cast("string"))), F.lit("s"), F.array(name(F.col("p_partkey") % 7)))
-    evidence = spark.range(7).select(F.lit("s").alias("source_id"), name(F.col("id")).alias("citation"), F.transform(F.sequence(F.lit(0), F.lit(40)), lambda n: n.cast("string")).alias("numbers"), F.when(F.col("id") < 5, F.array(F.struct(F.col("id").cast("string").alias("key"), F.concat(F.lit("PR-"), F.col("id").cast("string")).alias("value")))).otherwise(F.array().cast("array<struct<key:string,value:string>>")).alias("requests"))
+    part = table(spark, sf, "part").select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")), kind, F.array(F.concat(F.lit("item "), number(F.col("p_partkey"), 1009))), F.lit("s"), F.array(name(F.col("p_partkey") % 7)))
+    no_requests = F.array().cast("array<struct<key:string,value:string>>")
+    spelled = F.when(F.col("id") % 2 == 0, F.array(F.concat(F.lit("PX-"), F.col("id").cast("string")))).otherwise(F.array().cast("array<string>"))
+    evidence = spark.range(7).select(F.lit("s").alias("source_id"), name(F.col("id")).alias("citation"), F.transform(F.sequence(F.lit(0), F.lit(40)), lambda n: n.cast("string")).alias("numbers"), F.when(F.col("id") < 5, F.array(F.struct(F.col("id").cast("string").alias("key"), F.concat(F.lit("PR-"), F.col("id").cast("string")).alias("value")))).otherwise(no_requests).alias("requests"), spelled.alias("identifiers"))
     out = graph.resolve_edges(found, supplier.union(part), evidence)
     return out.withColumn("citations", F.array_sort("citations")).withColumn("requests", F.array_sort("requests"))
 
@@ -788,7 +804,7 @@ def reader_payload_blocks(spark, sf):
     return readers.read_payloads(t).select("page", "kind", "text", "ord")
 
 
-@query("""SELECT 'index.md' AS path, '---' || chr(10) || 'title: "Nations"' || chr(10) || 'description: "Nations"' || chr(10) || 'tags: ["index"]' || chr(10) || '---' || chr(10) || chr(10) || '# Nations' || chr(10) || chr(10)
+@query("""SELECT 'index.md' AS path, '---' || chr(10) || 'title: "Nations"' || chr(10) || 'description: "Nations"' || chr(10) || 'aliases: []' || chr(10) || 'tags: ["index"]' || chr(10) || 'pr_numbers: []' || chr(10) || 'source_ids: []' || chr(10) || 'draft: false' || chr(10) || '---' || chr(10) || chr(10) || '# Nations' || chr(10) || chr(10)
 || '## Nations' || chr(10) || chr(10) || string_agg('- [[nations/' || n_nationkey || '|' || n_name || ']]', chr(10) ORDER BY lower(n_name)) || chr(10) AS body FROM nation""")
 def index_page(spark, sf):
     return publish.index_page("Nations", {"Nations": table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("title"))})
@@ -809,13 +825,65 @@ def lineage_reconcile(spark, sf):
     return checks.changed_rows(d.withColumn("sha256", F.when(F.col("id").cast("long") % 40 == 1, F.lit("x")).otherwise(F.col("sha256"))), d, "id")
 
 
-@query("""SELECT CAST(page_id AS VARCHAR) AS path, 'dangling-link' AS check_code, 'gone' AS target, CAST(NULL AS VARCHAR) AS fragment FROM pages WHERE page_id % 3 = 0
-UNION ALL SELECT CAST(page_id AS VARCHAR), 'dangling-fragment', CAST(page_id AS VARCHAR), 'lost' FROM pages WHERE page_id % 3 = 1""")
+@query(r"""WITH h AS (SELECT page_id, regexp_extract_all(html, '<a href="/([^"]*)"', 1) AS h FROM pages), n AS (SELECT page_id, h, h[1] AS name FROM h WHERE len(h) > 0),
+l AS (SELECT name, h[i] AS goal, (i - 1) % 6 AS kind FROM (SELECT name, h, unnest(range(1, len(h) + 1)) AS i FROM n)),
+known AS (SELECT DISTINCT name FROM n), folded AS (SELECT DISTINCT replace(lower(name), 'ß', 'ss') AS name FROM n)
+SELECT 'p/' || l.name || '.md' AS path, CASE WHEN kind = 4 THEN 'unsafe-link' WHEN k.name IS NULL AND f.name IS NULL THEN 'dangling-link' ELSE 'dangling-fragment' END AS check_code,
+CASE kind WHEN 0 THEN 'p/' || goal WHEN 1 THEN goal || '.md' WHEN 2 THEN '../p/' || goal || '.md' WHEN 3 THEN goal || '.md' WHEN 4 THEN '/' || goal ELSE 'P/' || goal END AS target, CASE WHEN kind = 3 THEN 'lost' WHEN kind = 5 THEN 'top' END AS fragment
+FROM l LEFT JOIN known k ON k.name = goal AND kind IN (1, 2, 3) LEFT JOIN folded f ON f.name = replace(lower(goal), 'ß', 'ss') AND kind IN (0, 5)
+WHERE kind = 4 OR (kind IN (0, 5) AND f.name IS NULL) OR (kind IN (1, 2, 3) AND k.name IS NULL) OR (kind = 3 AND k.name IS NOT NULL)""")
 def site_link_violations(spark, sf):
-    """Pages that link to a page that isn't there, to an anchor that isn't there, or to their own heading."""
-    p = F.col("page_id").cast("string")
-    body = F.when(F.col("page_id") % 3 == 0, F.lit("[[gone]]")).when(F.col("page_id") % 3 == 1, F.concat(F.lit("[["), p, F.lit("#lost]]"))).otherwise(F.concat(F.lit("# Top part\n[["), p, F.lit("#top-part]]")))
-    return links.tree_violations(table(spark, sf, "pages").select(p.alias("path"), body.alias("body")))
+    """Pages of one first link are a page of its name; their links become wiki, standard, reference and HTML ones, some with
+    fragments, some absolute. Every page has the heading Top."""
+    found = table(spark, sf, "pages").select("page_id", F.regexp_extract_all("html", F.lit('<a href="/([^"]*)"'), 1).alias("h")).where(F.size("h") > 0)
+    kinds = [("[[p/", "]]"), ("[x](", ".md)"), ("<a href='../p/", ".md'>x</a>"), ("\n[r]: ", ".md#lost\n"), ("[x](/", ")"), ("[[P/", "#top|x]]")]
+
+    def written(to, at):
+        out = F.lit("")
+        for n, (before, after) in enumerate(kinds):
+            out = F.when(at % len(kinds) == n, F.concat(F.lit(before), to, F.lit(after))).otherwise(out)
+        return out
+
+    one = found.select(F.get("h", 0).alias("name"), F.array_join(F.transform("h", written), " ").alias("body"))
+    pages = one.groupBy("name").agg(F.concat(F.lit("# Top\n"), F.array_join(F.sort_array(F.collect_list("body")), "\n")).alias("body"))
+    return links.tree_violations(pages.select(F.concat(F.lit("p/"), "name", F.lit(".md")).alias("path"), "body"))
+
+
+@query("""WITH f AS (SELECT l_orderkey AS o, min(l_linestatus) AS d, count(*) AS n FROM lineitem GROUP BY 1), b AS (SELECT coalesce(o_orderkey, o) AS o, o_orderkey, o_orderstatus, o_custkey % 7 + 1 AS told, f.d, f.n FROM orders FULL JOIN f ON o = o_orderkey)
+SELECT 'file-missing' AS check_code, 'error' AS severity, 'orders/' || o AS key, CAST(NULL AS VARCHAR) AS detail FROM b WHERE n IS NULL
+UNION ALL SELECT 'file-unknown', 'error', 'orders/' || o, NULL FROM b WHERE o_orderkey IS NULL
+UNION ALL SELECT 'file-changed', 'error', 'orders/' || o, d FROM b WHERE o_orderstatus <> d
+UNION ALL SELECT 'row-count', 'error', 'orders/' || o, CAST(n AS VARCHAR) FROM b WHERE told <> n""")
+def manifest_reconcile(spark, sf):
+    """Orders as a manifest of files, whose digests are their states, against the files that order lines make."""
+    told = table(spark, sf, "orders").select(F.lit("orders").alias("name"), F.col("o_orderkey").cast("string").alias("file"), F.lit(1).cast("long").alias("bytes"), F.col("o_orderstatus").alias("sha256"), (F.col("o_custkey") % 7 + 1).cast("long").alias("rows"))
+    made = table(spark, sf, "lineitem").groupBy(F.lit("orders").alias("name"), F.col("l_orderkey").cast("string").alias("file")).agg(F.min("l_linestatus").alias("sha256"), F.count("*").alias("rows"))
+    return runs.reconciled(told, made.select("name", "file", F.lit(1).cast("long").alias("bytes"), "sha256"), made.select("name", "file", "rows"))
+
+
+class LineReader:
+    """Stands for a reader of pictures: a text's bytes are a picture, its lines blocks of ten pixels height."""
+
+    def read(self, image: bytes, task: str, context: str) -> dict:
+        lines = bytes(image).decode().split("\n")
+        return {"blocks": [{"kind": "line", "text": line, "bbox": [0, 10 * i, 100, 10 * i + 10]} for i, line in enumerate(lines) if line.strip()]}
+
+
+@query(r"""WITH l AS (SELECT doc_id, unnest(p) AS line, generate_subscripts(p, 1) - 1 AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents)),
+k AS (SELECT doc_id, line, i, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n FROM l WHERE regexp_matches(line, '[^\s]'))
+SELECT source AS source_id, 'd' || doc_id || '-ocr' || lpad(CAST(n AS VARCHAR), CAST(greatest(3, length(CAST(n AS VARCHAR))) AS INTEGER), '0') AS element_id, 'd' || doc_id AS parent_id, 'ocr_line' AS kind, sha256(line) AS text_sha256, CAST(n AS INTEGER) AS z_index, CAST(1000 + 1000 * i AS BIGINT) AS y FROM k JOIN documents USING (doc_id)""")
+def picture_blocks(spark, sf):
+    """Every document's text as a picture on a slide: equal ones are read once, and their lines are child elements in place."""
+    d = table(spark, sf, "documents").where("text is not null").withColumn("digest", C.sha256(F.col("text")))
+    tall = F.size(F.split("text", "\n"))
+    elements = d.select(F.col("source").alias("source_id"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("element_id"), F.lit(1).alias("slide_number"), F.lit("image").alias("kind"), F.lit("p").alias("name"), F.lit(False).alias("hidden"), F.lit(0).cast("long").alias("x"), F.lit(1000).cast("long").alias("y"), F.lit(10_000).cast("long").alias("width"), (tall * 1000).cast("long").alias("height"), F.lit(0).alias("z_index"), F.array().cast("array<double>").alias("crop"), F.col("digest").alias("media_sha256"), "doc_id", tall.alias("tall"))
+    asked = pictures.targets(elements)
+    first = elements.groupBy("media_sha256").agg(F.min("doc_id").alias("doc_id"))
+    media = d.join(first, "doc_id").select(F.col("digest").alias("sha256"), F.encode("text", "UTF-8").alias("content"))
+    answers, _ = pictures.answered(asked, media, LineReader, f"{shared_folder(spark)}/answers-{uuid.uuid4().hex}")
+    sizes = elements.select(F.col("media_sha256").alias("sha256"), F.lit(100).alias("width"), (10 * F.col("tall")).alias("height")).distinct()
+    found = pictures.children(elements, asked, answers.drop("width", "height").join(sizes, "sha256"))
+    return found.select("source_id", "element_id", "parent_id", "kind", C.sha256(F.col("text")).alias("text_sha256"), "z_index", "y")
 
 
 @query("""SELECT doc_id AS page_id, CASE WHEN doc_id % 3 = 0 THEN 'borrowed-number' END AS check_code, CASE WHEN doc_id % 3 = 0 THEN '77' END AS detail FROM documents WHERE doc_id % 3 = 0""")

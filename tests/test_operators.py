@@ -1,6 +1,8 @@
 """Operators against DuckDB on the registered queries, and small cases that the tables don't hold."""
 
+import hashlib
 import io
+import json
 import re
 import zipfile
 
@@ -13,7 +15,7 @@ from evispark import queries as engine
 from evispark.functions import columns as C
 from evispark.functions import html, patterns, text
 from evispark.functions.udfs import call
-from evispark.operators import blocks, checks, decisions, graph, links, readers, topics
+from evispark.operators import blocks, checks, chunks, decisions, graph, links, readers, topics
 from evispark.plans import publish, stages
 from evispark.sources import files, ooxml
 
@@ -140,6 +142,37 @@ def test_chunks_by_brute_force(spark):
     assert sorted(tuple(r) for r in engine.QUERIES["chunk_pack"](spark, SF).collect()) == sorted(want) and max(w[3] for w in want) > 5
 
 
+def greedy(sizes, budget):
+    chunk, used = 0, None
+    for size in sizes:
+        if used is None or used + 2 + size > budget:
+            chunk, used = chunk + 1, size
+        else:
+            used += 2 + size
+        yield chunk
+
+
+def test_chunks_of_one_source_over_tasks(spark, monkeypatch):
+    """One source of 100,000 rows: bins of 3,000 characters and parts of four bins make several rounds; small and empty
+    sources, a null source, fragments over the budget, a tail that ends in a bin without any start."""
+    import random
+
+    monkeypatch.setattr(chunks, "BIN", 3000)
+    monkeypatch.setattr(chunks, "FAN", 4)
+    rng = random.Random(4)
+    sizes = {"hot": [rng.randrange(9) for _ in range(100_000)], "one": [3], "none": [], None: [0, 0, 290, 1, 400, 7], "full": [100] * 500, "tail": [290] * 11 + [1, 1]}
+    for k in range(30):
+        sizes[f"s{k}"] = [rng.choice([0, 1, 50, 299, 300, 301, 900]) for _ in range(rng.randrange(200))]
+    rows = [(g, i, "x" * n) for g, own in sizes.items() for i, n in enumerate(own)]
+    rng.shuffle(rows)
+    got = chunks.chunk_blocks(spark.createDataFrame(rows, "source_id string, rank long, content string"), 300).collect()
+    want = []
+    for g, own in sizes.items():
+        parts = [(i, k, len(p)) for i, n in enumerate(own) for k, p in enumerate(text.split_text("x" * n, 268), 1)]
+        want += [(g, i, k, c) for (i, k, _), c in zip(parts, greedy([n for *_, n in parts], 300), strict=True)]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr) and max(w[3] for w in want) > 1000
+
+
 def test_html_to_text_by_brute_force(spark):
     pages = {r.page_id: html.plain_text(r.html) for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     assert {r.page_id: r.text for r in engine.QUERIES["html_to_text"](spark, SF).collect()} == pages
@@ -198,6 +231,49 @@ def test_tree_violations(spark):
     assert sorted((r.check_code, r.target, r.fragment) for r in links.tree_violations(pages).collect()) == [("dangling-fragment", "b", "nope"), ("dangling-link", "lost", None)]
 
 
+def test_every_kind_of_link(spark):
+    """Standard, reference, HTML and wiki links; files, fragments, absolute paths, schemes, pictures and raw citations."""
+    bodies = {
+        "a/one.md": "# Top\n[x](two.md) [y](../b/three.md#Sec) [z](three.md) [[b/Three#sec]] [[/b/three.md]] [w](#top) [v](#none) [web](https://x) [m](mailto:y)",
+        "a/two.md": "[r]: ../assets/p%20q.png\n[q]: ../../out.md\n<a href='one.md#top'>t</a> <a href=\"one.md#gone\">u</a> [s](<one.md>) [k](javascript:x) [n](/root.md) [e](one.md?x&amp;y)",
+        "b/three.md": "<a id='Sec'></a>\n![p](../assets/p.png) [[gone]] [[#Sec]] [[#lost]]",
+        "b/four.md": "says [slide-1#a] and <img src='x'>",
+        "evidence/s-0001.md": "says [slide-1#a]",
+    }
+    pages = spark.createDataFrame(list(bodies.items()), "path string, body string")
+    got = sorted((r.check_code, r.path, r.target, r.fragment) for r in links.tree_violations(pages, spark.createDataFrame([("assets/p q.png",)], "path string")).fillna("").collect())
+    assert got == [
+        ("dangling-fragment", "a/one.md", "", "none"), ("dangling-fragment", "a/one.md", "b/Three", "sec"), ("dangling-fragment", "a/two.md", "one.md", "gone"), ("dangling-fragment", "b/three.md", "", "lost"),
+        ("dangling-link", "a/one.md", "three.md", ""), ("dangling-link", "b/three.md", "gone", ""),
+        ("image-markup", "b/four.md", "", ""), ("image-markup", "b/three.md", "", ""), ("raw-citation", "b/four.md", "", ""),
+        ("unsafe-link", "a/two.md", "../../out.md", ""), ("unsafe-link", "a/two.md", "/root.md", ""), ("unsafe-link", "a/two.md", "javascript:x", ""),
+    ]
+
+
+def test_lines_of_relationships(spark):
+    """A relationship's texts as lines on its citations: numbers, request numbers and changed ones; citations in the text narrow."""
+    q = lambda n: f"[@s/slide-{n}#e]"
+    said = [(1, "It holds 40", "d"), (2, "It holds 41", "d"), (3, "d", "Of PR-7"), (4, "d", "Of PR-8"), (5, "PX-7 broke", "d"), (6, f"It holds 41 {q(2)}", "d"), (7, f"It holds 40 {q(2)}", "d"), (8, f"It {q(9)}", "d"), (9, "PX-9 broke", "d")]
+    own = {6: [1, 2], 7: [1, 2], 9: [3]}
+    facts = {1: (["40", "7"], [("7", "PR-7")], []), 2: (["41", "8"], [("8", "PR-8")], []), 3: (["9"], [("9", "PR-9")], ["PX-9"])}
+    cited = [(o, q(n), *facts[n]) for o, *_ in said for n in own.get(o, [1])]
+    got = graph.ungrounded_lines(spark.createDataFrame(said, "ord int, assertion string, description string"), spark.createDataFrame(cited, "ord int, citation string, numbers array<string>, requests array<struct<key:string,value:string>>, identifiers array<string>"), lambda c: call("claim_numbers", c), lambda *c: call("unapproved_requests", *c))
+    assert sorted(r.ord for r in got.collect()) == [2, 4, 5, 7, 8]
+
+
+def test_index_in_shards(spark):
+    """100,000 titles: pages of pages, no page of more lines than the limit, every title once."""
+    titles = spark.range(100_000).select(F.col("id").cast("string"), F.concat(F.lit("Title "), (F.col("id") * 7919 % 100_003).cast("string")).alias("title"))
+    few = spark.createDataFrame([("x", "Only")], "id string, title string")
+    pages = publish.index_pages("Site", {"Topics": titles, "Sources": few}, 200).collect()
+    lines = {p.path: [x for x in p.body.split("\n") if x.startswith("- ")] for p in pages}
+    assert max(map(len, lines.values())) <= 201 and sum(x.startswith("- [[topics/") for own in lines.values() for x in own) == 100_000
+    assert {re.match(r"- \[\[(index/[^|]+)", x)[1] + ".md" for own in lines.values() for x in own if x.startswith("- [[index/")} == set(lines) - {"index.md"}
+    assert "- [[sources/x|Only]]" in lines["index.md"] and all(p.body.startswith("---\ntitle:") for p in pages)
+    keys = [[text.stable_key(re.search(r"\|(.*)\]\]", x)[1]) for x in lines[p]] for p in sorted(lines) if p.startswith("index/topics-0")]
+    assert [k for own in keys for k in own] == sorted(k for own in keys for k in own)
+
+
 def test_model_loop_with_repairs(spark):
     prompts = spark.createDataFrame([(1, "good"), (2, "bad"), (3, "hopeless")], "id int, prompt string")
     make = lambda: readers.ScriptedBackend([("hopeless", "no"), ("Correct these", "fixed"), ("good", "fixed")], "wrong")
@@ -256,20 +332,27 @@ def test_coverage_fills_uncovered_topics(spark):
     assert graph.predicate_kinds(spark).where("array_contains(kinds, 'lot')").first().predicate == "has_lot"
 
 
-def deck_bytes(external=False, title="Title"):
+PNG = b"\x89PNG\r\n\x1a\n\x00\x00\x00\rIHDR" + (200).to_bytes(4, "big") + (100).to_bytes(4, "big") + b"\x08\x06\x00\x00\x00rest"
+
+
+def deck_bytes(external=False, title="Title", picture=None, more=""):
     ns = 'xmlns:a="http://schemas.openxmlformats.org/drawingml/2006/main" xmlns:p="http://schemas.openxmlformats.org/presentationml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
     box = lambda x, y, w, h, extra="": f'<a:xfrm{extra}><a:off x="{x}" y="{y}"/><a:ext cx="{w}" cy="{h}"/></a:xfrm>'
     text = lambda i, t, x: f'<p:sp><p:nvSpPr><p:cNvPr id="{i}" name="n{i}"/></p:nvSpPr><p:spPr>{box(x, 10, 100, 50)}</p:spPr><p:txBody><a:p><a:r><a:t>{t}</a:t></a:r></a:p></p:txBody></p:sp>'
     group = f'<p:grpSp><p:nvGrpSpPr><p:cNvPr id="9" name="g"/></p:nvGrpSpPr><p:grpSpPr><a:xfrm><a:off x="1000" y="1000"/><a:ext cx="200" cy="200"/><a:chOff x="0" y="0"/><a:chExt cx="100" cy="100"/></a:xfrm></p:grpSpPr>{text(3, "in group", 10)}</p:grpSp>'
     table = '<p:graphicFrame><p:nvGraphicFramePr><p:cNvPr id="5" name="t"/></p:nvGraphicFramePr><p:xfrm><a:off x="0" y="0"/><a:ext cx="10" cy="10"/></p:xfrm><a:graphic><a:graphicData uri="http://schemas.openxmlformats.org/drawingml/2006/table"><a:tbl><a:tblGrid><a:gridCol w="5"/><a:gridCol w="5"/></a:tblGrid><a:tr><a:tc gridSpan="2"><a:txBody><a:p><a:r><a:t>head</a:t></a:r></a:p></a:txBody></a:tc><a:tc hMerge="1"/></a:tr></a:tbl></a:graphicData></a:graphic></p:graphicFrame>'
-    pic = f'<p:pic><p:nvPicPr><p:cNvPr id="7" name="pic"/><p:nvPr/></p:nvPicPr><p:spPr>{box(1, 1, 2, 2)}</p:spPr></p:pic>'
+    fill = '<p:blipFill><a:blip r:embed="r7"/><a:srcRect l="50000"/></p:blipFill>' if picture else ""
+    pic = f'<p:pic><p:nvPicPr><p:cNvPr id="7" name="pic"/><p:nvPr/></p:nvPicPr>{fill}<p:spPr>{box(1000, 2000, 5000, 4000) if picture else box(1, 1, 2, 2)}</p:spPr></p:pic>'
     rel = '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" Type="http://x/slide" Target="slides/slide1.xml"/></Relationships>'
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w") as z:
         z.writestr("[Content_Types].xml", "<Types/>")
         z.writestr("ppt/presentation.xml", f'<p:presentation {ns}><p:sldIdLst><p:sldId id="256" r:id="r1"/></p:sldIdLst><p:sldSz cx="12192000" cy="6858000"/></p:presentation>')
         z.writestr("ppt/_rels/presentation.xml.rels", rel)
-        z.writestr("ppt/slides/slide1.xml", f"<p:sld {ns}><p:cSld><p:spTree>{text(2, title, 5)}{group}{table}{pic}</p:spTree></p:cSld></p:sld>")
+        z.writestr("ppt/slides/slide1.xml", f"<p:sld {ns}><p:cSld><p:spTree>{text(2, title, 5)}{group}{table}{pic}{more}</p:spTree></p:cSld></p:sld>")
+        if picture:
+            z.writestr("ppt/media/image1.PNG", picture)
+            z.writestr("ppt/slides/_rels/slide1.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r7" Type="http://x/image" Target="../media/image1.PNG"/><Relationship Id="r8" Type="http://x/hyperlink" Target="http://there" TargetMode="External"/></Relationships>')
         if external:
             z.writestr("ppt/slides/_rels/slide1.xml.rels", rel.replace("r1", "r2").replace('/slide"', '/image"').replace('Target="slides/slide1.xml"', 'Target="http://far" TargetMode="External"'))
     return out.getvalue()
@@ -288,6 +371,33 @@ def test_deck_source(spark, tmp_path):
     assert ooxml.deck_elements(found, images=True).where("kind = 'image'").count() == 1
 
 
+def test_deck_parts_that_break(spark, tmp_path):
+    """A broken shape, slide or deck is a row; the others are read. Strict reading stops."""
+    far = '<p:graphicFrame><p:nvGraphicFramePr><p:cNvPr id="8" name="bad"/></p:nvGraphicFramePr><a:graphic><a:graphicData uri="x/table"><a:tbl><a:tblGrid/><a:tr><a:tc/><a:tc/></a:tr></a:tbl></a:graphicData></a:graphic></p:graphicFrame>'
+    rows = list(ooxml.deck(deck_bytes(more=far)))
+    assert [r["kind"] for r in rows] == ["text", "group", "text", "table", "error"] and rows[-1]["element_id"] == "s0001-p5-id8" and "IndexError" in rows[-1]["error"]
+    with pytest.raises(ooxml.DeckError):
+        list(ooxml.deck(deck_bytes(more=far), strict=True))
+    assert [r["element_id"] for r in ooxml.deck(b"none")] == ["deck"] and list(ooxml.media(b"none")) == []
+    (tmp_path / "a.pptx").write_bytes(deck_bytes(more=far))
+    (tmp_path / "b.pptx").write_bytes(b"PK none")
+    (tmp_path / "~$a.pptx").write_bytes(b"lock")
+    got = ooxml.decks(spark, str(tmp_path))
+    assert sorted(r.element_id for r in got.where("kind = 'error'").collect()) == ["deck", "s0001-p5-id8"] and got.count() == 6
+
+
+def test_deck_runs_cells_and_media():
+    words = '<p:sp><p:nvSpPr><p:cNvPr id="9" name="w"/></p:nvSpPr><p:txBody><a:p><a:pPr lvl="1" algn="ctr"><a:buChar char="*"/></a:pPr><a:r><a:rPr sz="1800" b="1" i="0" u="none"><a:latin typeface="Serif"/><a:hlinkClick r:id="r8"/></a:rPr><a:t>one</a:t></a:r><a:br/><a:r><a:t>two</a:t></a:r></a:p><a:p/></p:txBody></p:sp>'
+    grid = '<p:graphicFrame><p:nvGraphicFramePr><p:cNvPr id="10" name="g"/></p:nvGraphicFramePr><p:xfrm><a:off x="100" y="200"/><a:ext cx="600" cy="80"/></p:xfrm><a:graphic><a:graphicData uri="x/table"><a:tbl><a:tblGrid><a:gridCol w="10"/><a:gridCol w="20"/></a:tblGrid><a:tr h="30"><a:tc/><a:tc rowSpan="2"/></a:tr><a:tr h="10"><a:tc/><a:tc vMerge="1"/></a:tr></a:tbl></a:graphicData></a:graphic></p:graphicFrame>'
+    by = {r["name"]: r for r in ooxml.deck(deck_bytes(picture=PNG, more=words + grid), images=True)}
+    first, second = json.loads(by["w"]["paragraphs_json"])
+    assert first == {"text": "one\ntwo", "level": 1, "alignment": "ctr", "bullet": {"kind": "character", "value": "*"}, "runs": [{"text": "one", "font_name": "Serif", "font_size_pt": 18.0, "bold": True, "italic": False, "underline": False, "hyperlink": "http://there"}, {"text": "two"}]}
+    assert second == {"text": "", "level": 0, "runs": []}
+    assert [c["bbox"] for c in json.loads(by["g"]["table_json"])["cells"]] == [[100, 200, 200, 60], [300, 200, 400, 80], [100, 260, 200, 20]]
+    assert by["pic"]["media_part"] == "ppt/media/image1.PNG" and by["pic"]["media_sha256"] == hashlib.sha256(PNG).hexdigest() and by["pic"]["crop"] == [0.5, 0, 0, 0]
+    assert list(ooxml.media(deck_bytes(picture=PNG))) == [("ppt/media/image1.PNG", hashlib.sha256(PNG).hexdigest(), PNG)]
+
+
 def test_archive_checks(spark, tmp_path):
     (tmp_path / "ok.pptx").write_bytes(deck_bytes())
     (tmp_path / "far.pptx").write_bytes(deck_bytes(external=True))

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from evispark import cli, config
 from evispark.functions import columns as C
-from evispark.operators import artifacts, geometry, links, readers
-from evispark.plans import collection, integration, models, publish
+from evispark.operators import artifacts, checks, geometry, links, readers
+from evispark.plans import collection, integration, models, pictures, publish, runs, stages
 from evispark.sources import files
-from test_operators import deck_bytes
+from test_operators import PNG, deck_bytes
 
 
 def test_config(tmp_path, monkeypatch):
@@ -116,7 +116,7 @@ def test_decks_to_integrated_site(spark, tmp_path):
         def discovered(prompt):
             foil, lot = cited(prompt, "copper foil"), cited(prompt, "lot ab-1")
             entities = [{"name": "Copper  foil", "type": "material", "citations": foil}] * bool(foil) + [{"name": "Lot AB-1", "type": "lot", "citations": lot}] * bool(lot) + [{"name": "Ghost", "citations": foil}]
-            edges = [{"predicate": "uses_material", "subject": "Lot AB-1", "object": "copper foil", "assertion": "Lot AB-1 uses copper foil", "citations": lot}, {"predicate": "likes", "subject": "Lot AB-1", "object": "copper foil", "assertion": "no", "citations": lot}]
+            edges = [{"predicate": "uses_material", "subject": "Lot AB-1", "object": "copper foil", "assertion": "Lot AB-1 uses copper foil", "citations": lot}, {"predicate": "has_lot", "subject": "PR-77", "object": "Lot AB-1", "assertion": "PR-77 has Lot AB-1", "citations": lot}, {"predicate": "has_lot", "subject": "PR-78", "object": "Lot AB-1", "assertion": "PR-78 has Lot AB-1", "citations": lot}, {"predicate": "likes", "subject": "Lot AB-1", "object": "copper foil", "assertion": "no", "citations": lot}]
             return json.dumps({"entities": entities, "relationships": edges, "topics": [{"title": "Index", "description": "d", "citations": foil + ["[@ghost/slide-1#a]"]}]})
 
         def page(prompt):
@@ -127,9 +127,10 @@ def test_decks_to_integrated_site(spark, tmp_path):
     out = tmp_path / "out"
     assert cli.main(["batch", str(folder), str(out)], backend) == 0
     at = lambda name: spark.read.parquet(str(out / "tables/integrated" / f"{name}.parquet"))
+    assert [r.status for r in runs.states(spark, str(out / "tables")).orderBy("at").collect()] == ["running", "success"]
     assert sorted((r.name, r.type) for r in at("entities").collect()) == [("Copper foil", "material"), ("Lot AB-1", "lot")]
-    edge = at("relationships").collect()
-    assert [r.predicate for r in edge] == ["uses_material"] and edge[0].requests == ["PR-77"]
+    edge = at("relationships").orderBy("predicate").collect()
+    assert [(r.predicate, r.subject.split(":")[0], r.requests) for r in edge] == [("has_lot", "pr", ["PR-77"]), ("uses_material", "entity", ["PR-77"])]
     pages = {p.relative_to(out / "site").as_posix(): p.read_text() for p in (out / "site").rglob("*.md")}
     assert {p.split("/")[0] for p in pages} == {"evidence", "sources", "entities", "topics", "requests", "index.md"}
     assert set(p for p in pages if p.startswith("topics/")) == {"topics/index-2.md", "topics/c.md"}
@@ -138,7 +139,9 @@ def test_decks_to_integrated_site(spark, tmp_path):
     lot = next(body for p, body in pages.items() if p.startswith("entities/lot-ab-1"))
     assert "→ uses_material [[entities/copper-foil-" in lot
     request = next(body for p, body in pages.items() if p.startswith("requests/") and "PR-77" in body)
-    assert "## Topics" in request and "## Entities" in request and "## Sources" in request
+    assert all(f"## {part}" in request for part in ("Topics", "Entities", "Sources", "Relationships")) and "→ has_lot [[entities/lot-ab-1" in request
+    assert 'pr_numbers: ["PR-77"]' in request and 'pr_numbers: ["PR-77"]' in lot and 'pr_numbers: ["PR-77","PR-78"]' in topic
+    assert all(p.split("---\n")[1].count("\n") == 7 and "draft: false\n" in p for path, p in pages.items() if not path.startswith("evidence/"))
     modes = {r.slug: r.generation for r in at("topics").collect()}
     assert modes == {"index-2": "model", "c": "model"}
     assert links.tree_violations(spark.createDataFrame(list(pages.items()), "path string, body string")).count() == 0
@@ -148,6 +151,191 @@ def test_decks_to_integrated_site(spark, tmp_path):
         cli.main(["republish", str(out), str(tmp_path / "again")])
 
 
+def eyes(folder):
+    """A reader of pictures that keeps a file for each question, and is down while a file says so."""
+
+    class Reader:
+        def read(self, image, task, context):
+            import hashlib
+            import os
+            import uuid
+
+            open(f"{folder}/{hashlib.sha256(image).hexdigest()}-{uuid.uuid4().hex}", "w").close()
+            if os.path.exists(f"{folder}/down"):
+                raise OSError("down")
+            return {"blocks": [{"kind": "Text", "text": "Seen PR-5", "bbox": [100, 0, 150, 50], "confidence": 0.5}, {"kind": "table", "html": "<table><tr><td>7</td></tr></table>"}]}
+
+    return Reader
+
+
+def test_pictures_to_blocks_of_a_site(spark, tmp_path):
+    """Pictures of three decks, two of them equal: each is read once, a failed run asks again for what has no answer alone; what
+    is read is in the site with its place, and evidence pages link the pictures' files."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "asked").mkdir()
+    other = PNG + b"2"
+    for name, picture in (("a", PNG), ("b", PNG), ("c", other)):
+        (tmp_path / "in" / f"{name}.pptx").write_bytes(deck_bytes(title=f"Deck {name}", picture=picture))
+    reader = eyes(str(tmp_path / "asked"))
+    (tmp_path / "asked" / "down").touch()
+    reading = collection.Reading(True, reader=reader, store=str(tmp_path / "answers"))
+    first = collection.collect(spark, str(tmp_path / "in"), reading=reading)
+    assert sorted(r.check_code for r in first.warnings.collect()) == ["picture-unread"] * 2 and first.violations.count() == 0
+    assert first.blocks.where("kind like 'ocr%'").count() == 0 and len(list((tmp_path / "asked").iterdir())) == 3
+    (tmp_path / "asked" / "down").unlink()
+    out = tmp_path / "out"
+    (out / "tables").mkdir(parents=True)
+    (tmp_path / "answers").rename(out / "tables" / "answers")
+    assert cli.main(["batch", str(tmp_path / "in"), str(out)], reader=reader) == 0
+    asked = [p.name[:64] for p in (tmp_path / "asked").iterdir()]
+    assert sorted(asked) == sorted([sha256(PNG).hexdigest(), sha256(other).hexdigest()] * 2)
+    blocks = spark.read.parquet(str(out / "tables/parsed/provenance.parquet")).collect()
+    seen = [r for r in blocks if r.kind == "ocr_text"]
+    assert len(seen) == 3 and {r.content for r in seen} == {"Seen PR-5"} and all(r.element_id.endswith("-ocr001") for r in seen)
+    assert {r.content for r in blocks if r.kind == "ocr_table"} == {"<table><tr><td>7</td></tr></table>"}
+    pages = {p.relative_to(out / "site").as_posix(): p for p in (out / "site").rglob("*") if p.is_file() and not p.name.endswith(".crc")}
+    assets = {p: f.read_bytes() for p, f in pages.items() if p.startswith("assets/")}
+    assert sorted(assets.values()) == sorted([PNG, PNG, other]) and all(p.endswith(f"{sha256(b).hexdigest()}.png") for p, b in assets.items())
+    evidence = [f.read_text() for p, f in pages.items() if p.startswith("evidence/")]
+    assert all("[pic](../assets/" in e and "![" not in e and "Seen PR-5" in e for e in evidence) and len(evidence) == 3
+    again = len(list((tmp_path / "asked").iterdir()))
+    second = collection.collect(spark, str(tmp_path / "in"), reading=collection.Reading(True, reader=reader, store=str(out / "tables" / "answers")))
+    assert second.blocks.where("kind = 'ocr_text'").count() == 3 and len(list((tmp_path / "asked").iterdir())) == again
+
+
+def test_places_of_what_was_read(spark):
+    """Boxes in pixels of the whole picture, of which the crop shows the right half, on the shape's place."""
+    elements = spark.createDataFrame([("s", "e", 1, "pic", False, 1000, 2000, 5000, 4000, 3, [0.5, 0.0, 0.0, 0.0], "image", "d")], "source_id string, element_id string, slide_number int, name string, hidden boolean, x long, y long, width long, height long, z_index int, crop array<double>, kind string, media_sha256 string")
+    asked = pictures.targets(elements)
+    payload = '{"blocks": [{"kind": "text", "text": "a", "bbox": [100, 0, 150, 50]}, {"kind": "A b", "text": "c", "bbox": [0, 0, 10, 10]}, {"kind": "text", "text": "d"}]}'
+    answers = spark.createDataFrame([("d", "document", payload, 200, 100, None, None, 1)], pictures.ANSWERS)
+    got = {r.element_id: (r.kind, r.x, r.y, r.width, r.height, r.z_index, r.parent_id) for r in pictures.children(elements, asked, answers).collect()}
+    assert got == {"e-ocr001": ("ocr_text", 1000, 2000, 2500, 2000, 4, "e"), "e-ocr002": ("ocr_a_b", 1000, 2000, 5000, 4000, 5, "e"), "e-ocr003": ("ocr_text", 1000, 2000, 5000, 4000, 6, "e")}
+    assert pictures.targets(elements, "never").count() == 0
+
+
+def test_image_reader():
+    sent, waits = [], []
+
+    def transport(url, body, timeout, key):
+        sent.append((url, body))
+        if len(sent) == 1:
+            raise OSError("down")
+        return {"choices": [{"message": {"content": "no JSON" if len(sent) == 2 else 'Here: {"text": "x"}'}}]}
+
+    reader = readers.ImageReader("http://localhost:1", "m", transport=transport, sleep=waits.append)
+    assert reader.read(PNG, "table", "ctx") == {"text": "x"} and waits == [0.5, 1.0] and sent[0][0].endswith("/v1/chat/completions")
+    parts = sent[0][1]["messages"][0]["content"]
+    assert parts[1]["image_url"]["url"].startswith("data:image/png;base64,") and "ctx" in parts[0]["text"] and "HTML" in parts[0]["text"]
+
+    class Refused(OSError):
+        code = 401
+
+    def refuse(*_):
+        raise Refused
+
+    with pytest.raises(models.ReaderError) as e:
+        readers.ImageReader("http://localhost:1", "m", transport=refuse).read(b"", "text", "")
+    assert e.value.kind == "execution"
+    settings = config.parsed({"version": 2, "ocr": {"backend": "openai-vlm"}, "vlm_api": {"base_url": "http://localhost:1", "model": "m"}})
+    assert pictures.reader_of(settings)().model == "m" and pictures.reader_of(config.parsed({"version": 2})) is None
+    assert pictures.reader_of(config.parsed({"ocr": {"backend": "command", "argv": ["cat", "{image}"]}}))().argv == ("cat", "{image}")
+    for bad in ({"backend": "other"}, {"backend": "command"}, {"backend": "openai_vlm"}):
+        with pytest.raises(config.ConfigError):
+            pictures.reader_of(config.parsed({"ocr": bad}))
+
+
+def test_image_sizes():
+    from evispark.functions.images import image_size, image_type
+
+    jpeg = b"\xff\xd8\xff\xe0\x00\x04xx\xff\xc0\x00\x0b\x08" + (30).to_bytes(2, "big") + (40).to_bytes(2, "big") + b"\x01"
+    assert image_size(PNG) == [200, 100] and image_size(jpeg) == [40, 30] and image_size(b"GIF89a" + b"\x05\x00\x06\x00") == [5, 6]
+    assert image_size(b"BM" + bytes(16) + (7).to_bytes(4, "little") + (-8).to_bytes(4, "little", signed=True)) == [7, 8]
+    assert [image_size(x) for x in (None, b"", b"\xff\xd8\xff", PNG[:18], b"text")] == [None] * 5
+    assert image_type(b"RIFF0000WEBP") == "image/webp" and image_type(b"") == "application/octet-stream"
+
+
+def test_batch_that_dies_goes_on(spark, tmp_path, monkeypatch):
+    """A batch is killed between its stages: the lock goes, the record says where, the next run begins with the first stage that
+    isn't complete. Changed bytes stop a republish."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.pptx").write_bytes(deck_bytes(title="PR-1 is here"))
+    out = tmp_path / "out"
+    args = ["batch", str(tmp_path / "in"), str(out)]
+    real = integration.integrate
+
+    def die(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(integration, "integrate", die)
+    backend = lambda: readers.ScriptedBackend([])
+    with pytest.raises(KeyboardInterrupt):
+        cli.main(args, backend)
+    last = runs.states(spark, str(out / "tables")).orderBy(F.desc("at")).first()
+    assert (last.status, last.stage, last.error) == ("failed", "integrated", "KeyboardInterrupt") and not (out / "tables/run.lock").exists()
+    monkeypatch.setattr(integration, "integrate", real)
+    monkeypatch.setattr(collection, "collect", die)  # the first stage is complete and isn't run again
+    assert cli.main(args, backend) == 0
+    assert [r.status for r in runs.states(spark, str(out / "tables")).orderBy("at").collect()] == ["running", "failed", "running", "success"]
+    assert cli.main(["republish", str(out), str(tmp_path / "again")]) == 0
+    own = lambda d: {p.relative_to(d).as_posix(): p.read_bytes() for p in d.rglob("*.md")}
+    assert own(tmp_path / "again") == own(out / "site")
+    one = next((out / "tables/integrated/topics.parquet").glob("part-*"))
+    data = bytearray(one.read_bytes())
+    data[len(data) // 2] ^= 1
+    one.write_bytes(data)
+    for crc in one.parent.glob(".*.crc"):
+        crc.unlink()
+    with pytest.raises(checks.CheckError):
+        cli.main(["republish", str(out), str(tmp_path / "third")])
+    assert not (tmp_path / "third").exists()
+
+
+def test_commit_and_load(spark, tmp_path):
+    rows, none = spark.range(10).repartition(3), spark.range(0)
+    for kind in ("parquet", "json"):
+        target = str(tmp_path / kind)
+        runs.commit({"rows": rows, "none": none}, target, kind)
+        assert runs.violations(spark, target, kind).count() == 0 and [p.name for p in tmp_path.iterdir() if "incomplete" in p.name] == []
+        with pytest.raises(FileExistsError):
+            runs.commit({"rows": rows}, target, kind)
+        folder = tmp_path / kind / f"rows.{kind}"
+        listed = sorted(folder.glob("part-*"))
+        listed[0].rename(folder / "part-new")
+        for crc in folder.glob(".*.crc"):
+            crc.unlink()
+        assert {r.check_code for r in runs.violations(spark, target, kind).collect()} >= {"file-missing", "file-unknown"}
+    assert {r.check_code for r in runs.violations(spark, str(tmp_path)).collect()} == {"no-manifest"}
+
+
+def test_reconciled_manifest(spark):
+    told = spark.createDataFrame([("t", "a", 1, "x", 5), ("t", "b", 1, "x", 5), ("t", "c", 1, "x", 5), ("t", "d", 1, "x", 5), ("t", "d", 1, "x", 5)], runs.MANIFEST)
+    found = spark.createDataFrame([("t", "a", 1, "x"), ("t", "b", 1, "y"), ("t", "d", 1, "x"), ("t", "e", 1, "x")], "name string, file string, bytes long, sha256 string")
+    rows = spark.createDataFrame([("t", "a", 4), ("t", "b", 5), ("t", "d", 5)], "name string, file string, rows long")
+    assert sorted((r.check_code, r.key) for r in runs.reconciled(told, found, rows).collect()) == [("file-changed", "t/b"), ("file-missing", "t/c"), ("file-unknown", "t/e"), ("listed-twice", "t/d"), ("row-count", "t/a")]
+
+
+def test_run_lock(spark, tmp_path):
+    folder = str(tmp_path / "run")
+    with runs.Run(spark, folder) as run:
+        with pytest.raises(runs.RunLocked):
+            runs.Run(spark, folder).__enter__()
+        assert run.stage("one", lambda: {"t": spark.range(3)})["t"].count() == 3
+        assert run.stage("one", lambda: 1 / 0)["t"].count() == 3
+    import json
+    import socket
+    import subprocess
+
+    gone = subprocess.Popen(["true"])
+    gone.wait()
+    (tmp_path / "run" / "run.lock").write_text(json.dumps({"host": socket.gethostname(), "pid": gone.pid}))
+    with runs.Run(spark, folder):  # whoever held it is gone
+        pass
+    (tmp_path / "run" / "run.lock").write_text(json.dumps({"host": "elsewhere", "pid": gone.pid}))
+    with pytest.raises(runs.RunLocked):
+        runs.Run(spark, folder).__enter__()
+
+
 def test_evidence_is_packed_whole(spark):
     rows = spark.createDataFrame([("s", n, f"[@s/slide-1#e{n}]", "head", "x" * size) for n, size in enumerate((10, 900, 5, 40))] + [("t", 1, "[@t/slide-1#a]", None, None)], "source_id string, place long, citation string, title string, content string")
     got = {(r.source_id, r.part): r for r in integration.evidence_parts(rows, "source_id", 500).collect()}
