@@ -89,8 +89,9 @@ def collect(spark: SparkSession, path: str, selected: DataFrame | None = None, c
     """Everything but the site. Without a selection all of a source's blocks are selected."""
     occurrences, sources, elements, media = read(spark, path, reading)
     elements = cut(elements)
+    checks.fail_closed(files.changed(spark, path, occurrences))
     broken_parts = checks.rows(elements.where("error is not null"), "unread-shape", F.concat_ws("/", "source_id", "element_id"), F.col("error"))
-    whole, failed = with_pictures(elements, media, reading) if reading.images and reading.reader else (elements, broken_parts.limit(0))
+    whole, failed = with_pictures(elements, media, reading) if reading.images and reading.reader and blocks.any_visual(elements) else (elements, broken_parts.limit(0))
     b = cut(to_blocks(whole))
     chosen = b.select("source_id", "citation").limit(0) if selected is None else selected
     decided = stages.organise(b, chosen, complete)

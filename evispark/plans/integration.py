@@ -99,8 +99,9 @@ def candidates(parts: DataFrame, passes: list[DataFrame], backend: Callable, opt
     return topics.all_candidates(*lists).withColumn("ord", F.struct("pass_no", "ord"))
 
 
-def edges(passes: list[DataFrame], parts: DataFrame, entities: DataFrame, facts: DataFrame, options: stages.Options) -> DataFrame:
-    """Relationships of all passes between entities and requests, the first most_relationships by id."""
+def edges(passes: list[DataFrame], parts: DataFrame, entities: DataFrame, facts: DataFrame, options: stages.Options) -> tuple[DataFrame, DataFrame]:
+    """Relationships of all passes between entities and requests, the first most_relationships by id, and a warning for each of
+    the others."""
     said = None
     for n, found in enumerate(passes):
         own = found.join(parts.select("chunk_id", "source_id"), "chunk_id").select("chunk_id", "source_id", F.posexplode("relationships").alias("at", "r"))
@@ -112,7 +113,17 @@ def edges(passes: list[DataFrame], parts: DataFrame, entities: DataFrame, facts:
     evidence = facts.select("source_id", F.col("qualified_citation").alias("citation"), "numbers", "identifiers").join(requests, ["source_id", "citation"], "left").withColumn("requests", F.coalesce("requests", none))
     each = entities.select(F.col("id").alias("entity_id"), "type", F.array("key").alias("keys"), F.explode("citations").alias("citation")).withColumn("source_id", C.citation_parts(F.col("citation"))["source"])
     by_source = each.groupBy("entity_id", "type", "keys", "source_id").agg(F.collect_set("citation").alias("citations"))
-    return graph.resolve_edges(said, by_source, evidence).orderBy("id").limit(options.most_relationships)
+    found = cut(graph.resolve_edges(said, by_source, evidence))
+    return stages.within(found, ["id"], options.most_relationships, "relationship-over-limit", F.col("assertion"))
+
+
+def grounded_topics(found: DataFrame, facts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Topics (ord, title, source_id, citation) whose title claims no number that their evidence lacks, and a warning for each of
+    the others, whose evidence goes to its source's own topic if no other topic has it."""
+    listed = found.groupBy("ord", "title", "source_id").agg(F.collect_set("citation").alias("citations")).withColumn("topic_id", F.concat_ws("#", "ord", "source_id"))
+    evidence = facts.select("source_id", F.col("qualified_citation").alias("citation"), "numbers")
+    good = cut(topics.grounded_titles(listed, evidence).select("ord", "source_id"))
+    return found.join(good, ["ord", "source_id"], "left_semi"), checks.rows(listed.join(good, ["ord", "source_id"], "left_anti"), "title-ungrounded", F.col("topic_id"), F.col("title"), "warning")
 
 
 def topic_members(found: DataFrame, facts: DataFrame, names: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
@@ -177,14 +188,16 @@ def integrate(c: collection.Collection, backend: Callable, options: stages.Optio
     parts = with_dossiers(evidence_parts(rows, "source_id", max(1_000, budget * 2 // 3)), written, budget)
     parts = cut(parts.withColumn("chunk_id", F.concat_ws("#", "source_id", F.lpad(F.col("part").cast("string"), 9, "0"))))
     passes = [cut(stages.discover(parts, backend, options, task=task)) for task in (stages.DISCOVER_TASK, stages.DOMAIN_TASK)]
-    entities = cut(stages.integrate(candidates(parts, passes, backend, options), options))
-    related = cut(edges(passes, parts, entities, facts, options))
+    entities, cut_entities = stages.integrate(candidates(parts, passes, backend, options), options)
+    related, cut_edges = edges(passes, parts, entities, facts, options)
     titled = passes[0].join(parts.select("chunk_id", F.col("citations").alias("allowed")), "chunk_id").select("chunk_id", F.posexplode("topics").alias("at", "t"), "allowed")
     titled = titled.select(F.format_string("%s-%06d", "chunk_id", "at").alias("ord"), F.col("t.title").alias("title"), F.explode(F.array_intersect("t.citations", "allowed")).alias("citation")).withColumn("source_id", C.citation_parts(F.col("citation"))["source"])
+    titled, bare_titles = grounded_topics(cut(titled), facts)
     names = c.sources.select("source_id", C.file_stem(F.element_at("paths", 1)).alias("title")).join(facts.select("source_id").distinct(), "source_id", "left_semi")
     named, members = topic_members(titled, facts, names, options.most_topics)
     bodies = topic_bodies(named, members, kept, facts, backend, options)
-    return Integrated(facts, entities, related, named.join(bodies, "topic_id"), members, written, warnings)
+    cuts = cut_entities.unionByName(cut_edges).unionByName(bare_titles)
+    return Integrated(facts, entities, related, named.join(bodies, "topic_id"), members, written, cut(warnings.unionByName(cuts)))
 
 
 def with_lists(rows: DataFrame, key: str, cited: DataFrame, carried: DataFrame) -> DataFrame:

@@ -60,28 +60,54 @@ def integrated_check() -> Column:
 def pages(parts: DataFrame, backend: Callable, limit: int, repairs: int = 2, check: Callable[[], Column] = local_check) -> DataFrame:
     """(topic_id, body, generation) from parts (topic_id, part, title, evidence, citations, verbatim, facts if checked).
 
-    Every part is written and checked, and asked for again with its errors; what never passes is its evidence word for
-    word. A topic's parts are joined by the model where they fit the limit and the result passes, else put one after
-    another. A topic's parts form one group: they are as many as its evidence has chunks.
+    Every part is written and checked, and asked for again with its errors; what never passes is its evidence word for word.
+    Then parts are reduced level by level: a topic whose parts fit the limit together is joined by the model in one piece; of
+    others, neighbours that fit are joined two by two, which halves their number, until the topic fits or nothing more can be
+    joined. Every joined text is checked like a part; one that fails stays as its parts, one after another.
     """
     keyed = cut(parts.withColumn("id", F.concat_ws("#", "topic_id", F.col("part").cast("string"))))  # every round reads it
     prompts = keyed.select("id", F.concat(F.lit(PAGE_TASK + "\nTopic: "), "title", F.lit("\n\n"), "evidence").alias("prompt"))
-    has_facts = "facts" in parts.columns
-    carried = ["citations", "evidence", *["facts"] * has_facts]
-    facts = keyed.select("id", *carried)
-
-    def errors(answers: DataFrame) -> DataFrame:
-        return answers.join(facts, "id").select("id", F.explode(check()).alias("error"))
-
-    good, _ = readers.repaired(prompts, backend, errors, repairs, "id")
-    written = keyed.join(good, "id", "left").select("topic_id", "part", F.when(F.col("answer").isNull(), F.col("verbatim")).otherwise(call("without_top_heading", "answer")).alias("body"), F.col("answer").isNull().alias("fell_back"), *carried)
-    grouped = written.groupBy("topic_id").agg(F.sort_array(F.collect_list(F.struct("part", "body"))).alias("p"), F.max("fell_back").alias("fell_back"), F.array_distinct(F.flatten(F.collect_list("citations"))).alias("citations"), F.array_join(F.collect_list("evidence"), "\n").alias("evidence"), *[F.array_distinct(F.flatten(F.collect_list("facts"))).alias("facts")] * has_facts)
-    whole = grouped.select("topic_id", F.array_join(F.col("p.body"), "\n\n").alias("body"), F.size("p").alias("n"), "fell_back", *carried)
-    fits = whole.where((F.col("n") > 1) & ~F.col("fell_back") & (F.length("body") <= limit))
-    merge = fits.select(F.col("topic_id").alias("id"), F.concat(F.lit(MERGE_TASK + "\n\n"), "body").alias("prompt"))
-    merged, _ = readers.repaired(merge, backend, lambda a: a.join(fits.select(F.col("topic_id").alias("id"), *carried), "id").select("id", F.explode(check()).alias("error")), 0, "id")
-    out = whole.join(merged.select(F.col("id").alias("topic_id"), "answer"), "topic_id", "left")
-    return out.select("topic_id", F.coalesce("answer", "body").alias("body"), F.when(F.col("fell_back"), "verbatim_fallback").otherwise("model").alias("generation"))
+    carried = ["citations", "evidence", *["facts"] * ("facts" in parts.columns)]
+    good, _ = readers.repaired(prompts, backend, _errors(keyed, "id", carried, check), repairs, "id")
+    none = F.col("answer").isNull()
+    rows = cut(keyed.join(good, "id", "left").select("topic_id", F.col("part").cast("long").alias("part"), F.when(none, F.col("verbatim")).otherwise(call("without_top_heading", "answer")).alias("body"), none.alias("fell_back"), *carried))
+    out = None
+    while True:
+        whole = cut(_put_together(rows, ["topic_id"], carried))
+        fits = (F.col("n") > 1) & ~F.col("fell_back") & (F.length("body") <= limit)
+        ready = _merged(whole.where((F.col("n") == 1) | F.col("fell_back") | fits), fits, ["topic_id"], backend, carried, check)
+        out = ready if out is None else out.union(ready)
+        large = whole.where((F.col("n") > 1) & ~F.col("fell_back") & (F.length("body") > limit)).select("topic_id")
+        if large.isEmpty():
+            break
+        paired = rows.join(large, "topic_id", "left_semi").withColumn("at", F.col("part")).withColumn("part", F.expr("(part + 1) div 2"))
+        pairs = _put_together(paired, ["topic_id", "part"], carried)
+        joined = cut(_merged(cut(pairs), (F.col("n") > 1) & (F.length("body") <= limit), ["topic_id", "part"], backend, carried, check))
+        moving = joined.where("changed").select("topic_id").distinct()
+        stuck = _put_together(joined.join(moving, "topic_id", "left_anti"), ["topic_id"], carried).withColumn("changed", F.lit(False))
+        out = out.union(stuck.select(out.columns))
+        rows = joined.join(moving, "topic_id", "left_semi").select(rows.columns)
+    return out.select("topic_id", "body", F.when(F.col("fell_back"), "verbatim_fallback").otherwise("model").alias("generation"))
+
+
+def _errors(known: DataFrame, key: str, carried: list[str], check: Callable[[], Column]) -> Callable[[DataFrame], DataFrame]:
+    facts = known.select(key, *carried)
+    return lambda answers: answers.join(facts, key).select(key, F.explode(check()).alias("error"))
+
+
+def _put_together(rows: DataFrame, key: list[str], carried: list[str]) -> DataFrame:
+    """Parts of a key one after another, with all that they rest on: as many rows as a topic's evidence has chunks at most."""
+    in_order = lambda c: F.transform(F.sort_array(F.collect_list(F.struct("at", c))), lambda x: x[c])
+    lists = {"citations": F.array_distinct(F.flatten(F.collect_list("citations"))), "evidence": F.array_join(in_order("evidence"), "\n"), "facts": F.array_distinct(F.flatten(F.collect_list("facts"))) if "facts" in carried else None}
+    return rows.withColumn("at", F.col("at") if "at" in rows.columns else F.col("part")).groupBy(*key).agg(F.array_join(in_order("body"), "\n\n").alias("body"), F.max("fell_back").alias("fell_back"), *(lists[c].alias(c) for c in carried), F.count("*").alias("n"))
+
+
+def _merged(whole: DataFrame, fits: Column, key: list[str], backend: Callable, carried: list[str], check: Callable[[], Column]) -> DataFrame:
+    """Rows with the model's joined text where they fit and it passes, and whether that is so (changed)."""
+    keyed = whole.withColumn("id", F.concat_ws("#", *(F.col(c).cast("string") for c in key)))
+    asked = cut(keyed.where(fits))
+    merged, _ = readers.repaired(asked.select("id", F.concat(F.lit(MERGE_TASK + "\n\n"), "body").alias("prompt")), backend, _errors(asked, "id", carried, check), 0, "id")
+    return keyed.join(merged, "id", "left").select(*key, F.coalesce("answer", "body").alias("body"), "fell_back", *carried, F.col("answer").isNotNull().alias("changed"))
 
 
 def request_json(backend: readers.ChatBackend, prompt: str, repairs: int = 2) -> str | None:

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from evispark.operators import checks
 
-MANIFEST = "name string, file string, bytes long, sha256 string, rows long"
+MANIFEST = "version int, name string, file string, bytes long, sha256 string, rows long"
+VERSION = 1
 #: Rows of a file at most, so that a file's digest is taken in bounded memory.
 FILE_ROWS = 100_000
 
@@ -49,7 +50,7 @@ def commit(tables: dict[str, DataFrame], target: str, kind: str = "parquet") ->
     for name, df in tables.items():
         df.write.option("maxRecordsPerFile", FILE_ROWS).format(kind).save(f"{stage}/{name}.{kind}")
     written = files(spark, stage).join(counted(spark, stage, list(tables), kind), ["name", "file"], "left")
-    written.withColumn("rows", F.coalesce("rows", F.lit(0))).select("name", "file", "bytes", "sha256", "rows").write.json(f"{stage}/manifest")
+    written.withColumn("rows", F.coalesce("rows", F.lit(0))).select(F.lit(VERSION).alias("version"), "name", "file", "bytes", "sha256", "rows").write.json(f"{stage}/manifest")
     fs.mkdirs(to.getParent())
     if not fs.rename(place(spark, stage)[1], to):
         raise OSError(f"cannot rename to {target}")
@@ -98,7 +99,8 @@ def violations(spark: SparkSession, target: str, kind: str = "parquet") -> DataF
     found = files(spark, target)
     names = sorted({r.name for r in manifest.select("name").distinct().collect()} & {r.name for r in found.select("name").distinct().collect()})  # tables, not files
     rows = counted(spark, target, names, kind) if names else found.select("name", "file", F.lit(0).cast("long").alias("rows")).limit(0)
-    return reconciled(manifest, found, rows)
+    other = checks.rows(manifest.where(~F.coalesce(F.col("version") == VERSION, F.lit(False))), "unknown-version", F.concat_ws("/", "name", "file"), F.col("version"))
+    return reconciled(manifest, found, rows).unionByName(other)
 
 
 def loaded(spark: SparkSession, target: str, kind: str = "parquet") -> dict[str, DataFrame]:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from evispark.functions.udfs import call
 from evispark.operators import checks, decisions, graph, readers, topics
+from evispark.session import cut
 
 
 @dataclass(frozen=True)
@@ -89,11 +90,18 @@ def entity_only_retry(found: DataFrame) -> bool:
     return found.where(F.size("entities") > 0).isEmpty()
 
 
-def integrate(candidates: DataFrame, options: Options) -> DataFrame:
-    """Entities with ids, sorted by type and name, the first most_entities of them."""
+def integrate(candidates: DataFrame, options: Options) -> tuple[DataFrame, DataFrame]:
+    """(entities, warnings): entities with ids, sorted by type and name, the first most_entities of them; a warning for each one
+    that fell to the limit."""
     merged = graph.merge_entities(candidates, call("search_form", "name"))
-    named = merged.withColumn("id", graph.entity_id(F.col("type"), F.col("key"), call("page_slug", "name")))
-    return named.orderBy("type", "key").limit(options.most_entities)
+    named = cut(merged.withColumn("id", graph.entity_id(F.col("type"), F.col("key"), call("page_slug", "name"))))
+    return within(named, ["type", "key"], options.most_entities, "entity-over-limit", F.col("name"))
+
+
+def within(rows: DataFrame, order: list[str], most: int, code: str, detail) -> tuple[DataFrame, DataFrame]:
+    """The first `most` rows by order (their ids are distinct), and a warning for each of the others."""
+    kept = cut(rows.orderBy(*order).limit(most))
+    return kept, checks.rows(rows.join(kept.select("id"), "id", "left_anti"), code, F.col("id"), detail, "warning")
 
 
 def fallback_pages(topics_left: DataFrame, blocks: DataFrame) -> DataFrame:

@@ -47,6 +47,15 @@ def discover(spark: SparkSession, path: str, pattern: str = "*.pptx", recursive:
     return named.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("sha256"), "content")
 
 
+def changed(spark: SparkSession, path: str, found: DataFrame, pattern: str = "*.pptx") -> DataFrame:
+    """Violations where inputs (path, size, modified) are no longer what they were when they were found: changed while they were
+    read, gone, or new. Contents aren't read again."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
+    now = files.where(~F.element_at(F.split("path", "/"), -1).startswith("~$")).select("path", F.struct(F.col("length").alias("size"), F.col("modificationTime").alias("modified")).alias("now"))
+    both = found.select("path", F.struct("size", "modified").alias("then")).join(now, "path", "full")
+    return union([rows(both.where("now is null"), "input-gone", F.col("path")), rows(both.where("then is null"), "input-new", F.col("path")), rows(both.where("now <> then"), "input-changed", F.col("path"))])
+
+
 def limits(files: DataFrame, most_files: int = MOST_FILES, most_bytes: int = MOST_BYTES) -> DataFrame:
     """Violations where there are no files, too many, or too many bytes."""
     total = files.agg(F.count("*").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"))

@@ -286,7 +286,7 @@ def test_discovery_to_entities(spark):
     chunks = spark.createDataFrame([("k1", "Alpha test of lot. PR-5", ["[slide-1#a]"])], "chunk_id string, text string, citations array<string>")
     answer = '{"entities":[{"name":"alpha  TEST","type":"test","citations":["[slide-1#a]","[slide-9#z]"]},{"name":"Beta","citations":["[slide-1#a]"]},{"name":"PR-5","citations":["[slide-1#a]"]}]}'
     found = stages.discover(chunks, lambda: readers.ScriptedBackend([("Alpha", answer)]), stages.Options())
-    got = stages.integrate(stages.grounded_candidates(found, chunks), stages.Options()).collect()
+    got = stages.integrate(stages.grounded_candidates(found, chunks), stages.Options())[0].collect()
     assert [(r.key, r.type, r.citations) for r in got] == [("alpha test", "test", ["[slide-1#a]"])]
     with pytest.raises(ValueError):
         stages.Options(prompt_chars=10)

@@ -78,6 +78,53 @@ def test_topics_and_pages(spark):
     assert models.request_json(readers.ScriptedBackend([("no JSON", '{"a":1}')], "hm"), "x") == '{"a":1}'
 
 
+def test_pages_are_reduced_by_levels(spark):
+    """Twelve parts: pairs are joined on two levels, then the whole; what fails its check stays as its parts; one without any
+    pair that fits is put end to end."""
+    row = lambda topic, n, size: (topic, n, topic, f"{topic} {n} 40", [f"[slide-{n}#a]"], f"> {size}")
+    parts = spark.createDataFrame([*(row("deep", n, 450) for n in range(1, 13)), *(row("flat", n, 900) for n in range(1, 4)), *(row("wrong", n, 450) for n in range(1, 4)), row("one", 1, 450)], "topic_id string, part int, title string, evidence string, citations array<string>, verbatim string")
+
+    def backend():
+        import re
+
+        def joined(prompt):
+            cited = list(dict.fromkeys(re.findall(r"\[slide-\d+#a\]", prompt)))
+            number = "999" if "wrong" in prompt else "40"
+            depth = max([0, *map(len, re.findall(r"J(j*)", prompt))])
+            return "\n".join([f"J{'j' * (depth + 1)} {'y' * 240} {cited[0]}", *(f"It is {number} {c}" for c in cited[1:])])
+
+        def page(prompt):
+            n, topic = re.search(r"(\w+) (\d+) 40", prompt)[2], re.search(r"(\w+) (\d+) 40", prompt)[1]
+            return f"{topic} has 40 {'x' * (880 if topic == 'flat' else 420)} [slide-{n}#a]"
+
+        return readers.ScriptedBackend([("Join these parts", joined), ("Write Markdown", page)])
+
+    got = {r.topic_id: (r.body, r.generation) for r in models.pages(parts, backend, 1000, 0).collect()}
+    assert {g for _, g in got.values()} == {"model"} and all(got["deep"][0].count(f"[slide-{n}#a]") == 1 for n in range(1, 13))
+    assert got["deep"][0].startswith("Jjjj ") and len(got["deep"][0]) < 700  # a level of pairs, one of pairs of these, the whole
+    assert got["flat"][0].count("flat has 40") == 3 and got["wrong"][0].count("wrong has 40") == 3 and got["one"][0].count("\n") == 0
+
+
+def test_changed_inputs(spark, tmp_path):
+    for name in ("a", "b", "c"):
+        (tmp_path / f"{name}.pptx").write_bytes(name.encode() * 3)
+    found = spark.createDataFrame(files.discover(spark, str(tmp_path)).drop("content").collect())
+    assert files.changed(spark, str(tmp_path), found).count() == 0
+    (tmp_path / "a.pptx").write_bytes(b"other")
+    (tmp_path / "b.pptx").unlink()
+    (tmp_path / "d.pptx").write_bytes(b"new")
+    assert sorted((r.check_code, r.key[-6:]) for r in files.changed(spark, str(tmp_path), found).collect()) == [("input-changed", "a.pptx"), ("input-gone", "b.pptx"), ("input-new", "d.pptx")]
+
+
+def test_what_falls_to_limits_is_told(spark):
+    c = spark.createDataFrame([(n, f"N{n}", "lot", "d", "c") for n in range(5)], "ord int, name string, type string, description string, citation string")
+    kept, told = stages.integrate(c, stages.Options(most_entities=2))
+    assert [r.name for r in kept.orderBy("key").collect()] == ["N0", "N1"] and sorted(r.detail for r in told.collect()) == ["N2", "N3", "N4"] and {r.severity for r in told.collect()} == {"warning"}
+    found = spark.createDataFrame([("1", "In 40 days", "s", "c1"), ("2", "In 41 days", "s", "c1")], "ord string, title string, source_id string, citation string")
+    good, bare = integration.grounded_topics(found, spark.createDataFrame([("s", "c1", ["40"])], "source_id string, qualified_citation string, numbers array<string>"))
+    assert [r.ord for r in good.collect()] == ["1"] and [r.detail for r in bare.collect()] == ["In 41 days"]
+
+
 def test_deck_to_site(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
@@ -309,7 +356,7 @@ def test_commit_and_load(spark, tmp_path):
 
 
 def test_reconciled_manifest(spark):
-    told = spark.createDataFrame([("t", "a", 1, "x", 5), ("t", "b", 1, "x", 5), ("t", "c", 1, "x", 5), ("t", "d", 1, "x", 5), ("t", "d", 1, "x", 5)], runs.MANIFEST)
+    told = spark.createDataFrame([(1, "t", f, 1, "x", 5) for f in "abcdd"], runs.MANIFEST)
     found = spark.createDataFrame([("t", "a", 1, "x"), ("t", "b", 1, "y"), ("t", "d", 1, "x"), ("t", "e", 1, "x")], "name string, file string, bytes long, sha256 string")
     rows = spark.createDataFrame([("t", "a", 4), ("t", "b", 5), ("t", "d", 5)], "name string, file string, rows long")
     assert sorted((r.check_code, r.key) for r in runs.reconciled(told, found, rows).collect()) == [("file-changed", "t/b"), ("file-missing", "t/c"), ("file-unknown", "t/e"), ("listed-twice", "t/d"), ("row-count", "t/a")]
