@@ -1,6 +1,7 @@
 """Corpus pipeline: toxicity, quality, near-duplicates, repeated passages, packing; each stage reads what the one before kept.
 
-SQL can't express the stages (trained models, exact tokenizers), so each is tested against a brute-force version.
+SQL can't express the stages (trained models, exact tokenizers). The last three are tested against a brute-force version, the two
+filters against held-out labels and the classifiers that they apply.
 """
 
 from __future__ import annotations
