@@ -59,8 +59,9 @@ def decisions(blocks: DataFrame, selected: DataFrame, protected: DataFrame, dupl
     """
     key = ["source_id", "citation"]
     promoted = selected.join(duplicates, key).select("source_id", F.col("duplicate_of").alias("citation"))
-    chosen = selected.select(*key).union(promoted).union(protected.select(*key)).distinct().withColumn("chosen", F.lit(True))
-    some = chosen.select("source_id").distinct().withColumn("any", F.lit(True))
+    # cut, so that each join deals out both sides for itself and Spark can split a source of any size
+    chosen = cut(selected.select(*key).union(promoted).union(protected.select(*key)).distinct().withColumn("chosen", F.lit(True)))
+    some = cut(chosen.select("source_id").distinct().withColumn("any", F.lit(True)))
     rows = blocks.select(*key).join(protected.select(*key).distinct().withColumn("safe", F.lit(True)), key, "left").join(duplicates, key, "left").join(chosen, key, "left").join(some, "source_id", "left")
     keep = F.col("chosen").isNotNull() | F.lit(complete) | F.col("any").isNull()
     kind = F.when(F.col("safe").isNotNull(), F.struct(F.lit("keep").alias("d"), F.lit("protected").alias("r")))

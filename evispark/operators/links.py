@@ -85,7 +85,7 @@ def path_collisions(files: DataFrame, key) -> DataFrame:
 def unique_slugs(values: DataFrame, slug, value: str = "value") -> DataFrame:
     """(value, slug): values whose base slug is not theirs alone get a digest of ten hex digits behind it."""
     base = values.select(value).distinct().withColumn("base", slug)
-    shared = base.groupBy("base").count().where("count > 1").select("base", F.lit(True).alias("shared"))
+    shared = cut(base.groupBy("base").count().where("count > 1").select("base", F.lit(True).alias("shared")))
     return base.join(shared, "base", "left").select(value, F.when(F.col("shared"), F.concat("base", F.lit("--"), F.substring(F.sha2(F.encode(value, "UTF-8"), 256), 1, 10))).otherwise(F.col("base")).alias("slug"))
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -13,7 +12,7 @@ from evispark.functions import columns as C
 from evispark.functions.udfs import call
 from evispark.operators import artifacts, blocks, checks, decisions, readers, topics
 from evispark.plans import pictures, publish, runs, stages
-from evispark.session import cut, shared_folder
+from evispark.session import cut, scratch
 from evispark.sources import files, ooxml
 
 
@@ -81,7 +80,7 @@ def with_pictures(elements: DataFrame, media: DataFrame, reading: Reading) -> tu
     asked = pictures.targets(elements, reading.policy)
     # one place for each digest names it, so that bytes meet no aggregate
     one = media.groupBy("sha256").agg(F.min(F.struct("path", "part")).alias("one")).select("one.*")
-    answers, failed = pictures.answered(asked, media.join(one, ["path", "part"]).select("sha256", "content"), reading.reader, reading.store or f"{shared_folder(elements.sparkSession)}/answers-{uuid.uuid4().hex}")
+    answers, failed = pictures.answered(asked, media.join(one, ["path", "part"]).select("sha256", "content"), reading.reader, reading.store or scratch(elements.sparkSession, "answers") + "/table")
     return elements.unionByName(pictures.children(elements, asked, answers), allowMissingColumns=True), failed
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +13,7 @@ from evispark.functions.udfs import call
 from evispark.operators import blocks as B
 from evispark.operators import artifacts, checks, chunks, decisions, geometry, graph, links, topics
 from evispark.plans import pictures, publish, runs, stages
-from evispark.session import shared_folder
+from evispark.session import scratch
 from evispark.streaming import ingest
 from evispark.views import SLIDE_HEIGHT, SLIDE_WIDTH, table
 
@@ -756,11 +755,9 @@ def stream_dedupe(spark, sf):
     """The events table as a stream that has every event twice; each comes out once, written by a query that ends."""
     twice = ingest.event_stream(spark, sf).withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("copy")
     with_time = ingest.once(twice, ["event_id"])
-    base = shared_folder(spark)
-    name = uuid.uuid4().hex
-    out, mark = f"stream-{name}", f"mark-{name}"
-    ingest.run_once(with_time, f"{base}/{out}", f"{base}/{mark}")
-    return spark.read.parquet(f"{base}/{out}").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type", "value")
+    base = scratch(spark, "stream")
+    ingest.run_once(with_time, f"{base}/out", f"{base}/marks")
+    return spark.read.parquet(f"{base}/out").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type", "value")
 
 
 # ---- artifacts, checks and pages
@@ -880,7 +877,7 @@ def picture_blocks(spark, sf):
     asked = pictures.targets(elements)
     first = elements.groupBy("media_sha256").agg(F.min("doc_id").alias("doc_id"))
     media = d.join(first, "doc_id").select(F.col("digest").alias("sha256"), F.encode("text", "UTF-8").alias("content"))
-    answers, _ = pictures.answered(asked, media, LineReader, f"{shared_folder(spark)}/answers-{uuid.uuid4().hex}")
+    answers, _ = pictures.answered(asked, media, LineReader, scratch(spark, "answers") + "/table")
     sizes = elements.select(F.col("media_sha256").alias("sha256"), F.lit(100).alias("width"), (10 * F.col("tall")).alias("height")).distinct()
     found = pictures.children(elements, asked, answers.drop("width", "height").join(sizes, "sha256"))
     return found.select("source_id", "element_id", "parent_id", "kind", C.sha256(F.col("text")).alias("text_sha256"), "z_index", "y")
@@ -912,9 +909,9 @@ def span_tables(spark, sf):
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def stream_counts(spark, sf):
     """Counts of a stream that ends, written batch by batch."""
-    base, name = shared_folder(spark), uuid.uuid4().hex
-    ingest.each_batch(ingest.event_stream(spark, sf).select("event_id", "event_type"), _append(f"{base}/batches-{name}"), f"{base}/marks-{name}")
-    return spark.read.parquet(f"{base}/batches-{name}").groupBy("event_type").agg(F.count("*").alias("n"))
+    base = scratch(spark, "stream")
+    ingest.each_batch(ingest.event_stream(spark, sf).select("event_id", "event_type"), _append(f"{base}/batches"), f"{base}/marks")
+    return spark.read.parquet(f"{base}/batches").groupBy("event_type").agg(F.count("*").alias("n"))
 
 
 def _append(path: str):

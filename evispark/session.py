@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,7 @@ def session(app: str = "evispark", master: str | None = None, **conf: str) -> Sp
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # files of checkpoints go when no plan holds them
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     return builder.config(map=settings).getOrCreate()
@@ -36,3 +38,13 @@ def shared_folder(spark: SparkSession) -> str:
     if not named and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return named or spark.conf.get("spark.sql.warehouse.dir")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that executors share; what lies there goes when the session ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(place)
+    fs.deleteOnExit(place)
+    return path

@@ -14,8 +14,14 @@ def event_stream(spark: SparkSession, folder: str, pattern: str = "events.parque
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def once(stream: DataFrame, key: list[str], time: str = "ts", late: str = "1 day") -> DataFrame:
-    """Rows whose key has not come before within the watermark; state older than that goes."""
+def once(stream: DataFrame, key: list[str], time: str = "ts", late: str | None = None) -> DataFrame:
+    """Rows whose key has not come before.
+
+    Without `late` every key is kept in state for good: no row is lost, however old its time and whatever batch it comes in.
+    With `late`, as an endless stream needs, state older than that goes; then rows older than the watermark of an earlier batch
+    are dropped, whether their key has come before or not."""
+    if late is None:
+        return stream.dropDuplicates(key)
     return stream.withWatermark(time, late).dropDuplicatesWithinWatermark(key)
 
 

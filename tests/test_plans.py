@@ -105,6 +105,21 @@ def test_pages_are_reduced_by_levels(spark):
     assert got["flat"][0].count("flat has 40") == 3 and got["wrong"][0].count("wrong has 40") == 3 and got["one"][0].count("\n") == 0
 
 
+def test_events_once_over_batches(spark, tmp_path):
+    """Three batches, the later ones with far older events: without a watermark none is lost and each comes once."""
+    from evispark.session import scratch
+    from evispark.streaming import ingest
+
+    rows = [[(1, "2024-05-01"), (2, "2024-05-02")], [(1, "2024-05-01"), (3, "2020-01-01")], [(3, "2020-01-01"), (4, "2019-01-01"), (2, "2024-05-02")]]
+    for n, own in enumerate(rows):
+        spark.createDataFrame(own, "event_id long, ts string").withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.parquet(str(tmp_path / "in" / f"events{n}.parquet"))
+    stream = spark.readStream.schema("event_id long, ts timestamp").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "*"))
+    out = scratch(spark, "events")
+    query = ingest.run_once(ingest.once(stream, ["event_id"]), f"{out}/rows", f"{out}/marks")
+    assert len(query.recentProgress) >= 3
+    assert sorted(r.event_id for r in spark.read.parquet(f"{out}/rows").collect()) == [1, 2, 3, 4]
+
+
 def test_changed_inputs(spark, tmp_path):
     for name in ("a", "b", "c"):
         (tmp_path / f"{name}.pptx").write_bytes(name.encode() * 3)
