@@ -502,7 +502,8 @@ def prose_number_tokens(spark, sf):
     return table(spark, sf, "documents").where(F.col("text").rlike(r"\d")).select("doc_id", F.explode(call("prose_numbers", "text")).alias("number"))
 
 
-@query()
+@query(r"""WITH t AS (SELECT doc_id, unnest(m) AS token, generate_subscripts(m, 1) AS n FROM (SELECT doc_id, regexp_extract_all(text, '(?i)(?:^|[^A-Z0-9])([A-Z]{2,8}[ \t_-]+[A-Z0-9][A-Z0-9._/\-]{0,63})', 1) AS m FROM documents))
+SELECT doc_id, arg_min(token, n) AS token FROM t GROUP BY doc_id, lower(token)""")
 def identifier_tokens(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.explode(call("identifiers", "text")).alias("token"))
 
@@ -527,7 +528,21 @@ def descriptions(spark, sf):
     return table(spark, sf, "documents").select("doc_id", C.description(F.col("text")).alias("description"))
 
 
-@query()
+def _fragments_sql(limit: int) -> str:
+    """CTEs d (source_id, doc_id, t), p (doc_id, k, body): fragments by whole lines, one line after the other; longer lines are cut."""
+    long, fits = f"length(line) > {limit}", f"held > 0 AND held + length(line) <= {limit}"
+    pieces = f"(length(line) + {limit - 1}) // {limit}"
+    return f"""d AS (SELECT source AS source_id, doc_id, coalesce(text, '') AS t FROM documents),
+l AS (SELECT doc_id, unnest(p) AS line, generate_subscripts(p, 1) AS n FROM (SELECT doc_id, regexp_extract_all(t, '[^\\n]*\\n|[^\\n]+') AS p FROM d WHERE length(t) > {limit})),
+r AS (SELECT doc_id, n, CASE WHEN {long} THEN 0 ELSE length(line) END AS held, 1 AS f, {pieces} AS last FROM l WHERE n = 1
+UNION ALL SELECT l.doc_id, l.n, CASE WHEN {long} THEN 0 WHEN {fits} THEN held + length(line) ELSE length(line) END,
+CASE WHEN {fits} THEN last ELSE last + 1 END, CASE WHEN {long} THEN last + {pieces} WHEN {fits} THEN last ELSE last + 1 END FROM r JOIN l ON l.doc_id = r.doc_id AND l.n = r.n + 1),
+p AS (SELECT doc_id, f AS k, rtrim(string_agg(line, '' ORDER BY n), chr(10)) AS body FROM r JOIN l USING (doc_id, n) WHERE NOT {long} GROUP BY doc_id, f
+UNION ALL SELECT doc_id, f + i, rtrim(substr(line, i * {limit} + 1, {limit}), chr(10)) FROM (SELECT doc_id, f, line, unnest(range(0, {pieces})) AS i FROM r JOIN l USING (doc_id, n) WHERE {long})
+UNION ALL SELECT doc_id, 1, t FROM d WHERE length(t) <= {limit})"""
+
+
+@query(f"WITH RECURSIVE {_fragments_sql(500)} SELECT doc_id, CAST(k AS INTEGER) AS position, body AS fragment FROM p")
 def fragment_split(spark, sf):
     """Fragments of at most 500 characters by the table function, called from SQL."""
     from evispark.functions import udfs
@@ -537,16 +552,8 @@ def fragment_split(spark, sf):
     return spark.sql("SELECT d.doc_id, s.position, s.fragment FROM _split d, LATERAL split_text(d.text, 500) s")
 
 
-@query(r"""WITH RECURSIVE d AS (SELECT source AS source_id, doc_id, coalesce(text, '') AS t FROM documents),
-l AS (SELECT doc_id, unnest(p) AS line, generate_subscripts(p, 1) AS n FROM (SELECT doc_id, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS p FROM d WHERE length(t) > 1908)),
-r AS (SELECT doc_id, n, CASE WHEN length(line) > 1908 THEN 0 ELSE length(line) END AS held, 1 AS f, (length(line) + 1907) // 1908 AS last FROM l WHERE n = 1
-UNION ALL SELECT l.doc_id, l.n, CASE WHEN length(line) > 1908 THEN 0 WHEN held > 0 AND held + length(line) <= 1908 THEN held + length(line) ELSE length(line) END,
-CASE WHEN length(line) <= 1908 AND held > 0 AND held + length(line) <= 1908 THEN last ELSE last + 1 END,
-CASE WHEN length(line) > 1908 THEN last + (length(line) + 1907) // 1908 WHEN held > 0 AND held + length(line) <= 1908 THEN last ELSE last + 1 END FROM r JOIN l ON l.doc_id = r.doc_id AND l.n = r.n + 1),
-p AS (SELECT doc_id, f AS k, length(rtrim(string_agg(line, '' ORDER BY n), chr(10))) AS s FROM r JOIN l USING (doc_id, n) WHERE length(line) <= 1908 GROUP BY doc_id, f
-UNION ALL SELECT doc_id, f + i, length(rtrim(substr(line, i * 1908 + 1, 1908), chr(10))) FROM (SELECT doc_id, f, line, unnest(range(0, (length(line) + 1907) // 1908)) AS i FROM r JOIN l USING (doc_id, n) WHERE length(line) > 1908)
-UNION ALL SELECT doc_id, 1, length(t) FROM d WHERE length(t) <= 1908),
-o AS (SELECT source_id, doc_id, k, 60 + s AS s, row_number() OVER (PARTITION BY source_id ORDER BY doc_id, k) AS n FROM p JOIN d USING (doc_id)),
+@query(f"""WITH RECURSIVE {_fragments_sql(1908)},
+o AS (SELECT source_id, doc_id, k, 60 + length(body) AS s, row_number() OVER (PARTITION BY source_id ORDER BY doc_id, k) AS n FROM p JOIN d USING (doc_id)),
 w AS (SELECT source_id, n, 1 AS chunk, s AS used FROM o WHERE n = 1 UNION ALL SELECT o.source_id, o.n, CASE WHEN used + 2 + s > 2000 THEN chunk + 1 ELSE chunk END, CASE WHEN used + 2 + s > 2000 THEN s ELSE used + 2 + s END FROM w JOIN o ON o.source_id = w.source_id AND o.n = w.n + 1)
 SELECT source_id, doc_id AS rank, CAST(k AS INTEGER) AS fragment, CAST(chunk AS BIGINT) AS chunk FROM o JOIN w USING (source_id, n)""")
 def chunk_pack(spark, sf):
