@@ -18,7 +18,8 @@ from evispark.sources import files, ooxml
 
 @dataclass(frozen=True)
 class Collection:
-    """violations stop a site; warnings (check_code, key, detail) don't. assets: (source_id, path, content, sha256)."""
+    """violations stop a site; warnings and qa, what checks of the elements found (both check_code, severity, key, detail), don't.
+    assets: (source_id, path, content, sha256)."""
 
     occurrences: DataFrame
     sources: DataFrame
@@ -27,6 +28,7 @@ class Collection:
     violations: DataFrame
     assets: DataFrame
     warnings: DataFrame
+    qa: DataFrame
 
 
 @dataclass(frozen=True)
@@ -84,6 +86,25 @@ def with_pictures(elements: DataFrame, media: DataFrame, reading: Reading) -> tu
     return elements.unionByName(pictures.children(elements, asked, answers), allowMissingColumns=True), failed
 
 
+_CELLS = "struct<rows:int,columns:int,cells:array<struct<row:int,column:int,row_span:int,column_span:int,is_merge_origin:boolean>>>"
+
+
+def quality(elements: DataFrame) -> DataFrame:
+    """What is wrong with elements, slide by slide: repeated ids, boxes outside their slide, numbers read from a picture against
+    native ones in the same place, tables read from pictures, cells outside their grid."""
+    for c in ("source", "parent_id"):
+        elements = elements if c in elements.columns else elements.withColumn(c, F.lit(None).cast("string"))
+    slide = F.concat_ws("/", "source_id", F.col("slide_number").cast("string"))
+    own = cut(elements.where("kind <> 'error'").withColumns({"slide_number": slide, "source": F.coalesce("source", F.lit("native")), "kind": F.regexp_replace("kind", "^ocr_", "")}))
+    grids = own.where("table_json is not null").select(F.concat_ws("/", "slide_number", "element_id").alias("table_id"), F.from_json("table_json", _CELLS).alias("t")).select("table_id", "t.*")
+    return checks.union([checks.slide_checks(own, F.col("slide_width"), F.col("slide_height")), checks.raster_tables(own), checks.table_checks(grids)])
+
+
+def qa_summary(found: DataFrame) -> DataFrame:
+    """(severity, check_code, n) of findings."""
+    return found.groupBy("severity", "check_code").agg(F.count("*").alias("n"))
+
+
 def collect(spark: SparkSession, path: str, selected: DataFrame | None = None, complete: bool = False, reading: Reading = Reading()) -> Collection:
     """Everything but the site. Without a selection all of a source's blocks are selected."""
     occurrences, sources, elements, media = read(spark, path, reading)
@@ -96,10 +117,11 @@ def collect(spark: SparkSession, path: str, selected: DataFrame | None = None, c
     decided = stages.organise(b, chosen, complete)
     ledger = cut(decided.ledger)  # these are read by every later step
     semantic = stages.Semantic(ledger, decisions.inventory(ledger), decided.duplicates, cut(decided.decisions))
-    broken = checks.union([artifacts.provenance(b), artifacts.decisions(semantic.decisions, b, semantic.ledger)])
+    qa = cut(quality(whole))
+    broken = checks.union([artifacts.provenance(b), artifacts.decisions(semantic.decisions, b, semantic.ledger), qa if reading.strict else qa.limit(0)])
     shown = elements.where("media_sha256 is not null").select("source_id", F.col("media_part").alias("part"), "media_sha256").distinct()
     assets = shown.join(media.select("source_id", "part", "content"), ["source_id", "part"]).select("source_id", F.col("part").alias("path"), "content", F.col("media_sha256").alias("sha256"))
-    return Collection(occurrences, sources, b, semantic, broken, assets, broken_parts.unionByName(failed))
+    return Collection(occurrences, sources, b, semantic, broken, assets, broken_parts.unionByName(failed), qa)
 
 
 def evidence_pages(b: DataFrame) -> DataFrame:
@@ -123,14 +145,14 @@ def site(c: Collection) -> DataFrame:
 
 def tables(c: Collection) -> dict[str, DataFrame]:
     """What a run keeps of a collection; restored() takes it up again."""
-    return {"occurrences": c.occurrences, "sources": c.sources, "provenance": c.blocks, "ledger": c.semantic.ledger, "duplicates": c.semantic.duplicates, "decisions": c.semantic.decisions, "assets": c.assets, "warnings": c.warnings}
+    return {"occurrences": c.occurrences, "sources": c.sources, "provenance": c.blocks, "ledger": c.semantic.ledger, "duplicates": c.semantic.duplicates, "decisions": c.semantic.decisions, "assets": c.assets, "warnings": c.warnings, "qa": c.qa, "qa_summary": qa_summary(c.qa)}
 
 
 def restored(kept: dict[str, DataFrame]) -> Collection:
     ledger = kept["ledger"]
     semantic = stages.Semantic(ledger, decisions.inventory(ledger), kept["duplicates"], kept["decisions"])
     broken = checks.union([artifacts.provenance(kept["provenance"]), artifacts.decisions(kept["decisions"], kept["provenance"], ledger)])
-    return Collection(kept["occurrences"], kept["sources"], kept["provenance"], semantic, broken, kept["assets"], kept["warnings"])
+    return Collection(kept["occurrences"], kept["sources"], kept["provenance"], semantic, broken, kept["assets"], kept["warnings"], kept["qa"])
 
 
 def export(c: Collection, target: str) -> None:

@@ -192,7 +192,3 @@ def publish(files: DataFrame, target: str, violations: DataFrame | None = None,
     if not fs.rename(place(stage), place(target)):
         raise OSError(f"cannot rename to {target}")
 
-
-def resume(spark, artifact: str) -> DataFrame:
-    """Pages of a written artifact, to publish again without running earlier stages."""
-    return spark.read.parquet(artifact)

@@ -120,6 +120,17 @@ def test_events_once_over_batches(spark, tmp_path):
     assert sorted(r.event_id for r in spark.read.parquet(f"{out}/rows").collect()) == [1, 2, 3, 4]
 
 
+def test_quality_of_elements(spark):
+    """Numbers read from a picture against native ones in its place, a table read from a picture, a box beyond its slide, a cell
+    beyond its grid; equal slide numbers of other decks don't meet."""
+    grid = '{"rows": 1, "columns": 1, "cells": [{"row": 1, "column": 0, "row_span": 1, "column_span": 1, "is_merge_origin": true}]}'
+    rows = [("s", 1, "a", "text", 0, 0, 10, 10, "has 40", None, None, None), ("s", 1, "p", "image", 0, 0, 10, 10, "", None, None, None), ("s", 1, "p-ocr001", "ocr_text", 1, 1, 8, 8, "has 41", "p", "vlm", None), ("s", 1, "p-ocr002", "ocr_table", 50, 50, 1, 1, "", "p", "vlm", None), ("t", 1, "b", "text", 0, 0, 10, 10, "has 7", None, None, None), ("t", 1, "c", "table", 99, 0, 10, 1, "", None, None, grid), ("t", 1, "x", "error", 0, 0, 0, 0, None, None, None, None)]
+    e = spark.createDataFrame(rows, "source_id string, slide_number int, element_id string, kind string, x long, y long, width long, height long, text string, parent_id string, source string, table_json string").withColumns({"slide_width": F.lit(100), "slide_height": F.lit(100)})
+    got = collection.quality(e)
+    assert sorted((r.check_code, r.key) for r in got.collect()) == [("element-outside-slide", "t/1/c"), ("invalid-table-cell", "t/1/c/0"), ("numeric-conflict", "s/1/a/p-ocr001"), ("raster-table-boundary-unverified", "s/1/p-ocr002")]
+    assert {(r.severity, r.n) for r in collection.qa_summary(got).collect()} == {("warning", 1), ("error", 1)}
+
+
 def test_changed_inputs(spark, tmp_path):
     for name in ("a", "b", "c"):
         (tmp_path / f"{name}.pptx").write_bytes(name.encode() * 3)
