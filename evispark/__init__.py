@@ -9,6 +9,7 @@ _HOME = {
     "CommandReader": "plans.models", "FallbackReader": "plans.models", "DeckSource": "sources.ooxml",
     "loaded": "config", "discover": "sources.files", "deck_elements": "sources.ooxml",
     "collect": "plans.collection", "to_blocks": "plans.collection", "organise": "plans.stages", "integrate": "plans.integration",
+    "run": "plans.batch", "again": "plans.batch", "reader_of": "plans.pictures", "Reading": "plans.collection", "Run": "plans.runs", "decks": "sources.ooxml", "ImageReader": "operators.readers",
     "fail_closed": "operators.checks", "request_numbers": "functions.requests", "register": "functions.udfs",
 }
 __all__ = sorted(_HOME)

@@ -5,12 +5,10 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
-
 from evispark import config
-from evispark.operators import checks, readers
-from evispark.plans import collection, integration, pictures, publish, runs, stages
-from evispark.session import cut, session
+from evispark.operators import readers
+from evispark.plans import batch, collection, integration
+from evispark.session import session
 from evispark.sources import files
 
 
@@ -20,7 +18,7 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="command", required=True)
     for name, words in (("parse", "decks to elements as Parquet"), ("organise", "decks to blocks, ledger and decisions"), ("publish", "decks to a site of Markdown pages"), ("batch", "all of it")):
         s = sub.add_parser(name, help=words)
-        s.add_argument("input")
+        s.add_argument("input", help="a folder of decks, or one deck")
         s.add_argument("output")
         s.add_argument("--config", help="settings in YAML; with a model's address topics, entities and relationships are integrated")
     r = sub.add_parser("republish", help="a site from the pages of an earlier batch, without models")
@@ -33,37 +31,12 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
-def options_of(settings: dict) -> stages.Options:
-    own, wiki = settings["semantic"], settings["wiki"]
-    return stages.Options(own["prompt_chars"], settings["llm_api"]["max_tokens"], own["repairs"], wiki["max_entities"], own["max_topics"], wiki["max_relationships"])
-
-
 def backend_of(api: dict) -> Callable[[], readers.ChatBackend]:
     """Makes the configured model's client, in each task. The key goes with it to executors."""
     key = config.secret(api)
     return lambda: readers.HttpBackend(api["base_url"], api["model"], api["timeout_seconds"], key=key)
 
 
-def collected(found: collection.Collection) -> dict[str, DataFrame]:
-    """The tables of a collection that has no violation."""
-    checks.fail_closed(found.violations)
-    return collection.tables(found)
-
-
-def published(found: collection.Collection, whole: integration.Integrated | None, target: str) -> None:
-    """Check a collection and its integration, and publish their site with the decks' pictures."""
-    assets, wrong = publish.asset_files(found.assets)
-    paths = assets.select("path")
-    if whole is None:
-        pages = cut(collection.site(found))
-        broken = found.violations.unionByName(wrong).unionByName(integration.page_violations(pages, paths))
-    else:
-        pages = cut(integration.site(found, whole))
-        sources = whole.facts.select("source_id").distinct()
-        broken = found.violations.unionByName(wrong).unionByName(integration.violations(pages, whole, paths)).unionByName(integration.artifact_violations(whole, sources))
-    publish.publish(pages, target, broken, assets)
-
-
 def main(argv: list[str] | None = None, backend: Callable[[], readers.ChatBackend] | None = None, reader: Callable[[], readers.ReaderBackend] | None = None) -> int:
     """Run a command. backend, reader: a model and a reader of pictures in place of the configured ones."""
     args = parser().parse_args(argv)
@@ -77,30 +50,21 @@ def main(argv: list[str] | None = None, backend: Callable[[], readers.ChatBacken
         collection.read(spark, args.input)[2].write.mode("errorifexists").parquet(args.output)
         return 0
     if args.command == "republish":
-        found = collection.restored(runs.loaded(spark, f"{args.input}/tables/parsed"))
-        kept = f"{args.input}/tables/integrated"
-        whole = integration.restored(runs.loaded(spark, kept)) if runs.exists(spark, kept) else None
-        published(found, whole, args.output)
+        batch.again(spark, args.input, args.output)
         return 0
     settings = config.loaded(args.config) if args.config else config.parsed({"version": 2})
     if backend is None and settings["llm_api"]["base_url"]:
         backend = backend_of(settings["llm_api"])
-    reader = reader or pictures.reader_of(settings)
+    if args.command == "batch":
+        batch.run(spark, args.input, args.output, settings, backend, reader)
+        return 0
     files.separate(spark, args.input, args.output)
-    own = settings["extraction"]
-    reading = collection.Reading(own["include_images"] or reader is not None, own["strict"], settings["ocr"]["policy"], reader, f"{args.output}/tables/answers" if args.command == "batch" else None)
-    collect = lambda: collection.collect(spark, args.input, complete=settings["semantic"]["policy"] == "complete", reading=reading)
+    found = batch.collected(spark, args.input, settings, reader)
     if args.command == "organise":
-        collection.export(collect(), args.output)
-    elif args.command == "publish":
-        found = collect()
-        published(found, integration.integrate(found, backend, options_of(settings)) if backend is not None else None, args.output)
-    elif args.command == "batch":
-        with runs.Run(spark, f"{args.output}/tables") as run:
-            found = collection.restored(run.stage("parsed", lambda: collected(collect())))
-            whole = integration.restored(run.stage("integrated", lambda: integration.tables(integration.integrate(found, backend, options_of(settings))))) if backend is not None else None
-            run.at = "site"
-            published(found, whole, f"{args.output}/site")
+        collection.export(found, args.output)
+    else:
+        whole = integration.integrate(found, backend, batch.options_of(settings)) if backend is not None else None
+        batch.site(found, whole, None, args.output)
     return 0
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from evispark import cli, config
 from evispark.functions import columns as C
 from evispark.operators import artifacts, checks, geometry, links, readers
-from evispark.plans import collection, integration, models, pictures, publish, runs, stages
+from evispark.plans import collection, integration, models, pictures, publish, runs, semantic, stages
 from evispark.sources import files
 from test_operators import PNG, deck_bytes
 
@@ -364,6 +364,30 @@ def test_batch_that_dies_goes_on(spark, tmp_path, monkeypatch):
     assert not (tmp_path / "third").exists()
 
 
+def test_documents_against_their_sources(spark, tmp_path):
+    """One deck as input, no model: its document holds request numbers and kept blocks; each kind of change is found."""
+    (tmp_path / "a.pptx").write_bytes(deck_bytes(title="PR-1 is here"))
+    c = collection.collect(spark, str(tmp_path / "a.pptx"), complete=True)
+    kept = {name: df.cache() for name, df in semantic.tables(c).items()}
+    assert semantic.violations(kept, c).count() == 0
+    doc = kept["documents"].first()
+    assert doc.body.startswith("## Requests\n\n- PR-1\n\nPR-1 is here") and kept["document_citations"].count() == c.blocks.count()
+    codes = lambda **other: {r.check_code for r in semantic.violations(kept | other, c).collect()}
+    d, cited, numbers = kept["documents"], kept["document_citations"], kept["document_requests"]
+    assert codes(documents=d.withColumn("body", F.lit("none"))) == {"document-digest", "request-lost"}
+    assert codes(documents=d.union(d)) == {"duplicate-document"} and codes(documents=d.limit(0)) == {"no-document"}
+    assert codes(documents=d.withColumn("source_id", F.lit("x"))) >= {"document-identity", "unknown-source", "no-document"}
+    assert codes(document_citations=cited.limit(1)) == {"kept-not-cited"} and codes(document_citations=cited.union(cited.limit(1))) == {"cited-twice"}
+    assert codes(document_citations=cited.withColumn("place", F.col("place") + 1)) == {"citation-order"}
+    assert codes(document_citations=cited.union(cited.limit(1).withColumn("citation", F.lit("[slide-9#q]")))) == {"citation-not-kept", "unknown-citation"}
+    assert codes(document_requests=numbers.limit(0)) == {"request-missing"} and codes(document_requests=numbers.withColumn("value", F.lit("PR-9"))) == {"request-lost", "request-unknown", "request-missing"}
+    pages = collection.site(c)
+    assert semantic.evidence_violations(c, pages).count() == 0
+    worse = pages.withColumn("body", F.regexp_replace("body", "PR-1 is here", "PR-2 is here"))
+    assert {r.check_code for r in semantic.evidence_violations(c, worse).collect()} == {"evidence-changed"}
+    assert {r.check_code for r in semantic.evidence_violations(c, pages.where("path not like 'evidence%'")).collect()} == {"anchor-missing"}
+
+
 def test_commit_and_load(spark, tmp_path):
     rows, none = spark.range(10).repartition(3), spark.range(0)
     for kind in ("parquet", "json"):
