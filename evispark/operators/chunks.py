@@ -19,7 +19,7 @@ from evispark.session import cut
 
 SEPARATOR = 2
 #: Characters of a bin, at least; and how many bins' tables a task composes.
-BIN = 1 << 20
+BIN = 1 << 22
 FAN = 64
 #: Stands for the place behind a group's last chunk.
 END = 1 << 62
@@ -42,17 +42,28 @@ def chunk_blocks(blocks: DataFrame, budget: int, group: str = "source_id", order
     width = max(BIN, 8 * reach)
     placed = cut(running(rows, ["ord", "fragment"], F.col("size") + SEPARATOR).withColumn("bin", F.expr(f"before div {width}L")))
     own = placed.withColumn("home", F.col("bin"))
+    entry = _entries_of_bins(own, budget, width, reach)
+    both = own.unionByName(entry.select("group", "bin", F.col("at").alias("before"), "n"), allowMissingColumns=True)
+    out = both.groupBy("group", "bin").applyInArrow(_numbered(budget), "group string, ord long, fragment int, chunk long")
+    return out.select(F.col("group").alias(group), F.col("ord").alias(order), "fragment", "chunk")
+
+
+def _entries_of_bins(own: DataFrame, budget: int, width: int, reach: int) -> DataFrame:
+    """(group, bin, at, n): the first chunk start of each bin and the chunks before it."""
+    most = own.agg(F.max("bin")).first()[0] or 0
+    if most == 0:  # every group is one bin, which begins with its first fragment
+        zero = F.lit(0).cast("long")
+        return own.select("group", zero.alias("bin"), zero.alias("at"), zero.alias("n")).distinct()
     early = own.where((F.col("bin") > 0) & (F.col("before") % width < reach)).withColumn("bin", F.col("bin") - 1)
     tables = [cut(own.union(early).groupBy("group", "bin").applyInArrow(_entries(budget, width, reach), TABLE))]
-    while (tables[-1].agg(F.max("bin")).first()[0] or 0) > 0:
+    while most > 0:
         tables.append(cut(tables[-1].withColumn("part", F.expr(f"bin div {FAN}L")).groupBy("group", "part").applyInArrow(_composed, TABLE)))
+        most //= FAN
     entry = tables[-1].where("at = 0").select("group", "bin", "at", F.lit(0).cast("long").alias("n"))
     for below in reversed(tables[:-1]):
         both = below.withColumn("part", F.expr(f"bin div {FAN}L")).unionByName(entry.select("group", F.col("bin").alias("part"), "at", "n"), allowMissingColumns=True)
         entry = cut(both.groupBy("group", "part").applyInArrow(_entered, ENTRY))
-    both = own.unionByName(entry.select("group", "bin", F.col("at").alias("before"), "n"), allowMissingColumns=True)
-    out = both.groupBy("group", "bin").applyInArrow(_numbered(budget), "group string, ord long, fragment int, chunk long")
-    return out.select(F.col("group").alias(group), F.col("ord").alias(order), "fragment", "chunk")
+    return entry
 
 
 def running(rows: DataFrame, order: list[str], value: Column) -> DataFrame:

@@ -35,6 +35,15 @@ CASE WHEN c.citation IS NOT NULL THEN 'exact_duplicate' WHEN h.citation IS NOT N
 FROM doc d LEFT JOIN copies c USING (source_id, citation) LEFT JOIN chosen h ON h.source_id = d.source_id AND h.citation = d.citation LEFT JOIN (SELECT DISTINCT source_id FROM chosen) a ON a.source_id = d.source_id)"""
 
 
+#: A text with single spaces, as Spark and SQL say it: what an earlier, cleaned copy of it holds.
+_ONE_SPACE = r"[ \t\n]+"
+_CLEAN = "trim(regexp_replace(text, '[ \\t\\n]+', ' ', 'g'), ' ')"
+
+
+def _clean(text):
+    return F.trim(F.regexp_replace(text, _ONE_SPACE, " "))
+
+
 def query(sql: str | None = None):
     """Register a function under its name, with its SQL."""
 
@@ -618,10 +627,12 @@ def edge_incidence(spark, sf):
     return graph.incidence(_edges(spark, sf))
 
 
-@query(f"""WITH {EDGES}, ends AS (SELECT id, unnest([subject, object]) AS node, citations FROM edges), known AS (SELECT 'p' || p_partkey AS id FROM part WHERE p_size % 2 = 0)
-SELECT DISTINCT CASE WHEN k.id IS NULL THEN 'unknown-endpoint' ELSE 'no-shared-citation' END AS check_code, e.id FROM ends e LEFT JOIN known k ON k.id = e.node""")
+@query(f"""WITH {EDGES}, ends AS (SELECT id, unnest([subject, object]) AS node, citations FROM edges), known AS (SELECT 'p' || l_partkey AS id, list(DISTINCT 'o' || l_orderkey) AS theirs FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
+SELECT DISTINCT CASE WHEN k.id IS NULL THEN 'unknown-endpoint' ELSE 'no-shared-citation' END AS check_code, e.id FROM ends e LEFT JOIN known k ON k.id = e.node WHERE k.id IS NULL OR NOT list_has_any(e.citations, k.theirs)""")
 def edge_lineage_violations(spark, sf):
-    known = table(spark, sf, "part").where("p_size % 2 = 0").select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("id"), F.array(F.lit("none")).alias("citations"))
+    """Edges of suppliers and parts, of which only returned parts are known, with the orders that returned them."""
+    returned = table(spark, sf, "lineitem").where("l_returnflag = 'R'")
+    known = returned.groupBy(F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("id")).agg(F.collect_set(F.concat(F.lit("o"), F.col("l_orderkey").cast("string"))).alias("citations"))
     return graph.edge_violations(_edges(spark, sf), known)
 
 
@@ -737,13 +748,15 @@ def manifest_hashes(spark, sf):
     return publish.manifest(table(spark, sf, "pages").select(F.concat(F.lit("pages/"), F.col("page_id").cast("string"), F.lit(".html")).alias("path"), F.col("html").alias("body")))
 
 
-@query("""SELECT 'digest-mismatch' AS check_code, 'error' AS severity, CAST(doc_id AS VARCHAR) AS key, sha256(text) AS detail FROM documents WHERE doc_id % 100 = 7
-UNION ALL SELECT 'missing-file', 'error', 'ghost', NULL UNION ALL SELECT 'undeclared-file', 'error', CAST(doc_id AS VARCHAR), sha256(text) FROM documents WHERE doc_id % 100 = 8""")
+@query(f"""WITH f AS (SELECT CAST(doc_id AS VARCHAR) AS name, sha256(text) AS d FROM documents), m AS (SELECT DISTINCT CAST(l.doc_id AS VARCHAR) AS name, sha256(coalesce({_CLEAN}, '')) AS d FROM labels l LEFT JOIN documents USING (doc_id) WHERE l.quality = 1 OR l.toxic = 1)
+SELECT CASE WHEN m.name IS NULL THEN 'undeclared-file' WHEN f.name IS NULL THEN 'missing-file' ELSE 'digest-mismatch' END AS check_code, 'error' AS severity, coalesce(f.name, m.name) AS key, f.d AS detail FROM f FULL JOIN m USING (name) WHERE m.name IS NULL OR f.name IS NULL OR f.d <> m.d""")
 def tamper_detect(spark, sf):
+    """Documents as files against a manifest that lists the good or toxic labelled ones by their cleaned texts."""
     d = table(spark, sf, "documents")
     files = d.select(F.col("doc_id").cast("string").alias("name"), C.sha256(F.col("text")).alias("sha256"))
-    listed = d.where("doc_id % 100 <> 8").select(F.col("doc_id").cast("string").alias("name"), F.when(F.col("doc_id") % 100 == 7, F.lit("0")).otherwise(C.sha256(F.col("text"))).alias("sha256"))
-    return checks.digest_checks(files, listed.union(spark.createDataFrame([("ghost", "0")], listed.schema)))
+    labelled = table(spark, sf, "labels").where("quality = 1 or toxic = 1").select("doc_id")
+    listed = labelled.join(d, "doc_id", "left").select(F.col("doc_id").cast("string").alias("name"), C.sha256(F.coalesce(_clean(F.col("text")), F.lit(""))).alias("sha256")).distinct()
+    return checks.digest_checks(files, listed)
 
 
 @query("SELECT event_type, count(*) AS n, count(*) FILTER (value BETWEEN 0 AND 1) AS clean, CAST(round(avg(value) FILTER (value BETWEEN 0 AND 1) * 1000) AS BIGINT) AS mean_permille FROM events GROUP BY 1")
@@ -770,31 +783,38 @@ def stream_dedupe(spark, sf):
 # ---- artifacts, checks and pages
 
 
-@query(f"""WITH {DOC} SELECT 'content-digest' AS check_code, 'error' AS severity, citation AS key, CAST(NULL AS VARCHAR) AS detail FROM doc WHERE rank % 50 = 3
-UNION ALL SELECT 'citation-mismatch', 'error', citation, NULL FROM doc WHERE rank % 50 = 4""")
+@query(f"""WITH {DOC}, d AS (SELECT doc.*, lang, n_chars, {_CLEAN} AS clean, text FROM doc JOIN documents ON doc_id = rank)
+SELECT 'content-digest' AS check_code, 'error' AS severity, citation AS key, CAST(NULL AS VARCHAR) AS detail FROM d WHERE sha256(clean) <> sha256(text)
+UNION ALL SELECT 'citation-mismatch', 'error', citation, NULL FROM d WHERE lang <> 'en' AND n_chars <> slide_number""")
 def provenance_violations(spark, sf):
-    """Blocks of which some have another digest or another element than their citation says."""
-    b = views.blocks_doc(spark, sf)
-    b = b.withColumn("content_sha256", F.when(F.col("rank") % 50 == 3, F.lit("0")).otherwise(F.col("content_sha256")))
-    return artifacts.provenance(b.withColumn("element_id", F.when(F.col("rank") % 50 == 4, F.lit("other")).otherwise(F.col("element_id"))))
+    """Blocks with the digests of cleaned texts, and those that aren't English with their length for a slide number."""
+    own = table(spark, sf, "documents").select(F.col("doc_id").alias("rank"), "lang", "n_chars")
+    b = views.blocks_doc(spark, sf).join(own, "rank").withColumn("content_sha256", C.sha256(_clean(F.col("content"))))
+    return artifacts.provenance(b.withColumn("slide_number", F.when(F.col("lang") == "en", F.col("slide_number")).otherwise(F.col("n_chars"))))
 
 
-@query("""WITH e AS (SELECT o_orderkey AS slide_number, o_custkey AS id, CASE WHEN o_custkey % 2 = 0 THEN 'image' ELSE 'text' END AS kind FROM orders)
-SELECT 'raster-table-boundary-unverified' AS check_code, 'warning' AS severity, slide_number || '/t' AS key, CAST(NULL AS VARCHAR) AS detail FROM e WHERE kind = 'image'""")
+@query("""SELECT 'raster-table-boundary-unverified' AS check_code, 'warning' AS severity, l_orderkey || '/t' || l_linenumber AS key, CAST(NULL AS VARCHAR) AS detail
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag = 'R' AND l_linestatus = 'O' AND l_discount > 0.05 AND o_orderstatus <> 'F'""")
 def raster_table_warnings(spark, sf):
+    """Orders as elements, pictures or charts unless they are finished, and their lines as elements inside or outside of them:
+    returned ones are tables, open ones were read."""
     o = table(spark, sf, "orders")
-    parent = o.select(F.col("o_orderkey").alias("slide_number"), F.col("o_custkey").cast("string").alias("element_id"), F.when(F.col("o_custkey") % 2 == 0, "image").otherwise("text").alias("kind"), F.lit("native").alias("source"), F.lit(None).cast("string").alias("parent_id"))
-    child = o.select(F.col("o_orderkey").alias("slide_number"), F.lit("t").alias("element_id"), F.lit("table").alias("kind"), F.lit("ocr").alias("source"), F.col("o_custkey").cast("string").alias("parent_id"))
+    kind = F.when(F.col("o_orderstatus") == "F", "text").when(F.col("o_orderstatus") == "O", "image").otherwise("chart")
+    parent = o.select(F.col("o_orderkey").alias("slide_number"), F.col("o_custkey").cast("string").alias("element_id"), kind.alias("kind"), F.lit("native").alias("source"), F.lit(None).cast("string").alias("parent_id"))
+    lines = table(spark, sf, "lineitem").join(o, F.col("o_orderkey") == F.col("l_orderkey"))
+    child = lines.select("l_orderkey", F.concat(F.lit("t"), F.col("l_linenumber").cast("string")), F.when(F.col("l_returnflag") == "R", "table").otherwise("text"), F.when(F.col("l_linestatus") == "O", "ocr").otherwise("native"), F.when(F.col("l_discount") > 0.05, F.col("o_custkey").cast("string")))
     return checks.raster_tables(parent.union(child))
 
 
-@query("""SELECT 'invalid-table-cell' AS check_code, 'error' AS severity, l_orderkey || '/0' AS key, CAST(NULL AS VARCHAR) AS detail FROM (SELECT DISTINCT l_orderkey FROM lineitem) WHERE l_orderkey % 4 = 3
-UNION ALL SELECT 'invalid-table-span', 'error', l_orderkey || '/0', NULL FROM (SELECT DISTINCT l_orderkey FROM lineitem) WHERE l_orderkey % 4 = 2""")
+@query("""WITH c AS (SELECT l_orderkey AS t, CAST(l_linenumber - 1 AS INTEGER) AS r, CAST(CAST(round(l_tax * 100) AS INTEGER) % 3 AS INTEGER) AS k, CAST(CAST(round(l_discount * 100) AS INTEGER) % 4 AS INTEGER) AS rs, CAST(1 + CAST(l_quantity AS INTEGER) % 2 AS INTEGER) AS cs, l_returnflag <> 'N' AS o FROM lineitem),
+i AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY r, k, rs, cs, o) - 1 AS i FROM c)
+SELECT CASE WHEN r >= 3 OR k >= 2 THEN 'invalid-table-cell' ELSE 'invalid-table-span' END AS check_code, 'error' AS severity, t || '/' || i AS key, CAST(NULL AS VARCHAR) AS detail FROM i WHERE o AND (r >= 3 OR k >= 2 OR rs < 1 OR r + rs > 3 OR k + cs > 2)""")
 def table_violations(spark, sf):
-    """A table for each order with one cell at row order % 4 that spans two rows of three."""
-    cell = F.struct((F.col("l_orderkey") % 4).cast("int").alias("row"), F.lit(0).alias("column"), F.lit(2).alias("row_span"), F.lit(1).alias("column_span"), F.lit(True).alias("is_merge_origin"))
-    t = table(spark, sf, "lineitem").select("l_orderkey").distinct().select(F.col("l_orderkey").alias("table_id"), F.lit(3).alias("rows"), F.lit(2).alias("columns"), F.array(cell).alias("cells"))
-    return checks.table_checks(t)
+    """A table of three rows and two columns for each order, its lines as cells: place and spans by number, tax, discount, quantity."""
+    part = lambda c, n: (F.round(F.col(c) * 100).cast("int") % n)
+    cell = F.struct((F.col("l_linenumber") - 1).cast("int").alias("row"), part("l_tax", 3).alias("column"), part("l_discount", 4).alias("row_span"), (F.col("l_quantity").cast("int") % 2 + 1).alias("column_span"), (F.col("l_returnflag") != "N").alias("is_merge_origin"))
+    t = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("table_id")).agg(F.sort_array(F.collect_list(cell)).alias("cells"))
+    return checks.table_checks(t.select("table_id", F.lit(3).alias("rows"), F.lit(2).alias("columns"), "cells"))
 
 
 @query("""SELECT l_orderkey AS page, unnest(['text', 'table']) AS kind, unnest([CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR)]) AS text, unnest([0, 1]) AS ord FROM lineitem""")
@@ -814,19 +834,21 @@ def index_page(spark, sf):
     return publish.index_page("Nations", {"Nations": table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("title"))})
 
 
-@query("""WITH x AS (SELECT s_nationkey AS id, list_sort(list(CAST(s_suppkey AS VARCHAR))) AS stored FROM supplier GROUP BY 1)
-SELECT 'source-lineage' AS check_code, 'error' AS severity, CAST(id AS VARCHAR) AS key, CAST(NULL AS VARCHAR) AS detail FROM x WHERE len(stored) > 1""")
+@query("""WITH x AS (SELECT s_nationkey AS id, list_sort(list(CAST(s_suppkey AS VARCHAR))) AS derived, coalesce(list_sort(list(CAST(s_suppkey AS VARCHAR)) FILTER (s_acctbal >= 0)), []) AS stored FROM supplier GROUP BY 1)
+SELECT 'source-lineage' AS check_code, 'error' AS severity, CAST(id AS VARCHAR) AS key, CAST(NULL AS VARCHAR) AS detail FROM x WHERE stored <> derived""")
 def array_lineage(spark, sf):
-    """Nations whose stored suppliers, the first alone, are not the derived ones."""
-    s = table(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("id")).agg(F.array_sort(F.collect_list(F.col("s_suppkey").cast("string"))).alias("derived"))
-    return checks.array_checks(s.withColumn("stored", F.slice("derived", 1, 1)), "id", "stored", "derived", "source-lineage")
+    """Nations whose stored suppliers, those that owe nothing, are not all of them."""
+    key = F.col("s_suppkey").cast("string")
+    s = table(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("id")).agg(F.collect_list(key).alias("derived"), F.collect_list(F.when(F.col("s_acctbal") >= 0, key)).alias("stored"))
+    return checks.array_checks(s, "id", "stored", "derived", "source-lineage")
 
 
-@query("""SELECT 'not-derivable' AS check_code, 'error' AS severity, CAST(doc_id AS VARCHAR) AS key, CAST(NULL AS VARCHAR) AS detail FROM documents WHERE doc_id % 40 = 1
-UNION ALL SELECT 'not-stored', 'error', CAST(doc_id AS VARCHAR), NULL FROM documents WHERE doc_id % 40 = 1""")
+@query(f"""WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS id FROM documents WHERE sha256({_CLEAN}) <> sha256(text))
+SELECT code AS check_code, 'error' AS severity, id AS key, CAST(NULL AS VARCHAR) AS detail FROM d, (VALUES ('not-derivable'), ('not-stored')) t(code)""")
 def lineage_reconcile(spark, sf):
-    d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), C.sha256(F.col("text")).alias("sha256"))
-    return checks.changed_rows(d.withColumn("sha256", F.when(F.col("id").cast("long") % 40 == 1, F.lit("x")).otherwise(F.col("sha256"))), d, "id")
+    """Stored digests of cleaned texts against those that the texts give."""
+    d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
+    return checks.changed_rows(d.select("id", C.sha256(_clean(F.col("text"))).alias("sha256")), d.select("id", C.sha256(F.col("text")).alias("sha256")), "id")
 
 
 @query(r"""WITH h AS (SELECT page_id, regexp_extract_all(html, '<a href="/([^"]*)"', 1) AS h FROM pages), n AS (SELECT page_id, h, h[1] AS name FROM h WHERE len(h) > 0),
@@ -890,20 +912,26 @@ def picture_blocks(spark, sf):
     return found.select("source_id", "element_id", "parent_id", "kind", C.sha256(F.col("text")).alias("text_sha256"), "z_index", "y")
 
 
-@query("""SELECT doc_id AS page_id, CASE WHEN doc_id % 3 = 0 THEN 'borrowed-number' END AS check_code, CASE WHEN doc_id % 3 = 0 THEN '77' END AS detail FROM documents WHERE doc_id % 3 = 0""")
+@query("""SELECT o_orderkey AS page_id, 'borrowed-number' AS check_code, CAST(o_orderkey % 50 AS VARCHAR) AS detail FROM orders WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey % 1009 = o_custkey % 1009 AND p_size = o_orderkey % 50)""")
 def line_grounding(spark, sf):
-    """A line for each document that claims a number; every third one cites evidence that has another."""
-    d = table(spark, sf, "documents")
-    lines = d.select(F.col("doc_id").alias("page_id"), F.lit(1).alias("line_no"), F.concat(F.lit("It has 77 [slide-"), (F.col("doc_id") % 3 + 1).cast("string"), F.lit("#e]")).alias("line"))
-    facts = spark.createDataFrame([("[slide-1#e]", "40"), ("[slide-2#e]", "77"), ("[slide-3#e]", "77")], "citation string, number string")
+    """A line for each order that claims a number and cites parts by a key that many share; the facts are the parts' sizes."""
+    cited = lambda c: F.concat(F.lit("[slide-"), (c % 1009).cast("string"), F.lit("#e]"))
+    lines = table(spark, sf, "orders").select(F.col("o_orderkey").alias("page_id"), F.lit(1).alias("line_no"), F.concat(F.lit("It has "), (F.col("o_orderkey") % 50).cast("string"), F.lit(" of it "), cited(F.col("o_custkey"))).alias("line"))
+    facts = table(spark, sf, "part").select(cited(F.col("p_partkey")).alias("citation"), F.col("p_size").cast("string").alias("number"))
     return checks.line_grounding(lines, facts).select(F.substring_index("key", "/", 1).cast("long").alias("page_id"), "check_code", "detail")
 
 
-@query("""SELECT doc_id, list_filter(CASE WHEN doc_id % 4 = 0 THEN ['no-citation:', 'number:9', 'uncited-line:1'] WHEN doc_id % 4 = 1 THEN ['number:9'] WHEN doc_id % 4 = 2 THEN ['unknown-citation:[slide-2#z]'] ELSE [] END, lambda x: true) AS errors FROM documents""")
+@query("""SELECT doc_id, list_concat(list_concat(CASE WHEN n_chars % 3 = 2 THEN ['unknown-citation:[slide-2#e]'] ELSE [] END,
+list_transform(list_sort(list_distinct(list_filter([CASE WHEN n_chars % 2 = 1 THEN CAST(n_chars AS VARCHAR) END, CASE WHEN lang = 'en' AND doc_id <> n_chars - n_chars % 2 THEN CAST(doc_id AS VARCHAR) END], lambda x: x IS NOT NULL))), lambda x: 'number:' || x)),
+CASE WHEN lang = 'en' THEN ['uncited-line:2'] ELSE [] END) AS errors FROM documents""")
 def grounding_errors(spark, sf):
-    d = table(spark, sf, "documents")
-    body = F.when(F.col("doc_id") % 4 == 0, "it is 9").when(F.col("doc_id") % 4 == 1, "it is 9 [slide-1#e]").when(F.col("doc_id") % 4 == 2, "it is 8 [slide-1#e] [slide-2#z]").otherwise("# Head 8\nit is 8 [slide-1#e]")
-    return d.select("doc_id", call("grounding_errors", body, F.array(F.lit("[slide-1#e]")), F.lit("8 units")).alias("errors"))
+    """A page for each document: its length, cited, and its id, uncited where it is English, a heading elsewhere; the evidence knows
+    the even lengths."""
+    n, text = F.col("n_chars"), lambda c: c.cast("string")
+    first = F.concat(F.lit("it is "), text(n), F.lit(" [slide-"), text(n % 3), F.lit("#e]\n"))
+    body = F.concat(first, F.when(F.col("lang") == "en", F.concat(F.lit("and "), text(F.col("doc_id")))).otherwise("# Head"))
+    allowed = F.array(F.lit("[slide-0#e]"), F.lit("[slide-1#e]"))
+    return table(spark, sf, "documents").select("doc_id", call("grounding_errors", body, allowed, F.concat(F.lit("has "), text(n - n % 2))).alias("errors"))
 
 
 @query("""SELECT n_nationkey AS id, '<table>' || chr(10) || '  <tr>' || chr(10) || '    <th colspan="2">' || n_name || '</th>' || chr(10) || '  </tr>' || chr(10) || '  <tr>' || chr(10) || '    <td>' || n_regionkey || '</td>' || chr(10) || '    <td></td>' || chr(10) || '  </tr>' || chr(10) || '</table>' AS html FROM nation""")

@@ -371,7 +371,7 @@ def test_documents_against_their_sources(spark, tmp_path):
     kept = {name: df.cache() for name, df in semantic.tables(c).items()}
     assert semantic.violations(kept, c).count() == 0
     doc = kept["documents"].first()
-    assert doc.body.startswith("## Requests\n\n- PR-1\n\nPR-1 is here") and kept["document_citations"].count() == c.blocks.count()
+    assert doc.body.startswith("## Requests\n\n- PR-1\n\n<table") and "PR-1 is here\nin group" in doc.body and kept["document_citations"].count() == c.blocks.count()
     codes = lambda **other: {r.check_code for r in semantic.violations(kept | other, c).collect()}
     d, cited, numbers = kept["documents"], kept["document_citations"], kept["document_requests"]
     assert codes(documents=d.withColumn("body", F.lit("none"))) == {"document-digest", "request-lost"}
