@@ -76,6 +76,48 @@ http://www.apache.org/licenses/LICENSE-2.0
 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS
 IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language
 governing permissions and limitations under the License."""
+ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
+liable for any damages arising from the use of this software.
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and
+redistribute it freely, subject to the following restrictions:
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you
+use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution."""
+UNLICENSE = """This is free and unencumbered software released into the public domain.
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a
+compiled binary, for any purpose, commercial or non-commercial, and by any means.
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest
+in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of
+our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and
+future rights to this software under copyright law.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES
+OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY
+CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION
+WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+For more information, please refer to <{address}>"""
+BOOST = """Boost Software License - Version 1.0 - August 17th, 2003
+Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying
+documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the
+Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do
+so, all subject to the following:
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the
+following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the
+Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source
+language processor.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES
+OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR
+ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING
+FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+#: The notice of the GNU licences in the head of a file; {name} and {version} are filled in below.
+GNU_NOTICE = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU {name} General
+Public License as published by the Free Software Foundation, either version {version} of the License, or (at your option) any
+later version.
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} General Public License for more details.
+You should have received a copy of the GNU {name} General Public License along with this program. If not, see
+<{address}>."""
+GNU = (("GPL-2.0-or-later", "", "2"), ("GPL-3.0-or-later", "", "3"), ("LGPL-2.1-or-later", "Lesser", "2.1"), ("LGPL-3.0-or-later", "Lesser", "3"), ("AGPL-3.0-or-later", "Affero", "3"))
 KNOWN = (
     ("MIT", MIT),
     ("MIT", "MIT License\n" + MIT),
@@ -100,6 +142,12 @@ KNOWN = (
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC0-1.0", "Released under CC0 1.0."),
     ("LicenseRef-all-rights-reserved", "All rights reserved."),
+    ("Zlib", ZLIB),
+    ("Zlib", "zlib License\n" + ZLIB),
+    ("Unlicense", UNLICENSE.format(address="https://unlicense.org")),
+    ("Unlicense", UNLICENSE.format(address="http://unlicense.org/")),
+    ("BSL-1.0", BOOST),
+    *((spdx, GNU_NOTICE.format(name=name, version=version, address=f"{scheme}://www.gnu.org/licenses/")) for spdx, name, version in GNU for scheme in ("http", "https")),
 )
 #: Whole texts too long to stand here, as digests of their canonical forms.
 LONG_TEXTS = (
@@ -111,6 +159,13 @@ LONG_TEXTS = (
     ("LGPL-3.0-only", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
     ("MPL-2.0", "f82071285728ca3ec7685ee9bc4acdae0b8267142a4d20b8f1805eabedb4a98a"),
     ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("Artistic-1.0-Perl", "08f1dc258c8f9e175155356aa1dd0dead8cfdec586bc1bb4c8b1452699a91702"),
+    ("BSD-3-Clause", "3d151449461c0c776e892a4dc41cac0d251eb00c9fc49d2d48802d9bed818fe9"),
+    ("GFDL-1.2-only", "1c057ea35084eb195331cec1a49fca335c176422a7726a9a23636906fd4e241f"),
+    ("GFDL-1.3-only", "7e8edd3abe6258bb82bb853d91a0c24fcd9976894fd0592747354cffe1cb18e7"),
+    ("GPL-1.0-only", "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224"),
+    ("LGPL-2.0-only", "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908"),
+    ("MPL-1.1", "3f0343dd4f3b064be36e0c6584737c9b7bb5c322721694563f9009e088ce96d1"),
 )
 #: More rows than this join by shuffle instead of a broadcast.
 BROADCAST_ROWS = 10_000

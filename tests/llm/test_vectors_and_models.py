@@ -99,6 +99,20 @@ def test_license_scan(spark, make_docs):
     assert licenses.scan(make_docs([]), known).count() == 0
 
 
+def test_more_licences(spark, make_docs):
+    """Short licences and GNU notices in one paragraph and in narrow lines, with notices; whole texts of a Debian system's folder."""
+    import textwrap
+    from pathlib import Path
+
+    short = {"Zlib": licenses.ZLIB, "Unlicense": licenses.UNLICENSE.format(address="https://unlicense.org"), "BSL-1.0": licenses.BOOST, "AGPL-3.0-or-later": licenses.GNU_NOTICE.format(name="Affero", version=3, address="https://www.gnu.org/licenses/"), "GPL-2.0-or-later": licenses.GNU_NOTICE.format(name="", version=2, address="http://www.gnu.org/licenses/")}
+    folder = Path("/usr/share/common-licenses")
+    names = {"Artistic": "Artistic-1.0-Perl", "BSD": "BSD-3-Clause", "GFDL-1.2": "GFDL-1.2-only", "GFDL-1.3": "GFDL-1.3-only", "GPL-1": "GPL-1.0-only", "LGPL-2": "LGPL-2.0-only", "MPL-1.1": "MPL-1.1", "GPL-3": "GPL-3.0-only", "Apache-2.0": "Apache-2.0"}
+    texts = [(n, form) for n, t in short.items() for form in (" ".join(t.split()), "Copyright (c) 2001 A. Body\n\n" + "\n".join(textwrap.wrap(" ".join(t.split()), 80)))]
+    texts += [(spdx, (folder / file).read_text()) for file, spdx in names.items() if (folder / file).exists()]
+    got = {r.doc_id: r.license_id for r in licenses.scan(make_docs([t for _, t in texts]), licenses.known_table(spark)).collect()}
+    assert [got[i] for i in range(len(texts))] == [n for n, _ in texts]
+
+
 def test_licenses_in_any_wrapping(spark, make_docs):
     import textwrap
 
