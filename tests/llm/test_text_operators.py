@@ -147,6 +147,47 @@ def test_codec_is_exact(make_docs, texts):
         assert r.decoded_sha256 == hashlib.sha256(model.decode(ids.tolist()).encode()).hexdigest()
 
 
+def test_long_texts_and_repeated_rows(make_docs, texts):
+    """Texts of 20,000 words, twice under one id and once under none, through the operators that no SQL holds against others."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    plain = " ".join(t for t in texts if t).split()
+    long = "  ".join(plain[(i * 7919) % len(plain)] + ("\n" if i % 50 == 0 else "") for i in range(20_000))
+    rows = [(1, long), (1, long), (None, long), (2, "short"), (2, "short"), (None, None), (3, long[: len(long) // 2])]
+    docs = make_docs([t for _, t in rows], [d for d, _ in rows])
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    want = []
+    for d, t in rows:
+        ids = np.array(model.encode(t or "", add_bos=True, add_eos=True), dtype="<u4")
+        want.append((d, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(model.decode(ids.tolist()).encode()).hexdigest()))
+    assert sorted(map(tuple, piece_codec.codec_digests(docs, path).collect()), key=repr) == sorted(want, key=repr)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words_model = Tokenizer.from_file(path)
+    pieces = Counter()
+    for d, t in rows:
+        ids = np.array([*words_model.encode(t or "", add_special_tokens=False).ids, 0], dtype="<u4")
+        pieces.update((d, k, a, len(ids[a : a + 2048]), zlib.crc32(ids[a : a + 2048].tobytes())) for k, a in enumerate(range(0, len(ids), 2048)))
+    got = packing.best_fit(docs, path, 2048).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == pieces
+    taken = defaultdict(list)
+    for r in got:
+        taken[r.sequence_id].append((r.offset, r.length))
+    assert all(sum(n for _, n in own) <= 2048 and [a for a, _ in sorted(own)] == [sum(n for _, n in sorted(own)[:i]) for i in range(len(own))] for own in taken.values())
+    assert sorted(map(tuple, substring.repeat_digests(docs).collect()), key=repr) == sorted(removed_anywhere(rows, 35), key=repr)
+
+
+def test_ties_in_packing(spark):
+    """Pieces that are equal in size and order are packed each, wherever they fall."""
+    rows = spark.createDataFrame([(1, 700)] * 60 + [(1, 600)] * 60, "doc_id long, length long").repartition(5)
+    got = packing.pack(rows, 2000, ["doc_id"]).collect()
+    taken = defaultdict(int)
+    for r in got:
+        taken[r.sequence_id] += r.length
+    assert len(got) == 120 and max(taken.values()) <= 2000 and sum(taken.values()) == 78_000 and len({(r.sequence_id, r.offset) for r in got}) == 120
+
+
 def test_packing_deals_gaps_over_tasks(spark, monkeypatch):
     """Many gaps and a few small pieces: gaps are dealt out like pieces, and those that hold no piece wait."""
     monkeypatch.setattr(packing, "SHARE", 1000)
