@@ -46,12 +46,14 @@ class Reading:
 def read(spark: SparkSession, path: str, reading: Reading = Reading()) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(occurrences, sources, elements, media) of the decks below a path; equal files are one source with many occurrences."""
     found = files.discover(spark, path)
-    checks.fail_closed(files.limits(found).unionByName(files.archive_violations(found)))
-    sources = decisions.occurrences(found).join(decisions.source_ids(found), "sha256")
+    listed = cut(found.drop("content"))  # digested once; contents are read again where they are needed
+    checks.fail_closed(files.limits(listed).unionByName(files.archive_violations(found)))
+    sources = cut(decisions.occurrences(listed).join(decisions.source_ids(listed), "sha256"))
     first = sources.select("source_id", F.element_at("paths", 1).alias("path"))
     one = found.join(first, "path", "left_semi")
     elements = ooxml.deck_elements(one, reading.images, reading.strict).join(first, "path")
-    return found.drop("content"), sources, elements, ooxml.deck_media(one).join(first, "path")
+    media = cut(ooxml.deck_media(one)) if reading.images else ooxml.deck_media(one.limit(0))
+    return listed, sources, elements, media.join(first, "path")
 
 
 def asset_path(source: Column, digest: Column, part: Column) -> Column:

@@ -19,8 +19,8 @@ from evispark.operators import checks
 
 MANIFEST = "version int, name string, file string, bytes long, sha256 string, rows long"
 VERSION = 1
-#: Rows of a file at most, so that a file's digest is taken in bounded memory.
-FILE_ROWS = 100_000
+#: Rows of a file at most, and of one with binary columns, so that a file's digest is taken in bounded memory.
+FILE_ROWS, BINARY_ROWS = 100_000, 50
 
 
 class RunLocked(RuntimeError):
@@ -48,7 +48,8 @@ def commit(tables: dict[str, DataFrame], target: str, kind: str = "parquet") ->
         raise FileExistsError(target)
     stage = f"{target.rstrip('/')}.{uuid.uuid4().hex}.incomplete"
     for name, df in tables.items():
-        df.write.option("maxRecordsPerFile", FILE_ROWS).format(kind).save(f"{stage}/{name}.{kind}")
+        most = BINARY_ROWS if any(t == "binary" for _, t in df.dtypes) else FILE_ROWS
+        df.write.option("maxRecordsPerFile", most).format(kind).save(f"{stage}/{name}.{kind}")
     written = files(spark, stage).join(counted(spark, stage, list(tables), kind), ["name", "file"], "left")
     written.withColumn("rows", F.coalesce("rows", F.lit(0))).select(F.lit(VERSION).alias("version"), "name", "file", "bytes", "sha256", "rows").write.json(f"{stage}/manifest")
     fs.mkdirs(to.getParent())
