@@ -43,6 +43,35 @@ def source_map(blocks: DataFrame, ledger: DataFrame) -> DataFrame:
     return out.select(C.qualified(F.col("source_id"), F.col("citation")).alias("qualified_citation"), "source_id", F.col("citation").alias("local_citation"), "slide_number", "element_id", "content_sha256", F.coalesce("request_values", none).alias("request_values"), call("claim_numbers", visible).alias("numbers"), call("identifiers", visible).alias("identifiers"))
 
 
+def source_map_rows(map_: DataFrame) -> DataFrame:
+    """A source map's rows by themselves: citations that repeat or name another source, slide or element, slides before the first,
+    digests that are none, lists with repeated values."""
+    key = F.col("qualified_citation")
+    parts = C.citation_parts(key)
+    agrees = (parts["source"] == F.col("source_id")) & (parts["slide"] == F.col("slide_number")) & (parts["element"] == F.col("element_id"))
+    twice = [bad_values(map_, f"repeated-{c}", key, F.size(F.array_distinct(c)) != F.size(c)) for c in ("request_values", "numbers", "identifiers") if c in map_.columns]
+    return union([
+        duplicates(map_, ["qualified_citation"], "duplicate-citation"),
+        bad_values(map_, "citation-mismatch", key, ~F.coalesce(agrees, F.lit(False))),
+        bad_values(map_, "slide-number", key, F.coalesce(F.col("slide_number"), F.lit(0)) < 1),
+        bad_values(map_, "no-digest", key, ~F.coalesce(F.col("content_sha256").rlike("^[0-9a-f]{64}$"), F.lit(False))),
+        *twice,
+    ])
+
+
+def edge_requests(edges: DataFrame, map_: DataFrame) -> DataFrame:
+    """Request numbers of relationships (id, subject, object, citations, requests): those that none of its citations has, and ends
+    that aren't among them."""
+    have = edges.select("id", F.explode("citations").alias("qualified_citation")).join(map_.select("qualified_citation", F.explode("request_values").alias("value")), "qualified_citation").select("id", "value").distinct()
+    said = edges.select("id", F.explode("requests").alias("value"))
+    ends = edges.select("id", "requests", F.explode(F.array("subject", "object")).alias("end")).where(F.startswith("end", F.lit("pr:"))).withColumn("value", F.substring("end", 4, 1 << 30))
+    return union([
+        rows(said.join(have, ["id", "value"], "left_anti"), "request-not-cited", F.col("id"), F.col("value")),
+        bad_values(ends, "end-not-a-request", F.col("id"), ~F.array_contains("requests", F.col("value")), F.col("value")),
+        bad_values(edges, "no-request", F.col("id"), F.size("requests") == 0),
+    ])
+
+
 def lineage(stored: DataFrame, blocks: DataFrame, ledger: DataFrame) -> DataFrame:
     """What a stored source map says against what the blocks give."""
     return changed_rows(stored, source_map(blocks, ledger).select(*stored.columns), "qualified_citation")
@@ -112,9 +141,30 @@ HEAD_KEYS = ("title", "description", "aliases", "tags", "pr_numbers", "source_id
 
 
 def front_matter(pages_: DataFrame, keys: tuple[str, ...] = HEAD_KEYS) -> DataFrame:
-    """Generated pages whose head lacks a key or a closing rule."""
+    """Generated pages whose head isn't the keys in their order, one line each: JSON texts of one line for title and description
+    (of at most 500 characters), lists of distinct JSON texts for the others, and no draft."""
     head = F.regexp_extract("body", r"\A---\n((?:.*\n)*?)---\n", 1)
-    return union([bad_values(pages_, "no-front-matter", F.col("path"), head == ""), *(bad_values(pages_, f"front-matter-{k}", F.col("path"), (head != "") & ~F.concat(F.lit("\n"), head).contains(f"\n{k}: ")) for k in keys)])
+    lines = F.filter(F.split(head, "\n"), lambda x: x != "")
+    own = pages_.select("path", head.alias("head"), lines.alias("lines"))
+    has = own.where("head <> ''")
+    names = F.transform("lines", lambda x: F.substring_index(x, ": ", 1))
+    value = lambda k: F.get(F.transform(F.filter("lines", lambda x: F.startswith(x, F.lit(f"{k}: "))), lambda x: F.substring(x, len(k) + 3, 1 << 30)), 0)
+    wrong = []
+    for k in keys:
+        v = F.col("v")
+        if k == "draft":
+            bad = v != "false"
+        elif k in ("title", "description"):
+            text = F.get(F.from_json(F.concat(F.lit("["), v, F.lit("]")), "array<string>"), 0)
+            bad = ~v.rlike(r'^".*"$') | text.isNull() | text.contains("\n") | (F.length(text) > 500) | ((text == "") if k == "title" else F.lit(False))
+        else:
+            items = F.from_json(v, "array<string>")
+            bad = ~v.rlike(r"^\[.*\]$") | items.isNull() | (F.size(F.array_distinct(items)) != F.size(items)) | F.exists(items, lambda x: x.isNull())
+        own_key = has.withColumn("v", value(k))
+        wrong += [bad_values(own_key, f"front-matter-{k}", F.col("path"), v.isNull()), bad_values(own_key.where(v.isNotNull()), f"front-matter-{k}-value", F.col("path"), F.coalesce(bad, F.lit(True)), v)]
+    known = F.filter(names, lambda x: x.isin(*keys))
+    odd = has.where((F.size(F.array_except(F.lit(list(keys)), names)) == 0) & (names != F.lit(list(keys))))
+    return union([bad_values(own, "no-front-matter", F.col("path"), F.col("head") == ""), rows(odd, "front-matter-keys", F.col("path"), F.array_join(known, ",")), *wrong])
 
 
 def evidence(citations: DataFrame, pages_: DataFrame) -> DataFrame:

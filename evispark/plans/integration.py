@@ -247,7 +247,7 @@ def page_violations(pages: DataFrame, files: DataFrame | None = None) -> DataFra
     """violations() of pages alone."""
     made = pages.where(~F.startswith("path", F.lit(links.EVIDENCE)))
     lost = links.tree_violations(pages, files).select("check_code", F.lit("error").alias("severity"), F.col("path").alias("key"), F.concat_ws("#", "target", "fragment").alias("detail"))
-    return checks.union([lost, artifacts.front_matter(made), checks.bad_values(made, "dangerous-html", F.col("path"), C.is_dangerous(F.col("body")))])
+    return checks.union([lost, artifacts.front_matter(made), checks.text_checks(made, F.col("path"), F.col("body"))])
 
 
 def tables(found: Integrated) -> dict[str, DataFrame]:
@@ -273,6 +273,12 @@ def artifact_violations(found: Integrated, known_sources: DataFrame) -> DataFram
     cited = found.members.join(carried, ["citation", "source_id"], "left_anti")
     covered = known_sources.join(found.members.select("source_id").distinct(), "source_id", "left_anti")
     return checks.union([
+        artifacts.source_map_rows(found.facts),
+        artifacts.edge_requests(found.edges, found.facts),
+        checks.bad_values(found.entities, "no-name", F.col("id"), F.trim("name") == ""),
+        checks.bad_values(found.entities, "alias-is-name", F.col("id"), F.array_contains("aliases", F.col("name"))),
+        checks.bad_values(found.topics, "no-title", F.col("topic_id"), F.trim("title") == ""),
+        checks.missing(found.topics.select("topic_id"), found.members, ["topic_id"], "topic-without-evidence"),
         artifacts.entities(entities, known_sources, found.facts),
         checks.duplicates(found.edges, ["id"], "duplicate-id"),
         checks.bad_values(found.edges, "self-loop", F.col("id"), F.col("subject") == F.col("object")),

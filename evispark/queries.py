@@ -843,6 +843,24 @@ def array_lineage(spark, sf):
     return checks.array_checks(s, "id", "stored", "derived", "source-lineage")
 
 
+@query("""WITH m AS (SELECT 's' || l_suppkey % 7 AS source_id, l_orderkey AS slide, 'e' || l_linenumber AS e, CASE WHEN l_returnflag = 'R' THEN l_partkey ELSE l_orderkey END AS slide_number, CASE WHEN l_tax < 0.01 THEN 'none' ELSE sha256(CAST(l_partkey AS VARCHAR)) END AS d, [CAST(l_linenumber AS VARCHAR), CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)] AS n FROM lineitem),
+q AS (SELECT *, '[@' || source_id || '/slide-' || slide || '#' || e || ']' AS q FROM m)
+SELECT 'duplicate-citation' AS check_code, 'error' AS severity, q AS key, CAST(count(*) AS VARCHAR) AS detail FROM q GROUP BY q HAVING count(*) > 1
+UNION ALL SELECT 'citation-mismatch', 'error', q, NULL FROM q WHERE slide <> slide_number UNION ALL SELECT 'slide-number', 'error', q, NULL FROM q WHERE slide_number < 1
+UNION ALL SELECT 'no-digest', 'error', q, NULL FROM q WHERE d = 'none' UNION ALL SELECT 'repeated-numbers', 'error', q, NULL FROM q WHERE n[1] = n[2]""")
+def source_map_violations(spark, sf):
+    """Order lines as a source map: a citation for each line of an order, slides of returned ones by part, digests missing where no
+    tax is due, the line's number and quantity as its numbers."""
+    t = table(spark, sf, "lineitem")
+    text = lambda c: c.cast("string")
+    source, element = F.concat(F.lit("s"), text(F.col("l_suppkey") % 7)), F.concat(F.lit("e"), text(F.col("l_linenumber")))
+    slide = F.when(F.col("l_returnflag") == "R", F.col("l_partkey")).otherwise(F.col("l_orderkey"))
+    digest = F.when(F.col("l_tax") < 0.01, "none").otherwise(C.sha256(text(F.col("l_partkey"))))
+    cited = F.concat(F.lit("[@"), source, F.lit("/slide-"), text(F.col("l_orderkey")), F.lit("#"), element, F.lit("]"))
+    numbers = F.array(text(F.col("l_linenumber")), text(F.col("l_quantity").cast("long")))
+    return artifacts.source_map_rows(t.select(cited.alias("qualified_citation"), source.alias("source_id"), slide.alias("slide_number"), element.alias("element_id"), digest.alias("content_sha256"), numbers.alias("numbers")))
+
+
 @query(f"""WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS id FROM documents WHERE sha256({_CLEAN}) <> sha256(text))
 SELECT code AS check_code, 'error' AS severity, id AS key, CAST(NULL AS VARCHAR) AS detail FROM d, (VALUES ('not-derivable'), ('not-stored')) t(code)""")
 def lineage_reconcile(spark, sf):

@@ -388,6 +388,21 @@ def test_documents_against_their_sources(spark, tmp_path):
     assert {r.check_code for r in semantic.evidence_violations(c, pages.where("path not like 'evidence%'")).collect()} == {"anchor-missing"}
 
 
+def test_shape_of_front_matter(spark):
+    good = ['title: "T"', 'description: ""', "aliases: []", 'tags: ["a"]', "pr_numbers: []", 'source_ids: ["s","t"]', "draft: false"]
+    heads = {"good": good, "order": [good[1], good[0], *good[2:]], "lacks": good[:-1], "more": [*good, "x: 1"], "list": [*good[:2], 'aliases: ["a","a"]', *good[3:]], "text": ["title: T", *good[1:]], "empty": ['title: ""', *good[1:]], "long": [good[0], f'description: "{"x" * 501}"', *good[2:]], "draft": [*good[:-1], "draft: true"], "null": [*good[:3], "tags: [null]", *good[4:]], "line": ['title: "a\\nb"', *good[1:]]}
+    pages = [(k, "---\n" + "\n".join(v) + "\n---\n\n# T\n") for k, v in heads.items()] + [("none", "# T\n---\n")]
+    got = {(r.key, r.check_code) for r in artifacts.front_matter(spark.createDataFrame(pages, "path string, body string")).collect()}
+    assert got == {("none", "no-front-matter"), ("order", "front-matter-keys"), ("more", "front-matter-keys"), ("lacks", "front-matter-draft"), ("list", "front-matter-aliases-value"), ("text", "front-matter-title-value"), ("empty", "front-matter-title-value"), ("long", "front-matter-description-value"), ("draft", "front-matter-draft-value"), ("null", "front-matter-tags-value"), ("line", "front-matter-title-value")}
+
+
+def test_requests_of_edges(spark):
+    map_ = spark.createDataFrame([("[@s/slide-1#a]", ["PR-1"]), ("[@s/slide-2#b]", [])], "qualified_citation string, request_values array<string>")
+    one, two = "[@s/slide-1#a]", "[@s/slide-2#b]"
+    edges = spark.createDataFrame([("good", "pr:PR-1", "entity:e", [one, two], ["PR-1"]), ("borrowed", "entity:e", "entity:f", [two], ["PR-1"]), ("end", "pr:PR-2", "entity:e", [one], ["PR-1"]), ("none", "entity:e", "entity:f", [one], [])], "id string, subject string, object string, citations array<string>, requests array<string>")
+    assert {(r.key, r.check_code) for r in artifacts.edge_requests(edges, map_).collect()} == {("borrowed", "request-not-cited"), ("end", "end-not-a-request"), ("none", "no-request")}
+
+
 def test_commit_and_load(spark, tmp_path):
     rows, none = spark.range(10).repartition(3), spark.range(0)
     for kind in ("parquet", "json"):
