@@ -88,6 +88,18 @@ def test_nations_are_shared_by_many(spark, tmp_path):
     assert got == {c: s[0] for c, s in met.items() if len(s) == 1} and 2505 in got.values() and 2 not in got
 
 
+def test_gained_citations_are_not_shuffled(spark):
+    """Only small tables are dealt out, the pairs aren't made distinct; citations that are null come once."""
+    t = spark.createDataFrame([(i, "s", f"c{i}") for i in range(6)] + [(7, "s", None), (7, "s", None), (8, "t", None), (9, None, "c1")], "topic_id long, source_id string, citation string")
+    b = spark.createDataFrame([("s", f"c{i}", i % 3 == 0) for i in range(6)] + [("s", None, True), ("s", "c3", None), ("s", "c3", True)], "source_id string, citation string, has_request boolean")
+    got = topics.expand_citations(t, b)
+    gained = {(i, "s", c) for i in (1, 2, 4, 5, 7) for c in ("c0", "c3", None)}
+    want = {tuple(r) for r in t.collect()} | gained
+    rows = [tuple(r) for r in got.collect()]
+    assert set(rows) == want and len(rows) == len(want)
+    assert got._jdf.queryExecution().optimizedPlan().toString().startswith("Union")  # an Aggregate over all pairs before
+
+
 def test_decision_precedence(spark):
     b = spark.createDataFrame([("s", f"c{i}", i, "", "text", "text", t) for i, t in enumerate(["PR-1 x", "g  h", "g h", "PR-1 x", "k"])], "source_id string, citation string, rank int, slide_title string, kind string, content_format string, content string").withColumn("slide_number", F.lit(1)).withColumn("element_id", F.col("citation"))
     out = stages.organise(b, spark.createDataFrame([("s", "c2")], "source_id string, citation string"))
