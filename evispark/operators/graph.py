@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from evispark.functions import patterns
 from evispark.functions.udfs import call
-from evispark.operators.topics import ordered
+from evispark.operators.topics import crossed, ordered
 from evispark.session import cut
 
 # Predicates, and the kinds of objects that each prefers (none: any kind).
@@ -186,5 +186,16 @@ def edge_violations(edges: DataFrame, entities: DataFrame) -> DataFrame:
 
 
 def shared_sources(pages: DataFrame, entities: DataFrame) -> DataFrame:
-    """(page_id, entity_id) that list a source in common. Inputs: (id, source_id) rows."""
-    return pages.select(F.col("id").alias("page_id"), "source_id").join(entities.select(F.col("id").alias("entity_id"), "source_id"), "source_id").select("page_id", "entity_id").distinct()
+    """(page_id, entity_id) that list a source in common. Inputs: (id, source_id) rows.
+
+    Rows of the same sources are a class. Classes meet on sources and are made distinct; as each page and each entity is in one
+    class, so are the pairs then, without a shuffle of them."""
+
+    def classes(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        listed = rows.where("source_id is not null").groupBy(F.col("id").alias(f"{name}_id")).agg(F.array_sort(F.collect_set("source_id")).alias("_sources"))
+        listed = cut(listed.withColumn(f"_{name}", F.sha2(F.to_json("_sources"), 256)))
+        return listed.drop("_sources"), listed.dropDuplicates([f"_{name}"]).select(f"_{name}", F.explode("_sources").alias("source_id"))
+
+    (page_of, page_class), (entity_of, entity_class) = classes(pages, "page"), classes(entities, "entity")
+    met = page_class.join(entity_class, "source_id").select("_page", "_entity").distinct()
+    return crossed(page_of.join(met, "_page").select("page_id", "_entity"), entity_of, "_entity").select("page_id", "entity_id")

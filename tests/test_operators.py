@@ -100,6 +100,17 @@ def test_gained_citations_are_not_shuffled(spark):
     assert got._jdf.queryExecution().optimizedPlan().toString().startswith("Union")  # an Aggregate over all pairs before
 
 
+def test_shared_sources_of_many_lists(spark):
+    """Pairs that meet on several sources come once, without distinct over pairs."""
+    p = spark.createDataFrame([(1, "a"), (1, "b"), (2, "b"), (2, "b"), (3, "a"), (3, "b"), (4, None), (5, "z")], "id long, source_id string")
+    e = spark.createDataFrame([(10, "a"), (10, "b"), (11, "b"), (12, "a"), (12, "q"), (13, None), (None, "b")], "id long, source_id string")
+    got = graph.shared_sources(p, e)
+    want = {(x.id, y.id) for x in p.collect() for y in e.collect() if x.source_id is not None and x.source_id == y.source_id}
+    rows = [tuple(r) for r in got.collect()]
+    assert set(rows) == want and len(rows) == len(want)
+    assert got._jdf.queryExecution().optimizedPlan().toString().startswith("Project")  # an Aggregate over all pairs before
+
+
 def test_decision_precedence(spark):
     b = spark.createDataFrame([("s", f"c{i}", i, "", "text", "text", t) for i, t in enumerate(["PR-1 x", "g  h", "g h", "PR-1 x", "k"])], "source_id string, citation string, rank int, slide_title string, kind string, content_format string, content string").withColumn("slide_number", F.lit(1)).withColumn("element_id", F.col("citation"))
     out = stages.organise(b, spark.createDataFrame([("s", "c2")], "source_id string, citation string"))
