@@ -79,12 +79,16 @@ def resolve_aliases(mentions: DataFrame, entities: DataFrame) -> DataFrame:
 
     mentions: (mention_id, key, source_id, citations); entities: (entity_id, keys, source_id, citations).
     """
-    # they meet on the shared citation too, so a name that many have makes no pairs that share none
-    names = entities.select("entity_id", F.explode("keys").alias("key"), "source_id", F.explode("citations").alias("citation")).distinct()
+    names = named_once(entities.select("entity_id", F.explode("keys").alias("key"), "source_id", F.explode("citations").alias("citation")), ["key", "source_id", "citation"])
     cited = mentions.select("mention_id", "key", "source_id", F.explode("citations").alias("citation")).distinct()
-    hits = cited.join(names, ["key", "source_id", "citation"]).select("mention_id", "entity_id").distinct()
-    one = hits.groupBy("mention_id").agg(F.count("*").alias("n"), F.min("entity_id").alias("entity_id")).where("n = 1")
-    return one.select("mention_id", "entity_id")
+    one = cited.join(names, ["key", "source_id", "citation"]).groupBy("mention_id").agg(F.min("least").alias("entity_id"), F.max("most").alias("most"))
+    return one.where("entity_id = most").select("mention_id", "entity_id")
+
+
+def named_once(names: DataFrame, place: list[str]) -> DataFrame:
+    """(place, least, most): the smallest and largest entity_id of a name in a citation. They are one where one entity has it,
+    and that is all that is asked of many; so a name meets a mention as one row, however many have it."""
+    return names.groupBy(*place).agg(F.min("entity_id").alias("least"), F.max("entity_id").alias("most"))
 
 
 def relationship_id(predicate: Column, subject: Column, obj: Column, assertion: Column) -> Column:

@@ -111,6 +111,32 @@ def test_shared_sources_of_many_lists(spark):
     assert got._jdf.queryExecution().optimizedPlan().toString().startswith("Project")  # an Aggregate over all pairs before
 
 
+def _joined_rows(spark, run) -> int:
+    """The most rows that a join made while run() ran, as Spark counts them."""
+    store, bus = spark._jsparkSession.sharedState().statusStore(), spark.sparkContext._jsc.sc().listenerBus()
+    bus.waitUntilEmpty(30_000)
+    before, most = store.executionsList().size(), 0
+    run()
+    bus.waitUntilEmpty(30_000)
+    done = store.executionsList()
+    for i in range(before, done.size()):
+        number = done.apply(i).executionId()
+        values, nodes = store.executionMetrics(number), store.planGraph(number).allNodes()
+        for n in (nodes.apply(k) for k in range(nodes.size())):
+            counts = [n.metrics().apply(k) for k in range(n.metrics().size())] if "Join" in n.name() else []
+            most = max([most, *(int(values.apply(m.accumulatorId()).replace(",", "")) for m in counts if m.name() == "number of output rows" and values.contains(m.accumulatorId()))])
+    return most
+
+
+def test_names_of_many_meet_a_mention_once(spark):
+    """A name that 300 entities share with a citation makes a row for each mention, not 300; one entity's name resolves."""
+    m = spark.range(300).selectExpr("id as mention_id", "if(id < 299, 'a', 'b') as key", "'s' as source_id", "array('c', 'd') as citations")
+    e = spark.range(300).selectExpr("id as entity_id", "if(id < 299, array('a'), array('b', 'b')) as keys", "'s' as source_id", "array('c', 'd') as citations")
+    out = []
+    assert _joined_rows(spark, lambda: out.extend(graph.resolve_aliases(m, e).collect())) <= 600
+    assert [tuple(r) for r in out] == [(299, 299)]
+
+
 def test_decision_precedence(spark):
     b = spark.createDataFrame([("s", f"c{i}", i, "", "text", "text", t) for i, t in enumerate(["PR-1 x", "g  h", "g h", "PR-1 x", "k"])], "source_id string, citation string, rank int, slide_title string, kind string, content_format string, content string").withColumn("slide_number", F.lit(1)).withColumn("element_id", F.col("citation"))
     out = stages.organise(b, spark.createDataFrame([("s", "c2")], "source_id string, citation string"))
