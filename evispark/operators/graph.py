@@ -136,13 +136,13 @@ def resolve_edges(found: DataFrame, entities: DataFrame, evidence: DataFrame, ke
     ends = said.select("ord", "source_id", "citations", "kinds", "requests", F.explode(F.array(end("subject"), end("object"))).alias("e")).select("*", "e.*").drop("e")
     of_request = F.filter("requests", lambda r: r["key"] == F.col("request_key"))
     ends = cut(ends.withColumn("request_key", request(F.col("name"))).withColumn("request", F.get(F.transform(of_request, lambda r: r["value"]), 0)).withColumn("key", key(F.col("name"))).drop("request_key", "requests"))
-    # they meet on the shared citation too, so a name that many have makes no pairs that share none
-    names = entities.select("entity_id", "type", F.explode("keys").alias("key"), "source_id", F.explode("citations").alias("citation")).distinct()
+    names = named_once(entities.select("entity_id", "type", F.explode("keys").alias("key"), "source_id", F.explode("citations").alias("citation")), ["source_id", "key", "citation", "type"])
     cited_ends = ends.where("request is null").withColumn("citation", F.explode("citations"))
     hits = cited_ends.join(names, ["source_id", "key", "citation"])
     asked, liked = F.col("asked").isNotNull(), (F.col("role") == "object") & F.array_contains("kinds", F.col("type"))
-    hits = hits.where(~asked | (F.col("asked") == F.col("type"))).withColumn("liked", ~asked & liked).select("ord", "role", "entity_id", "liked").distinct()
-    one = lambda flag: F.when(F.count_if(flag) == 1, F.min(F.when(flag, F.col("entity_id"))))
+    hits = hits.where(~asked | (F.col("asked") == F.col("type"))).withColumn("liked", ~asked & liked)
+    least, most = (lambda flag: F.min(F.when(flag, F.col("least")))), (lambda flag: F.max(F.when(flag, F.col("most"))))
+    one = lambda flag: F.when(least(flag) == most(flag), least(flag))
     best = hits.groupBy("ord", "role").agg(F.when(F.count_if("liked") > 0, one(F.col("liked"))).otherwise(one(F.lit(True))).alias("entity"))
     solved = ends.select("ord", "role", "request").join(best, ["ord", "role"], "left")
     node = F.coalesce(F.concat(F.lit("pr:"), F.col("request")), F.concat(F.lit("entity:"), F.col("entity")))

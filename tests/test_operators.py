@@ -137,6 +137,16 @@ def test_names_of_many_meet_a_mention_once(spark):
     assert [tuple(r) for r in out] == [(299, 299)]
 
 
+def test_ends_of_many_meet_a_relationship_once(spark):
+    """Of an item that 300 parts are, one is a material; so that one is the object of uses_material, and none of related_to."""
+    found = spark.range(300).selectExpr("id as ord", "'s' as source_id", "if(id % 2 = 0, 'uses_material', 'related_to') as predicate", "'PR-1' as subject", "cast(null as string) as subject_type", "'item' as object", "cast(null as string) as object_type", "'It holds' as assertion", "'' as description", "array('c') as citations")
+    e = spark.range(300).selectExpr("concat('p', id) as entity_id", "if(id = 7, 'material', if(id % 2 = 0, 'lot', 'other')) as type", "array('item') as keys", "'s' as source_id", "array('c') as citations")
+    evidence = spark.sql("select 's' as source_id, 'c' as citation, array('1') as numbers, array(named_struct('key', '1', 'value', 'PR-1')) as requests")
+    out = []
+    assert _joined_rows(spark, lambda: out.extend(graph.resolve_edges(found, e, evidence).collect())) <= 900
+    assert [(r.predicate, r.subject, r.object) for r in out] == [("uses_material", "pr:PR-1", "entity:p7")]
+
+
 def test_decision_precedence(spark):
     b = spark.createDataFrame([("s", f"c{i}", i, "", "text", "text", t) for i, t in enumerate(["PR-1 x", "g  h", "g h", "PR-1 x", "k"])], "source_id string, citation string, rank int, slide_title string, kind string, content_format string, content string").withColumn("slide_number", F.lit(1)).withColumn("element_id", F.col("citation"))
     out = stages.organise(b, spark.createDataFrame([("s", "c2")], "source_id string, citation string"))
