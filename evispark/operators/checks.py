@@ -11,6 +11,7 @@ from evispark.functions import columns as C
 from evispark.functions import patterns
 from evispark.functions.udfs import call
 from evispark.operators import geometry
+from evispark.session import cut
 
 
 class CheckError(ValueError):
@@ -102,10 +103,13 @@ def grounding(pages: DataFrame, text: str = "body", allowed: str = "citations",
 def line_grounding(lines: DataFrame, facts: DataFrame) -> DataFrame:
     """Numbers of a line that none of its own citations has. lines: (page_id, line_no, line); facts: (citation, number).
 
-    Lines, citations and numbers are rows, so the check is an anti join."""
-    cited = lines.select("page_id", "line_no", F.explode(C.citations_in(F.col("line"))).alias("citation")).join(facts, "citation").select("page_id", "line_no", "number").distinct()
-    claimed = lines.select("page_id", "line_no", F.explode(call("prose_numbers", F.col("line"))).alias("number"))
-    return rows(claimed.join(cited, ["page_id", "line_no", "number"], "left_anti"), "borrowed-number", F.concat_ws("/", F.col("page_id").cast("string"), F.col("line_no").cast("string")), F.col("number"))
+    A line's citations meet its own claims before the facts, so a citation of many facts makes no more rows than there are
+    claims; what meets a fact is taken off by an anti join."""
+    line = ["page_id", "line_no"]
+    claimed = cut(lines.select(*line, F.explode(call("prose_numbers", F.col("line"))).alias("number")))
+    cited = lines.select(*line, F.explode(C.citations_in(F.col("line"))).alias("citation"))
+    known = claimed.join(cited, line).join(facts, ["citation", "number"], "left_semi").select(*line, "number").distinct()
+    return rows(claimed.join(known, [*line, "number"], "left_anti"), "borrowed-number", F.concat_ws("/", F.col("page_id").cast("string"), F.col("line_no").cast("string")), F.col("number"))
 
 
 def array_checks(df: DataFrame, key: str, stored: str, derived: str, code: str) -> DataFrame:

@@ -147,6 +147,14 @@ def test_ends_of_many_meet_a_relationship_once(spark):
     assert [(r.predicate, r.subject, r.object) for r in out] == [("uses_material", "pr:PR-1", "entity:p7")]
 
 
+def test_a_citation_of_many_facts_meets_claims_alone(spark):
+    lines = spark.range(100).selectExpr("cast(id as string) as page_id", "1 as line_no", "concat('It has ', id, ' [slide-1#a]') as line")
+    facts = spark.range(1000).selectExpr("'[slide-1#a]' as citation", "cast(id % 50 as string) as number")
+    out = []
+    assert _joined_rows(spark, lambda: out.extend(checks.line_grounding(lines, facts).collect())) <= 100
+    assert sorted(int(r.detail) for r in out) == list(range(50, 100))
+
+
 def test_decision_precedence(spark):
     b = spark.createDataFrame([("s", f"c{i}", i, "", "text", "text", t) for i, t in enumerate(["PR-1 x", "g  h", "g h", "PR-1 x", "k"])], "source_id string, citation string, rank int, slide_title string, kind string, content_format string, content string").withColumn("slide_number", F.lit(1)).withColumn("element_id", F.col("citation"))
     out = stages.organise(b, spark.createDataFrame([("s", "c2")], "source_id string, citation string"))
