@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
 from evispark.functions import html, images, markdown, requests, text
+from evispark.session import tune
 
 
 def arrow(kernel: Callable, returns: str):
@@ -77,6 +78,7 @@ _made: dict[str, Callable] = {}
 
 def call(name: str, *columns: Column | str) -> Column:
     """Apply a kernel to columns."""
+    tune(SparkSession.getActiveSession())
     if name not in _made:
         _made[name] = arrow(*KERNELS[name])
     return _made[name](*columns)

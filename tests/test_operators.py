@@ -155,6 +155,28 @@ def test_a_citation_of_many_facts_meets_claims_alone(spark):
     assert sorted(int(r.detail) for r in out) == list(range(50, 100))
 
 
+def test_python_batches_are_bounded_by_bytes(spark):
+    """A batch of long texts is small, though it may hold 10,000 rows; what the user set stays."""
+    import pandas as pd
+
+    from evispark import session
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    @F.pandas_udf("long")
+    def held(text: pd.Series) -> pd.Series:
+        return pd.Series([text.str.len().sum()] * len(text))
+
+    spark.conf.unset(key)
+    call("collapse_text", F.lit("a"))
+    long = spark.range(0, 200, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+    assert long.select(held("text").alias("n")).agg(F.max("n")).first()[0] <= session.ARROW_BYTES + 100_000
+    spark.conf.set(key, "123456")
+    readers.read_payloads(spark.createDataFrame([("{}",)], "payload string"))
+    assert spark.conf.get(key) == "123456"
+    spark.conf.unset(key)
+
+
 def test_decision_precedence(spark):
     b = spark.createDataFrame([("s", f"c{i}", i, "", "text", "text", t) for i, t in enumerate(["PR-1 x", "g  h", "g h", "PR-1 x", "k"])], "source_id string, citation string, rank int, slide_title string, kind string, content_format string, content string").withColumn("slide_number", F.lit(1)).withColumn("element_id", F.col("citation"))
     out = stages.organise(b, spark.createDataFrame([("s", "c2")], "source_id string, citation string"))
