@@ -177,6 +177,18 @@ def test_python_batches_are_bounded_by_bytes(spark):
     spark.conf.unset(key)
 
 
+def test_plain_markup_is_split_as_the_parser_does(monkeypatch):
+    import random
+
+    bits = ["<table>", "<TR>", "</td>", "<p>", "<td >", "<br>", "<script>", "</script>", "<td a=1>", "&amp;", "&", "<", ">", "a", " b ", "\n", "\u00a0", "\u2028", "\x1f", "<!-- c -->", "<ſub>", "</table>"]
+    dealt = random.Random(5)
+    cases = ["".join(dealt.choices(bits, k=dealt.randint(0, 8))) for _ in range(20_000)] + ["", None, "<td>1</td><td> 2\n3 </td>"]
+    fast = [html.html_text(c) for c in cases]
+    used = sum(html._PLAIN.fullmatch(c or "") is not None for c in cases)
+    monkeypatch.setattr(html, "_PLAIN", re.compile("(?!)"))
+    assert fast == [html.html_text(c) for c in cases] and used > 500
+
+
 def test_decision_precedence(spark):
     b = spark.createDataFrame([("s", f"c{i}", i, "", "text", "text", t) for i, t in enumerate(["PR-1 x", "g  h", "g h", "PR-1 x", "k"])], "source_id string, citation string, rank int, slide_title string, kind string, content_format string, content string").withColumn("slide_number", F.lit(1)).withColumn("element_id", F.col("citation"))
     out = stages.organise(b, spark.createDataFrame([("s", "c2")], "source_id string, citation string"))
