@@ -189,6 +189,14 @@ def test_plain_markup_is_split_as_the_parser_does(monkeypatch):
     assert fast == [html.html_text(c) for c in cases] and used > 500
 
 
+def test_edges_are_made_once_for_ends_and_loops(spark):
+    e = spark.createDataFrame([("a", "x", "x", ["c"]), ("a", "x", "x", ["c"]), ("b", "x", "y", ["d"]), ("c", "x", None, ["c"])], "id string, subject string, object string, citations array<string>")
+    known = spark.createDataFrame([("x", ["c"])], "id string, citations array<string>")
+    found = graph.edge_violations(e, known)
+    assert sorted(map(tuple, found.collect())) == [("no-shared-citation", "b"), ("self-loop", "a"), ("self-loop", "a"), ("unknown-endpoint", "b"), ("unknown-endpoint", "c")]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("subject#") and "Union" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_decision_precedence(spark):
     b = spark.createDataFrame([("s", f"c{i}", i, "", "text", "text", t) for i, t in enumerate(["PR-1 x", "g  h", "g h", "PR-1 x", "k"])], "source_id string, citation string, rank int, slide_title string, kind string, content_format string, content string").withColumn("slide_number", F.lit(1)).withColumn("element_id", F.col("citation"))
     out = stages.organise(b, spark.createDataFrame([("s", "c2")], "source_id string, citation string"))
