@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evispark.functions.udfs import call
+from evispark.session import dealt
 
 
 def ordered(values: Column, order: Column) -> Column:
@@ -78,17 +79,22 @@ def expand_citations(topics: DataFrame, blocks: DataFrame) -> DataFrame:
     return own.union(crossed(bare, lent.where("citation is not null"), "source_id").select(*columns))
 
 
-def lineage(records: DataFrame, by_citation: DataFrame, by_source: DataFrame, fallback: bool = True) -> DataFrame:
+def lineage(records: DataFrame, by_citation: DataFrame, by_source: DataFrame, fallback: bool = True, n: int | None = None) -> DataFrame:
     """(record_id, source_id, value): request numbers of a record's cited blocks, for each source; with fallback a source
     none of whose cited blocks has any lends all its numbers.
 
     records: (record_id, source_id, citation); by_citation: (source_id, citation, value); by_source: (source_id, value).
+    n: among how many tasks each step deals its rows (`session.tasks`), else Spark's setting.
     """
-    own = records.join(by_citation, ["source_id", "citation"]).select("record_id", "source_id", "value").distinct()
+    block, pair = ["source_id", "citation"], ["record_id", "source_id"]
+    cited, known = dealt(records, n, *block), dealt(by_citation, n, *block)
+    own = dealt(cited.join(known, block).select(*pair, "value"), n, *pair).distinct()
     if not fallback:
         return own
-    bare = records.select("record_id", "source_id").distinct().join(own.select("record_id", "source_id").distinct(), ["record_id", "source_id"], "left_anti")
-    return own.union(bare.join(by_source, "source_id").select("record_id", "source_id", "value").distinct())
+    held = cited.join(known.select(*block, F.lit(True).alias("held")), block, "left").select(*pair, "held")
+    bare = dealt(held, n, *pair).groupBy(*pair).agg(F.max("held").alias("held"))
+    bare = bare.where("held is null or record_id is null").select(*pair)  # a null equals no record that has its own
+    return own.union(dealt(bare, n, "source_id").join(dealt(by_source, n, "source_id"), "source_id").select(*pair, "value").distinct())
 
 
 def coverage(sources: DataFrame, pages: DataFrame, entities: DataFrame) -> DataFrame:

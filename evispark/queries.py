@@ -13,7 +13,7 @@ from evispark.functions.udfs import call
 from evispark.operators import blocks as B
 from evispark.operators import artifacts, checks, chunks, decisions, geometry, graph, links, topics
 from evispark.plans import pictures, publish, runs, stages
-from evispark.session import scratch
+from evispark.session import dealt, scratch, tasks
 from evispark.streaming import ingest
 from evispark.views import SLIDE_HEIGHT, SLIDE_WIDTH, table
 
@@ -371,9 +371,13 @@ def topic_expand(spark, sf):
 o AS (SELECT DISTINCT record_id, source_id, value FROM r WHERE own)
 SELECT * FROM o UNION SELECT DISTINCT r.record_id, r.source_id, -r.source_id FROM r ANTI JOIN o ON o.record_id = r.record_id AND o.source_id = r.source_id""")
 def fallback_lineage(spark, sf):
-    r = table(spark, sf, "orders").join(table(spark, sf, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
-    r = r.select((F.col("o_custkey") % 97).alias("record_id"), F.col("o_orderkey").alias("source_id"), F.col("l_linenumber").alias("citation"), F.col("l_partkey").alias("value"), "l_returnflag")
-    return topics.lineage(r.select("record_id", "source_id", "citation"), r.where("l_returnflag = 'R'").select("source_id", "citation", "value"), r.select("source_id", (-F.col("source_id")).alias("value")).distinct())
+    """Lines whose order is missing meet no record, so numbers come from lines and orders as they are."""
+    orders, lines = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+    n = tasks(lines)
+    r = dealt(orders, n, "o_orderkey").join(dealt(lines, n, "l_orderkey"), F.col("o_orderkey") == F.col("l_orderkey"))
+    r = r.select((F.col("o_custkey") % 97).alias("record_id"), F.col("o_orderkey").alias("source_id"), F.col("l_linenumber").alias("citation"))
+    own = lines.where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("source_id"), F.col("l_linenumber").alias("citation"), F.col("l_partkey").alias("value"))
+    return topics.lineage(r, own, orders.select(F.col("o_orderkey").alias("source_id"), (-F.col("o_orderkey")).alias("value")), n=n)
 
 
 TOKENS = """tk AS (SELECT c_nationkey AS chunk, 'c' || c_custkey AS citation, c_custkey % 7 = 0 AS request, c_custkey % 3 = 0 AS token FROM customer)"""

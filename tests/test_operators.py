@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from evispark import queries as engine
+from evispark import session as settings
 from evispark.functions import columns as C
 from evispark.functions import html, patterns, text
 from evispark.functions.udfs import call
@@ -52,6 +53,27 @@ def test_query(spark, duck, name):
         assert sorted((plain(tuple(x)) for x in rows), key=repr) == want
 
 
+@pytest.mark.parametrize("name", ["fallback_lineage"])
+def test_more_rows_more_tasks(spark, duck, monkeypatch, name):
+    """Rows are dealt among tasks by their number, not among a fixed number of them, and stay the same."""
+    monkeypatch.setattr(settings, "TASK_ROWS", 400, raising=False)
+    df = engine.QUERIES[name](spark, SF)
+    assert max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()) < 400
+    test_query(spark, duck, name)
+
+
+def test_lineage(spark):
+    """Own numbers of a record and source, in several tasks or one; a source without lends all of its own; nulls equal nothing."""
+    records = spark.createDataFrame([(1, "s", "a"), (1, "s", "b"), (2, "s", "b"), (2, "t", "a"), (3, "u", "a"), (None, "s", "a"), (4, None, "a"), (5, "s", None)], "record_id long, source_id string, citation string")
+    known = spark.createDataFrame([("s", "a", "7"), ("s", "a", "7"), ("s", "a", "8"), (None, "a", "9"), ("s", None, "9"), ("u", "a", None)], "source_id string, citation string, value string")
+    lent = spark.createDataFrame([("s", "7"), ("s", "6"), ("s", "6"), ("u", "6"), (None, "6")], "source_id string, value string")
+    own = [(1, "s", "7"), (1, "s", "8"), (3, "u", None), (None, "s", "7"), (None, "s", "8")]
+    both = [*own, *((r, "s", v) for r in (2, 5, None) for v in "67")]
+    for n in (None, 3):
+        assert sorted(map(tuple, topics.lineage(records, known, lent, fallback=False, n=n).collect()), key=repr) == sorted(own, key=repr)
+        assert sorted(map(tuple, topics.lineage(records, known, lent, n=n).collect()), key=repr) == sorted(both, key=repr)
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
