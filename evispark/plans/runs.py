@@ -77,19 +77,22 @@ def counted(spark: SparkSession, folder: str, names: list[str], kind: str) -> Da
 
 
 def reconciled(manifest: DataFrame, found: DataFrame, rows: DataFrame) -> DataFrame:
-    """Violations of files (name, file, bytes, sha256) and their counts (name, file, rows) against a manifest of both."""
+    """Violations of files (name, file, bytes, sha256) and their counts (name, file, rows) against a manifest of both.
+
+    The three meet once, and each file's violations are made where they meet. A file has a row of counts at most."""
     key = ["name", "file"]
     told = manifest.select(*key, F.struct("bytes", "sha256").alias("told"), F.col("rows").alias("told_rows"))
-    both = told.join(found.select(*key, F.struct("bytes", "sha256").alias("seen")), key, "full").join(rows, key, "left")
-    name = F.concat_ws("/", *key)
+    seen = found.select(*key, F.struct("bytes", "sha256").alias("seen")).join(rows.select(*key, "rows"), key, "left")
     count = F.coalesce("rows", F.lit(0))
-    return checks.union([
-        checks.duplicates(manifest, key, "listed-twice"),
-        checks.rows(both.where("seen is null"), "file-missing", name),
-        checks.rows(both.where("told is null"), "file-unknown", name),
-        checks.rows(both.where("told.sha256 <> seen.sha256 or told.bytes <> seen.bytes"), "file-changed", name, F.col("seen.sha256")),
-        checks.rows(both.where(F.col("told").isNotNull() & F.col("seen").isNotNull() & (F.col("told_rows") != count)), "row-count", name, count),
-    ])
+    wrong = lambda code, when, detail=F.lit(None): F.when(when, F.struct(F.lit(code).alias("check_code"), detail.cast("string").alias("detail")))
+    each = F.array(
+        wrong("file-missing", F.col("seen").isNull()),
+        wrong("file-unknown", F.col("told").isNull()),
+        wrong("file-changed", F.expr("told.sha256 <> seen.sha256 or told.bytes <> seen.bytes"), F.col("seen.sha256")),
+        wrong("row-count", F.col("told").isNotNull() & F.col("seen").isNotNull() & (F.col("told_rows") != count), count),
+    )
+    broken = told.join(seen, key, "full").select(F.concat_ws("/", *key).alias("key"), F.explode(F.array_compact(each)).alias("v"))
+    return checks.union([checks.duplicates(manifest, key, "listed-twice"), broken.select("v.check_code", F.lit("error").alias("severity"), "key", "v.detail")])
 
 
 def violations(spark: SparkSession, target: str, kind: str = "parquet") -> DataFrame:

@@ -904,9 +904,11 @@ UNION ALL SELECT 'file-changed', 'error', 'orders/' || o, d FROM b WHERE o_order
 UNION ALL SELECT 'row-count', 'error', 'orders/' || o, CAST(n AS VARCHAR) FROM b WHERE told <> n""")
 def manifest_reconcile(spark, sf):
     """Orders as a manifest of files, whose digests are their states, against the files that order lines make."""
+    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("file"), "l_linestatus")
+    n = tasks(lines)  # by the file alone: the name is one
     told = table(spark, sf, "orders").select(F.lit("orders").alias("name"), F.col("o_orderkey").cast("string").alias("file"), F.lit(1).cast("long").alias("bytes"), F.col("o_orderstatus").alias("sha256"), (F.col("o_custkey") % 7 + 1).cast("long").alias("rows"))
-    made = table(spark, sf, "lineitem").groupBy(F.lit("orders").alias("name"), F.col("l_orderkey").cast("string").alias("file")).agg(F.min("l_linestatus").alias("sha256"), F.count("*").alias("rows"))
-    return runs.reconciled(told, made.select("name", "file", F.lit(1).cast("long").alias("bytes"), "sha256"), made.select("name", "file", "rows"))
+    made = dealt(lines, n, "file").groupBy(F.lit("orders").alias("name"), "file").agg(F.min("l_linestatus").alias("sha256"), F.count("*").alias("rows"))
+    return runs.reconciled(dealt(told, n, "file"), made.select("name", "file", F.lit(1).cast("long").alias("bytes"), "sha256"), made.select("name", "file", "rows"))
 
 
 class LineReader:

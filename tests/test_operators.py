@@ -53,7 +53,7 @@ def test_query(spark, duck, name):
         assert sorted((plain(tuple(x)) for x in rows), key=repr) == want
 
 
-@pytest.mark.parametrize("name", ["fallback_lineage"])
+@pytest.mark.parametrize("name", ["fallback_lineage", "manifest_reconcile"])
 def test_more_rows_more_tasks(spark, duck, monkeypatch, name):
     """Rows are dealt among tasks by their number, not among a fixed number of them, and stay the same."""
     monkeypatch.setattr(settings, "TASK_ROWS", 400, raising=False)

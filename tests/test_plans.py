@@ -427,6 +427,16 @@ def test_reconciled_manifest(spark):
     assert sorted((r.check_code, r.key) for r in runs.reconciled(told, found, rows).collect()) == [("file-changed", "t/b"), ("file-missing", "t/c"), ("file-unknown", "t/e"), ("listed-twice", "t/d"), ("row-count", "t/a")]
 
 
+def test_reconciled_files_meet_once(spark):
+    """A file can be wrong in several ways, a name that is null is no other's, and the files are joined once for all checks."""
+    told = spark.createDataFrame([(1, "t", "a", 1, "x", 5), (1, None, "b", 1, "x", 5), (1, "t", "c", 1, None, 0), (1, "u", "d", 2, "x", None)], runs.MANIFEST)
+    found = spark.createDataFrame([("t", "a", 2, "x"), (None, "b", 1, "x"), ("t", "c", 1, "y"), ("u", "d", 1, "x")], "name string, file string, bytes long, sha256 string")
+    rows = spark.createDataFrame([("t", "a", 4), ("u", "d", 4)], "name string, file string, rows long")
+    got = runs.reconciled(told, found, rows)
+    assert sorted(map(tuple, got.collect())) == sorted([("file-changed", "error", "t/a", "x"), ("row-count", "error", "t/a", "4"), ("file-missing", "error", "b", None), ("file-unknown", "error", "b", None), ("file-changed", "error", "u/d", "x")])
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join FullOuter") == 1
+
+
 def test_run_lock(spark, tmp_path):
     folder = str(tmp_path / "run")
     with runs.Run(spark, folder) as run:
