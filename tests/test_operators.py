@@ -62,6 +62,16 @@ def test_more_rows_more_tasks(spark, duck, monkeypatch, name):
     test_query(spark, duck, name)
 
 
+@pytest.mark.parametrize("name", ["fallback_lineage", "manifest_reconcile"])
+def test_many_rows_are_not_put_together(spark, duck, monkeypatch, name):
+    """Partitions that Spark's setting names stay apart, though few bytes lie in them."""
+    monkeypatch.setattr(settings, "TASK_ROWS", 2000, raising=False)
+    df = engine.QUERIES[name](spark, SF)
+    assert sum(r["count"] > 0 for r in df.groupBy(F.spark_partition_id()).count().collect()) >= 4
+    assert max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()) < 1000
+    test_query(spark, duck, name)
+
+
 def test_lineage(spark):
     """Own numbers of a record and source, in several tasks or one; a source without lends all of its own; nulls equal nothing."""
     records = spark.createDataFrame([(1, "s", "a"), (1, "s", "b"), (2, "s", "b"), (2, "t", "a"), (3, "u", "a"), (None, "s", "a"), (4, None, "a"), (5, "s", None)], "record_id long, source_id string, citation string")
